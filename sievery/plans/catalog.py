@@ -225,6 +225,31 @@ def q_channel_totals(spark, sf_dir):
     return counts.channel_totals(sieve.sieve(_messages(spark, sf_dir)))
 
 
+def q_stream_windows(spark, sf_dir):
+    """SRC-10 + WM-1 + WIN-1 as a stream: closed windows per category."""
+    from ..streaming import streams
+    w = streams.stream_windows(spark, sf_dir, WINDOW_SIZE, WINDOW_SLIDE)
+    return w.select(F.unix_seconds(F.col("window.start")).alias("window_start"),
+                    F.unix_seconds(F.col("window.end")).alias("window_end"), "category", "n")
+
+
+def q_stream_sieve(spark, sf_dir):
+    """SRC-10 + ST-2 + F-6 + SNK-1 as a stream with a replay-safe sink."""
+    from ..streaming import streams
+    return streams.stream_sieve_counts(spark, sf_dir)
+
+
+def q_deliver_posts(spark, sf_dir):
+    """SNK-1 + R-1 + R-2: payloads handed to a delivery function inside the
+    tasks, responses classified, the run failed on any non-OK response."""
+    from ..sinks import delivery
+    notable = sieve.sieve(_messages(spark, sf_dir))
+    p = payloads.post_payloads(notable, URL_TEMPLATE,
+                               channel_teams=T.load_channels(spark, sf_dir), chunk_size=CHUNK)
+    receipts = delivery.deliver_payloads(p, delivery.accepting_service)
+    return receipts.select("channel", "chunk", "key", "n_items", "status")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sieve_counts": q_sieve_counts,
     "skipped_channels": q_skipped_channels,
@@ -254,4 +279,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "team_info": q_team_info,
     "run_metrics": q_run_metrics,
     "listing_totals": q_listing_totals,
+    "stream_windows": q_stream_windows,
+    "stream_sieve": q_stream_sieve,
+    "deliver_posts": q_deliver_posts,
 }

@@ -345,6 +345,21 @@ UNION ALL SELECT 'sink_posts', count(*) FILTER (WHERE notable) FROM messages
 UNION ALL SELECT 'sink_channels', count(DISTINCT channel) FILTER (WHERE notable) FROM messages
 UNION ALL SELECT 'sink_payloads', count(DISTINCT (channel, seq // {Q.CHUNK})) FILTER (WHERE notable) FROM messages""",
 
+        "stream_windows": msg + """
+SELECT * FROM (
+  SELECT (us // 900000000 - g.i) * 900 AS window_start, (us // 900000000 - g.i) * 900 + 3600 AS window_end,
+         category, count(*) AS n
+  FROM messages, range(0, 4) g(i)
+  GROUP BY 1, 2, 3)
+WHERE window_end * 1000000 <= (SELECT max(us) - 600000000 FROM messages)""",
+
+        "stream_sieve": msg + """
+SELECT channel, category, count(*) AS n_kept FROM messages WHERE notable GROUP BY channel, category""",
+
+        "deliver_posts": _with(_MESSAGES, _CHANNELS, _payloads("category_ord", Q.CHUNK)) + f"""
+SELECT g.channel, g.chunk, sha256({url} || chr(10) || g.body) AS key, g.n_items, 'OK' AS status
+FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
+
         "listing_totals": """
 SELECT 'users' AS listing, count(*) AS value FROM customer
 UNION ALL SELECT 'channels', count(*) FROM nation
