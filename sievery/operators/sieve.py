@@ -36,10 +36,19 @@ def keep_file_share() -> Column:
 
 
 def keep_whitelisted(raw: Column | None = None) -> Column:
-    """F-4: a top-level reactions, mentions or replies array with elements."""
+    """F-4: a top-level reactions, mentions or replies array with elements.
+
+    The text is parsed once and its top-level object read as a map; the
+    three keys are tested inside one ``map_filter``, so the raw text is
+    referenced (and parsed) once per row even where Catalyst inlines the
+    expression that produced it.  Same results as J-1..J-3: text that is
+    not a JSON object, or has duplicate keys, keeps nothing.
+    """
     v = J.parse(F.col("raw") if raw is None else raw)
-    return (J.nonempty(J.reactions_field(v)) | J.nonempty(J.mentions_field(v))
-            | J.nonempty(J.replies_field(v)))
+    top = F.try_variant_get(v, "$", "map<string,variant>")
+    hits = F.map_filter(top, lambda k, x: k.isin("reactions", "mentions", "replies")
+                        & J.nonempty(F.try_variant_get(x, "$", "array<variant>")))
+    return F.coalesce(F.size(hits) > 0, F.lit(False))
 
 
 def keep_file_comment() -> Column:

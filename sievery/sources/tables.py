@@ -31,7 +31,23 @@ N_CHANNELS = 25
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spread_small(spark.read.parquet(table_path(sf_dir, name)))
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than there are cores.
+
+    A large input is read as many splits (``spark.sql.files.maxPartitionBytes``)
+    and is returned unchanged: no shuffle is added at scale.  A file with a
+    single row group is read by one task whatever its row count, and the
+    adapters do per-row work (JSON, string building), so such a scan is
+    redistributed round-robin over the cores first.  The split count is
+    known when the plan is made; no job runs for it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
 
 
 def micros_since_epoch(ts_ntz: Column) -> Column:
@@ -65,10 +81,12 @@ def messages_from_events(events: DataFrame) -> DataFrame:
     posts nests its lists under ``key`` when k % 11 = 0 and is cut short
     (not JSON) when k % 13 = 0.
     """
-    e = events.select(
-        "event_id", "user_id", "event_type",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        micros_since_epoch(F.col("ts")).alias("us"))
+    # json_tuple parses ``props`` once per row for all requested keys.
+    e = (events.select("event_id", "user_id", "event_type", "ts",
+                       F.json_tuple("props", "k").alias("k_text"))
+         .select("event_id", "user_id", "event_type",
+                 F.col("k_text").cast("int").alias("k"),
+                 micros_since_epoch(F.col("ts")).alias("us")))
     k, uid, et = F.col("k"), F.col("user_id"), F.col("event_type")
     us = F.col("us")
     secs = F.floor(us / 1000000).cast("bigint")
