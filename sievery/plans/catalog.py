@@ -250,6 +250,33 @@ def q_deliver_posts(spark, sf_dir):
     return receipts.select("channel", "chunk", "key", "n_items", "status")
 
 
+def q_history_pages(spark, sf_dir):
+    """SRC-5/SRC-6 + X-3 on landed pages: the messages are written as API
+    history pages (one folder per channel) and read back with the page
+    reader, then sieved and counted (equals the direct sieve)."""
+    from ..session import scratch_path
+    from ..sources import pages
+    path = scratch_path(spark, "history-pages")
+    pages.land_history_pages(_messages(spark, sf_dir), path)
+    msgs, _ = pages.read_conversations(spark, path)
+    return (sieve.sieve(msgs).groupBy("channel", "category")
+            .agg(F.count("*").alias("n_kept")))
+
+
+def q_rejects(spark, sf_dir):
+    """LOG-1: rows set aside with a reason (unparsable raw messages,
+    blacklisted subtypes, unresolved emoji aliases)."""
+    m = _messages(spark, sf_dir)
+    return (sieve.unparsable_rejects(m)
+            .unionByName(C.blacklisted_rejects(m, BLACKLIST))
+            .unionByName(emoji.alias_rejects(emoji.resolve_aliases(T.load_emojis(spark, sf_dir)))))
+
+
+def q_team_payload(spark, sf_dir):
+    """SNK-4 / E-7: one JSON object per team."""
+    return jobs.team_payload(T.load_teams(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sieve_counts": q_sieve_counts,
     "skipped_channels": q_skipped_channels,
@@ -282,4 +309,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_windows": q_stream_windows,
     "stream_sieve": q_stream_sieve,
     "deliver_posts": q_deliver_posts,
+    "history_pages": q_history_pages,
+    "rejects": q_rejects,
+    "team_payload": q_team_payload,
 }

@@ -51,10 +51,20 @@ def seed_channels(channels: DataFrame, batch_size: int = 500) -> DataFrame:
     return listing_batches(channels, batch_size)
 
 
+def listed_only(messages: DataFrame, channels: DataFrame, id_col: str = "id") -> DataFrame:
+    """ST-1 without state: the messages of the listed channels only (a
+    left-semi join; the listing side is reduced to distinct ids)."""
+    ids = channels.select(F.col(id_col).alias("channel")).distinct()
+    return messages.join(ids, "channel", "left_semi")
+
+
 def seed_posts(messages: DataFrame, url_template: str, blacklist: Iterable[str] = (),
                team_id: str | None = None, channel_teams: DataFrame | None = None,
                chunk_size: int = payloads.DEFAULT_CHUNK) -> DataFrame:
-    """JOB-3: blacklist (X-2), sieve (F-6), encode and group (AGG-2)."""
+    """JOB-3: messages of the listed channels (ST-1, when ``channel_teams``
+    is the listing), blacklist (X-2), sieve (F-6), encode and group (AGG-2)."""
+    if channel_teams is not None:
+        messages = listed_only(messages, channel_teams)
     kept = sieve.sieve(C.drop_blacklisted(messages, blacklist))
     return payloads.post_payloads(kept, url_template, team_id=team_id,
                                   channel_teams=channel_teams, chunk_size=chunk_size)

@@ -360,6 +360,26 @@ SELECT channel, category, count(*) AS n_kept FROM messages WHERE notable GROUP B
 SELECT g.channel, g.chunk, sha256({url} || chr(10) || g.body) AS key, g.n_items, 'OK' AS status
 FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
 
+        "history_pages": msg + """
+SELECT channel, category, count(*) AS n_kept FROM messages WHERE notable GROUP BY channel, category""",
+
+        "rejects": _with(_MESSAGES, _EMOJIS) + f"""
+SELECT 'whitelisted' AS source, channel || '/' || ts AS key, 'raw message is not JSON' AS reason
+FROM messages WHERE category = 'whitelisted' AND NOT json_valid(raw)
+UNION ALL
+SELECT 'blacklist', channel || '/' || ts, 'blacklisted subtype ' || subtype
+FROM messages WHERE subtype IN ({bl})
+UNION ALL
+SELECT 'emoji', team_id || '/' || name, status || ': ' || alias_of
+FROM resolved WHERE status IN ('unresolved_chain', 'missing_target')""",
+
+        "team_payload": """
+SELECT 'T' || CAST(r_regionkey AS VARCHAR) AS team_id,
+       '{"id":"T' || CAST(r_regionkey AS VARCHAR) || '","name":"' || r_name || '","domain":"'
+       || replace(lower(r_name), ' ', '-') || '","email_domain":"' || replace(lower(r_name), ' ', '-')
+       || '.example","image_132":"https://img.example/' || replace(lower(r_name), ' ', '-') || '_132.png"}' AS body
+FROM region""",
+
         "listing_totals": """
 SELECT 'users' AS listing, count(*) AS value FROM customer
 UNION ALL SELECT 'channels', count(*) FROM nation
