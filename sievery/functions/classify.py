@@ -38,6 +38,23 @@ def category_rank(category: Column | str, order: list[str] = ORDER_B) -> Column:
     return expr.cast("int")
 
 
+def category_rank_sql(category: str = "category", order: list[str] = ORDER_B) -> str:
+    """``category_rank`` as a SQL expression over the column ``category``."""
+    whens = " ".join(f"WHEN {category} = '{name}' THEN {pos}" for pos, name in enumerate(order, 1))
+    return f"CAST(CASE {whens} END AS INT)"
+
+
+def classify_sql(subtype: str = "subtype", bot_id: str = "bot_id",
+                 attachments: str = "attachments") -> str:
+    """X-1 as a SQL expression over the named columns (same rule as
+    ``classify``)."""
+    return (f"CASE WHEN {subtype} = 'file_share' THEN '{FILE_SHARE}' "
+            f"WHEN {subtype} = 'file_comment' THEN '{FILE_COMMENT}' "
+            f"WHEN {bot_id} IS NOT NULL OR {subtype} = 'bot_message' THEN '{BOT}' "
+            f"WHEN coalesce(json_array_length({attachments}) > 0, false) THEN '{USER_ATTACHMENT}' "
+            f"ELSE '{WHITELISTED}' END")
+
+
 def attachments_nonempty(attachments: Column) -> Column:
     """True when the raw attachments text is a JSON array with elements."""
     return F.coalesce(F.json_array_length(attachments) > 0, F.lit(False))

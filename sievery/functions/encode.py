@@ -11,7 +11,7 @@ Each fragment is computed once, as its own column, and the per-category
 records only concatenate fragment columns.  This keeps the generated code of
 the stage small (one ``to_json`` per key and row instead of one per key,
 record kind and reference) so the whole projection stays in whole-stage
-codegen.  Everything is a JVM expression.
+codegen.  The rules are SQL expressions (one JVM call per step).
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from . import classify as C
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
+_KEEP_NULLS_SQL = "map('ignoreNullFields', 'false')"
 
 # Message keys that are encoded from a typed column.
 MESSAGE_KEYS = ["type", "subtype", "text", "ts", "user", "username", "bot_id",
@@ -30,128 +31,164 @@ MESSAGE_KEYS = ["type", "subtype", "text", "ts", "user", "username", "bot_id",
 EMPTY_COMMENTS = "array<struct<id:string,timestamp:bigint,user:string>>"
 EMPTY_REACTIONS = "array<struct<name:string,users:array<string>,count:bigint>>"
 
+# Values behind the fragments: empty lists stand in for NULL lists.
+MESSAGE_SOURCES = {
+    "comments": f"coalesce(`comments`, cast(array() AS {EMPTY_COMMENTS}))",
+    "reactions": f"coalesce(`reactions`, cast(array() AS {EMPTY_REACTIONS}))",
+    "mentions": "coalesce(`mentions`, cast(array() AS array<string>))",
+}
+
+
+def q(name: str) -> str:
+    return f"`{name}`"
+
 
 def frag(key: str) -> str:
     return f"_f_{key}"
 
 
 def add_fragments(df: DataFrame, keys: list[str] = MESSAGE_KEYS,
-                  source: dict[str, Column] | None = None) -> DataFrame:
+                  source: dict[str, str] | None = None) -> DataFrame:
     """Add one ``_f_<key>`` column per key holding ``"key":<json>``
-    (``null`` written for a NULL value)."""
+    (``null`` written for a NULL value).  ``source`` maps a key to the SQL
+    expression of its value (default: the column of that name)."""
     source = source or {}
-    tmp = {f"_j_{k}": F.to_json(F.struct(source.get(k, F.col(k)).alias(k)), _KEEP_NULLS)
-           for k in keys}
-    df = df.withColumns(tmp)
-    return df.withColumns({frag(k): F.expr(f"substr(`_j_{k}`, 2, length(`_j_{k}`) - 2)")
-                           for k in keys}).drop(*tmp.keys())
+    cols = [q(c) for c in df.columns]
+    with_json = df.selectExpr(*cols, *[
+        f"to_json(named_struct('{k}', {source.get(k, q(k))}), {_KEEP_NULLS_SQL}) AS _j_{k}"
+        for k in keys])
+    return with_json.selectExpr(*cols, *[
+        f"substr(_j_{k}, 2, length(_j_{k}) - 2) AS {frag(k)}" for k in keys])
 
 
 def drop_fragments(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_f_")])
 
 
-def always(key: str) -> Column:
+# --- fragment rules (SQL) ---------------------------------------------------
+
+def always(key: str) -> str:
     """Key always present, ``null`` when the value is NULL."""
-    return F.col(frag(key))
+    return frag(key)
 
 
-def if_present(key: str, value: Column | None = None) -> Column:
+def if_present(key: str) -> str:
     """Key left out when the value is NULL."""
-    value = F.col(key) if value is None else value
-    return F.when(value.isNotNull(), F.col(frag(key)))
+    return f"CASE WHEN {q(key)} IS NOT NULL THEN {frag(key)} END"
 
 
-def if_nonempty(key: str, value: Column | None = None) -> Column:
+def if_nonempty(key: str) -> str:
     """Key left out when the array is NULL or empty."""
-    value = F.col(key) if value is None else value
-    return F.when(F.size(value) > 0, F.col(frag(key)))
+    return f"CASE WHEN size({q(key)}) > 0 THEN {frag(key)} END"
 
 
-def if_nonempty_text(key: str, value: Column | None = None) -> Column:
-    value = F.col(key) if value is None else value
-    return F.when(value != "", F.col(frag(key)))
+def if_nonempty_text(key: str) -> str:
+    return f"CASE WHEN {q(key)} <> '' THEN {frag(key)} END"
 
 
-def raw_if_present(key: str, raw: Column) -> Column:
+def raw_if_present(key: str, raw: str) -> str:
     """Key whose value is already JSON text; left out when NULL."""
-    return F.when(raw.isNotNull(), F.concat(F.lit(f'"{key}":'), raw))
+    return f"CASE WHEN {q(raw)} IS NOT NULL THEN concat('\"{key}\":', {q(raw)}) END"
 
 
-def raw_if_nonempty(key: str, raw: Column) -> Column:
+def raw_if_nonempty(key: str, raw: str) -> str:
     """Raw JSON array text; left out when NULL or an empty array."""
-    return F.when(C.attachments_nonempty(raw), F.concat(F.lit(f'"{key}":'), raw))
+    return (f"CASE WHEN coalesce(json_array_length({q(raw)}) > 0, false) "
+            f"THEN concat('\"{key}\":', {q(raw)}) END")
+
+
+def json_object_sql(*fragments: str) -> str:
+    return "concat('{', concat_ws(',', " + ", ".join(fragments) + "), '}')"
 
 
 def json_object(*fragments: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *fragments), F.lit("}"))
 
 
-def encode_file_share() -> Column:
+# --- record kinds ------------------------------------------------------------
+
+def encode_file_share_sql() -> str:
     """E-1: type, subtype, text, file, comments, ts; comment when non-empty;
     user and bot_id always (null when absent); mentions when non-empty."""
-    return json_object(
+    return json_object_sql(
         always("type"), always("subtype"), always("text"), always("file"),
         always("comments"), always("ts"), if_nonempty_text("comment"),
         always("user"), always("bot_id"), if_nonempty("mentions"))
 
 
-def encode_bot() -> Column:
+def encode_bot_sql() -> str:
     """E-2: type, subtype, text, ts; bot_id, username, attachments when
     present; reactions, replies, mentions when non-empty."""
-    return json_object(
+    return json_object_sql(
         always("type"), always("subtype"), always("text"), always("ts"),
-        if_present("bot_id"), if_present("username"),
-        raw_if_present("attachments", F.col("attachments")),
+        if_present("bot_id"), if_present("username"), raw_if_present("attachments", "attachments"),
         if_nonempty("reactions"), if_nonempty("replies"), if_nonempty("mentions"))
 
 
-def encode_user_attachment() -> Column:
+def encode_user_attachment_sql() -> str:
     """E-3: type, text, ts; user when present; attachments, reactions,
     replies, mentions when non-empty.  No subtype."""
-    return json_object(
+    return json_object_sql(
         always("type"), always("text"), always("ts"), if_present("user"),
-        raw_if_nonempty("attachments", F.col("attachments")),
+        raw_if_nonempty("attachments", "attachments"),
         if_nonempty("reactions"), if_nonempty("replies"), if_nonempty("mentions"))
 
 
-def encode_file_comment() -> Column:
+def encode_file_comment_sql() -> str:
     """E-4: every field, null when absent, ``[]`` for empty lists."""
-    return json_object(
+    return json_object_sql(
         always("type"), always("subtype"), always("text"), always("user"),
         always("comment"), always("mentions"), always("reactions"), always("ts"))
 
 
-def message_sources() -> dict[str, Column]:
-    """Values behind the fragments: empty lists stand in for NULL lists."""
-    return {
-        "comments": F.coalesce(F.col("comments"), F.array().cast(EMPTY_COMMENTS)),
-        "reactions": F.coalesce(F.col("reactions"), F.array().cast(EMPTY_REACTIONS)),
-        "mentions": F.coalesce(F.col("mentions"), F.array().cast("array<string>")),
-    }
+def encode_message_sql() -> str:
+    """The delivered JSON of one message, by category; whitelisted messages
+    are passed through as their raw text.  Needs ``add_fragments``."""
+    return (f"CASE `category` WHEN '{C.BOT}' THEN {encode_bot_sql()} "
+            f"WHEN '{C.USER_ATTACHMENT}' THEN {encode_user_attachment_sql()} "
+            f"WHEN '{C.FILE_SHARE}' THEN {encode_file_share_sql()} "
+            f"WHEN '{C.FILE_COMMENT}' THEN {encode_file_comment_sql()} "
+            "ELSE `raw` END")
+
+
+# Column forms (need ``add_fragments`` on the frame).
+def encode_file_share() -> Column:
+    return F.expr(encode_file_share_sql())
+
+
+def encode_bot() -> Column:
+    return F.expr(encode_bot_sql())
+
+
+def encode_user_attachment() -> Column:
+    return F.expr(encode_user_attachment_sql())
+
+
+def encode_file_comment() -> Column:
+    return F.expr(encode_file_comment_sql())
 
 
 def encode_message() -> Column:
-    """The delivered JSON of one message, by category; whitelisted messages
-    are passed through as their raw text.  Needs ``add_fragments``."""
-    cat = F.col("category")
-    return (F.when(cat == C.BOT, encode_bot())
-             .when(cat == C.USER_ATTACHMENT, encode_user_attachment())
-             .when(cat == C.FILE_SHARE, encode_file_share())
-             .when(cat == C.FILE_COMMENT, encode_file_comment())
-             .otherwise(F.col("raw")))
+    return F.expr(encode_message_sql())
+
+
+def _with_record(df: DataFrame, record_sql: str, name: str) -> DataFrame:
+    cols = [q(c) for c in df.columns]
+    return add_fragments(df, source=MESSAGE_SOURCES).selectExpr(*cols, f"{record_sql} AS {q(name)}")
 
 
 def with_message_json(df: DataFrame, name: str = "json") -> DataFrame:
     """Add the delivered JSON text of every message as ``name``."""
-    out = add_fragments(df, source=message_sources())
-    return drop_fragments(out.withColumn(name, encode_message()))
+    return _with_record(df, encode_message_sql(), name)
+
+
+_KINDS = {"file_share": encode_file_share_sql, "bot": encode_bot_sql,
+          "user_attachment": encode_user_attachment_sql, "file_comment": encode_file_comment_sql}
 
 
-def with_encoded(df: DataFrame, encoder, name: str = "json") -> DataFrame:
-    """Add the JSON of one fixed record kind (E-1..E-4) as ``name``."""
-    out = add_fragments(df, source=message_sources())
-    return drop_fragments(out.withColumn(name, encoder()))
+def with_encoded(df: DataFrame, kind: str, name: str = "json") -> DataFrame:
+    """Add the JSON of one fixed record kind (E-1..E-4, by category name)."""
+    return _with_record(df, _KINDS[kind](), name)
 
 
 def encode_record(*cols: str | Column) -> Column:

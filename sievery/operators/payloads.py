@@ -91,6 +91,6 @@ def channel_posts(notable: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFr
     (bot, file share, user attachment, file comment, whitelisted)."""
     p = _chunked(notable, chunk_size, C.ORDER_A)
     p = E.add_fragments(p, ["channel"])
-    record = E.json_object(E.always("channel"), F.concat(F.lit('"posts":'), F.col("body")))
-    return p.select("channel", "chunk", "n_items", "first_seq", "last_seq",
-                    record.alias("record"))
+    record = E.json_object_sql(E.always("channel"), "concat('\"posts\":', body)")
+    return p.selectExpr("channel", "chunk", "n_items", "first_seq", "last_seq",
+                        f"{record} AS record")

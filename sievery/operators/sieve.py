@@ -13,62 +13,70 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify as C
-from ..functions import jsonfields as J
 
 
-def _has(col: str) -> Column:
-    return J.nonempty(F.col(col))
+def _has(col: str) -> str:
+    """SQL: the array column has elements (NULL and empty are false)."""
+    return f"coalesce(size({col}) > 0, false)"
+
+
+# The rules as SQL expressions over the canonical columns.
+KEEP_BOT = f"({_has('reactions')} OR {_has('mentions')})"
+KEEP_USER_ATTACHMENT = KEEP_BOT
+KEEP_FILE_SHARE = f"({_has('mentions')} OR {_has('comments')})"
+KEEP_FILE_COMMENT = f"({_has('mentions')} OR {_has('reactions')})"
+
+
+def keep_whitelisted_sql(raw: str = "raw") -> str:
+    """F-4 as SQL.  The text is parsed once and its top-level object read
+    as a map; the three keys are tested inside one ``map_filter``, so the
+    raw text is referenced (and parsed) once per row even where Catalyst
+    inlines the expression that produced it.  Same results as J-1..J-3:
+    text that is not a JSON object, or has duplicate keys, keeps nothing."""
+    return ("coalesce(size(map_filter("
+            f"try_variant_get(try_parse_json({raw}), '$', 'map<string,variant>'), "
+            "(k, v) -> k IN ('reactions', 'mentions', 'replies') AND "
+            "coalesce(size(try_variant_get(v, '$', 'array<variant>')) > 0, false))) > 0, false)")
+
+
+NOTABLE = (f"CASE WHEN category IN ('{C.BOT}', '{C.USER_ATTACHMENT}', '{C.FILE_COMMENT}') "
+           f"THEN {KEEP_BOT} "
+           f"WHEN category = '{C.FILE_SHARE}' THEN {KEEP_FILE_SHARE} "
+           f"WHEN category = '{C.WHITELISTED}' THEN {keep_whitelisted_sql()} "
+           "ELSE false END")
 
 
 def keep_bot() -> Column:
     """F-1: reactions or mentions."""
-    return _has("reactions") | _has("mentions")
+    return F.expr(KEEP_BOT)
 
 
 def keep_user_attachment() -> Column:
     """F-2: reactions or mentions."""
-    return _has("reactions") | _has("mentions")
+    return F.expr(KEEP_USER_ATTACHMENT)
 
 
 def keep_file_share() -> Column:
     """F-3: mentions or comments (reactions are not looked at)."""
-    return _has("mentions") | _has("comments")
-
+    return F.expr(KEEP_FILE_SHARE)
 
-def keep_whitelisted(raw: Column | None = None) -> Column:
-    """F-4: a top-level reactions, mentions or replies array with elements.
 
-    The text is parsed once and its top-level object read as a map; the
-    three keys are tested inside one ``map_filter``, so the raw text is
-    referenced (and parsed) once per row even where Catalyst inlines the
-    expression that produced it.  Same results as J-1..J-3: text that is
-    not a JSON object, or has duplicate keys, keeps nothing.
-    """
-    v = J.parse(F.col("raw") if raw is None else raw)
-    top = F.try_variant_get(v, "$", "map<string,variant>")
-    hits = F.map_filter(top, lambda k, x: k.isin("reactions", "mentions", "replies")
-                        & J.nonempty(F.try_variant_get(x, "$", "array<variant>")))
-    return F.coalesce(F.size(hits) > 0, F.lit(False))
+def keep_whitelisted(raw: str = "raw") -> Column:
+    """F-4: a top-level reactions, mentions or replies array with elements."""
+    return F.expr(keep_whitelisted_sql(raw))
 
 
 def keep_file_comment() -> Column:
     """F-5: mentions or reactions."""
-    return _has("mentions") | _has("reactions")
+    return F.expr(KEEP_FILE_COMMENT)
 
 
 def is_notable() -> Column:
     """F-6: the rule of the row's category; unknown categories are dropped.
-
-    F-1, F-2 and F-5 share one rule (reactions or mentions), so each list is
-    referenced once per branch kind; this keeps the predicate small when
-    Catalyst pushes it below the projections that build the lists.
-    """
-    cat = F.col("category")
-    return (F.when(cat.isin(C.BOT, C.USER_ATTACHMENT, C.FILE_COMMENT),
-                   _has("reactions") | _has("mentions"))
-             .when(cat == C.FILE_SHARE, keep_file_share())
-             .when(cat == C.WHITELISTED, keep_whitelisted())
-             .otherwise(F.lit(False)))
+    F-1, F-2 and F-5 share one rule, so each list is referenced once per
+    branch kind; this keeps the predicate small when Catalyst pushes it
+    below the projections that build the lists."""
+    return F.expr(NOTABLE)
 
 
 def sieve(messages: DataFrame) -> DataFrame:

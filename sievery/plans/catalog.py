@@ -73,17 +73,18 @@ def q_json_presence(spark, sf_dir):
         sieve.keep_whitelisted().alias("keep"))
 
 
-def _encode_query(category, encoder):
+def _encode_query(category):
     def q(spark, sf_dir):
         m = _messages(spark, sf_dir).filter(F.col("category") == category)
-        return E.with_encoded(m, encoder).select("seq", "json")
+        return E.with_encoded(m, category).select("seq", "json")
+    q.__doc__ = f"E-1..E-4: the delivered JSON of every {category} message."
     return q
 
 
-q_encode_file_share = _encode_query(C.FILE_SHARE, E.encode_file_share)
-q_encode_bot = _encode_query(C.BOT, E.encode_bot)
-q_encode_user_attachment = _encode_query(C.USER_ATTACHMENT, E.encode_user_attachment)
-q_encode_file_comment = _encode_query(C.FILE_COMMENT, E.encode_file_comment)
+q_encode_file_share = _encode_query(C.FILE_SHARE)
+q_encode_bot = _encode_query(C.BOT)
+q_encode_user_attachment = _encode_query(C.USER_ATTACHMENT)
+q_encode_file_comment = _encode_query(C.FILE_COMMENT)
 
 
 def q_encode_users(spark, sf_dir):

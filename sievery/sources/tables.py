@@ -22,16 +22,20 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import classify as C
-from ..functions import encode as E
-from ..functions.jsonfields import extract_mentions
 from ..session import table_path
 
 # Fixed values of the adapters (shared with the SQL twins).
 N_CHANNELS = 25
 
 
+# Tables whose adapters do heavy per-row work (JSON, string building, regex
+# over whole texts); only these are spread when their scan is a single split.
+PER_ROW_HEAVY = {"events", "documents"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread_small(spark.read.parquet(table_path(sf_dir, name)))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread_small(df) if name in PER_ROW_HEAVY else df
 
 
 def spread_small(df: DataFrame) -> DataFrame:
@@ -50,13 +54,17 @@ def spread_small(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
-def micros_since_epoch(ts_ntz: Column) -> Column:
-    """Microseconds of a TIMESTAMP_NTZ since 1970-01-01 00:00, computed from
-    its calendar parts so that the session time zone plays no part."""
-    day = F.unix_date(F.to_date(ts_ntz)).cast("bigint")
-    secs = F.hour(ts_ntz) * 3600 + F.minute(ts_ntz) * 60
-    frac = (F.extract(F.lit("SECOND"), ts_ntz) * 1000000).cast("bigint")
-    return day * 86400000000 + secs.cast("bigint") * 1000000 + frac
+def micros_since_epoch_sql(ts_ntz: str) -> str:
+    """Microseconds of a TIMESTAMP_NTZ column since 1970-01-01 00:00, from
+    its calendar parts, so that the session time zone plays no part."""
+    return (f"(cast(unix_date(to_date({ts_ntz})) AS bigint) * 86400000000"
+            f" + cast(hour({ts_ntz}) * 3600 + minute({ts_ntz}) * 60 AS bigint) * 1000000"
+            f" + cast(extract(SECOND FROM {ts_ntz}) * 1000000 AS bigint))")
+
+
+def micros_since_epoch(ts_ntz: str) -> Column:
+    """Column form of ``micros_since_epoch_sql`` for the named column."""
+    return F.expr(micros_since_epoch_sql(ts_ntz))
 
 
 def ts_string(us: Column) -> Column:
@@ -76,98 +84,81 @@ def messages_from_events(events: DataFrame) -> DataFrame:
     click -> user post with attachments; view -> file share;
     signup -> file comment; purchase -> plain post kept as raw JSON
     (whitelisted), ``channel_join`` subtype when k is even.
-    k % 4 = 0 puts a mention token in the text, k % 3 = 0 adds a reaction,
+    k % 4 = 0 puts a mention token in the text (and the user in
+    ``mentions``, as X-3 would extract it), k % 3 = 0 adds a reaction,
     k % 5 = 0 a reply, k % 7 = 0 a file comment item.  Raw JSON of plain
     posts nests its lists under ``key`` when k % 11 = 0 and is cut short
     (not JSON) when k % 13 = 0.
+
+    The rules are SQL expressions: each step is one call to the JVM however
+    many expressions it holds.
     """
     # json_tuple parses ``props`` once per row for all requested keys.
-    e = (events.select("event_id", "user_id", "event_type", "ts",
-                       F.json_tuple("props", "k").alias("k_text"))
-         .select("event_id", "user_id", "event_type",
-                 F.col("k_text").cast("int").alias("k"),
-                 micros_since_epoch(F.col("ts")).alias("us")))
-    k, uid, et = F.col("k"), F.col("user_id"), F.col("event_type")
-    us = F.col("us")
-    secs = F.floor(us / 1000000).cast("bigint")
-    ts = ts_string(us)
-    user_code = _ids("U", uid)
-    is_bot = et == "error"
-
-    text = F.concat(et, F.lit(" #"), F.col("event_id").cast("string"),
-                    F.when(k % 4 == 0, F.concat(F.lit(" cc <@"), user_code, F.lit(">")))
-                     .otherwise(F.lit("")))
-    reactions = F.when(k % 3 == 0, F.array(F.struct(
-        F.lit("tada").alias("name"), F.array(_ids("U", uid + 1)).alias("users"),
-        F.lit(1).cast("bigint").alias("count")))).otherwise(
-        F.array().cast("array<struct<name:string,users:array<string>,count:bigint>>"))
-    replies = F.when(k % 5 == 0, F.array(F.struct(
-        ts.alias("ts"), _ids("U", uid + 2).alias("user")))).otherwise(
-        F.array().cast("array<struct<ts:string,user:string>>"))
-    comments = F.when((et == "view") & (k % 7 == 0), F.array(F.struct(
-        _ids("Fc", F.col("event_id")).alias("id"), secs.alias("timestamp"),
-        user_code.alias("user")))).otherwise(
-        F.array().cast("array<struct<id:string,timestamp:bigint,user:string>>"))
-    attachments = (F.when(et == "click", F.concat(F.lit('[{"id":"A'), F.col("event_id").cast("string"),
-                                                  F.lit('","k":'), k.cast("string"), F.lit("}]")))
-                    .when(is_bot & (k % 2 == 1), F.concat(F.lit('[{"id":"A'),
-                                                          F.col("event_id").cast("string"), F.lit('"}]'))))
-    has_file = et.isin("view", "signup")
-    fid = _ids("F", F.col("event_id"))
-    file = F.when(has_file, F.struct(
-        F.lit("text").alias("filetype"), fid.alias("id"),
-        F.concat(F.lit("file "), F.col("event_id").cast("string")).alias("title"),
-        F.concat(F.lit("https://files.example/"), fid).alias("url_private"),
-        F.lit(None).cast("string").alias("external_type"), secs.alias("timestamp"),
-        F.lit("Plain Text").alias("pretty_type"),
-        F.concat(fid, F.lit(".txt")).alias("name"), F.lit("text/plain").alias("mimetype"),
-        F.concat(F.lit("https://files.example/p/"), fid).alias("permalink"),
-        secs.alias("created"), F.lit("hosted").alias("mode"),
-        F.lit(None).cast("string").alias("thumb_64"),
-        F.lit(None).cast("string").alias("thumb_80"),
-        F.lit(None).cast("string").alias("thumb_360")))
-    subtype = (F.when(is_bot, F.lit("bot_message"))
-                .when(et == "view", F.lit("file_share"))
-                .when(et == "signup", F.lit("file_comment"))
-                .when((et == "purchase") & (k % 2 == 0), F.lit("channel_join")))
-
-    shaped = e.select(
-        _ids("C", uid % N_CHANNELS).alias("channel"),
-        F.col("event_id").alias("seq"), ts.alias("ts"),
-        F.timestamp_micros(us).alias("event_time"),
-        F.lit("message").alias("type"), subtype.alias("subtype"), text.alias("text"),
-        F.when(~is_bot, user_code).alias("user"),
-        F.when(is_bot, F.concat(F.lit("bot-"), uid.cast("string"))).alias("username"),
-        F.when(is_bot, _ids("B", uid)).alias("bot_id"),
-        F.when(et == "signup", F.concat(F.lit("note "), F.col("event_id").cast("string"))).alias("comment"),
-        attachments.alias("attachments"), file.alias("file"), comments.alias("comments"),
-        reactions.alias("reactions"), replies.alias("replies"),
-        "k", "event_type", "user_id")
-    # The mention list equals X-3 applied to the text (tested); it is built
-    # directly so the sieve predicate does not carry a regex per reference.
-    shaped = shaped.withColumn("mentions", F.when(k % 4 == 0, F.array(user_code))
-                               .otherwise(F.array().cast("array<string>")))
-
-    # Raw wire text of plain posts, one ``to_json`` per row: NULL fields are
-    # left out (no subtype on a plain post, replies only when there are
-    # some, the lists either at the top or under "key"); empty reaction and
-    # mention lists are written as [].  A cut-short text drops the final
-    # brace.
-    nested = F.col("k") % 11 == 0
-    top = lambda c: F.when(~nested, c)
-    lists = [F.col("reactions").alias("reactions"), F.col("mentions").alias("mentions"),
-             F.when(F.size("replies") > 0, F.col("replies")).alias("replies")]
-    full = F.to_json(F.struct(
-        F.col("type").alias("type"), F.col("subtype").alias("subtype"),
-        F.col("user").alias("user"), F.col("text").alias("text"), F.col("ts").alias("ts"),
-        top(F.col("reactions")).alias("reactions"), top(F.col("mentions")).alias("mentions"),
-        top(F.when(F.size("replies") > 0, F.col("replies"))).alias("replies"),
-        F.when(nested, F.struct(*lists)).alias("key")))
-    raw = F.when(F.col("event_type") == "purchase",
-                 F.concat(F.regexp_replace(full, r"\}$", ""),
-                          F.when(F.col("k") % 13 == 0, F.lit("")).otherwise(F.lit("}"))))
-    shaped = shaped.withColumn("raw", raw)
-    return C.with_category(shaped).select(*schemas.MESSAGE_COLUMNS)
+    e = events.select("event_id", "user_id", "event_type", "ts",
+                      F.json_tuple("props", "k").alias("k_text"))
+    e = e.selectExpr("event_id", "user_id", "event_type", "cast(k_text AS int) AS k",
+                     f"{micros_since_epoch_sql('ts')} AS us")
+    e = e.selectExpr(
+        "*", "us div 1000000 AS secs",
+        "concat(cast(us div 1000000 AS string), '.', lpad(cast(pmod(us, 1000000) AS string), 6, '0')) AS ts",
+        "concat('U', cast(user_id AS string)) AS user_code",
+        "event_type = 'error' AS is_bot")
+    shaped = e.selectExpr(
+        f"concat('C', cast(user_id % {N_CHANNELS} AS string)) AS channel",
+        "event_id AS seq", "ts", "timestamp_micros(us) AS event_time", "'message' AS type",
+        """CASE WHEN is_bot THEN 'bot_message' WHEN event_type = 'view' THEN 'file_share'
+                WHEN event_type = 'signup' THEN 'file_comment'
+                WHEN event_type = 'purchase' AND k % 2 = 0 THEN 'channel_join' END AS subtype""",
+        """concat(event_type, ' #', cast(event_id AS string),
+                  CASE WHEN k % 4 = 0 THEN concat(' cc <@', user_code, '>') ELSE '' END) AS text""",
+        "CASE WHEN NOT is_bot THEN user_code END AS user",
+        "CASE WHEN is_bot THEN concat('bot-', cast(user_id AS string)) END AS username",
+        "CASE WHEN is_bot THEN concat('B', cast(user_id AS string)) END AS bot_id",
+        "CASE WHEN event_type = 'signup' THEN concat('note ', cast(event_id AS string)) END AS comment",
+        """CASE WHEN event_type = 'click'
+                  THEN concat('[{"id":"A', cast(event_id AS string), '","k":', cast(k AS string), '}]')
+                WHEN is_bot AND k % 2 = 1 THEN concat('[{"id":"A', cast(event_id AS string), '"}]')
+           END AS attachments""",
+        """CASE WHEN event_type IN ('view', 'signup') THEN named_struct(
+             'filetype', 'text', 'id', concat('F', cast(event_id AS string)),
+             'title', concat('file ', cast(event_id AS string)),
+             'url_private', concat('https://files.example/F', cast(event_id AS string)),
+             'external_type', cast(NULL AS string), 'timestamp', secs, 'pretty_type', 'Plain Text',
+             'name', concat('F', cast(event_id AS string), '.txt'), 'mimetype', 'text/plain',
+             'permalink', concat('https://files.example/p/F', cast(event_id AS string)),
+             'created', secs, 'mode', 'hosted', 'thumb_64', cast(NULL AS string),
+             'thumb_80', cast(NULL AS string), 'thumb_360', cast(NULL AS string)) END AS file""",
+        """CASE WHEN event_type = 'view' AND k % 7 = 0
+                THEN array(named_struct('id', concat('Fc', cast(event_id AS string)),
+                                        'timestamp', secs, 'user', user_code))
+                ELSE cast(array() AS array<struct<id:string,timestamp:bigint,user:string>>)
+           END AS comments""",
+        """CASE WHEN k % 3 = 0
+                THEN array(named_struct('name', 'tada', 'users', array(concat('U', cast(user_id + 1 AS string))),
+                                        'count', cast(1 AS bigint)))
+                ELSE cast(array() AS array<struct<name:string,users:array<string>,count:bigint>>)
+           END AS reactions""",
+        """CASE WHEN k % 5 = 0
+                THEN array(named_struct('ts', ts, 'user', concat('U', cast(user_id + 2 AS string))))
+                ELSE cast(array() AS array<struct<ts:string,user:string>>) END AS replies""",
+        "CASE WHEN k % 4 = 0 THEN array(user_code) ELSE cast(array() AS array<string>) END AS mentions",
+        "k", "event_type")
+    # Raw wire text of plain posts, one to_json per row: NULL fields are left
+    # out (no subtype on a plain post, replies only when there are some, the
+    # lists either at the top or under "key"); empty reaction and mention
+    # lists are written as [].  A cut-short text drops the final brace.
+    raw = """CASE WHEN event_type = 'purchase' THEN concat(regexp_replace(to_json(named_struct(
+             'type', type, 'subtype', subtype, 'user', user, 'text', text, 'ts', ts,
+             'reactions', CASE WHEN k % 11 <> 0 THEN reactions END,
+             'mentions', CASE WHEN k % 11 <> 0 THEN mentions END,
+             'replies', CASE WHEN k % 11 <> 0 AND size(replies) > 0 THEN replies END,
+             'key', CASE WHEN k % 11 = 0 THEN named_struct(
+                 'reactions', reactions, 'mentions', mentions,
+                 'replies', CASE WHEN size(replies) > 0 THEN replies END) END)), '\\}$', ''),
+             CASE WHEN k % 13 = 0 THEN '' ELSE '}' END) END"""
+    out = shaped.selectExpr("*", f"{raw} AS raw", f"{C.classify_sql()} AS category")
+    return out.selectExpr(*[f"{C.category_rank_sql()} AS category_ord" if c == "category_ord" else c
+                            for c in schemas.MESSAGE_COLUMNS])
 
 
 def channel_members_from_tables(customer: DataFrame) -> DataFrame:

@@ -26,9 +26,9 @@ def _row(**kw):
     return base
 
 
-def _encode(spark, encoder, **kw):
+def _encode(spark, kind, **kw):
     df = spark.createDataFrame([_row(**kw)], MSG_SCHEMA)
-    return E.with_encoded(df, encoder).first()["json"]
+    return E.with_encoded(df, kind).first()["json"]
 
 
 def test_classify_wire_kinds(spark):
@@ -61,37 +61,37 @@ def test_mentions(spark):
 
 
 def test_encode_file_share_rules(spark):
-    j = json.loads(_encode(spark, E.encode_file_share, subtype="file_share", user="U1",
+    j = json.loads(_encode(spark, "file_share", subtype="file_share", user="U1",
                            file={"id": "F1", "title": "t"}, comment=""))
     assert list(j) == ["type", "subtype", "text", "file", "comments", "ts", "user", "bot_id"]
     assert j["bot_id"] is None and j["comments"] == [] and j["file"] == {"id": "F1", "title": "t"}
-    j = json.loads(_encode(spark, E.encode_file_share, comment="c", mentions=["U2"]))
+    j = json.loads(_encode(spark, "file_share", comment="c", mentions=["U2"]))
     assert list(j)[-4:] == ["comment", "user", "bot_id", "mentions"]
 
 
 def test_encode_bot_rules(spark):
-    j = json.loads(_encode(spark, E.encode_bot, subtype="bot_message", bot_id="B1",
+    j = json.loads(_encode(spark, "bot", subtype="bot_message", bot_id="B1",
                            attachments='[{"x":1}]', reactions=[{"name": "r", "users": ["U1"], "count": 1}]))
     assert list(j) == ["type", "subtype", "text", "ts", "bot_id", "attachments", "reactions"]
     assert j["attachments"] == [{"x": 1}]
-    j = json.loads(_encode(spark, E.encode_bot, attachments="[]"))
+    j = json.loads(_encode(spark, "bot", attachments="[]"))
     assert j["attachments"] == [] and "bot_id" not in j and "username" not in j
 
 
 def test_encode_user_attachment_rules(spark):
-    j = json.loads(_encode(spark, E.encode_user_attachment, user="U1", attachments="[]",
+    j = json.loads(_encode(spark, "user_attachment", user="U1", attachments="[]",
                            replies=[{"ts": "2.0", "user": "U3"}]))
     assert list(j) == ["type", "text", "ts", "user", "replies"]
 
 
 def test_encode_file_comment_writes_everything(spark):
-    j = json.loads(_encode(spark, E.encode_file_comment, subtype="file_comment"))
+    j = json.loads(_encode(spark, "file_comment", subtype="file_comment"))
     assert list(j) == ["type", "subtype", "text", "user", "comment", "mentions", "reactions", "ts"]
     assert j["comment"] is None and j["mentions"] == [] and j["reactions"] == []
 
 
 def test_encode_escapes_text(spark):
-    j = json.loads(_encode(spark, E.encode_bot, text='say "hi"\n\\ done'))
+    j = json.loads(_encode(spark, "bot", text='say "hi"\n\\ done'))
     assert j["text"] == 'say "hi"\n\\ done'
 
 
