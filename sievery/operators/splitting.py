@@ -13,20 +13,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def row_index(df: DataFrame, order_col: str, name: str = "rn",
+def row_index(df: DataFrame, order_col: str | list[str], name: str = "rn",
               partitions: int | None = None) -> DataFrame:
-    """Add a 0-based position of each row in ``order_col`` order (ties are
-    broken by the sort within a partition; give a unique key for a stable
-    numbering)."""
+    """Add the 0-based position of each row in ``order_col`` order.
+
+    Give a unique key (or several columns that together are unique): the
+    numbering is then the same on every recomputation, e.g. after a lost
+    executor, because range bounds are fixed when the plan runs and the
+    sort inside each partition has no ties.
+    """
+    cols = [order_col] if isinstance(order_col, str) else list(order_col)
     n_parts = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = (df.repartitionByRange(n_parts, F.col(order_col))
-              .sortWithinPartitions(order_col)
+    ranged = (df.repartitionByRange(n_parts, *[F.col(c) for c in cols])
+              .sortWithinPartitions(*cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition id << 33) + position in the
     # partition, so the local position is the low 33 bits.
     ranged = ranged.withColumn("_local", F.col("_local").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
+    # One row per partition: a proven bound, so the offsets are broadcast.
     offsets = counts.select(
         "_pid",
         (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))

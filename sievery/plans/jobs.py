@@ -29,7 +29,7 @@ def listing_batches(df: DataFrame, size: int, id_col: str = "id") -> DataFrame:
     batch holds at most ``size`` records.
     """
     rec = df.select(F.col(id_col).alias("_id"), E.encode_record(*df.columns).alias("_json"))
-    idx = row_index(rec, "_id", "_rn")
+    idx = row_index(rec, ["_id", "_json"], "_rn")
     grouped = (idx.withColumn("batch", F.floor(F.col("_rn") / F.lit(size)).cast("bigint"))
                .groupBy("batch")
                .agg(F.array_sort(F.collect_list(F.struct("_rn", "_id", "_json"))).alias("_items"),

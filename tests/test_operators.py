@@ -138,3 +138,46 @@ def test_union_categories_keeps_duplicates(spark):
     u = payloads.union_categories(a, b, a)
     assert u.count() == 3 and sorted(r["category_ord"] for r in u.collect()) == [1, 1, 5]
     assert math.isclose(1, 1)
+
+
+def test_hot_channel_payloads_stay_bounded(spark):
+    # one channel holds a third of all rows
+    rows = [("HOT" if i % 3 == 0 else f"C{i % 50}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "channel string, seq bigint")
+    df = (df.withColumn("category", F.lit(C.BOT)).withColumn("type", F.lit("message"))
+            .withColumn("text", F.lit("t")).withColumn("ts", F.col("seq").cast("string"))
+            .withColumn("raw", F.lit(None).cast("string")))
+    for col, typ in [("subtype", "string"), ("user", "string"), ("username", "string"),
+                     ("bot_id", "string"), ("comment", "string"), ("attachments", "string"),
+                     ("file", "struct<id:string>"),
+                     ("comments", "array<struct<id:string,timestamp:bigint,user:string>>"),
+                     ("reactions", "array<struct<name:string,users:array<string>,count:bigint>>"),
+                     ("replies", "array<struct<ts:string,user:string>>")]:
+        df = df.withColumn(col, F.lit(None).cast(typ))
+    df = df.withColumn("mentions", F.array(F.lit("U1")))
+    p = payloads.post_payloads(df, "u", team_id="T", chunk_size=250).cache()
+    assert p.agg(F.max("n_items")).first()[0] <= 250
+    assert p.filter("channel = 'HOT'").agg(F.sum("n_items")).first()[0] == 2000
+    assert p.agg(F.sum("n_items")).first()[0] == 6000
+
+
+def test_row_index_with_ties_uses_all_keys(spark):
+    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 0)], "k string, v int")
+    got = sorted((r["k"], r["v"], r["rn"]) for r in splitting.row_index(df, ["k", "v"], "rn", 2).collect())
+    assert got == [("a", 1, 0), ("a", 2, 1), ("b", 0, 2)]
+
+
+def test_landed_messages_prune_days(spark):
+    from sievery.session import scratch_path
+    from sievery.sinks import tables as landing
+    from sievery.sources import tables as T
+    m = T.load_messages(spark, "/root/testdata/sf0.001")
+    path = scratch_path(spark, "landed")
+    landing.write_messages(m, path)
+    landing.write_messages(m, path)                       # re-landing replaces, adds nothing
+    assert landing.read_messages(spark, path).count() == m.count()
+    one = landing.read_messages(spark, path, "2024-01-02", "2024-01-02")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    want = m.filter(F.expr(landing.DAY) == F.lit("2024-01-02").cast("date")).count()
+    assert one.count() == want > 0
