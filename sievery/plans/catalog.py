@@ -256,14 +256,36 @@ def q_history_pages(spark, sf_dir):
     history pages (one folder per channel) and read back with the page
     reader, then sieved and counted (equals the direct sieve)."""
     from ..session import scratch_path
-    from ..sources import pages
+    from ..sources import landing, pages
     path = scratch_path(spark, "history-pages")
-    pages.land_history_pages(_messages(spark, sf_dir), path)
+    landing.land_history_pages(_messages(spark, sf_dir), path)
     msgs, _ = pages.read_conversations(spark, path)
     return (sieve.sieve(msgs).groupBy("channel", "category")
             .agg(F.count("*").alias("n_kept")))
 
 
+def q_listing_pages(spark, sf_dir):
+    """SRC-1..SRC-4 + E-7: users, channels, team and emoji listings landed
+    as API pages, read back with the page readers and encoded again."""
+    from ..session import scratch_path
+    from ..sources import landing, pages
+    root = scratch_path(spark, "listing-pages")
+    landing.land_user_pages(T.load_users(spark, sf_dir), root + "/users")
+    landing.land_channel_pages(T.load_channels(spark, sf_dir), root + "/channels")
+    landing.land_team_pages(T.load_teams(spark, sf_dir), root + "/team")
+    landing.land_emoji_pages(T.load_emojis(spark, sf_dir), root + "/emoji")
+    users, _ = pages.read_users(spark, root + "/users")
+    chans, _ = pages.read_channels(spark, root + "/channels")
+    team, emojis, _ = pages.read_team_info(spark, root + "/team", root + "/emoji")
+    team = team.drop("n_emojis")
+    out = [users.select(F.lit("users").alias("listing"), "id", E.encode_record(*users.columns).alias("json")),
+           chans.select(F.lit("channels").alias("listing"), "id", E.encode_record(*chans.columns).alias("json")),
+           team.select(F.lit("team").alias("listing"), "id", E.encode_record(*team.columns).alias("json")),
+           emojis.select(F.lit("emoji").alias("listing"), F.concat_ws("/", "team_id", "name").alias("id"),
+                         E.encode_record("url", "alias_of").alias("json"))]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 def q_rejects(spark, sf_dir):
     """LOG-1: rows set aside with a reason (unparsable raw messages,
     blacklisted subtypes, unresolved emoji aliases)."""
@@ -311,6 +333,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sieve": q_stream_sieve,
     "deliver_posts": q_deliver_posts,
     "history_pages": q_history_pages,
+    "listing_pages": q_listing_pages,
     "rejects": q_rejects,
     "team_payload": q_team_payload,
 }

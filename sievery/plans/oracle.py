@@ -363,6 +363,21 @@ FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
         "history_pages": msg + """
 SELECT channel, category, count(*) AS n_kept FROM messages WHERE notable GROUP BY channel, category""",
 
+        "listing_pages": _with(_USERS, _CHANNELS, _EMOJIS) + f"""
+SELECT 'users' AS listing, id, {_USER_JSON} AS json FROM users
+UNION ALL
+SELECT 'channels', id, {_CHANNEL_JSON.replace(""" || ',"team_id":"' || team_id || '"}'""", """ || '}'""")} FROM channels
+UNION ALL
+SELECT 'team', 'T' || CAST(r_regionkey AS VARCHAR),
+       '{{"id":"T' || CAST(r_regionkey AS VARCHAR) || '","name":"' || r_name || '","domain":"'
+       || replace(lower(r_name), ' ', '-') || '","email_domain":"' || replace(lower(r_name), ' ', '-')
+       || '.example","image_132":"https://img.example/' || replace(lower(r_name), ' ', '-') || '_132.png"}}'
+FROM region
+UNION ALL
+SELECT 'emoji', team_id || '/' || name,
+       '{{"url":' || {_jq('url')} || ',"alias_of":' || {_jq('alias_of')} || '}}'
+FROM emojis""",
+
         "rejects": _with(_MESSAGES, _EMOJIS) + f"""
 SELECT 'whitelisted' AS source, channel || '/' || ts AS key, 'raw message is not JSON' AS reason
 FROM messages WHERE category = 'whitelisted' AND NOT json_valid(raw)

@@ -167,40 +167,3 @@ def read_conversations(spark: SparkSession, path, blacklist: Iterable[str] = (),
     msgs, rejects = read_history(spark, path, multiline)
     msgs = C.with_category(C.drop_blacklisted(msgs, blacklist))
     return msgs.select(*schemas.MESSAGE_COLUMNS), rejects
-
-
-def land_history_pages(messages: DataFrame, path: str, page_size: int = 1000) -> None:
-    """Write messages as conversation-history pages, the landing format read
-    by ``read_conversations`` (one JSON page per line, one folder per
-    channel, at most ``page_size`` messages per page).
-
-    A message is written as its wire object: whitelisted messages as their
-    raw text (text that is not JSON is kept as a JSON string, which the
-    reader then rejects), others from their typed fields; mentions are not
-    written (the reader derives them from the text).
-    """
-    from ..functions import classify as Cl
-
-    comment = F.when(F.col("category") == Cl.FILE_COMMENT, F.struct(
-        F.concat(F.lit("Fc"), F.col("seq").cast("string")).alias("id"), F.col("user").alias("user"),
-        F.col("comment").alias("comment"), F.col("seq").alias("timestamp"),
-        F.lit(None).cast("bigint").alias("created"), F.col("reactions").alias("reactions")))
-    typed = F.to_json(F.struct(
-        "type", "subtype", "text", "user", "username", "bot_id", "ts",
-        F.try_parse_json("attachments").alias("attachments"), "file", comment.alias("comment"),
-        F.when(F.size("comments") > 0, F.col("comments")).alias("comments"),
-        F.when(F.size("reactions") > 0, F.col("reactions")).alias("reactions"),
-        F.when(F.size("replies") > 0, F.col("replies")).alias("replies")))
-    raw_ok = F.try_parse_json("raw").isNotNull()
-    element = (F.when(F.col("category") != Cl.WHITELISTED, typed)
-                .when(raw_ok, F.col("raw"))
-                .otherwise(F.to_json(F.array("raw")).substr(F.lit(2), F.length(F.to_json(F.array("raw"))) - 2)))
-    items = messages.select("channel", F.floor(F.col("seq") / page_size).cast("bigint").alias("page"),
-                            "seq", element.alias("element"))
-    pages = (items.groupBy("channel", "page")
-             .agg(F.array_sort(F.collect_list(F.struct("seq", "element"))).alias("_m"))
-             .select("channel", F.concat(
-                 F.lit('{"ok":true,"has_more":false,"messages":['),
-                 F.array_join(F.transform("_m", lambda x: x["element"]), ","),
-                 F.lit("]}")).alias("value")))
-    pages.write.mode("overwrite").partitionBy("channel").text(path)

@@ -119,7 +119,8 @@ def test_land_and_read_pages_roundtrip(spark):
     from sievery.sources import tables as T
     m = T.load_messages(spark, "/root/testdata/sf0.001")
     path = scratch_path(spark, "pages-test")
-    pages.land_history_pages(m, path, page_size=100)
+    from sievery.sources import landing
+    landing.land_history_pages(m, path, page_size=100)
     back, rej = pages.read_conversations(spark, path)
     broken = m.filter("category = 'whitelisted' AND try_parse_json(raw) IS NULL").count()
     assert back.count() + broken == m.count()
