@@ -42,7 +42,9 @@ def observe_metrics(df: DataFrame, name: str, **exprs) -> tuple[DataFrame, Obser
 
     The counters are filled by the next action on the returned DataFrame in
     the same pass (no extra job).  Example:
-    ``observe_metrics(msgs, "mapper", channels=F.count_distinct("channel"))``.
+    ``observe_metrics(msgs, "mapper", posts=F.count("*"))``.  Observed
+    metrics take no DISTINCT aggregates; count channels on the per-channel
+    frame (one row per channel) instead.
     """
     obs = Observation(name)
     return df.observe(obs, *[e.alias(k) for k, e in exprs.items()]), obs

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import default_parallelism
+
 
 def row_index(df: DataFrame, order_col: str | list[str], name: str = "rn",
               partitions: int | None = None) -> DataFrame:
@@ -23,7 +25,7 @@ def row_index(df: DataFrame, order_col: str | list[str], name: str = "rn",
     sort inside each partition has no ties.
     """
     cols = [order_col] if isinstance(order_col, str) else list(order_col)
-    n_parts = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n_parts = partitions or default_parallelism(df.sparkSession)
     ranged = (df.repartitionByRange(n_parts, *[F.col(c) for c in cols])
               .sortWithinPartitions(*cols)
               .withColumn("_pid", F.spark_partition_id())

@@ -43,6 +43,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (falls back to the shuffle partition count
+    where the SparkContext is not reachable, e.g. over Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and replay-safe outputs.
 
@@ -50,7 +59,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when it is unset (local runs and tests) is a scratch folder created
     and registered, so later calls in the same session agree on it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="sievery-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = sc.getCheckpointDir()

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import classify as C
-from ..session import table_path
+from ..session import default_parallelism, table_path
 
 # Fixed values of the adapters (shared with the SQL twins).
 N_CHANNELS = 25
@@ -48,10 +48,12 @@ def spread_small(df: DataFrame) -> DataFrame:
     redistributed round-robin over the cores first.  The split count is
     known when the plan is made; no job runs for it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    cores = default_parallelism(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)
 
 
 def micros_since_epoch_sql(ts_ntz: str) -> str:

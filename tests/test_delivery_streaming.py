@@ -83,3 +83,26 @@ def test_stream_restart_resumes_from_checkpoint(spark):
     w2 = streams.windowed_counts(streams.message_stream(spark, SMALL))
     streams.run_available(w2, out + "/data", out + "/ck")   # same checkpoint: nothing new
     assert spark.read.parquet(out + "/data").count() == first
+
+
+def test_batch_sink_delivers_and_replays(spark):
+    out = scratch_path(spark, "sink")
+    sink = delivery.batch_sink(out + "/payloads", deliver=delivery.accepting_service,
+                               receipts_path=out + "/receipts")
+    p = _payloads(spark)
+    sink(p, 3)
+    sink(p, 3)                                              # replayed batch
+    receipts = spark.read.parquet(out + "/receipts")
+    assert receipts.count() == p.count()
+    assert {r["status"] for r in receipts.collect()} == {"OK"}
+
+
+def test_observed_metrics_fill_in_one_pass(spark):
+    from sievery.operators import counts
+    m = T.load_messages(spark, SMALL)
+    per_channel = sieve.sieve(m).groupBy("channel").agg(F.count("*").alias("n"))
+    observed, obs = counts.observe_metrics(per_channel, "mapper",
+                                           channels=F.count("*"), posts=F.sum("n"))
+    observed.write.format("noop").mode("overwrite").save()
+    got = obs.get
+    assert got["posts"] == sieve.sieve(m).count() and got["channels"] == 25
