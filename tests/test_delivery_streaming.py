@@ -105,4 +105,5 @@ def test_observed_metrics_fill_in_one_pass(spark):
                                            channels=F.count("*"), posts=F.sum("n"))
     observed.write.format("noop").mode("overwrite").save()
     got = obs.get
-    assert got["posts"] == sieve.sieve(m).count() and got["channels"] == 25
+    assert got["posts"] == sieve.sieve(m).count()
+    assert got["channels"] == sieve.sieve(m).select("channel").distinct().count()
