@@ -240,6 +240,21 @@ def q_stream_sieve(spark, sf_dir):
     return streams.stream_sieve_counts(spark, sf_dir)
 
 
+def q_stream_posts(spark, sf_dir):
+    """SRC-10 + JOB-3 as a stream over landed history pages, delivering
+    payloads per micro-batch; items delivered per channel."""
+    from ..session import scratch_path
+    from ..sources import landing
+    from ..streaming import streams
+    pages_path = scratch_path(spark, "stream-pages")
+    landing.land_history_pages(_messages(spark, sf_dir), pages_path)
+    out = streams.stream_posts(spark, pages_path, URL_TEMPLATE,
+                               channel_teams=T.load_channels(spark, sf_dir), blacklist=BLACKLIST)
+    receipts = spark.read.parquet(out + "/receipts")
+    return (receipts.filter(F.col("status") == "OK").groupBy("channel")
+            .agg(F.sum("n_items").cast("bigint").alias("n_items")))
+
+
 def q_deliver_posts(spark, sf_dir):
     """SNK-1 + R-1 + R-2: payloads handed to a delivery function inside the
     tasks, responses classified, the run failed on any non-OK response."""
@@ -331,6 +346,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listing_totals": q_listing_totals,
     "stream_windows": q_stream_windows,
     "stream_sieve": q_stream_sieve,
+    "stream_posts": q_stream_posts,
     "deliver_posts": q_deliver_posts,
     "history_pages": q_history_pages,
     "listing_pages": q_listing_pages,

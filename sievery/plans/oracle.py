@@ -356,6 +356,10 @@ WHERE window_end * 1000000 <= (SELECT max(us) - 600000000 FROM messages)""",
         "stream_sieve": msg + """
 SELECT channel, category, count(*) AS n_kept FROM messages WHERE notable GROUP BY channel, category""",
 
+        "stream_posts": msg + f"""
+SELECT channel, CAST(count(*) AS BIGINT) AS n_items FROM messages
+WHERE notable AND (subtype IS NULL OR subtype NOT IN ({bl})) GROUP BY channel""",
+
         "deliver_posts": _with(_MESSAGES, _CHANNELS, _payloads("category_ord", Q.CHUNK)) + f"""
 SELECT g.channel, g.chunk, sha256({url} || chr(10) || g.body) AS key, g.n_items, 'OK' AS status
 FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",

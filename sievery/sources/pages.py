@@ -113,13 +113,24 @@ def ts_micros(ts):
     return (ts.cast("decimal(20,6)") * F.lit(1000000)).cast("bigint")
 
 
-def _wire_messages(spark: SparkSession, path, multiline: bool):
-    pages = _read(spark, path, schemas.HISTORY_PAGE, multiline)
+def wire_messages(pages: DataFrame) -> DataFrame:
+    """History pages (batch or stream) to one row per wire message:
+    ``channel``, ``raw`` text and the parsed ``m``."""
     if "channel" not in pages.columns:
         pages = pages.withColumn("channel", F.lit(None).cast("string"))
     raw = _ok(pages).select(F.col("channel").cast("string").alias("channel"),
                             F.explode("messages").alias("raw"))
-    return pages, raw.withColumn("m", F.from_json("raw", schemas.WIRE_MESSAGE))
+    return raw.withColumn("m", F.from_json("raw", schemas.WIRE_MESSAGE))
+
+
+def _wire_messages(spark: SparkSession, path, multiline: bool):
+    pages = _read(spark, path, schemas.HISTORY_PAGE, multiline)
+    return pages, wire_messages(pages)
+
+
+def valid_canonical(wire: DataFrame) -> DataFrame:
+    """Canonical messages from the wire rows that parse and carry a ts."""
+    return to_canonical(wire.filter(F.col("m").isNotNull() & F.col("m")["ts"].isNotNull()))
 
 
 def to_canonical(wire: DataFrame) -> DataFrame:
@@ -156,8 +167,7 @@ def read_history(spark: SparkSession, path, multiline: bool = False):
     bad = (wire.filter(F.col("m").isNull() | F.col("m")["ts"].isNull())
            .select(F.lit("messages").alias("source"), F.col("channel").alias("key"),
                    F.lit("message is not a JSON object with a ts").alias("reason")))
-    msgs = to_canonical(wire.filter(F.col("m").isNotNull() & F.col("m")["ts"].isNotNull()))
-    return msgs, _rejects(pages, "history").unionByName(bad)
+    return valid_canonical(wire), _rejects(pages, "history").unionByName(bad)
 
 
 def read_conversations(spark: SparkSession, path, blacklist: Iterable[str] = (),
