@@ -101,10 +101,6 @@ def json_object_sql(*fragments: str) -> str:
     return "concat('{', concat_ws(',', " + ", ".join(fragments) + "), '}')"
 
 
-def json_object(*fragments: Column) -> Column:
-    return F.concat(F.lit("{"), F.concat_ws(",", *fragments), F.lit("}"))
-
-
 # --- record kinds ------------------------------------------------------------
 
 def encode_file_share_sql() -> str:

@@ -181,3 +181,32 @@ def test_landed_messages_prune_days(spark):
     assert "PartitionFilters: [isnotnull(day" in plan
     want = m.filter(F.expr(landing.DAY) == F.lit("2024-01-02").cast("date")).count()
     assert one.count() == want > 0
+
+
+def test_collect_sorted_is_deterministic(spark):
+    df = spark.createDataFrame([("w1", "C3", 3), ("w1", "C1", 1), ("w2", "C2", 2), ("w1", "C2", 2)],
+                               "w string, ch string, n int")
+    got = {r["w"]: r["items"] for r in payloads.collect_sorted(df, ["w"], F.col("ch"), ["n"]).collect()}
+    assert got == {"w1": ["C1", "C2", "C3"], "w2": ["C2"]}
+
+
+def test_split_sides_and_placement(spark):
+    df = routing.route_channels(spark.createDataFrame(
+        [("a", 10), ("b", 1), ("c", 7)], "id string, num_members bigint"), 5)
+    gte, lt = routing.split(df)
+    assert sorted(r["id"] for r in gte.collect()) == ["a", "c"]
+    assert [r["id"] for r in lt.collect()] == ["b"]
+    placed = splitting.place_by_key(df.withColumnRenamed("id", "channel"), 3)
+    assert placed.rdd.getNumPartitions() == 3
+
+
+def test_route_report_job(spark):
+    from sievery.plans import jobs
+    from sievery.sources import tables as T
+    chans = T.load_channels(spark, "/root/testdata/sf0.001")
+    msgs = T.load_messages(spark, "/root/testdata/sf0.001")
+    routed, windows = jobs.route_report(chans, msgs, min_members=5)
+    assert routed.filter("route = 'gte'").count() == chans.filter("num_members >= 5").count()
+    # 1 s windows sliding by 100 ms: every message is in 10 windows
+    assert windows.agg(F.sum("n")).first()[0] == 10 * msgs.join(
+        routed.selectExpr("id AS channel"), "channel").count()
