@@ -50,19 +50,28 @@ def observe_metrics(df: DataFrame, name: str, **exprs) -> tuple[DataFrame, Obser
     return df.observe(obs, *[e.alias(k) for k, e in exprs.items()]), obs
 
 
-def run_metrics(messages: DataFrame, payloads: DataFrame) -> DataFrame:
-    """The counters of a posts run as (metric, value) rows: channels and
-    posts seen by the mapper, posts, channels and payloads handed to the
-    sink.  Each side is one aggregate; the two are stacked, not joined."""
+def _metric_rows(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("metric"), F.col(n).cast("bigint").alias("value")) for n in names])))
+
+
+def run_metrics(messages: DataFrame, payloads: DataFrame, user_batches: DataFrame | None = None,
+                team_payloads: DataFrame | None = None) -> DataFrame:
+    """The counters of a run as (metric, value) rows: channels and posts
+    seen by the mapper; posts, channels and payloads handed to the posts
+    sink; users and teams handed to their sinks.  Each input is reduced by
+    one aggregate; the results are stacked, not joined."""
     seen = messages.agg(F.count_distinct("channel").alias("mapper_channels"),
                         F.count_if(S.is_notable()).alias("mapper_posts"))
-    sent = payloads.agg(F.coalesce(F.sum("n_items"), F.lit(0)).cast("bigint").alias("sink_posts"),
+    sent = payloads.agg(F.coalesce(F.sum("n_items"), F.lit(0)).alias("sink_posts"),
                         F.count_distinct("channel").alias("sink_channels"),
                         F.count("*").alias("sink_payloads"))
-    return (seen.select(F.inline(F.array(
-                F.struct(F.lit("mapper_channels").alias("metric"), F.col("mapper_channels").alias("value")),
-                F.struct(F.lit("mapper_posts").alias("metric"), F.col("mapper_posts").alias("value")))))
-            .unionByName(sent.select(F.inline(F.array(
-                F.struct(F.lit("sink_posts").alias("metric"), F.col("sink_posts").alias("value")),
-                F.struct(F.lit("sink_channels").alias("metric"), F.col("sink_channels").alias("value")),
-                F.struct(F.lit("sink_payloads").alias("metric"), F.col("sink_payloads").alias("value")))))))
+    out = _metric_rows(seen, ["mapper_channels", "mapper_posts"]).unionByName(
+        _metric_rows(sent, ["sink_posts", "sink_channels", "sink_payloads"]))
+    if user_batches is not None:
+        users = user_batches.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("sink_users"))
+        out = out.unionByName(_metric_rows(users, ["sink_users"]))
+    if team_payloads is not None:
+        out = out.unionByName(_metric_rows(team_payloads.agg(F.count("*").alias("sink_teams")),
+                                           ["sink_teams"]))
+    return out

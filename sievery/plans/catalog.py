@@ -203,11 +203,14 @@ def q_team_info(spark, sf_dir):
 
 
 def q_run_metrics(spark, sf_dir):
-    """AGG-4: counters of a posts run."""
+    """AGG-4: the six counters (mapper channels and posts; sink posts,
+    channels, users and teams) plus the number of payloads."""
     m = _messages(spark, sf_dir)
     p = payloads.post_payloads(sieve.sieve(m), URL_TEMPLATE,
                                channel_teams=T.load_channels(spark, sf_dir), chunk_size=CHUNK)
-    return counts.run_metrics(m, p)
+    users = jobs.seed_users(T.load_users(spark, sf_dir), USER_BATCH)
+    teams = jobs.team_payload(T.load_teams(spark, sf_dir))
+    return counts.run_metrics(m, p, users, teams)
 
 
 def q_listing_totals(spark, sf_dir):

@@ -343,7 +343,9 @@ SELECT 'mapper_channels' AS metric, count(DISTINCT channel) AS value FROM messag
 UNION ALL SELECT 'mapper_posts', count(*) FILTER (WHERE notable) FROM messages
 UNION ALL SELECT 'sink_posts', count(*) FILTER (WHERE notable) FROM messages
 UNION ALL SELECT 'sink_channels', count(DISTINCT channel) FILTER (WHERE notable) FROM messages
-UNION ALL SELECT 'sink_payloads', count(DISTINCT (channel, seq // {Q.CHUNK})) FILTER (WHERE notable) FROM messages""",
+UNION ALL SELECT 'sink_payloads', count(DISTINCT (channel, seq // {Q.CHUNK})) FILTER (WHERE notable) FROM messages
+UNION ALL SELECT 'sink_users', count(*) FROM customer
+UNION ALL SELECT 'sink_teams', count(*) FROM region""",
 
         "stream_windows": msg + """
 SELECT * FROM (
