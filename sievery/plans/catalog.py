@@ -251,8 +251,10 @@ def q_stream_posts(spark, sf_dir):
     from ..streaming import streams
     pages_path = scratch_path(spark, "stream-pages")
     landing.land_history_pages(_messages(spark, sf_dir), pages_path)
+    from ..sinks.delivery import accepting_service
     out = streams.stream_posts(spark, pages_path, URL_TEMPLATE,
-                               channel_teams=T.load_channels(spark, sf_dir), blacklist=BLACKLIST)
+                               channel_teams=T.load_channels(spark, sf_dir), blacklist=BLACKLIST,
+                               deliver=accepting_service)
     receipts = spark.read.parquet(out + "/receipts")
     return (receipts.filter(F.col("status") == "OK").groupBy("channel")
             .agg(F.sum("n_items").cast("bigint").alias("n_items")))

@@ -16,9 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import counts, dedup, sieve
+from .. import schemas
+from ..functions import classify as Cl
+from ..operators import dedup, sieve
+from ..operators import payloads as P
 from ..session import scratch_path, table_path
 from ..sinks.delivery import batch_sink
+from ..sources import pages as PG
 from ..sources import tables as T
 
 WATERMARK = "10 minutes"
@@ -91,7 +95,6 @@ def stream_sieve_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_page_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     """SRC-10 on landed history pages: the folder is watched and new page
     files are read as they land (``channel=`` folders become a column)."""
-    from .. import schemas
     return (spark.readStream.schema(schemas.HISTORY_PAGE)
             .option("maxFilesPerTrigger", max_files).json(path))
 
@@ -102,7 +105,8 @@ def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
                  watermark: str = WATERMARK, out: str | None = None) -> str:
     """JOB-3 as a stream: pages -> classified messages (X-1, X-2) -> each
     message once within the watermark of arrival (ST-2) -> sieve (F-6) -> per batch:
-    payloads (AGG-2), delivery and response check (SNK-1, R-1, R-2).
+    payloads (AGG-2) written per batch id; with ``deliver``, each payload is
+    delivered and the responses checked (SNK-1, R-1, R-2).
 
     ``seq`` of page messages is the ts in microseconds, so ``chunk_size``
     is a time span per channel (default one minute).  Payloads and receipts
@@ -110,11 +114,6 @@ def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
     Returns the output folder (``payloads/``, ``receipts/`` and the
     ``checkpoint/`` a restarted run resumes from; pass ``out`` to resume).
     """
-    from ..functions import classify as Cl
-    from ..operators import payloads as P
-    from ..sinks.delivery import accepting_service
-    from ..sources import pages as PG
-
     out = out or scratch_path(spark, "stream-posts")
     msgs = Cl.with_category(Cl.drop_blacklisted(
         PG.valid_canonical(PG.wire_messages(read_page_stream(spark, pages_path))), blacklist))
@@ -130,14 +129,10 @@ def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
         return P.post_payloads(batch, url_template, team_id=team_id,
                                channel_teams=channel_teams, chunk_size=chunk_size)
 
-    sink = batch_sink(out + "/payloads", build=build, deliver=deliver or accepting_service,
-                      receipts_path=out + "/receipts")
+    sink = batch_sink(out + "/payloads", build=build, deliver=deliver,
+                      receipts_path=out + "/receipts" if deliver else None)
     q = (notable.writeStream.foreachBatch(sink)
          .option("checkpointLocation", out + "/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return out
-
-
-__all__ = ["read_page_stream", "stream_posts", "read_event_stream", "message_stream", "windowed_counts", "run_available",
-           "stream_windows", "stream_sieve", "stream_sieve_counts", "counts"]

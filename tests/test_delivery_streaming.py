@@ -117,7 +117,8 @@ def test_stream_posts_relanded_pages_deliver_once(spark):
     pages_path = scratch_path(spark, "pages-in")
     landing.land_history_pages(m, pages_path)
     chans = T.load_channels(spark, SMALL)
-    out = streams.stream_posts(spark, pages_path, Q.URL_TEMPLATE, channel_teams=chans)
+    out = streams.stream_posts(spark, pages_path, Q.URL_TEMPLATE, channel_teams=chans,
+                               deliver=delivery.accepting_service)
     delivered = spark.read.parquet(out + "/receipts").agg(F.sum("n_items")).first()[0]
     assert delivered == sieve.sieve(m).count()
     # the same pages land again under new file names: the resumed stream
@@ -126,5 +127,6 @@ def test_stream_posts_relanded_pages_deliver_once(spark):
         for f in files:
             if f.startswith("part-"):
                 shutil.copy(os.path.join(root, f), os.path.join(root, "again-" + f))
-    streams.stream_posts(spark, pages_path, Q.URL_TEMPLATE, channel_teams=chans, out=out)
+    streams.stream_posts(spark, pages_path, Q.URL_TEMPLATE, channel_teams=chans,
+                         deliver=delivery.accepting_service, out=out)
     assert spark.read.parquet(out + "/receipts").agg(F.sum("n_items")).first()[0] == delivered
