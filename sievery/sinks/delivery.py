@@ -70,7 +70,9 @@ def receipt_rejects(receipts: DataFrame) -> DataFrame:
 def check_receipts(receipts: DataFrame, sample: int = 10) -> int:
     """R-2: raise when any receipt is not OK; return the number delivered.
 
-    Only counts and at most ``sample`` keys reach the driver.
+    Only counts and at most ``sample`` keys reach the driver.  Pass stored
+    (or cached) receipts: this runs two actions, and receipts computed from
+    ``deliver_payloads`` directly would deliver again on each.
     """
     summary = receipts.groupBy((F.col("status") == OK).alias("ok")).count().collect()
     counts = {row["ok"]: row["count"] for row in summary}
@@ -92,18 +94,20 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def batch_sink(path: str, build: Callable[[DataFrame], DataFrame] | None = None,
                deliver: Deliver | None = None, receipts_path: str | None = None):
     """A ``foreachBatch`` function: build payloads from the micro-batch,
-    write them under the batch id, optionally deliver and check them."""
+    write them under the batch id, optionally deliver them, store the
+    receipts (default ``<path>-receipts``) and check them (R-2)."""
+    receipts_at = receipts_path or path.rstrip("/") + "-receipts"
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         out = build(batch) if build else batch
         write_batch(out, path, batch_id)
         if deliver is not None:
-            written = out.sparkSession.read.parquet(path).filter(F.col("batch_id") == batch_id)
-            receipts = deliver_payloads(written, deliver)
-            if receipts_path:
-                write_batch(receipts, receipts_path, batch_id)
-                receipts = (out.sparkSession.read.parquet(receipts_path)
-                            .filter(F.col("batch_id") == batch_id))
-            check_receipts(receipts)
+            spark = out.sparkSession
+            written = spark.read.parquet(path).filter(F.col("batch_id") == batch_id)
+            # Receipts are stored before they are checked: the check reads
+            # them back, so no payload is delivered twice by the check itself.
+            write_batch(deliver_payloads(written, deliver), receipts_at, batch_id)
+            check_receipts(spark.read.parquet(receipts_at).filter(F.col("batch_id") == batch_id))
     return sink
 
 
