@@ -75,10 +75,6 @@ def ts_string(us: Column) -> Column:
                     F.lpad(F.pmod(us, F.lit(1000000)).cast("string"), 6, "0"))
 
 
-def _ids(prefix: str, col: Column) -> Column:
-    return F.concat(F.lit(prefix), col.cast("string"))
-
-
 def messages_from_events(events: DataFrame) -> DataFrame:
     """Canonical ``messages`` (classified) from the ``events`` table.
 
@@ -165,8 +161,8 @@ def messages_from_events(events: DataFrame) -> DataFrame:
 
 def channel_members_from_tables(customer: DataFrame) -> DataFrame:
     """Membership as a tall table (channel, user): one row per customer."""
-    return customer.select(_ids("C", F.col("c_nationkey")).alias("channel"),
-                           _ids("U", F.col("c_custkey")).alias("user"))
+    return customer.selectExpr("concat('C', cast(c_nationkey AS string)) AS channel",
+                               "concat('U', cast(c_custkey AS string)) AS user")
 
 
 def channels_from_tables(nation: DataFrame, customer: DataFrame) -> DataFrame:
@@ -180,24 +176,19 @@ def channels_from_tables(nation: DataFrame, customer: DataFrame) -> DataFrame:
     is an attribute and is never derived from a member list.
     """
     counts = customer.groupBy("c_nationkey").agg(F.count("*").alias("num_members"))
-    name = F.lower(F.col("n_name"))
     joined = nation.join(counts, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    topic = F.struct(F.concat(F.lit("all about "), name).alias("value"),
-                     F.lit("U0").alias("creator"), F.lit(0).cast("bigint").alias("last_set"))
-    return joined.select(
-        _ids("C", F.col("n_nationkey")).alias("id"), name.alias("name"),
-        F.lit(True).alias("is_channel"), F.lit(0).cast("bigint").alias("created"),
-        F.lit("U0").alias("creator"), F.lit(False).alias("is_archived"),
-        (F.col("n_nationkey") == 0).alias("is_general"), name.alias("name_normalized"),
-        F.lit(False).alias("is_shared"), F.lit(False).alias("is_org_shared"),
-        F.lit(True).alias("is_member"), F.lit(False).alias("is_private"),
-        F.lit(False).alias("is_mpim"),
-        F.array().cast("array<string>").alias("members"),
-        topic.alias("topic"), topic.alias("purpose"),
-        F.array().cast("array<string>").alias("previous_names"),
-        F.coalesce("num_members", F.lit(0)).cast("bigint").alias("num_members"),
-        _ids("T", F.col("n_regionkey")).alias("team_id"),
-    )
+    topic = ("named_struct('value', concat('all about ', lower(n_name)), 'creator', 'U0', "
+             "'last_set', cast(0 AS bigint))")
+    return joined.selectExpr(
+        "concat('C', cast(n_nationkey AS string)) AS id", "lower(n_name) AS name",
+        "true AS is_channel", "cast(0 AS bigint) AS created", "'U0' AS creator",
+        "false AS is_archived", "n_nationkey = 0 AS is_general",
+        "lower(n_name) AS name_normalized", "false AS is_shared", "false AS is_org_shared",
+        "true AS is_member", "false AS is_private", "false AS is_mpim",
+        "cast(array() AS array<string>) AS members", f"{topic} AS topic", f"{topic} AS purpose",
+        "cast(array() AS array<string>) AS previous_names",
+        "cast(coalesce(num_members, 0) AS bigint) AS num_members",
+        "concat('T', cast(n_regionkey AS string)) AS team_id")
 
 
 def users_from_tables(customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -206,29 +197,26 @@ def users_from_tables(customer: DataFrame, nation: DataFrame) -> DataFrame:
     broadcast by Spark's size check."""
     c = customer.join(nation.select("n_nationkey", "n_regionkey"),
                       F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    name = F.lower(F.regexp_replace("c_name", "#", ""))
-    return c.select(
-        _ids("U", F.col("c_custkey")).alias("id"), _ids("T", F.col("n_regionkey")).alias("team_id"),
-        name.alias("name"), F.lit(False).alias("deleted"),
-        F.lit(None).cast("string").alias("first_name"), F.col("c_name").alias("real_name"),
-        F.lit(None).cast("string").alias("last_name"), name.alias("display_name"),
-        F.concat(name, F.lit("@users.example")).alias("email"), F.lit(False).alias("is_bot"),
-        F.col("c_mktsegment").alias("status_text"), F.lit(None).cast("string").alias("status_emoji"),
-        F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("skype"),
-        F.lit(None).cast("string").alias("phone"), F.lit(False).alias("is_owner"),
-        F.lit(False).alias("is_primary_owner"), F.lit(None).cast("string").alias("image_72"),
-        (F.col("c_acctbal") > 9000).alias("is_admin"), F.lit(None).cast("string").alias("bot_id"),
-        F.lit(None).cast("string").alias("user"),
-    )
+    name = "lower(regexp_replace(c_name, '#', ''))"
+    none = "cast(NULL AS string)"
+    return c.selectExpr(
+        "concat('U', cast(c_custkey AS string)) AS id",
+        "concat('T', cast(n_regionkey AS string)) AS team_id",
+        f"{name} AS name", "false AS deleted", f"{none} AS first_name", "c_name AS real_name",
+        f"{none} AS last_name", f"{name} AS display_name",
+        f"concat({name}, '@users.example') AS email", "false AS is_bot",
+        "c_mktsegment AS status_text", f"{none} AS status_emoji", f"{none} AS title",
+        f"{none} AS skype", f"{none} AS phone", "false AS is_owner", "false AS is_primary_owner",
+        f"{none} AS image_72", "c_acctbal > 9000 AS is_admin", f"{none} AS bot_id",
+        f"{none} AS user")
 
 
 def teams_from_region(region: DataFrame) -> DataFrame:
-    name = F.lower("r_name")
-    dom = F.regexp_replace(name, " ", "-")
-    return region.select(
-        _ids("T", F.col("r_regionkey")).alias("id"), F.col("r_name").alias("name"),
-        dom.alias("domain"), F.concat(dom, F.lit(".example")).alias("email_domain"),
-        F.concat(F.lit("https://img.example/"), dom, F.lit("_132.png")).alias("image_132"))
+    dom = "regexp_replace(lower(r_name), ' ', '-')"
+    return region.selectExpr(
+        "concat('T', cast(r_regionkey AS string)) AS id", "r_name AS name", f"{dom} AS domain",
+        f"concat({dom}, '.example') AS email_domain",
+        f"concat('https://img.example/', {dom}, '_132.png') AS image_132")
 
 
 def emojis_from_part(part: DataFrame) -> DataFrame:
@@ -237,35 +225,33 @@ def emojis_from_part(part: DataFrame) -> DataFrame:
     Team = ``p_partkey % 5``; parts with ``p_size > 40`` are aliases of the
     part five keys lower (same team), which may itself be an alias (a chain)
     or not exist (a dangling alias)."""
-    pk = F.col("p_partkey")
-    alias = F.col("p_size") > 40
-    return part.select(
-        _ids("T", pk % 5).alias("team_id"), _ids("e", pk).alias("name"),
-        F.when(~alias, F.concat(F.lit("https://emoji.example/"), pk.cast("string"), F.lit(".png"))).alias("url"),
-        F.when(alias, _ids("e", pk - 5)).alias("alias_of"))
+    return part.selectExpr(
+        "concat('T', cast(p_partkey % 5 AS string)) AS team_id",
+        "concat('e', cast(p_partkey AS string)) AS name",
+        "CASE WHEN NOT (p_size > 40) THEN concat('https://emoji.example/', "
+        "cast(p_partkey AS string), '.png') END AS url",
+        "CASE WHEN p_size > 40 THEN concat('e', cast(p_partkey - 5 AS string)) END AS alias_of")
 
 
 def documents_with_mentions(documents: DataFrame) -> DataFrame:
     """Documents whose whole text is wrapped by two mention tokens, one
     plain and one with a display name."""
-    d = F.col("doc_id")
-    return documents.select(
+    return documents.selectExpr(
         "doc_id",
-        F.concat(F.lit("<@U"), d.cast("string"), F.lit("> "), F.col("text"),
-                 F.lit(" <@W"), (d * 7).cast("string"), F.lit("|someone>")).alias("text"))
+        "concat('<@U', cast(doc_id AS string), '> ', text, ' <@W', cast(doc_id * 7 AS string), "
+        "'|someone>') AS text")
 
 
 def responses_from_events(events: DataFrame) -> DataFrame:
     """One service reply body per event, covering every reply shape."""
-    r = F.col("event_id") % 7
-    body = (F.when(r == 0, F.concat(F.lit('{"received":'), F.col("user_id").cast("string"), F.lit("}")))
-             .when(r == 1, F.lit('{"message":[]}'))
-             .when(r == 2, F.lit('{"message":[{"error":"rejected"}]}'))
-             .when(r == 3, F.lit('{"errors":"bad payload"}'))
-             .when(r == 4, F.lit('{"received":null}'))
-             .when(r == 5, F.lit('{"message":[1]}'))
-             .otherwise(F.lit("upstream timeout")))
-    return events.select("event_id", body.alias("body"))
+    return events.selectExpr("event_id", """CASE event_id % 7
+        WHEN 0 THEN concat('{"received":', cast(user_id AS string), '}')
+        WHEN 1 THEN '{"message":[]}'
+        WHEN 2 THEN '{"message":[{"error":"rejected"}]}'
+        WHEN 3 THEN '{"errors":"bad payload"}'
+        WHEN 4 THEN '{"received":null}'
+        WHEN 5 THEN '{"message":[1]}'
+        ELSE 'upstream timeout' END AS body""")
 
 
 def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
