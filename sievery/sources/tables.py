@@ -3,12 +3,12 @@
 The supplied tables hold no chat data, so each chat entity is derived from
 one of them by a fixed, deterministic rule.  Every view keeps all rows of
 its source table; the rules only give them a chat shape.  The same rules are
-written in SQL in ``plans/catalog.py`` for the DuckDB oracle.
+written again, independently, in DuckDB SQL in ``plans/oracle.py``.
 
 * ``messages``  <- ``events``: one message per event, channel from the user,
   kind from the event type, lists from the ``k`` property.
-* ``channels``  <- ``nation`` + ``customer``: one channel per nation whose
-  members are the nation's customers.
+* ``channels``  <- ``nation`` + ``customer``: one channel per nation; its
+  members are the nation's customers (tall ``channel_members`` table).
 * ``users``     <- ``customer`` (+ ``nation`` for the team).
 * ``teams``     <- ``region``;  ``emojis`` <- ``part``.
 * ``documents`` with mention tokens around every text.
@@ -27,7 +27,6 @@ from ..session import default_parallelism, table_path
 # Fixed values of the adapters (shared with the SQL twins).
 N_CHANNELS = 25
 
-
 # Tables whose adapters do heavy per-row work (JSON, string building, regex
 # over whole texts); only these are spread when their scan is a single split.
 PER_ROW_HEAVY = {"events", "documents"}
@@ -69,12 +68,6 @@ def micros_since_epoch(ts_ntz: str) -> Column:
     return F.expr(micros_since_epoch_sql(ts_ntz))
 
 
-def ts_string(us: Column) -> Column:
-    """Chat wire timestamp ``"<seconds>.<6 digits>"`` from microseconds."""
-    return F.concat(F.floor(us / F.lit(1000000)).cast("bigint").cast("string"), F.lit("."),
-                    F.lpad(F.pmod(us, F.lit(1000000)).cast("string"), 6, "0"))
-
-
 def messages_from_events(events: DataFrame) -> DataFrame:
     """Canonical ``messages`` (classified) from the ``events`` table.
 
