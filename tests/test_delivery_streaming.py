@@ -130,3 +130,49 @@ def test_stream_posts_relanded_pages_deliver_once(spark):
     streams.stream_posts(spark, pages_path, Q.URL_TEMPLATE, channel_teams=chans,
                          deliver=delivery.accepting_service, out=out)
     assert spark.read.parquet(out + "/receipts").agg(F.sum("n_items")).first()[0] == delivered
+
+
+def test_late_event_is_dropped_by_the_watermark(spark):
+    base = scratch_path(spark, "late")
+    src, out = base + "/in", base + "/out"
+    events = spark.read.parquet(SMALL + "/events.parquet")
+    events.write.parquet(src + "/a")
+    latest = events.agg(F.max("ts")).first()[0]
+    first_id = events.agg(F.min("event_id")).first()[0]
+
+    def run():
+        stream = spark.readStream.schema(events.schema).parquet(src + "/*")
+        w = streams.windowed_counts(T.messages_from_events(stream))
+        streams.run_available(w, out + "/data", out + "/ck")
+
+    run()
+    # then: one event 2 hours behind the watermark, one 3 hours ahead
+    two = events.filter(F.col("event_id") == first_id).unionByName(
+        events.filter(F.col("event_id") == first_id + 1))
+    extra = two.withColumn("ts", F.when(F.col("event_id") == first_id,
+                                        F.lit(latest) - F.expr("INTERVAL 2 HOURS"))
+                           .otherwise(F.lit(latest) + F.expr("INTERVAL 3 HOURS")))
+    extra.write.parquet(src + "/b")
+    run()
+    streamed = sorted((r["window"]["start"], r["category"], r["n"])
+                      for r in spark.read.parquet(out + "/data").collect())
+
+    def batch(rows):
+        m = T.messages_from_events(rows)
+        wm = m.agg(F.max("event_time")).first()[0]
+        w = (m.groupBy(F.window("event_time", "1 hour", "15 minutes").alias("w"), "category")
+             .agg(F.count("*").alias("n"))
+             .filter(F.col("w.end") <= F.lit(wm) - F.expr("INTERVAL 10 MINUTES")))
+        return sorted((r["w"]["start"], r["category"], r["n"]) for r in w.collect())
+
+    on_time = events.unionByName(extra.filter(F.col("event_id") != first_id))
+    assert streamed == batch(on_time)                      # late event dropped
+    assert streamed != batch(events.unionByName(extra))    # it would have counted
+
+
+def test_trailing_text_after_json_is_accepted(spark):
+    from sievery.operators import sieve as S
+    df = spark.createDataFrame([('{"mentions":["U1"]} trailing',)], "raw string")
+    # documented behaviour: Spark's parser stops after the first complete
+    # value, where a strict parser would refuse the text
+    assert df.select(S.keep_whitelisted().alias("k")).first()["k"] is True
