@@ -124,6 +124,9 @@ def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
     arrived = msgs.withColumn("_arrival", F.current_timestamp())
     notable = sieve.sieve(dedup.dedup_stream(arrived, event_time="_arrival",
                                              watermark=watermark)).drop("_arrival")
+    # AGG-4 in a stream: counters observed on each micro-batch, read from the
+    # query progress (no extra pass over the data).
+    notable = notable.observe("posts", F.count(F.lit(1)).alias("mapper_posts"))
 
     def build(batch: DataFrame) -> DataFrame:
         return P.post_payloads(batch, url_template, team_id=team_id,
@@ -135,4 +138,23 @@ def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
          .option("checkpointLocation", out + "/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    _append_metrics(spark, out + "/metrics", q.recentProgress)
     return out
+
+
+def _append_metrics(spark: SparkSession, path: str, progress: list) -> None:
+    """Store the observed counters of each finished micro-batch next to the
+    outputs (a few rows of counters, not data) in the shared folder.  The
+    query keeps its last ``spark.sql.streaming.numRecentProgressUpdates``
+    progress reports, enough for an ``availableNow`` run of that many
+    batches."""
+    rows = [(p.batchId, int(p.observedMetrics["posts"]["mapper_posts"]))
+            for p in progress if "posts" in (p.observedMetrics or {})]
+    if rows:
+        (spark.createDataFrame(rows, "batch_id bigint, mapper_posts bigint")
+         .write.mode("append").json(path))
+
+
+def stream_metrics(spark: SparkSession, out: str) -> DataFrame:
+    """Observed counters of every micro-batch of a ``stream_posts`` run."""
+    return spark.read.schema("batch_id bigint, mapper_posts bigint").json(out + "/metrics")

@@ -121,6 +121,8 @@ def test_stream_posts_relanded_pages_deliver_once(spark):
                                deliver=delivery.accepting_service)
     delivered = spark.read.parquet(out + "/receipts").agg(F.sum("n_items")).first()[0]
     assert delivered == sieve.sieve(m).count()
+    metrics = streams.stream_metrics(spark, out)
+    assert metrics.agg(F.sum("mapper_posts")).first()[0] == delivered
     # the same pages land again under new file names: the resumed stream
     # reads them, and every message in them is a repeat
     for root, _, files in os.walk(pages_path):
