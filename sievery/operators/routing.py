@@ -32,25 +32,34 @@ def split(df: DataFrame, route_col: str = "route", yes: str = GTE, no: str = LT)
     return df.filter(F.col(route_col) == yes), df.filter(F.col(route_col) == no)
 
 
-def window_bounds(ts: str, size: str, slide: str) -> Column:
-    return F.window(ts, size, slide)
-
-
 def routed_windows(events: DataFrame, ts: str, size: str, slide: str,
                    route_col: str = "route", item: str = "channel",
                    watermark: str | None = None) -> DataFrame:
-    """WIN-1: per (sliding window, route): row count and the sorted distinct
-    items (AGG-1) seen in the window.
+    """WIN-1: per (sliding window, route): row count and the number of
+    distinct items (e.g. channels) seen in the window.
 
     Every row belongs to size/slide windows, so a 1 s / 100 ms window
-    multiplies the rows by 10 before the partial aggregation.  The item list
-    is a set of dimension keys (e.g. channel ids), bounded by the listing,
-    and is merged partially in each task.  With ``watermark`` the same code
-    runs on a stream (WM-1): rows later than the watermark are dropped and
-    a window is emitted once the watermark passes its end.
+    multiplies the rows by 10 before the partial aggregation.  The list of
+    items itself is ``window_members`` (tall), so no row holds a list that
+    grows with the data.  With ``watermark`` the same code runs on a stream
+    (WM-1): rows later than the watermark are dropped and a window is
+    emitted once the watermark passes its end.  Streams take no exact
+    distinct aggregates, so there ``n_items`` is a HyperLogLog estimate.
     """
     src = events.withWatermark(ts, watermark) if watermark else events
     w = F.window(ts, size, slide)
+    distinct = (F.approx_count_distinct(item) if events.isStreaming
+                else F.count_distinct(item))
     return (src.groupBy(w.alias("window"), F.col(route_col))
-            .agg(F.count("*").alias("n"),
-                 F.array_sort(F.collect_set(item)).alias("items")))
+            .agg(F.count("*").alias("n"), distinct.alias("n_items")))
+
+
+def window_members(events: DataFrame, ts: str, size: str, slide: str,
+                   route_col: str = "route", item: str = "channel") -> DataFrame:
+    """AGG-1 for windows, as rows: each distinct (window, route, item).
+
+    The original gathered the records of a window into one list; here the
+    list is a tall table (one row per member), which a consumer can read in
+    item order, and which never puts a whole window into one row."""
+    return (events.select(F.window(ts, size, slide).alias("window"), route_col, item)
+            .distinct())

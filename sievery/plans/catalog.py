@@ -124,14 +124,24 @@ def q_route_channels(spark, sf_dir):
 
 
 def q_route_windows(spark, sf_dir):
-    """WIN-1 + AGG-1: messages per sliding window and channel route, with
-    the sorted list of channels seen."""
+    """WIN-1: messages and distinct channels per sliding window and channel
+    route."""
     routes = _routes(spark, sf_dir).select(F.col("id").alias("channel"), "route")
     m = _messages(spark, sf_dir).select("channel", "event_time").join(routes, "channel")
     w = routing.routed_windows(m, "event_time", WINDOW_SIZE, WINDOW_SLIDE)
     return w.select(F.unix_seconds(F.col("window.start")).alias("window_start"),
                     F.unix_seconds(F.col("window.end")).alias("window_end"),
-                    "route", "n", F.array_join("items", ",").alias("channels"))
+                    "route", "n", F.col("n_items").alias("n_channels"))
+
+
+def q_route_window_channels(spark, sf_dir):
+    """AGG-1 + WIN-1: the channels of each sliding window and route, one row
+    per member."""
+    routes = _routes(spark, sf_dir).select(F.col("id").alias("channel"), "route")
+    m = _messages(spark, sf_dir).select("channel", "event_time").join(routes, "channel")
+    w = routing.window_members(m, "event_time", WINDOW_SIZE, WINDOW_SLIDE)
+    return w.select(F.unix_seconds(F.col("window.start")).alias("window_start"),
+                    "route", "channel")
 
 
 def q_classify(spark, sf_dir):
@@ -336,6 +346,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "channel_posts": q_channel_posts,
     "route_channels": q_route_channels,
     "route_windows": q_route_windows,
+    "route_window_channels": q_route_window_channels,
     "classify": q_classify,
     "mentions": q_mentions,
     "emoji_alias": q_emoji_alias,

@@ -271,10 +271,14 @@ FROM grouped""",
 
         "route_windows": _with(_MESSAGES, _CHANNELS, routes) + """
 SELECT (m.us // 900000000 - g.i) * 900 AS window_start, (m.us // 900000000 - g.i) * 900 + 3600 AS window_end,
-       r.route, count(*) AS n, array_to_string(list_sort(list(DISTINCT m.channel)), ',') AS channels
+       r.route, count(*) AS n, count(DISTINCT m.channel) AS n_channels
 FROM messages m JOIN routes r ON m.channel = r.channel, range(0, 4) g(i)
 GROUP BY 1, 2, 3""",
 
+        "route_window_channels": _with(_MESSAGES, _CHANNELS, routes) + """
+SELECT DISTINCT (m.us // 900000000 - g.i) * 900 AS window_start, r.route, m.channel
+FROM messages m JOIN routes r ON m.channel = r.channel, range(0, 4) g(i)""",
+
         "classify": msg + "SELECT seq, channel, category, category_ord FROM messages",
 
         "mentions": """

@@ -32,9 +32,9 @@ def test_payloads_collect_partially_and_join_after_grouping(spark):
     assert plan.index("HashJoin") < plan.index("ObjectHashAggregate")
 
 
-def test_window_lists_merge_partially(spark):
+def test_window_counts_aggregate_partially(spark):
     plan = _plan(E.queries()["route_windows"](spark, SMALL))
-    assert "partial_collect_set" in plan
+    assert "partial_count" in plan and "collect_set" not in plan
 
 
 def test_scan_reads_only_needed_columns(spark):
