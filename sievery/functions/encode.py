@@ -48,15 +48,21 @@ def frag(key: str) -> str:
 
 
 def add_fragments(df: DataFrame, keys: list[str] = MESSAGE_KEYS,
-                  source: dict[str, str] | None = None) -> DataFrame:
+                  source: dict[str, str] | None = None,
+                  when: dict[str, str] | None = None) -> DataFrame:
     """Add one ``_f_<key>`` column per key holding ``"key":<json>``
     (``null`` written for a NULL value).  ``source`` maps a key to the SQL
-    expression of its value (default: the column of that name)."""
-    source = source or {}
+    expression of its value (default: the column of that name); ``when``
+    maps a key to the condition under which its fragment is needed (NULL
+    elsewhere, and no ``to_json`` is run for that row)."""
+    source, when = source or {}, when or {}
     cols = [q(c) for c in df.columns]
-    with_json = df.selectExpr(*cols, *[
-        f"to_json(named_struct('{k}', {source.get(k, q(k))}), {_KEEP_NULLS_SQL}) AS _j_{k}"
-        for k in keys])
+
+    def json_of(k: str) -> str:
+        j = f"to_json(named_struct('{k}', {source.get(k, q(k))}), {_KEEP_NULLS_SQL})"
+        return f"CASE WHEN {when[k]} THEN {j} END" if k in when else j
+
+    with_json = df.selectExpr(*cols, *[f"{json_of(k)} AS _j_{k}" for k in keys])
     return with_json.selectExpr(*cols, *[
         f"substr(_j_{k}, 2, length(_j_{k}) - 2) AS {frag(k)}" for k in keys])
 
@@ -102,49 +108,100 @@ def json_object_sql(*fragments: str) -> str:
 
 
 # --- record kinds ------------------------------------------------------------
+#
+# Each delivered record kind is a list of (key, rule) in key order.  Rules:
+# "always" (null written when absent), "present" (left out when NULL),
+# "nonempty" (left out when NULL or an empty list), "text" (left out when
+# NULL or empty text), "raw" / "raw_nonempty" (value is JSON text already).
+# The record SQL and the condition under which each key's fragment is
+# computed both come from this table.
+
+RECORDS: dict[str, list[tuple[str, str]]] = {
+    # E-1 user file share
+    C.FILE_SHARE: [("type", "always"), ("subtype", "always"), ("text", "always"),
+                   ("file", "always"), ("comments", "always"), ("ts", "always"),
+                   ("comment", "text"), ("user", "always"), ("bot_id", "always"),
+                   ("mentions", "nonempty")],
+    # E-2 bot attachment message
+    C.BOT: [("type", "always"), ("subtype", "always"), ("text", "always"), ("ts", "always"),
+            ("bot_id", "present"), ("username", "present"), ("attachments", "raw"),
+            ("reactions", "nonempty"), ("replies", "nonempty"), ("mentions", "nonempty")],
+    # E-3 user attachment message (no subtype)
+    C.USER_ATTACHMENT: [("type", "always"), ("text", "always"), ("ts", "always"),
+                        ("user", "present"), ("attachments", "raw_nonempty"),
+                        ("reactions", "nonempty"), ("replies", "nonempty"),
+                        ("mentions", "nonempty")],
+    # E-4 file comment: every field
+    C.FILE_COMMENT: [("type", "always"), ("subtype", "always"), ("text", "always"),
+                     ("user", "always"), ("comment", "always"), ("mentions", "always"),
+                     ("reactions", "always"), ("ts", "always")],
+}
+
+_RULE_SQL = {"always": always, "present": if_present, "nonempty": if_nonempty,
+             "text": if_nonempty_text}
+
+
+def _rule_condition(key: str, rule: str) -> str:
+    """SQL: the rule writes the key for this row."""
+    return {"always": "true", "present": f"{q(key)} IS NOT NULL",
+            "nonempty": f"size({q(key)}) > 0", "text": f"{q(key)} <> ''"}[rule]
+
+
+def record_sql(kind: str) -> str:
+    """The JSON object of one record kind, from its fragments."""
+    parts = []
+    for key, rule in RECORDS[kind]:
+        if rule == "raw":
+            parts.append(raw_if_present(key, key))
+        elif rule == "raw_nonempty":
+            parts.append(raw_if_nonempty(key, key))
+        else:
+            parts.append(_RULE_SQL[rule](key))
+    return json_object_sql(*parts)
+
+
+def fragment_conditions(kinds: list[str] | None = None) -> dict[str, str]:
+    """Per typed key: SQL condition under which some record kind writes it
+    (the fragment is computed only then)."""
+    conds: dict[str, list[str]] = {}
+    for kind in kinds or list(RECORDS):
+        for key, rule in RECORDS[kind]:
+            if rule.startswith("raw"):
+                continue
+            c = _rule_condition(key, rule)
+            kind_c = f"`category` = '{kind}'" if kinds is None else "true"
+            conds.setdefault(key, []).append(kind_c if c == "true" else f"({kind_c} AND {c})")
+    return {k: " OR ".join(v) for k, v in conds.items()}
+
 
 def encode_file_share_sql() -> str:
     """E-1: type, subtype, text, file, comments, ts; comment when non-empty;
     user and bot_id always (null when absent); mentions when non-empty."""
-    return json_object_sql(
-        always("type"), always("subtype"), always("text"), always("file"),
-        always("comments"), always("ts"), if_nonempty_text("comment"),
-        always("user"), always("bot_id"), if_nonempty("mentions"))
+    return record_sql(C.FILE_SHARE)
 
 
 def encode_bot_sql() -> str:
     """E-2: type, subtype, text, ts; bot_id, username, attachments when
     present; reactions, replies, mentions when non-empty."""
-    return json_object_sql(
-        always("type"), always("subtype"), always("text"), always("ts"),
-        if_present("bot_id"), if_present("username"), raw_if_present("attachments", "attachments"),
-        if_nonempty("reactions"), if_nonempty("replies"), if_nonempty("mentions"))
+    return record_sql(C.BOT)
 
 
 def encode_user_attachment_sql() -> str:
     """E-3: type, text, ts; user when present; attachments, reactions,
     replies, mentions when non-empty.  No subtype."""
-    return json_object_sql(
-        always("type"), always("text"), always("ts"), if_present("user"),
-        raw_if_nonempty("attachments", "attachments"),
-        if_nonempty("reactions"), if_nonempty("replies"), if_nonempty("mentions"))
+    return record_sql(C.USER_ATTACHMENT)
 
 
 def encode_file_comment_sql() -> str:
     """E-4: every field, null when absent, ``[]`` for empty lists."""
-    return json_object_sql(
-        always("type"), always("subtype"), always("text"), always("user"),
-        always("comment"), always("mentions"), always("reactions"), always("ts"))
+    return record_sql(C.FILE_COMMENT)
 
 
 def encode_message_sql() -> str:
     """The delivered JSON of one message, by category; whitelisted messages
     are passed through as their raw text.  Needs ``add_fragments``."""
-    return (f"CASE `category` WHEN '{C.BOT}' THEN {encode_bot_sql()} "
-            f"WHEN '{C.USER_ATTACHMENT}' THEN {encode_user_attachment_sql()} "
-            f"WHEN '{C.FILE_SHARE}' THEN {encode_file_share_sql()} "
-            f"WHEN '{C.FILE_COMMENT}' THEN {encode_file_comment_sql()} "
-            "ELSE `raw` END")
+    whens = " ".join(f"WHEN '{kind}' THEN {record_sql(kind)}" for kind in RECORDS)
+    return f"CASE `category` {whens} ELSE `raw` END"
 
 
 # Column forms (need ``add_fragments`` on the frame).
@@ -168,23 +225,23 @@ def encode_message() -> Column:
     return F.expr(encode_message_sql())
 
 
-def _with_record(df: DataFrame, record_sql: str, name: str) -> DataFrame:
+def _with_record(df: DataFrame, record: str, name: str, when: dict[str, str]) -> DataFrame:
     cols = [q(c) for c in df.columns]
-    return add_fragments(df, source=MESSAGE_SOURCES).selectExpr(*cols, f"{record_sql} AS {q(name)}")
+    keys = [k for k in MESSAGE_KEYS if k in when]
+    framed = add_fragments(df, keys, source=MESSAGE_SOURCES, when=when)
+    return framed.selectExpr(*cols, f"{record} AS {q(name)}")
 
 
 def with_message_json(df: DataFrame, name: str = "json") -> DataFrame:
-    """Add the delivered JSON text of every message as ``name``."""
-    return _with_record(df, encode_message_sql(), name)
-
-
-_KINDS = {"file_share": encode_file_share_sql, "bot": encode_bot_sql,
-          "user_attachment": encode_user_attachment_sql, "file_comment": encode_file_comment_sql}
+    """Add the delivered JSON text of every message as ``name``.  A key's
+    fragment is computed only for rows whose record writes that key."""
+    return _with_record(df, encode_message_sql(), name, fragment_conditions())
 
 
 def with_encoded(df: DataFrame, kind: str, name: str = "json") -> DataFrame:
-    """Add the JSON of one fixed record kind (E-1..E-4, by category name)."""
-    return _with_record(df, _KINDS[kind](), name)
+    """Add the JSON of one fixed record kind (E-1..E-4, by category name),
+    whatever the rows' category."""
+    return _with_record(df, record_sql(kind), name, fragment_conditions([kind]))
 
 
 def encode_record(*cols: str | Column) -> Column:
