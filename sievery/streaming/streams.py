@@ -128,9 +128,18 @@ def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
     # query progress (no extra pass over the data).
     notable = notable.observe("posts", F.count(F.lit(1)).alias("mapper_posts"))
 
+    # The channel -> team lookup is a dimension derived from other tables;
+    # it is written once per run to the shared folder and read by every
+    # micro-batch, instead of being recomputed from its sources each time.
+    teams = None
+    if channel_teams is not None:
+        teams_path = out + "/channel_teams"
+        channel_teams.select("id", "team_id").write.mode("overwrite").parquet(teams_path)
+        teams = spark.read.parquet(teams_path)
+
     def build(batch: DataFrame) -> DataFrame:
         return P.post_payloads(batch, url_template, team_id=team_id,
-                               channel_teams=channel_teams, chunk_size=chunk_size)
+                               channel_teams=teams, chunk_size=chunk_size)
 
     sink = batch_sink(out + "/payloads", build=build, deliver=deliver,
                       receipts_path=out + "/receipts")
