@@ -60,6 +60,16 @@ def q_channel_activity(spark, sf_dir):
     return j.select(F.col("id").alias("channel"), n.alias("n_notable"), (n == 0).alias("skipped"))
 
 
+def q_conversation_posts(spark, sf_dir):
+    """F-1..F-7 + X-3 over whole conversation texts: per conversation, the
+    posts seen, the notable ones and whether it is skipped."""
+    m = T.load_conversation_messages(spark, sf_dir)
+    per = sieve.with_notable(m).groupBy("channel").agg(
+        F.count("*").alias("n_messages"), F.count_if(F.col("notable")).alias("n_notable"),
+        F.sum(F.size("mentions")).cast("bigint").alias("n_mentions"))
+    return per.withColumn("skipped", F.col("n_notable") == 0)
+
+
 def q_json_presence(spark, sf_dir):
     """J-1..J-3 + F-4 over the raw text of every whitelisted message."""
     m = _messages(spark, sf_dir).filter(F.col("category") == C.WHITELISTED)
@@ -335,6 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "skipped_channels": q_skipped_channels,
     "channel_activity": q_channel_activity,
     "channel_totals": q_channel_totals,
+    "conversation_posts": q_conversation_posts,
     "json_presence": q_json_presence,
     "encode_file_share": q_encode_file_share,
     "encode_bot": q_encode_bot,

@@ -238,6 +238,19 @@ SELECT channel,
   count(*) AS n_messages
 FROM messages WHERE notable GROUP BY channel""",
 
+        "conversation_posts": """
+WITH c AS (
+  SELECT a.conv_id, a.turn, a.role, a.text, b.turn AS next_turn,
+         regexp_extract_all(a.text, '<@([UW][A-Z0-9]+)(?:\\|[^>]*)?>', 1) AS ids
+  FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND a.turn + 1 = b.turn)
+SELECT 'V' || CAST(conv_id AS VARCHAR) AS channel, count(*) AS n_messages,
+       count(*) FILTER (WHERE (role = 'assistant' AND len(ids) > 0)
+                              OR (role <> 'assistant' AND (len(ids) > 0 OR next_turn IS NOT NULL))) AS n_notable,
+       CAST(sum(len(ids)) AS BIGINT) AS n_mentions,
+       count(*) FILTER (WHERE (role = 'assistant' AND len(ids) > 0)
+                              OR (role <> 'assistant' AND (len(ids) > 0 OR next_turn IS NOT NULL))) = 0 AS skipped
+FROM c GROUP BY conv_id""",
+
         "json_presence": msg + """
 SELECT seq, json_valid(raw) AS parse_ok,
   CASE WHEN json_valid(raw) THEN coalesce(json_type(raw, '$.reactions') = 'ARRAY', false) ELSE false END AS has_reactions,

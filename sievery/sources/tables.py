@@ -12,6 +12,8 @@ written again, independently, in DuckDB SQL in ``plans/oracle.py``.
 * ``users``     <- ``customer`` (+ ``nation`` for the team).
 * ``teams``     <- ``region``;  ``emojis`` <- ``part``.
 * ``documents`` with mention tokens around every text.
+* ``messages`` <- ``conversations``: one channel per conversation, one post
+  per turn, replies from the next turn.
 * ``responses`` <- ``events``: service reply bodies of every shape.
 """
 
@@ -29,7 +31,7 @@ N_CHANNELS = 25
 
 # Tables whose adapters do heavy per-row work (JSON, string building, regex
 # over whole texts); only these are spread when their scan is a single split.
-PER_ROW_HEAVY = {"events", "documents"}
+PER_ROW_HEAVY = {"events", "documents", "conversations"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,6 +154,60 @@ def messages_from_events(events: DataFrame) -> DataFrame:
                             for c in schemas.MESSAGE_COLUMNS])
 
 
+# Fixed value: conversation turns get wire timestamps from this epoch second,
+# conv_id * 1000 + turn seconds later.
+CONVERSATION_EPOCH = 1700000000
+
+
+def messages_from_conversations(conversations: DataFrame) -> DataFrame:
+    """Canonical ``messages`` (classified) from ``conversations``.
+
+    One channel per conversation (``V<conv_id>``), one message per turn.
+    Assistant turns are bot posts; user and system turns are plain posts
+    kept as raw JSON (system turns with the ``channel_join`` subtype).  A
+    turn's ``replies`` holds the next turn of its conversation, found with
+    an equi-join on (conversation, turn) so that a long conversation is not
+    gathered into one task.  Mentions are X-3 over the whole text.
+    """
+    def ts_of(turn: str) -> str:
+        return f"concat(cast({CONVERSATION_EPOCH} + conv_id * 1000 + {turn} AS string), '.000000')"
+
+    nxt = conversations.selectExpr("conv_id AS _conv", "turn - 1 AS _prev", "turn AS _turn",
+                                   "role AS _role")
+    j = conversations.join(nxt, (F.col("conv_id") == F.col("_conv"))
+                           & (F.col("turn") == F.col("_prev")), "left")
+    pattern = r"'<@([UW][A-Z0-9]+)(?:\\|[^>]*)?>'"
+    shaped = j.selectExpr(
+        "concat('V', cast(conv_id AS string)) AS channel", "turn AS seq", f"{ts_of('turn')} AS ts",
+        f"timestamp_seconds({CONVERSATION_EPOCH} + conv_id * 1000 + turn) AS event_time",
+        "'message' AS type",
+        "CASE role WHEN 'assistant' THEN 'bot_message' WHEN 'system' THEN 'channel_join' END AS subtype",
+        "text",
+        "CASE WHEN role <> 'assistant' THEN concat('U', cast(conv_id AS string)) END AS user",
+        "CASE WHEN role = 'assistant' THEN 'assistant' END AS username",
+        "CASE WHEN role = 'assistant' THEN concat('B', cast(conv_id AS string)) END AS bot_id",
+        "cast(NULL AS string) AS comment", "cast(NULL AS string) AS attachments",
+        "cast(NULL AS struct<filetype:string,id:string,title:string,url_private:string,"
+        "external_type:string,timestamp:bigint,pretty_type:string,name:string,mimetype:string,"
+        "permalink:string,created:bigint,mode:string,thumb_64:string,thumb_80:string,"
+        "thumb_360:string>) AS file",
+        "cast(array() AS array<struct<id:string,timestamp:bigint,user:string>>) AS comments",
+        "cast(array() AS array<struct<name:string,users:array<string>,count:bigint>>) AS reactions",
+        f"""CASE WHEN _turn IS NOT NULL THEN array(named_struct('ts', {ts_of('_turn')},
+                 'user', CASE WHEN _role = 'assistant' THEN concat('B', cast(conv_id AS string))
+                              ELSE concat('U', cast(conv_id AS string)) END))
+            ELSE cast(array() AS array<struct<ts:string,user:string>>) END AS replies""",
+        f"regexp_extract_all(text, {pattern}, 1) AS mentions")
+    out = shaped.selectExpr(
+        "*",
+        """CASE WHEN bot_id IS NULL THEN to_json(named_struct('type', type, 'subtype', subtype,
+             'user', user, 'text', text, 'ts', ts, 'mentions', mentions,
+             'replies', CASE WHEN size(replies) > 0 THEN replies END)) END AS raw""",
+        f"{C.classify_sql()} AS category")
+    return out.selectExpr(*[f"{C.category_rank_sql()} AS category_ord" if c == "category_ord" else c
+                            for c in schemas.MESSAGE_COLUMNS])
+
+
 def channel_members_from_tables(customer: DataFrame) -> DataFrame:
     """Membership as a tall table (channel, user): one row per customer."""
     return customer.selectExpr("concat('C', cast(c_nationkey AS string)) AS channel",
@@ -251,6 +307,10 @@ def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_from_events(read_table(spark, sf_dir, "events"))
 
 
+def load_conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages_from_conversations(read_table(spark, sf_dir, "conversations"))
+
+
 def load_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return channels_from_tables(read_table(spark, sf_dir, "nation"),
                                 read_table(spark, sf_dir, "customer"))

@@ -116,3 +116,16 @@ def test_message_schema_is_canonical(spark):
     from sievery.sources import tables as T
     m = T.load_messages(spark, "/root/testdata/sf0.001")
     assert m.columns == schemas.MESSAGE_COLUMNS
+
+
+def test_conversation_adapter_threads(spark):
+    from sievery.sources import tables as T
+    m = T.load_conversation_messages(spark, "/root/testdata/sf0.001")
+    assert m.columns == schemas.MESSAGE_COLUMNS
+    last = m.groupBy("channel").agg(F.max("seq").alias("last"))
+    tail = m.join(last, "channel").filter(F.col("seq") == F.col("last"))
+    assert tail.filter(F.size("replies") > 0).count() == 0        # last turn: no reply
+    inner = m.join(last, "channel").filter(F.col("seq") < F.col("last"))
+    assert inner.filter(F.size("replies") != 1).count() == 0       # others: the next turn
+    assert set(r["category"] for r in m.select("category").distinct().collect()) <= {
+        C.BOT, C.WHITELISTED}
