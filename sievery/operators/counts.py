@@ -75,3 +75,14 @@ def run_metrics(messages: DataFrame, payloads: DataFrame, user_batches: DataFram
         out = out.unionByName(_metric_rows(team_payloads.agg(F.count("*").alias("sink_teams")),
                                            ["sink_teams"]))
     return out
+
+
+def delivered_metrics(receipts: DataFrame) -> DataFrame:
+    """Sink counters counted only after an OK response (decision D7): posts
+    and channels of the accepted payloads, and the payloads refused."""
+    ok = F.col("status") == "OK"
+    agg = receipts.agg(
+        F.coalesce(F.sum(F.when(ok, F.col("n_items"))), F.lit(0)).alias("sink_posts"),
+        F.count_distinct(F.when(ok, F.col("channel"))).alias("sink_channels"),
+        F.count_if(~ok).alias("refused_payloads"))
+    return _metric_rows(agg, ["sink_posts", "sink_channels", "refused_payloads"])

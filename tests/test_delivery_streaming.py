@@ -30,12 +30,22 @@ def test_deliver_ok(spark):
 
 
 def test_deliver_refused_raises(spark):
+    from sievery.operators import counts
+
     def refusing(url, body, key):
         return '{"message":[{"error":"no"}]}' if key < "8" else '{"received":1}'
-    receipts = delivery.deliver_payloads(_payloads(spark), refusing)
+    path = scratch_path(spark, "refused")
+    delivery.write_batch(delivery.deliver_payloads(_payloads(spark), refusing), path, 0)
+    receipts = spark.read.parquet(path)
     with pytest.raises(delivery.DeliveryError):
         delivery.check_receipts(receipts)
-    assert delivery.receipt_rejects(receipts).count() > 0
+    refused = delivery.receipt_rejects(receipts).count()
+    assert refused > 0
+    got = {r["metric"]: r["value"] for r in counts.delivered_metrics(receipts).collect()}
+    ok_items = receipts.filter("status = 'OK'").agg(F.sum("n_items")).first()[0] or 0
+    assert got == {"sink_posts": ok_items, "sink_channels": got["sink_channels"],
+                   "refused_payloads": refused}
+    assert got["sink_channels"] == receipts.filter("status = 'OK'").select("channel").distinct().count()
 
 
 def test_deliver_exception_is_a_reject(spark):
