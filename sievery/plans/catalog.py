@@ -291,6 +291,18 @@ def q_deliver_posts(spark, sf_dir):
     return receipts.select("channel", "chunk", "key", "n_items", "status")
 
 
+def q_delivered_metrics(spark, sf_dir):
+    """AGG-4 after delivery (D7): sink counters from OK receipts only."""
+    from ..session import scratch_path
+    from ..sinks import delivery
+    notable = sieve.sieve(_messages(spark, sf_dir))
+    p = payloads.post_payloads(notable, URL_TEMPLATE,
+                               channel_teams=T.load_channels(spark, sf_dir), chunk_size=CHUNK)
+    path = scratch_path(spark, "receipts")
+    delivery.write_batch(delivery.deliver_payloads(p, delivery.accepting_service), path, 0)
+    return counts.delivered_metrics(spark.read.parquet(path))
+
+
 def q_history_pages(spark, sf_dir):
     """SRC-5/SRC-6 + X-3 on landed pages: the messages are written as API
     history pages (one folder per channel) and read back with the page
@@ -375,6 +387,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sieve": q_stream_sieve,
     "stream_posts": q_stream_posts,
     "deliver_posts": q_deliver_posts,
+    "delivered_metrics": q_delivered_metrics,
     "history_pages": q_history_pages,
     "listing_pages": q_listing_pages,
     "rejects": q_rejects,

@@ -383,6 +383,11 @@ WHERE notable AND (subtype IS NULL OR subtype NOT IN ({bl})) GROUP BY channel"""
 SELECT g.channel, g.chunk, sha256({url} || chr(10) || g.body) AS key, g.n_items, 'OK' AS status
 FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
 
+        "delivered_metrics": msg + """
+SELECT 'sink_posts' AS metric, count(*) FILTER (WHERE notable) AS value FROM messages
+UNION ALL SELECT 'sink_channels', count(DISTINCT channel) FILTER (WHERE notable) FROM messages
+UNION ALL SELECT 'refused_payloads', 0""",
+
         "history_pages": msg + """
 SELECT channel, category, count(*) AS n_kept FROM messages WHERE notable GROUP BY channel, category""",
 
