@@ -31,6 +31,7 @@ BLACKLIST = ["channel_join"]
 SPLIT_K = 4
 USER_BATCH = 500
 CHANNEL_BATCH = 10
+TEAM_BATCH = 1000
 CHUNK = payloads.DEFAULT_CHUNK
 
 
@@ -348,8 +349,10 @@ def q_rejects(spark, sf_dir):
 
 
 def q_team_payload(spark, sf_dir):
-    """SNK-4 / E-7: one JSON object per team."""
-    return jobs.team_payload(T.load_teams(spark, sf_dir))
+    """SNK-4 / E-7: team records with their emojis, TEAM_BATCH emojis per
+    payload."""
+    p = jobs.team_payload(T.load_teams(spark, sf_dir), T.load_emojis(spark, sf_dir), TEAM_BATCH)
+    return p.select("team_id", "chunk", "n_emojis", "key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

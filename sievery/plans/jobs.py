@@ -88,10 +88,45 @@ def team_info(teams: DataFrame, emojis: DataFrame) -> DataFrame:
                     z("n_emojis"), z("n_aliases"), z("n_unresolved"))
 
 
-def team_payload(teams: DataFrame) -> DataFrame:
-    """SNK-4 body: one JSON object per team record."""
+def team_payload(teams: DataFrame, emojis: DataFrame | None = None,
+                 batch_size: int = 1000) -> DataFrame:
+    """SNK-4 / E-7: the team record with its emojis, as JSON bodies.
+
+    The original posted one object per team holding every emoji.  A team's
+    emoji list grows with the data, so it is cut into payloads of at most
+    ``batch_size`` emojis (name order, via the distributed row index); each
+    payload repeats the team fields.  A team without emojis gets one
+    payload with an empty list.  Columns: team_id, chunk, n_emojis, body,
+    key.  Emoji items are ``{"name", "url"}``, the url being the wire value
+    (a URL or ``alias:<name>``).
+    """
     t = sieve.nonempty_listing(teams)
-    return t.select(F.col("id").alias("team_id"), E.encode_record(*t.columns).alias("body"))
+    head = E.encode_record(*t.columns)
+    t = t.select(F.col("id").alias("team_id"), head.alias("_h"))
+    t = t.select("team_id", F.expr("substr(_h, 1, length(_h) - 1)").alias("_head"))
+    if emojis is None:
+        items = t.select("team_id", F.lit(0).cast("bigint").alias("chunk"),
+                         F.lit(0).cast("bigint").alias("n_emojis"), F.lit("").alias("_items"))
+    else:
+        value = F.coalesce(F.col("url"), F.concat(F.lit("alias:"), F.col("alias_of")))
+        e = emojis.select("team_id", "name",
+                          F.to_json(F.struct("name", value.alias("url"))).alias("_json"))
+        idx = row_index(e, ["team_id", "name"], "_rn")
+        grouped = (idx.withColumn("chunk", F.floor(F.col("_rn") / F.lit(batch_size)).cast("bigint"))
+                   .groupBy("team_id", "chunk")
+                   .agg(F.array_sort(F.collect_list(F.struct("_rn", "_json"))).alias("_l"),
+                        F.count("*").alias("n_emojis"))
+                   .select("team_id", "chunk", "n_emojis",
+                           F.array_join(F.transform("_l", lambda x: x["_json"]), ",").alias("_items")))
+        # teams with no emoji still get one payload
+        items = t.select("team_id").join(grouped, "team_id", "left").select(
+            "team_id", F.coalesce("chunk", F.lit(0).cast("bigint")).alias("chunk"),
+            F.coalesce("n_emojis", F.lit(0).cast("bigint")).alias("n_emojis"),
+            F.coalesce("_items", F.lit("")).alias("_items"))
+    body = F.concat(F.col("_head"), F.lit(',"emojis":['), F.col("_items"), F.lit("]}"))
+    return (t.join(items, "team_id")
+            .select("team_id", "chunk", "n_emojis", body.alias("body"),
+                    F.sha2(body, 256).alias("key")))
 
 
 def route_report(channels: DataFrame, messages: DataFrame, min_members: int = 5,

@@ -416,12 +416,23 @@ UNION ALL
 SELECT 'emoji', team_id || '/' || name, status || ': ' || alias_of
 FROM resolved WHERE status IN ('unresolved_chain', 'missing_target')""",
 
-        "team_payload": """
-SELECT 'T' || CAST(r_regionkey AS VARCHAR) AS team_id,
-       '{"id":"T' || CAST(r_regionkey AS VARCHAR) || '","name":"' || r_name || '","domain":"'
-       || replace(lower(r_name), ' ', '-') || '","email_domain":"' || replace(lower(r_name), ' ', '-')
-       || '.example","image_132":"https://img.example/' || replace(lower(r_name), ' ', '-') || '_132.png"}' AS body
-FROM region""",
+        "team_payload": _with(_EMOJIS) + f"""
+, e AS (
+  SELECT team_id, name,
+         '{{"name":"' || name || '","url":"' || coalesce(url, 'alias:' || alias_of) || '"}}' AS json,
+         (row_number() OVER (ORDER BY team_id, name) - 1) // {Q.TEAM_BATCH} AS chunk
+  FROM emojis),
+g AS (SELECT team_id, chunk, count(*) AS n_emojis, string_agg(json, ',' ORDER BY name) AS items
+      FROM e GROUP BY team_id, chunk),
+t AS (
+  SELECT 'T' || CAST(r_regionkey AS VARCHAR) AS team_id,
+         '{{"id":"T' || CAST(r_regionkey AS VARCHAR) || '","name":"' || r_name || '","domain":"'
+         || replace(lower(r_name), ' ', '-') || '","email_domain":"' || replace(lower(r_name), ' ', '-')
+         || '.example","image_132":"https://img.example/' || replace(lower(r_name), ' ', '-') || '_132.png"' AS head
+  FROM region)
+SELECT t.team_id, coalesce(g.chunk, 0) AS chunk, coalesce(g.n_emojis, 0) AS n_emojis,
+       sha256(t.head || ',"emojis":[' || coalesce(g.items, '') || ']}}') AS key
+FROM t LEFT JOIN g ON t.team_id = g.team_id""",
 
         "listing_totals": """
 SELECT 'users' AS listing, count(*) AS value FROM customer
