@@ -155,6 +155,16 @@ def q_route_window_channels(spark, sf_dir):
                     "route", "channel")
 
 
+def q_route_report(spark, sf_dir):
+    """JOB-5 with the original's example parameters: channels routed by
+    ``num_members >= 5``, messages in 1 s windows sliding by 100 ms."""
+    _, windows = jobs.route_report(T.load_channels(spark, sf_dir),
+                                   _messages(spark, sf_dir).select("channel", "event_time"),
+                                   min_members=5, size="1 second", slide="100 milliseconds")
+    return windows.select(F.unix_millis(F.col("window.start")).alias("window_start_ms"),
+                          "route", "n", F.col("n_items").alias("n_channels"))
+
+
 def q_classify(spark, sf_dir):
     """X-1: category of every message."""
     return _messages(spark, sf_dir).select("seq", "channel", "category", "category_ord")
@@ -373,6 +383,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_channels": q_route_channels,
     "route_windows": q_route_windows,
     "route_window_channels": q_route_window_channels,
+    "route_report": q_route_report,
     "classify": q_classify,
     "mentions": q_mentions,
     "emoji_alias": q_emoji_alias,

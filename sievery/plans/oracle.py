@@ -292,6 +292,13 @@ GROUP BY 1, 2, 3""",
 SELECT DISTINCT (m.us // 900000000 - g.i) * 900 AS window_start, r.route, m.channel
 FROM messages m JOIN routes r ON m.channel = r.channel, range(0, 4) g(i)""",
 
+        "route_report": _with(_MESSAGES, _CHANNELS) + """
+SELECT (m.us // 100000 - g.i) * 100 AS window_start_ms,
+       CASE WHEN c.num_members >= 5 THEN 'gte' ELSE 'lt' END AS route,
+       count(*) AS n, count(DISTINCT m.channel) AS n_channels
+FROM messages m JOIN channels c ON m.channel = c.id, range(0, 10) g(i)
+GROUP BY 1, 2""",
+
         "classify": msg + "SELECT seq, channel, category, category_ord FROM messages",
 
         "mentions": """
