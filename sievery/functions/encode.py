@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import TEMPLATE_PLACEHOLDER
 from . import classify as C
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -259,5 +260,5 @@ def fill_template(template: str | Column, **values: Column) -> Column:
     and ``\\`` in values are safe)."""
     out = F.lit(template) if isinstance(template, str) else template
     for name, value in values.items():
-        out = F.replace(out, F.lit(f"<{name}>"), value)
+        out = F.replace(out, F.lit(TEMPLATE_PLACEHOLDER.format(name=name)), value)
     return out

@@ -14,6 +14,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
+
 from ..functions import classify as C
 from ..functions import encode as E
 from ..operators import emoji, payloads, routing, sieve
@@ -108,7 +110,7 @@ def team_payload(teams: DataFrame, emojis: DataFrame | None = None,
         items = t.select("team_id", F.lit(0).cast("bigint").alias("chunk"),
                          F.lit(0).cast("bigint").alias("n_emojis"), F.lit("").alias("_items"))
     else:
-        value = F.coalesce(F.col("url"), F.concat(F.lit("alias:"), F.col("alias_of")))
+        value = F.coalesce(F.col("url"), F.concat(F.lit(schemas.EMOJI_ALIAS_PREFIX), F.col("alias_of")))
         e = emojis.select("team_id", "name",
                           F.to_json(F.struct("name", value.alias("url"))).alias("_json"))
         idx = row_index(e, ["team_id", "name"], "_rn")

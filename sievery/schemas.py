@@ -9,6 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Fixed values of the chat wire format: an emoji page maps a name to a URL
+# or to "alias:<name>"; a message ts is "<epoch seconds>.<6 digits>"; URL
+# templates name their parameters as "<team_id>" and "<channel_id>".
+EMOJI_ALIAS_PREFIX = "alias:"
+TEMPLATE_PLACEHOLDER = "<{name}>"
+
 S = T.StringType()
 B = T.BooleanType()
 L = T.LongType()

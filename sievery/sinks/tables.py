@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
@@ -30,7 +31,8 @@ def read_messages(spark: SparkSession, path: str, first_day: str | None = None,
                   last_day: str | None = None) -> DataFrame:
     """Landed messages, optionally restricted to a day range; the range is
     a partition filter, so other days are not listed or read."""
-    df = spark.read.schema(schemas.MESSAGES.add("day", "date")).parquet(path)
+    landed = T.StructType(list(schemas.MESSAGES.fields) + [T.StructField("day", T.DateType())])
+    df = spark.read.schema(landed).parquet(path)
     if first_day:
         df = df.filter(F.col("day") >= F.lit(first_day).cast("date"))
     if last_day:

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
+
 from ..functions import classify as C
 from ..operators.splitting import row_index
 
@@ -67,7 +69,7 @@ def land_team_pages(teams: DataFrame, path: str) -> None:
 
 def land_emoji_pages(emojis: DataFrame, path: str, page_size: int = 500) -> None:
     """Emoji pages (name -> URL or ``alias:<name>``), in ``team_id=`` folders."""
-    value = F.coalesce(F.col("url"), F.concat(F.lit("alias:"), F.col("alias_of")))
+    value = F.coalesce(F.col("url"), F.concat(F.lit(schemas.EMOJI_ALIAS_PREFIX), F.col("alias_of")))
     rec = emojis.select("team_id", "name",
                         F.to_json(F.struct(value.alias("v"))).alias("_v"))
     # "name":"value" pairs of a JSON object, assembled from to_json pieces.

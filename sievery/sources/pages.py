@@ -88,11 +88,12 @@ def read_emojis(spark: SparkSession, path, multiline: bool = False):
         pages = pages.withColumn("team_id", F.lit(None).cast("string"))
     rows = _ok(pages).select(F.col("team_id").cast("string").alias("team_id"),
                              F.explode("emoji").alias("name", "value"))
-    is_alias = F.col("value").startswith("alias:")
+    prefix = schemas.EMOJI_ALIAS_PREFIX
+    is_alias = F.col("value").startswith(prefix)
     emojis = rows.select(
         "team_id", "name",
         F.when(~is_alias, F.col("value")).alias("url"),
-        F.when(is_alias, F.substr(F.col("value"), F.lit(7))).alias("alias_of"))
+        F.when(is_alias, F.substr(F.col("value"), F.lit(len(prefix) + 1))).alias("alias_of"))
     return emojis, _rejects(pages, "emoji")
 
 

@@ -210,3 +210,16 @@ def test_route_report_job(spark):
     # 1 s windows sliding by 100 ms: every message is in 10 windows
     assert windows.agg(F.sum("n")).first()[0] == 10 * msgs.join(
         routed.selectExpr("id AS channel"), "channel").count()
+
+
+def test_reading_landed_messages_leaves_the_schema_alone(spark):
+    from sievery import schemas
+    from sievery.session import scratch_path
+    from sievery.sinks import tables as landing
+    from sievery.sources import tables as T
+    path = scratch_path(spark, "landing-twice")
+    landing.write_messages(T.load_messages(spark, "/root/testdata/sf0.001"), path)
+    before = len(schemas.MESSAGES.fields)
+    landing.read_messages(spark, path)
+    assert landing.read_messages(spark, path).columns == schemas.MESSAGE_COLUMNS + ["day"]
+    assert len(schemas.MESSAGES.fields) == before
