@@ -50,7 +50,7 @@ def collect_sorted(df: DataFrame, keys: list[str | Column], item: Column,
 
 def _chunked(notable: DataFrame, chunk_size: int, order: list[str]) -> DataFrame:
     items = E.with_message_json(notable).select(
-        "channel", F.floor(F.col("seq") / chunk_size).cast("bigint").alias("chunk"),
+        "channel", F.expr(f"seq div {int(chunk_size)}").alias("chunk"),
         C.category_rank("category", order).alias("_ord"), "seq", "json")
     return (items.groupBy("channel", "chunk")
             .agg(F.array_sort(F.collect_list(F.struct("_ord", "seq", "json"))).alias("_items"),

@@ -45,13 +45,14 @@ def row_index(df: DataFrame, order_col: str | list[str], name: str = "rn",
             .drop("_pid", "_local", "_off"))
 
 
-def ntile_of(index: F.Column, n: int, k: int) -> F.Column:
-    """Group number (1..k) of 0-based position ``index`` of ``n`` rows, the
-    same as SQL ``ntile(k)``: the first ``n % k`` groups hold one extra."""
+def ntile_of(index: str, n: int, k: int) -> F.Column:
+    """Group number (1..k) of the 0-based position in column ``index`` among
+    ``n`` rows, the same as SQL ``ntile(k)``: the first ``n % k`` groups
+    hold one row more."""
     q, r = divmod(n, k)
     big = r * (q + 1)
-    return (F.when(index < big, F.floor(index / (q + 1)) + 1)
-             .otherwise(F.floor((index - big) / F.lit(max(q, 1))) + r + 1)).cast("int")
+    return F.expr(f"CAST(CASE WHEN {index} < {big} THEN {index} div {q + 1} + 1 "
+                  f"ELSE ({index} - {big}) div {max(q, 1)} + {r + 1} END AS INT)")
 
 
 def split_ids(ids: DataFrame, k: int, id_col: str = "id") -> DataFrame:
@@ -67,7 +68,7 @@ def split_ids(ids: DataFrame, k: int, id_col: str = "id") -> DataFrame:
     if k > n:
         raise ValueError(f"cannot make {k} groups from {n} ids")
     indexed = row_index(distinct, id_col, "_i")
-    return indexed.select(id_col, ntile_of(F.col("_i"), n, k).alias("part"))
+    return indexed.select(id_col, ntile_of("_i", n, k).alias("part"))
 
 
 def place_by_key(df: DataFrame, k: int, key: str = "channel") -> DataFrame:

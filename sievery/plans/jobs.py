@@ -32,7 +32,7 @@ def listing_batches(df: DataFrame, size: int, id_col: str = "id") -> DataFrame:
     """
     rec = df.select(F.col(id_col).alias("_id"), E.encode_record(*df.columns).alias("_json"))
     idx = row_index(rec, ["_id", "_json"], "_rn")
-    grouped = (idx.withColumn("batch", F.floor(F.col("_rn") / F.lit(size)).cast("bigint"))
+    grouped = (idx.withColumn("batch", F.expr(f"_rn div {int(size)}"))
                .groupBy("batch")
                .agg(F.array_sort(F.collect_list(F.struct("_rn", "_id", "_json"))).alias("_items"),
                     F.count("*").alias("n_records")))
@@ -114,7 +114,7 @@ def team_payload(teams: DataFrame, emojis: DataFrame | None = None,
         e = emojis.select("team_id", "name",
                           F.to_json(F.struct("name", value.alias("url"))).alias("_json"))
         idx = row_index(e, ["team_id", "name"], "_rn")
-        grouped = (idx.withColumn("chunk", F.floor(F.col("_rn") / F.lit(batch_size)).cast("bigint"))
+        grouped = (idx.withColumn("chunk", F.expr(f"_rn div {int(batch_size)}"))
                    .groupBy("team_id", "chunk")
                    .agg(F.array_sort(F.collect_list(F.struct("_rn", "_json"))).alias("_l"),
                         F.count("*").alias("n_emojis"))

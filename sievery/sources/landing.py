@@ -22,7 +22,7 @@ def _pages(records: DataFrame, order: list[str], page_size: int, keys: list[str]
     """Group ``(…, _json)`` records into pages of at most ``page_size``."""
     keys = keys or []
     idx = row_index(records, keys + order, "_rn")
-    return (idx.withColumn("_page", F.floor(F.col("_rn") / F.lit(page_size)))
+    return (idx.withColumn("_page", F.expr(f"_rn div {int(page_size)}"))
             .groupBy(*keys, "_page")
             .agg(F.array_sort(F.collect_list(F.struct("_rn", "_json"))).alias("_items")))
 
@@ -104,7 +104,7 @@ def land_history_pages(messages: DataFrame, path: str, page_size: int = 1000) ->
     element = (F.when(F.col("category") != C.WHITELISTED, typed)
                 .when(raw_ok, F.col("raw"))
                 .otherwise(F.to_json(F.array("raw")).substr(F.lit(2), F.length(F.to_json(F.array("raw"))) - 2)))
-    items = messages.select("channel", F.floor(F.col("seq") / page_size).cast("bigint").alias("page"),
+    items = messages.select("channel", F.expr(f"seq div {int(page_size)}").alias("page"),
                             "seq", element.alias("element"))
     pages = (items.groupBy("channel", "page")
              .agg(F.array_sort(F.collect_list(F.struct("seq", "element"))).alias("_m"))
