@@ -106,11 +106,17 @@ WIRE_MESSAGE = _struct(
     ("mentions", T.ArrayType(S)),
 )
 
+# ``page`` is added by the landing step (the position of the page in the
+# channel's history); the API itself does not send it.
 HISTORY_PAGE = _struct(
-    ("ok", B), ("error", S), ("channel", S), ("has_more", B), ("pin_count", L),
+    ("ok", B), ("error", S), ("channel", S), ("page", L), ("has_more", B), ("pin_count", L),
     ("messages", T.ArrayType(S)), ("response_metadata", RESPONSE_METADATA),
 )
 
+# Messages per numbered page are counted below this span, so that
+# ``page * PAGE_SPAN + position`` is unique within a channel.
+PAGE_SPAN = 1_000_000
+
 # Canonical tall table of messages: one row per message, every category.
 MESSAGE_COLUMNS = [
     "channel", "category", "category_ord", "seq", "ts", "event_time", "type",

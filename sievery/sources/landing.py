@@ -109,7 +109,8 @@ def land_history_pages(messages: DataFrame, path: str, page_size: int = 1000) ->
     pages = (items.groupBy("channel", "page")
              .agg(F.array_sort(F.collect_list(F.struct("seq", "element"))).alias("_m"))
              .select("channel", F.concat(
-                 F.lit('{"ok":true,"has_more":false,"messages":['),
+                 F.lit('{"ok":true,"has_more":false,"page":'), F.col("page").cast("string"),
+                 F.lit(',"messages":['),
                  F.array_join(F.transform("_m", lambda x: x["element"]), ","),
                  F.lit("]}")).alias("value")))
     pages.write.mode("overwrite").partitionBy("channel").text(path)

@@ -119,8 +119,10 @@ def wire_messages(pages: DataFrame) -> DataFrame:
     ``channel``, ``raw`` text and the parsed ``m``."""
     if "channel" not in pages.columns:
         pages = pages.withColumn("channel", F.lit(None).cast("string"))
-    raw = _ok(pages).select(F.col("channel").cast("string").alias("channel"),
-                            F.explode("messages").alias("raw"))
+    if "page" not in pages.columns:
+        pages = pages.withColumn("page", F.lit(None).cast("bigint"))
+    raw = _ok(pages).select(F.col("channel").cast("string").alias("channel"), "page",
+                            F.posexplode("messages").alias("_pos", "raw"))
     return raw.withColumn("m", F.from_json("raw", schemas.WIRE_MESSAGE))
 
 
@@ -135,14 +137,17 @@ def valid_canonical(wire: DataFrame) -> DataFrame:
 
 
 def to_canonical(wire: DataFrame) -> DataFrame:
-    """Wire messages (``channel``, ``raw``, parsed ``m``) to the canonical
-    ``messages`` shape, unclassified."""
+    """Wire messages (``channel``, ``page``, ``_pos``, ``raw``, parsed ``m``)
+    to the canonical ``messages`` shape, unclassified."""
     m = F.col("m")
     us = ts_micros(m["ts"])
     wire_mentions = m["mentions"]
+    # seq: dense position in the channel when the landing numbered its pages,
+    # else the ts in microseconds (the message id of the chat API).
+    seq = F.coalesce(F.col("page") * F.lit(schemas.PAGE_SPAN) + F.col("_pos"), us)
     return wire.select(
         "channel",
-        us.alias("seq"),
+        seq.alias("seq"),
         m["ts"].alias("ts"),
         F.timestamp_micros(us).alias("event_time"),
         m["type"].alias("type"), m["subtype"].alias("subtype"),

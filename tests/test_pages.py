@@ -128,3 +128,13 @@ def test_land_and_read_pages_roundtrip(spark):
     a = sorted((r["channel"], r["category"]) for r in sieve.sieve(back).collect())
     b = sorted((r["channel"], r["category"]) for r in sieve.sieve(m).collect())
     assert a == b
+
+
+def test_numbered_pages_give_dense_positions(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "channel=C9")
+    msgs = _history()
+    _write(folder, "h.json", [{"ok": True, "page": 0, "messages": msgs[:4]},
+                              {"ok": True, "page": 1, "messages": msgs[4:]}])
+    back, _ = pages.read_history(spark, tmpdir_path)
+    seqs = sorted(r["seq"] for r in back.collect())
+    assert seqs == [0, 1, 2, 3, 1_000_000, 1_000_001, 1_000_002]
