@@ -113,3 +113,14 @@ def test_response_status(spark):
     df = spark.createDataFrame([(b,) for b in bodies], "b string")
     got = {r["b"]: r["s"] for r in df.select("b", response_status(F.col("b")).alias("s")).collect()}
     assert got == bodies
+
+
+def test_nested_objects_keep_field_order(spark):
+    # a VARIANT-based encoder would re-sort keys inside nested objects; the
+    # fragment encoder keeps the struct order (z before a here)
+    df = spark.createDataFrame([_row(category="file_share", subtype="file_share")], MSG_SCHEMA)
+    df = df.withColumn("file", F.struct(F.lit("Z").alias("id"), F.lit("A").alias("title")))
+    df = df.selectExpr("*", "named_struct('z', 1, 'a', 2) AS extra")
+    text = E.with_encoded(df, "file_share").first()["json"]
+    assert '"file":{"id":"Z","title":"A"}' in text
+    assert list(json.loads(text)["file"]) == ["id", "title"]
