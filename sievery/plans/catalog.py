@@ -293,12 +293,18 @@ def q_stream_posts(spark, sf_dir):
 
 def q_deliver_posts(spark, sf_dir):
     """SNK-1 + R-1 + R-2: payloads handed to a delivery function inside the
-    tasks, responses classified, the run failed on any non-OK response."""
+    tasks, receipts stored, responses classified, and the run failed on any
+    non-OK response (checked on the stored receipts, so nothing is
+    delivered twice)."""
+    from ..session import scratch_path
     from ..sinks import delivery
     notable = sieve.sieve(_messages(spark, sf_dir))
     p = payloads.post_payloads(notable, URL_TEMPLATE,
                                channel_teams=T.load_channels(spark, sf_dir), chunk_size=CHUNK)
-    receipts = delivery.deliver_payloads(p, delivery.accepting_service)
+    path = scratch_path(spark, "deliveries")
+    delivery.write_batch(delivery.deliver_payloads(p, delivery.accepting_service), path, 0)
+    receipts = spark.read.parquet(path)
+    delivery.check_receipts(receipts)
     return receipts.select("channel", "chunk", "key", "n_items", "status")
 
 
