@@ -223,3 +223,12 @@ def test_reading_landed_messages_leaves_the_schema_alone(spark):
     landing.read_messages(spark, path)
     assert landing.read_messages(spark, path).columns == schemas.MESSAGE_COLUMNS + ["day"]
     assert len(schemas.MESSAGES.fields) == before
+
+
+def test_cluster_conf_scales_with_input():
+    from sievery.session import cluster_conf
+    small = cluster_conf(10 * 1024 ** 3, 8000)
+    big = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24000          # three waves
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600           # 256 MB each
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
