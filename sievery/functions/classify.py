@@ -79,7 +79,8 @@ def with_category(df: DataFrame) -> DataFrame:
 
 
 def drop_blacklisted(df: DataFrame, subtypes: Iterable[str]) -> DataFrame:
-    """X-2: remove messages whose subtype is configured as blacklisted.
+    """X-2 (our rule): remove messages whose subtype is configured as
+    blacklisted, before classification.
 
     The blacklist is a short configuration list, so it is applied as an
     ``IN`` predicate on the scan side (no join, no shuffle).  A message
