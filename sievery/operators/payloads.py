@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as C
 from ..functions import encode as E
+from .splitting import rank_within
 
 DEFAULT_CHUNK = 10_000
 
@@ -48,10 +49,18 @@ def collect_sorted(df: DataFrame, keys: list[str | Column], item: Column,
             .drop("_l"))
 
 
-def _chunked(notable: DataFrame, chunk_size: int, order: list[str]) -> DataFrame:
+def _chunked(notable: DataFrame, chunk_size: int, order: list[str],
+             chunk_by: str = "seq") -> DataFrame:
     items = E.with_message_json(notable).select(
-        "channel", F.expr(f"seq div {int(chunk_size)}").alias("chunk"),
-        C.category_rank("category", order).alias("_ord"), "seq", "json")
+        "channel", "seq", "json", C.category_rank("category", order).alias("_ord"))
+    if chunk_by == "rank":
+        # exact: position in the channel's delivery order, cut every chunk_size
+        items = rank_within(items, "channel", ["_ord", "seq"], "_rank")
+        items = items.withColumn("chunk", F.expr(f"_rank div {int(chunk_size)}"))
+    elif chunk_by == "seq":
+        items = items.withColumn("chunk", F.expr(f"seq div {int(chunk_size)}"))
+    else:
+        raise ValueError(f"chunk_by must be 'seq' or 'rank', not {chunk_by!r}")
     return (items.groupBy("channel", "chunk")
             .agg(F.array_sort(F.collect_list(F.struct("_ord", "seq", "json"))).alias("_items"),
                  F.count("*").alias("n_items"))
@@ -63,7 +72,7 @@ def _chunked(notable: DataFrame, chunk_size: int, order: list[str]) -> DataFrame
 
 def post_payloads(notable: DataFrame, url_template: str, team_id: str | None = None,
                   channel_teams: DataFrame | None = None,
-                  chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+                  chunk_size: int = DEFAULT_CHUNK, chunk_by: str = "seq") -> DataFrame:
     """AGG-2 + STR-1: delivery payloads of sieved messages.
 
     Columns: team_id, channel, chunk, url, n_items, first_seq, last_seq,
@@ -72,8 +81,15 @@ def post_payloads(notable: DataFrame, url_template: str, team_id: str | None = N
     payload (F-7 by construction).  The team of each channel is either one
     constant (``team_id``) or looked up in ``channel_teams(id, team_id)``
     after the aggregation, when the rows are already few.
+
+    ``chunk_by="seq"`` (one shuffle) bounds a payload by ``chunk_size``
+    when ``seq`` is dense within a channel (event ids, numbered pages);
+    ``chunk_by="rank"`` (one more shuffle) cuts each channel's delivery
+    order into contiguous slices of exactly ``chunk_size`` whatever ``seq``
+    is, so concatenating a channel's bodies in chunk order gives its whole
+    ordered list.
     """
-    p = _chunked(notable, chunk_size, C.ORDER_B)
+    p = _chunked(notable, chunk_size, C.ORDER_B, chunk_by)
     if channel_teams is not None:
         teams = channel_teams.select(F.col("id").alias("_cid"), F.col("team_id"))
         p = p.join(teams, p["channel"] == teams["_cid"], "left").drop("_cid")

@@ -12,27 +12,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_parallelism
+from ..session import checkpoint_root, default_parallelism
+
+
+def _ranged(df: DataFrame, cols: list[str], n_parts: int) -> DataFrame:
+    """Range-partition and sort ``df``, tag each row with its partition and
+    local position, and materialize the result once.
+
+    The frame is used twice (per-partition counts, then the join back).
+    Range bounds come from a sample whose rows arrive in shuffle order, so
+    two evaluations could cut the ranges differently; a reliable
+    checkpoint in the shared checkpoint folder fixes one partitioning for
+    both uses, also when a lost executor forces recomputation.
+    """
+    checkpoint_root(df.sparkSession)
+    ranged = (df.repartitionByRange(n_parts, *[F.col(c) for c in cols])
+              .sortWithinPartitions(*cols)
+              .withColumn("_pid", F.spark_partition_id())
+              # monotonically_increasing_id = (partition id << 33) + position
+              # in the partition: the low 33 bits are the local position.
+              .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    return ranged.checkpoint(eager=True)
 
 
 def row_index(df: DataFrame, order_col: str | list[str], name: str = "rn",
               partitions: int | None = None) -> DataFrame:
     """Add the 0-based position of each row in ``order_col`` order.
 
-    Give a unique key (or several columns that together are unique): the
-    numbering is then the same on every recomputation, e.g. after a lost
-    executor, because range bounds are fixed when the plan runs and the
-    sort inside each partition has no ties.
+    Give a unique key (or several columns that together are unique), so
+    the sort inside each partition has no ties.  The partitioned rows are
+    checkpointed once (see ``_ranged``), so the numbering is the same for
+    every use and every recomputation.
     """
     cols = [order_col] if isinstance(order_col, str) else list(order_col)
     n_parts = partitions or default_parallelism(df.sparkSession)
-    ranged = (df.repartitionByRange(n_parts, *[F.col(c) for c in cols])
-              .sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_local", F.monotonically_increasing_id()))
-    # monotonically_increasing_id = (partition id << 33) + position in the
-    # partition, so the local position is the low 33 bits.
-    ranged = ranged.withColumn("_local", F.col("_local").bitwiseAND(F.lit((1 << 33) - 1)))
+    ranged = _ranged(df, cols, n_parts)
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
     # One row per partition: a proven bound, so the offsets are broadcast.
     offsets = counts.select(
@@ -45,6 +59,30 @@ def row_index(df: DataFrame, order_col: str | list[str], name: str = "rn",
             .drop("_pid", "_local", "_off"))
 
 
+def rank_within(df: DataFrame, key: str, order_cols: list[str], name: str = "rank",
+                partitions: int | None = None) -> DataFrame:
+    """Add the 0-based position of each row within its ``key``, in
+    ``order_cols`` order (give columns that are unique within a key).
+
+    Distributed like ``row_index``: rows are range-partitioned on (key,
+    order), so a key holding a third of all rows spans many partitions; the
+    per-(partition, key) row counts (at most one row per partition for each
+    key) give each key's offset in every partition.  No task ever holds a
+    whole key.
+    """
+    cols = [key] + list(order_cols)
+    n_parts = partitions or default_parallelism(df.sparkSession)
+    ranged = _ranged(df, cols, n_parts)
+    firsts = ranged.groupBy("_pid", key).agg(F.min("_local").alias("_first"),
+                                             F.count("*").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = firsts.select("_pid", key, "_first",
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (ranged.join(offsets, ["_pid", key])
+            .withColumn(name, (F.col("_off") + F.col("_local") - F.col("_first")).cast("bigint"))
+            .drop("_pid", "_local", "_first", "_off"))
+
+
 def ntile_of(index: str, n: int, k: int) -> F.Column:
     """Group number (1..k) of the 0-based position in column ``index`` among
     ``n`` rows, the same as SQL ``ntile(k)``: the first ``n % k`` groups

@@ -33,6 +33,7 @@ USER_BATCH = 500
 CHANNEL_BATCH = 10
 TEAM_BATCH = 1000
 CHUNK = payloads.DEFAULT_CHUNK
+SLICE = 50
 
 
 def _messages(spark, sf_dir) -> DataFrame:
@@ -119,6 +120,15 @@ def q_post_payloads(spark, sf_dir):
                     "body", "key")
 
 
+def q_post_payload_slices(spark, sf_dir):
+    """AGG-2 with exact slices: each channel's delivery-ordered list cut
+    into payloads of SLICE messages (distributed rank within channel)."""
+    notable = sieve.sieve(_messages(spark, sf_dir))
+    p = payloads.post_payloads(notable, URL_TEMPLATE, channel_teams=T.load_channels(spark, sf_dir),
+                               chunk_size=SLICE, chunk_by="rank")
+    return p.select("channel", "chunk", "n_items", "first_seq", "last_seq", "key")
+
+
 def q_channel_posts(spark, sf_dir):
     """E-5 + E-6: channel-posts records, items in order A."""
     notable = sieve.sieve(_messages(spark, sf_dir))
@@ -385,6 +395,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_users": q_encode_users,
     "encode_channels": q_encode_channels,
     "post_payloads": q_post_payloads,
+    "post_payload_slices": q_post_payload_slices,
     "channel_posts": q_channel_posts,
     "route_channels": q_route_channels,
     "route_windows": q_route_windows,

@@ -275,6 +275,20 @@ SELECT c.team_id, g.channel, g.chunk, {url} AS url, g.n_items, g.first_seq, g.la
        sha256({url} || chr(10) || g.body) AS key
 FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
 
+        "post_payload_slices": _with(_MESSAGES, _CHANNELS) + f"""
+, items AS (
+  SELECT channel, seq, category_ord AS ord, {_MSG_JSON} AS json,
+         (row_number() OVER (PARTITION BY channel ORDER BY category_ord, seq) - 1) // {Q.SLICE} AS chunk
+  FROM messages WHERE notable),
+grouped AS (
+  SELECT channel, chunk, count(*) AS n_items,
+         first(seq ORDER BY ord, seq) AS first_seq, last(seq ORDER BY ord, seq) AS last_seq,
+         '[' || string_agg(json, ',' ORDER BY ord, seq) || ']' AS body
+  FROM items GROUP BY channel, chunk)
+SELECT g.channel, g.chunk, g.n_items, g.first_seq, g.last_seq,
+       sha256({url} || chr(10) || g.body) AS key
+FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
+
         "channel_posts": _with(_MESSAGES, _payloads("order_a", Q.CHUNK)) + """
 SELECT channel, chunk, n_items, first_seq, last_seq,
        '{"channel":"' || channel || '","posts":' || body || '}' AS record
