@@ -102,10 +102,12 @@ def post_payloads(notable: DataFrame, url_template: str, team_id: str | None = N
                     F.sha2(F.concat_ws("\n", url, F.col("body")), 256).alias("key"))
 
 
-def channel_posts(notable: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
+def channel_posts(notable: DataFrame, chunk_size: int = DEFAULT_CHUNK,
+                  chunk_by: str = "seq") -> DataFrame:
     """E-5 + E-6: ``{"channel":..,"posts":[..]}`` records, items in order A
-    (bot, file share, user attachment, file comment, whitelisted)."""
-    p = _chunked(notable, chunk_size, C.ORDER_A)
+    (bot, file share, user attachment, file comment, whitelisted); chunked
+    as in ``post_payloads``."""
+    p = _chunked(notable, chunk_size, C.ORDER_A, chunk_by)
     p = E.add_fragments(p, ["channel"])
     record = E.json_object_sql(E.always("channel"), "concat('\"posts\":', body)")
     return p.selectExpr("channel", "chunk", "n_items", "first_seq", "last_seq",

@@ -62,14 +62,15 @@ def listed_only(messages: DataFrame, channels: DataFrame, id_col: str = "id") ->
 
 def seed_posts(messages: DataFrame, url_template: str, blacklist: Iterable[str] = (),
                team_id: str | None = None, channel_teams: DataFrame | None = None,
-               chunk_size: int = payloads.DEFAULT_CHUNK) -> DataFrame:
+               chunk_size: int = payloads.DEFAULT_CHUNK, chunk_by: str = "seq") -> DataFrame:
     """JOB-3: messages of the listed channels (ST-1, when ``channel_teams``
     is the listing), blacklist (X-2), sieve (F-6), encode and group (AGG-2)."""
     if channel_teams is not None:
         messages = listed_only(messages, channel_teams)
     kept = sieve.sieve(C.drop_blacklisted(messages, blacklist))
     return payloads.post_payloads(kept, url_template, team_id=team_id,
-                                  channel_teams=channel_teams, chunk_size=chunk_size)
+                                  channel_teams=channel_teams, chunk_size=chunk_size,
+                                  chunk_by=chunk_by)
 
 
 def team_info(teams: DataFrame, emojis: DataFrame) -> DataFrame:
