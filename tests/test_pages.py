@@ -138,3 +138,13 @@ def test_numbered_pages_give_dense_positions(spark, tmpdir_path):
     back, _ = pages.read_history(spark, tmpdir_path)
     seqs = sorted(r["seq"] for r in back.collect())
     assert seqs == [0, 1, 2, 3, 1_000_000, 1_000_001, 1_000_002]
+
+
+def test_malformed_page_is_a_reject(spark, tmpdir_path):
+    os.makedirs(tmpdir_path, exist_ok=True)
+    with open(os.path.join(tmpdir_path, "p.json"), "w") as fh:
+        fh.write(json.dumps({"ok": True, "channels": [_channel(3, 4)]}) + "\n")
+        fh.write('{"ok": true, "channels": [ {"id": "C4"\n')          # cut short
+    chans, rej = pages.read_channels(spark, tmpdir_path)
+    assert [r["id"] for r in chans.collect()] == ["C3"]
+    assert [r["reason"] for r in rej.collect()] == ["malformed page"]
