@@ -76,6 +76,17 @@ def read_team(spark: SparkSession, path, multiline: bool = False):
     return team, _rejects(pages, "team")
 
 
+def read_team_id(spark: SparkSession, path, multiline: bool = False):
+    """SRC-4: only the team id of every team page (empty when the page is
+    an error; the reason is in the rejects)."""
+    team, rejects = read_team(spark, path, multiline)
+    return nonempty_ids(team.select("id")), rejects
+
+
+def nonempty_ids(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("id").isNotNull() & (F.col("id") != ""))
+
+
 def read_emojis(spark: SparkSession, path, multiline: bool = False):
     """Emoji pages as rows (team_id, name, url, alias_of).
 

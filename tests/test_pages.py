@@ -148,3 +148,15 @@ def test_malformed_page_is_a_reject(spark, tmpdir_path):
     chans, rej = pages.read_channels(spark, tmpdir_path)
     assert [r["id"] for r in chans.collect()] == ["C3"]
     assert [r["reason"] for r in rej.collect()] == ["malformed page"]
+
+
+def test_team_id_and_empty_listing_flow(spark, tmpdir_path):
+    from sievery.plans import jobs
+    _write(tmpdir_path, "t.json", [{"ok": False, "error": "invalid_auth"}])
+    ids, rej = pages.read_team_id(spark, tmpdir_path)
+    assert ids.count() == 0 and rej.count() == 1
+    # F-9: an empty listing flows through every job and yields nothing
+    empty_users, _ = pages.read_users(spark, tmpdir_path)
+    assert jobs.seed_users(empty_users, 10).count() == 0
+    empty_msgs, _ = pages.read_conversations(spark, tmpdir_path)
+    assert jobs.seed_posts(empty_msgs, "u/<team_id>/<channel_id>", team_id="T").count() == 0
