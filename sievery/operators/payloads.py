@@ -4,11 +4,14 @@ five-list concatenation (UN-1) and the sieved / channel-posts records
 
 A payload groups the notable messages of one channel.  A channel may hold a
 third of all messages, so a payload is never the whole channel: the group
-key is ``(channel, chunk)`` with ``chunk = floor(seq / chunk_size)``.  The
+key is ``(channel, chunk)``.  By default ``chunk = seq div chunk_size``; the
 sequence number is unique within a channel, hence a group has at most
 ``chunk_size`` rows whatever the skew, and the grouping shuffles only the
-JSON text of already-sieved rows.  Inside a payload the items are ordered
-by category (order B for delivery, A for the record form) then by seq.
+JSON text of already-sieved rows.  With ``chunk_by="rank"`` the chunk is
+the message's exact position in its channel's delivery order (a
+distributed rank) divided by ``chunk_size``.  Inside a payload the items
+are ordered by category (order B for delivery, A for the record form) then
+by seq.
 """
 
 from __future__ import annotations
