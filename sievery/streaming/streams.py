@@ -102,7 +102,8 @@ def read_page_stream(spark: SparkSession, path: str, max_files: int = 1000) -> D
 def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
                  channel_teams: DataFrame | None = None, team_id: str | None = None,
                  blacklist=(), deliver=None, chunk_size: int = 10_000,
-                 watermark: str = WATERMARK, out: str | None = None) -> str:
+                 watermark: str = WATERMARK, out: str | None = None,
+                 chunk_by: str = "seq") -> str:
     """JOB-3 as a stream: pages -> classified messages (X-1, X-2) -> each
     message once within the watermark of arrival (ST-2) -> sieve (F-6) -> per batch:
     payloads (AGG-2) written per batch id; with ``deliver``, each payload is
@@ -111,7 +112,8 @@ def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
     ``seq`` of messages from numbered pages is their position in the
     channel, so a payload holds at most ``chunk_size`` messages; for pages
     without a number it is the ts in microseconds and ``chunk_size`` is a
-    time span.  Payloads and receipts
+    time span, unless ``chunk_by="rank"`` (exact positions within each
+    micro-batch).  Payloads and receipts
     are written per batch id; a replayed batch replaces its own output.
     Returns the output folder (``payloads/``, ``receipts/`` and the
     ``checkpoint/`` a restarted run resumes from; pass ``out`` to resume).
@@ -141,7 +143,7 @@ def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
 
     def build(batch: DataFrame) -> DataFrame:
         return P.post_payloads(batch, url_template, team_id=team_id,
-                               channel_teams=teams, chunk_size=chunk_size)
+                               channel_teams=teams, chunk_size=chunk_size, chunk_by=chunk_by)
 
     sink = batch_sink(out + "/payloads", build=build, deliver=deliver,
                       receipts_path=out + "/receipts")

@@ -188,3 +188,15 @@ def test_trailing_text_after_json_is_accepted(spark):
     # documented behaviour: Spark's parser stops after the first complete
     # value, where a strict parser would refuse the text
     assert df.select(S.keep_whitelisted().alias("k")).first()["k"] is True
+
+
+def test_stream_posts_rank_chunks(spark):
+    from sievery.sources import landing
+    m = T.load_messages(spark, SMALL)
+    pages_path = scratch_path(spark, "pages-rank")
+    landing.land_history_pages(m, pages_path)
+    out = streams.stream_posts(spark, pages_path, Q.URL_TEMPLATE, team_id="T",
+                               chunk_size=7, chunk_by="rank")
+    p = spark.read.parquet(out + "/payloads")
+    assert p.agg(F.max("n_items")).first()[0] <= 7
+    assert p.agg(F.sum("n_items")).first()[0] == sieve.sieve(m).count()
