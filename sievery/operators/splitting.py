@@ -76,11 +76,13 @@ def rank_within(df: DataFrame, key: str, order_cols: list[str], name: str = "ran
     firsts = ranged.groupBy("_pid", key).agg(F.min("_local").alias("_first"),
                                              F.count("*").alias("_n"))
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = firsts.select("_pid", key, "_first",
+    offsets = firsts.select(F.col("_pid").alias("_opid"), F.col(key).alias("_okey"), "_first",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (ranged.join(offsets, ["_pid", key])
+    # null-safe on the key: rows whose key is NULL form a group of their own
+    on = (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_okey"))
+    return (ranged.join(offsets, on)
             .withColumn(name, (F.col("_off") + F.col("_local") - F.col("_first")).cast("bigint"))
-            .drop("_pid", "_local", "_first", "_off"))
+            .drop("_pid", "_local", "_first", "_off", "_opid", "_okey"))
 
 
 def ntile_of(index: str, n: int, k: int) -> F.Column:

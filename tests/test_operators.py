@@ -258,3 +258,10 @@ def test_rank_chunks_are_contiguous_slices(spark):
         pieces = [i for r in rows if r["channel"] == ch for i in json.loads(r["body"])]
         full = json.loads(whole.filter(F.col("channel") == ch).first()["body"])
         assert pieces == full                        # slices of the one ordered list
+
+
+def test_rank_within_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), ("a", 5)], "k string, v int")
+    got = sorted(((r["k"] or ""), r["v"], r["rank"])
+                 for r in splitting.rank_within(df, "k", ["v"], "rank", 2).collect())
+    assert got == [("", 1, 0), ("", 2, 1), ("a", 5, 0)]
