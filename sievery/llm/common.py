@@ -7,11 +7,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sievery.session import scratch_path, table_path
 
-__all__ = ["free_name", "input_bytes", "materialize", "read_table", "spark_of", "text_or_empty"]
+__all__ = ["bounded_batches", "env_single_thread", "free_name", "input_bytes", "materialize", "read_table", "spark_of", "text_or_empty"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,8 +55,15 @@ def input_bytes(df: DataFrame, text: str) -> tuple[int, int]:
     return int(row["n"]), int(row["b"] or 0)
 
 
-def long_field(name: str) -> T.StructField:
-    return T.StructField(name, T.LongType())
+def bounded_batches(spark: SparkSession, most_bytes: int = 32 << 20, rows: int = 2000) -> None:
+    """Bound the Arrow batches that go to Python tasks by bytes and rows, so that a run of
+    very long texts does not make one huge batch; a smaller bound of the session's stays."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", most_bytes),
+                      ("spark.sql.execution.arrow.maxRecordsPerBatch", rows)):
+        now = str(spark.conf.get(key))
+        size = int(now) if now.lstrip("-").isdigit() else 0
+        if not 0 < size <= most:
+            spark.conf.set(key, str(most))
 
 
 def env_single_thread() -> None:

@@ -32,6 +32,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+LINES = r"""
+WITH l AS (
+  SELECT doc_id, i, line,
+         translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line,
+               generate_subscripts(string_split(t, chr(10)), 1) AS i
+        FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))),
+k AS (
+  SELECT key, min(doc_id) AS first FROM l WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+m AS (
+  SELECT l.doc_id, i, line, k.key IS NOT NULL AND l.doc_id <> k.first AS gone
+  FROM l LEFT JOIN k USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY,
+    "op2_line_dedup": LINES,
 }

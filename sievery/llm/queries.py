@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sievery.llm import quality
+from sievery.llm import linededup, quality
 from sievery.llm.common import read_table
 from sievery.llm.oracle import ORACLE
 
@@ -17,6 +18,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.annotate(read_table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "lines.n_lines", "lines.n_dropped",
+                      F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_line_dedup": op2_line_dedup,
 }
