@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievery.llm import linededup, quality
+from sievery.llm import linededup, neardup, quality
 from sievery.llm.common import read_table
 from sievery.llm.oracle import ORACLE
 
@@ -24,7 +24,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
 }
