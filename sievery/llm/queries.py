@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievery.llm import linededup, neardup, quality
+from sievery.llm import linededup, neardup, packing, quality, secretscan
 from sievery.llm.common import read_table
 from sievery.llm.oracle import ORACLE
 
@@ -28,8 +28,32 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                      "sequence_id", "offset")
+
+
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.find(read_table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "entropy")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_packing": op4_packing,
+    "op8_secret_scans": op8_secret_scans,
 }
