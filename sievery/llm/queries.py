@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievery.llm import linededup, neardup, packing, quality, secretscan
+from sievery.llm import linededup, neardup, packing, pieces, quality, secretscan, shards
 from sievery.llm.common import read_table
 from sievery.llm.oracle import ORACLE
 
@@ -50,10 +50,26 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.col("spans")).alias("spans"))
 
 
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shards.read(shards.write(read_table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.encode(read_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.array_max("ends"), F.lit(0)).cast("long").alias("span_bytes"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_packing": op4_packing,
     "op8_secret_scans": op8_secret_scans,
+    "op9_token_shards": op9_token_shards,
+    "op10_sentencepiece": op10_sentencepiece,
 }

@@ -140,3 +140,96 @@ def _json_tokenizer(path: str) -> Units:
 def encoder(path: str) -> Units:
     """Encoder of a ``tokenizers`` file, kept for the life of the worker process."""
     return _json_tokenizer(path)
+
+
+# ------------------------------------------------------------------ sentence pieces
+
+def wire(data: bytes) -> Iterable[tuple[int, int | bytes]]:
+    """(field number, value) of a protocol-buffer message."""
+    def number(i: int) -> tuple[int, int]:
+        out = shift = 0
+        while True:
+            byte = data[i]
+            out |= (byte & 127) << shift
+            i, shift = i + 1, shift + 7
+            if byte < 128:
+                return out, i
+    i = 0
+    while i < len(data):
+        tag, i = number(i)
+        kind = tag & 7
+        if kind == 0:
+            value, i = number(i)
+        elif kind == 2:
+            size, i = number(i)
+            value, i = data[i:i + size], i + size
+        else:
+            size = 4 if kind == 5 else 8
+            value, i = data[i:i + size], i + size
+        yield tag >> 3, value
+
+
+class PieceModel:
+    """What encoding needs to know of a sentence-piece model file."""
+
+    BYTE, UNKNOWN, CONTROL = 6, 2, 3
+
+    def __init__(self, path: str) -> None:
+        import sentencepiece
+
+        with open(path, "rb") as f:
+            data = f.read()
+        self.processor = sentencepiece.SentencePieceProcessor(model_proto=data)
+        self.pieces: list[bytes] = []
+        self.kinds: list[int] = []
+        self.charsmap, self.dummy_prefix, self.remove_extra, self.escape = b"", True, True, True
+        for field, value in wire(data):
+            if field == 1:
+                own = dict(wire(value))
+                self.pieces.append(own.get(1, b""))
+                self.kinds.append(own.get(3, 1))
+            elif field == 3:
+                for k, v in wire(value):
+                    if k == 2:
+                        self.charsmap = v
+                    elif k == 3:
+                        self.dummy_prefix = bool(v)
+                    elif k == 4:
+                        self.remove_extra = bool(v)
+                    elif k == 5:
+                        self.escape = bool(v)
+        space = "▁".encode()
+        plain = [p for p, k in zip(self.pieces, self.kinds, strict=True) if k == 1]
+        line = self.processor.encode("\n")
+        self.line_feed = line[-1] if len(line) == 2 else None
+        self.separable = (not self.charsmap and not self.remove_extra and self.dummy_prefix
+                          and self.escape and self.line_feed is not None
+                          and self.kinds[self.line_feed] == self.BYTE
+                          and not any(b"\n" in p or space in p.lstrip(space) for p in plain)
+                          and not any(k == 4 for k in self.kinds))
+
+    def whole(self, text: str) -> list[int]:
+        return self.processor.encode(text)
+
+    def units(self) -> Units:
+        if not self.separable:
+            return Units(lambda t: [t], self.whole,
+                         lambda units, known: {u: packed(self.whole(u)) for u in units}, re.compile(""))
+        cutter = re.compile(r" *[^ \n]+| +|\n").findall
+
+        def many(units: list[str], known: dict) -> dict[str, bytes]:
+            own = [u for u in units if u != "\n"]
+            ids = np.array(self.whole("\n" + "\n".join(own) + "\n"), np.int64)
+            found = cut(ids[2:], self.line_feed, own) if own else {}
+            if found is None:
+                found = {u: packed(self.whole("\n" + u)[2:]) for u in own}
+            return {**found, "\n": packed([self.line_feed])}
+
+        return Units(lambda t: cutter(" " + t) if t else [], self.whole, many,
+                     re.compile("[▁\x00]"))
+
+
+@functools.lru_cache(2)
+def piece_model(path: str) -> tuple[PieceModel, Units]:
+    model = PieceModel(path)
+    return model, model.units()
