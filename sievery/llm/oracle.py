@@ -51,7 +51,20 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM m GROUP BY doc_id
 """
 
+ARCHIVES = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, ''))::BIGINT AS n FROM pages),
+k AS (
+  SELECT h, max(page_id) AS last FROM p WHERE n >= 1000 GROUP BY h HAVING count(*) > 1)
+SELECT page_id, n AS payload_bytes, sha1(p.h) AS payload_digest,
+       CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM p LEFT JOIN k ON p.h = k.h
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op2_line_dedup": LINES,
+    "op6_warc": ARCHIVES,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievery.llm import linededup, neardup, packing, pieces, quality, secretscan, shards
+from sievery.llm import linededup, neardup, packing, pieces, quality, secretscan, shards, warc
 from sievery.llm.common import read_table
 from sievery.llm.oracle import ORACLE
 
@@ -34,6 +34,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "sequence_id", "offset")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(read_table(spark, sf_dir, "pages"))
+    return warc.read(spark, archives).select("page_id", "payload_bytes", "payload_digest",
+                                             "record_type", "refers_to")
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secretscan.find(read_table(spark, sf_dir, "documents"))
 
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_packing": op4_packing,
+    "op6_warc": op6_warc,
     "op8_secret_scans": op8_secret_scans,
     "op9_token_shards": op9_token_shards,
     "op10_sentencepiece": op10_sentencepiece,
