@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievery.llm import linededup, neardup, packing, pieces, quality, secretscan, shards, warc
+from sievery.llm import ann, linededup, neardup, packing, pieces, quality, secretscan, shards, warc
 from sievery.llm.common import read_table
 from sievery.llm.oracle import ORACLE
 
@@ -40,6 +40,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              "record_type", "refers_to")
 
 
+def op7_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secretscan.find(read_table(spark, sf_dir, "documents"))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_packing": op4_packing,
     "op6_warc": op6_warc,
+    "op7_multiprobe_ann": op7_multiprobe_ann,
     "op8_secret_scans": op8_secret_scans,
     "op9_token_shards": op9_token_shards,
     "op10_sentencepiece": op10_sentencepiece,
