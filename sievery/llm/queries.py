@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievery.llm import ann, linededup, neardup, packing, pieces, quality, secretscan, shards, warc
+from sievery.llm import ann, extract, linededup, neardup, packing, pieces, quality, secretscan, shards, warc
 from sievery.llm.common import read_table
 from sievery.llm.oracle import ORACLE
 
@@ -34,6 +34,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "sequence_id", "offset")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract.extract(read_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write(read_table(spark, sf_dir, "pages"))
     return warc.read(spark, archives).select("page_id", "payload_bytes", "payload_digest",
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_packing": op4_packing,
+    "op5_html_extraction": op5_html_extraction,
     "op6_warc": op6_warc,
     "op7_multiprobe_ann": op7_multiprobe_ann,
     "op8_secret_scans": op8_secret_scans,
