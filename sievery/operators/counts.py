@@ -55,34 +55,31 @@ def _metric_rows(df: DataFrame, names: list[str]) -> DataFrame:
         F.struct(F.lit(n).alias("metric"), F.col(n).cast("bigint").alias("value")) for n in names])))
 
 
-def run_metrics(messages: DataFrame, payloads: DataFrame, user_batches: DataFrame | None = None,
-                team_payloads: DataFrame | None = None) -> DataFrame:
-    """The counters of a run as (metric, value) rows: channels and posts
-    seen by the mapper; posts, channels and payloads handed to the posts
-    sink; users and teams handed to their sinks.  Each input is reduced by
-    one aggregate; the results are stacked, not joined."""
-    seen = messages.agg(F.count_distinct("channel").alias("mapper_channels"),
-                        F.count_if(S.is_notable()).alias("mapper_posts"))
-    sent = payloads.agg(F.coalesce(F.sum("n_items"), F.lit(0)).alias("sink_posts"),
-                        F.count_distinct("channel").alias("sink_channels"),
-                        F.count("*").alias("sink_payloads"))
-    out = _metric_rows(seen, ["mapper_channels", "mapper_posts"]).unionByName(
-        _metric_rows(sent, ["sink_posts", "sink_channels", "sink_payloads"]))
-    if user_batches is not None:
-        users = user_batches.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("sink_users"))
-        out = out.unionByName(_metric_rows(users, ["sink_users"]))
-    if team_payloads is not None:
-        out = out.unionByName(_metric_rows(team_payloads.agg(F.count("*").alias("sink_teams")),
-                                           ["sink_teams"]))
-    return out
+def run_metrics(channels: DataFrame, notable: DataFrame, receipts: DataFrame) -> DataFrame:
+    """The counters of a run as (metric, value) rows: listed channels tried and
+    notable posts found by the mapper, and what each sink delivered.
+
+    Sink counters come from OK receipts only (decision D7): posts, channels and
+    users are the records of accepted payloads, teams the teams with one.  Each
+    input is reduced by one aggregate; the results are stacked, not joined."""
+    tried = channels.agg(F.count("*").alias("mapper_channels"))
+    found = notable.agg(F.count("*").alias("mapper_posts"))
+    return (_metric_rows(tried, ["mapper_channels"])
+            .unionByName(_metric_rows(found, ["mapper_posts"]))
+            .unionByName(delivered_metrics(receipts)))
 
 
 def delivered_metrics(receipts: DataFrame) -> DataFrame:
-    """Sink counters counted only after an OK response (decision D7): posts
-    and channels of the accepted payloads, and the payloads refused."""
+    """Sink counters, counted only after an OK response (decision D7), and the
+    payloads refused."""
     ok = F.col("status") == "OK"
+
+    def records(kind: str):
+        return F.coalesce(F.sum(F.when(ok & (F.col("kind") == kind), F.col("n_items"))), F.lit(0))
     agg = receipts.agg(
-        F.coalesce(F.sum(F.when(ok, F.col("n_items"))), F.lit(0)).alias("sink_posts"),
-        F.count_distinct(F.when(ok, F.col("channel"))).alias("sink_channels"),
+        records("posts").alias("sink_posts"), records("channels").alias("sink_channels"),
+        records("users").alias("sink_users"),
+        F.count_distinct(F.when(ok & (F.col("kind") == "team"), F.col("team_id"))).alias("sink_teams"),
         F.count_if(~ok).alias("refused_payloads"))
-    return _metric_rows(agg, ["sink_posts", "sink_channels", "refused_payloads"])
+    return _metric_rows(agg, ["sink_posts", "sink_channels", "sink_users", "sink_teams",
+                              "refused_payloads"])

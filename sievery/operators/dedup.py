@@ -2,20 +2,33 @@
 
 The original aimed at emitting every channel exactly once but had no
 de-duplication.  A message is identified by (channel, ts); a replayed page
-or batch therefore adds no rows.  In batch this is a distinct on the key
-(partial per task, then one shuffle on the key); in a stream it is
-``dropDuplicatesWithinWatermark``, whose state is bounded by the watermark.
+or batch therefore adds no rows.  A message may land again with reactions it
+did not have before, so it is sieved first and de-duplicated after: a version
+that is not notable never hides one that is.
+
+In batch the latest version stays: the greatest ``seq`` (position of the
+landing page), then the greatest raw text and reactions, so the result does not depend
+on the order of the rows.  It is one aggregate per key with partial maxima
+before the shuffle.  In a stream the first notable version of a key within the
+watermark stays (it has been delivered); its state holds notable keys only.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 KEY = ["channel", "ts"]
+LATEST = ["seq", "raw", "text", "reactions", "replies", "mentions", "comments"]
 
 
-def dedup_messages(messages: DataFrame, key: list[str] = KEY) -> DataFrame:
-    return messages.dropDuplicates(key)
+def dedup_messages(messages: DataFrame, key: list[str] = KEY,
+                   latest: list[str] = LATEST) -> DataFrame:
+    """The latest version of every message (greatest ``latest`` columns)."""
+    rest = [c for c in messages.columns if c not in key]
+    order = F.struct(*[F.col(c) for c in latest if c in messages.columns])
+    best = messages.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_m"))
+    return best.select(*key, "_m.*").select(*messages.columns)
 
 
 def dedup_stream(messages: DataFrame, event_time: str = "event_time",

@@ -4,14 +4,14 @@ five-list concatenation (UN-1) and the sieved / channel-posts records
 
 A payload groups the notable messages of one channel.  A channel may hold a
 third of all messages, so a payload is never the whole channel: the group
-key is ``(channel, chunk)``.  By default ``chunk = seq div chunk_size``; the
-sequence number is unique within a channel, hence a group has at most
-``chunk_size`` rows whatever the skew, and the grouping shuffles only the
-JSON text of already-sieved rows.  With ``chunk_by="rank"`` the chunk is
-the message's exact position in its channel's delivery order (a
-distributed rank) divided by ``chunk_size``.  Inside a payload the items
-are ordered by category (order B for delivery, A for the record form) then
-by seq.
+key is ``(channel, chunk)``.  By default the chunk comes from the message's
+exact position in its channel's delivery order (a distributed rank over the
+narrow columns; the JSON text joins it afterwards): a payload has at most
+``chunk_size`` items and about ``max_bytes`` bytes, and a channel of n items
+has ``ceil(n / chunk_size)`` payloads, whatever ``seq`` is.  With
+``chunk_by="seq"`` the chunk is ``seq div chunk_size``, which saves the rank
+where seq is dense in a channel.  Inside a payload the items are ordered by
+category (order B for delivery, A for the record form) then by seq.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from ..functions import encode as E
 from .splitting import rank_within
 
 DEFAULT_CHUNK = 10_000
+DEFAULT_BYTES = 8 << 20       # JSON of a payload, beside its last item
 
 
 def union_categories(*parts: DataFrame) -> DataFrame:
@@ -53,13 +54,19 @@ def collect_sorted(df: DataFrame, keys: list[str | Column], item: Column,
 
 
 def _chunked(notable: DataFrame, chunk_size: int, order: list[str],
-             chunk_by: str = "seq") -> DataFrame:
+             chunk_by: str = "rank", max_bytes: int = DEFAULT_BYTES) -> DataFrame:
     items = E.with_message_json(notable).select(
         "channel", "seq", "json", C.category_rank("category", order).alias("_ord"))
     if chunk_by == "rank":
-        # exact: position in the channel's delivery order, cut every chunk_size
-        items = rank_within(items, "channel", ["_ord", "seq"], "_rank")
-        items = items.withColumn("chunk", F.expr(f"_rank div {int(chunk_size)}"))
+        # Both quotients only grow along a channel's order, so their sum changes
+        # exactly where one of them does and numbers the payloads.
+        narrow = items.select("channel", "seq", "_ord", (F.octet_length("json") + 1).alias("_size"))
+        placed = rank_within(narrow, "channel", ["_ord", "seq"], "_rank", weight="_size",
+                             before="_before").select(
+            F.col("channel").alias("_c"), F.col("seq").alias("_s"),
+            F.expr(f"_rank div {int(chunk_size)} + _before div {int(max_bytes)}").alias("chunk"))
+        items = items.join(placed, F.col("channel").eqNullSafe(F.col("_c"))
+                           & (F.col("seq") == F.col("_s"))).drop("_c", "_s")
     elif chunk_by == "seq":
         items = items.withColumn("chunk", F.expr(f"seq div {int(chunk_size)}"))
     else:
@@ -75,24 +82,22 @@ def _chunked(notable: DataFrame, chunk_size: int, order: list[str],
 
 def post_payloads(notable: DataFrame, url_template: str, team_id: str | None = None,
                   channel_teams: DataFrame | None = None,
-                  chunk_size: int = DEFAULT_CHUNK, chunk_by: str = "seq") -> DataFrame:
+                  chunk_size: int = DEFAULT_CHUNK, chunk_by: str = "rank",
+                  max_bytes: int = DEFAULT_BYTES) -> DataFrame:
     """AGG-2 + STR-1: delivery payloads of sieved messages.
 
-    Columns: team_id, channel, chunk, url, n_items, first_seq, last_seq,
+    Columns: kind, team_id, channel, chunk, url, n_items, first_seq, last_seq,
     body, key.  ``key`` = sha-256 of url and body, so a replayed delivery can
     be recognised downstream.  Channels with nothing notable produce no
     payload (F-7 by construction).  The team of each channel is either one
     constant (``team_id``) or looked up in ``channel_teams(id, team_id)``
     after the aggregation, when the rows are already few.
 
-    ``chunk_by="seq"`` (one shuffle) bounds a payload by ``chunk_size``
-    when ``seq`` is dense within a channel (event ids, numbered pages);
-    ``chunk_by="rank"`` (one more shuffle) cuts each channel's delivery
-    order into contiguous slices of exactly ``chunk_size`` whatever ``seq``
-    is, so concatenating a channel's bodies in chunk order gives its whole
-    ordered list.
+    The default cuts each channel's delivery order into contiguous slices, so
+    concatenating a channel's bodies in chunk order gives its whole ordered
+    list; see the module for ``chunk_by`` and ``max_bytes``.
     """
-    p = _chunked(notable, chunk_size, C.ORDER_B, chunk_by)
+    p = _chunked(notable, chunk_size, C.ORDER_B, chunk_by, max_bytes)
     if channel_teams is not None:
         teams = channel_teams.select(F.col("id").alias("_cid"), F.col("team_id"))
         p = p.join(teams, p["channel"] == teams["_cid"], "left").drop("_cid")
@@ -100,17 +105,17 @@ def post_payloads(notable: DataFrame, url_template: str, team_id: str | None = N
         p = p.withColumn("team_id", F.lit(team_id).cast("string"))
     url = E.fill_template(url_template, team_id=F.coalesce("team_id", F.lit("")),
                           channel_id=F.col("channel"))
-    return p.select("team_id", "channel", "chunk", url.alias("url"), "n_items",
+    return p.select(F.lit("posts").alias("kind"), "team_id", "channel", "chunk", url.alias("url"), "n_items",
                     "first_seq", "last_seq", "body",
                     F.sha2(F.concat_ws("\n", url, F.col("body")), 256).alias("key"))
 
 
 def channel_posts(notable: DataFrame, chunk_size: int = DEFAULT_CHUNK,
-                  chunk_by: str = "seq") -> DataFrame:
+                  chunk_by: str = "rank", max_bytes: int = DEFAULT_BYTES) -> DataFrame:
     """E-5 + E-6: ``{"channel":..,"posts":[..]}`` records, items in order A
     (bot, file share, user attachment, file comment, whitelisted); chunked
     as in ``post_payloads``."""
-    p = _chunked(notable, chunk_size, C.ORDER_A, chunk_by)
+    p = _chunked(notable, chunk_size, C.ORDER_A, chunk_by, max_bytes)
     p = E.add_fragments(p, ["channel"])
     record = E.json_object_sql(E.always("channel"), "concat('\"posts\":', body)")
     return p.selectExpr("channel", "chunk", "n_items", "first_seq", "last_seq",

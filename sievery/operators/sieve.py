@@ -32,7 +32,10 @@ def keep_whitelisted_sql(raw: str = "raw") -> str:
     as a map; the three keys are tested inside one ``map_filter``, so the
     raw text is referenced (and parsed) once per row even where Catalyst
     inlines the expression that produced it.  Same results as J-1..J-3:
-    text that is not a JSON object, or has duplicate keys, keeps nothing."""
+    text that is not a JSON object keeps nothing.  Of a repeated key the last
+    value counts where the session sets
+    ``spark.sql.variant.allowDuplicateKeys`` (``build_session`` does); else
+    such a text keeps nothing and is logged as a reject."""
     return ("coalesce(size(map_filter("
             f"try_variant_get(try_parse_json({raw}), '$', 'map<string,variant>'), "
             "(k, v) -> k IN ('reactions', 'mentions', 'replies') AND "
@@ -89,12 +92,13 @@ def with_notable(messages: DataFrame, name: str = "notable") -> DataFrame:
 
 
 def unparsable_rejects(messages: DataFrame) -> DataFrame:
-    """Whitelisted messages whose raw text is not JSON (dropped by F-4)."""
+    """Whitelisted messages whose raw text cannot be read as JSON (dropped by
+    F-4): broken text, or a repeated key where the session does not allow it."""
     return (messages.filter((F.col("category") == C.WHITELISTED)
                             & F.try_parse_json("raw").isNull())
             .select(F.lit("whitelisted").alias("source"),
                     F.concat_ws("/", "channel", "ts").alias("key"),
-                    F.lit("raw message is not JSON").alias("reason")))
+                    F.lit("raw message is not readable JSON").alias("reason")))
 
 
 def skipped_channels(channels: DataFrame, notable: DataFrame,

@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root, default_parallelism
+from ..session import checkpoint_root
 
 
-def _ranged(df: DataFrame, cols: list[str], n_parts: int) -> DataFrame:
+def _ranged(df: DataFrame, cols: list[str], n_parts: int | None) -> DataFrame:
     """Range-partition and sort ``df``, tag each row with its partition and
     local position, and materialize the result once.
 
@@ -23,10 +23,13 @@ def _ranged(df: DataFrame, cols: list[str], n_parts: int) -> DataFrame:
     Range bounds come from a sample whose rows arrive in shuffle order, so
     two evaluations could cut the ranges differently; a reliable
     checkpoint in the shared checkpoint folder fixes one partitioning for
-    both uses, also when a lost executor forces recomputation.
+    both uses, also when a lost executor forces recomputation.  Without
+    ``n_parts`` the number of partitions follows the data (shuffle partitions,
+    coalesced by size).
     """
     checkpoint_root(df.sparkSession)
-    ranged = (df.repartitionByRange(n_parts, *[F.col(c) for c in cols])
+    by = [F.col(c) for c in cols]
+    ranged = ((df.repartitionByRange(n_parts, *by) if n_parts else df.repartitionByRange(*by))
               .sortWithinPartitions(*cols)
               .withColumn("_pid", F.spark_partition_id())
               # monotonically_increasing_id = (partition id << 33) + position
@@ -45,8 +48,7 @@ def row_index(df: DataFrame, order_col: str | list[str], name: str = "rn",
     every use and every recomputation.
     """
     cols = [order_col] if isinstance(order_col, str) else list(order_col)
-    n_parts = partitions or default_parallelism(df.sparkSession)
-    ranged = _ranged(df, cols, n_parts)
+    ranged = _ranged(df, cols, partitions)
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"))
     # One row per partition: a proven bound, so the offsets are broadcast.
     offsets = counts.select(
@@ -60,9 +62,12 @@ def row_index(df: DataFrame, order_col: str | list[str], name: str = "rn",
 
 
 def rank_within(df: DataFrame, key: str, order_cols: list[str], name: str = "rank",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, weight: str | None = None,
+                before: str = "before") -> DataFrame:
     """Add the 0-based position of each row within its ``key``, in
-    ``order_cols`` order (give columns that are unique within a key).
+    ``order_cols`` order (give columns that are unique within a key).  With
+    ``weight`` also add ``before``: the sum of that column over the key's
+    earlier rows.
 
     Distributed like ``row_index``: rows are range-partitioned on (key,
     order), so a key holding a third of all rows spans many partitions; the
@@ -71,18 +76,25 @@ def rank_within(df: DataFrame, key: str, order_cols: list[str], name: str = "ran
     whole key.
     """
     cols = [key] + list(order_cols)
-    n_parts = partitions or default_parallelism(df.sparkSession)
-    ranged = _ranged(df, cols, n_parts)
-    firsts = ranged.groupBy("_pid", key).agg(F.min("_local").alias("_first"),
-                                             F.count("*").alias("_n"))
-    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = _ranged(df, cols, partitions)
+    if weight:                                # running sum inside one partition
+        local = Window.partitionBy("_pid", key).orderBy("_local").rowsBetween(
+            Window.unboundedPreceding, -1)
+        ranged = ranged.withColumn("_own", F.coalesce(F.sum(weight).over(local), F.lit(0)))
+    firsts = ranged.groupBy("_pid", key).agg(
+        F.min("_local").alias("_first"), F.count("*").alias("_n"),
+        (F.sum(weight) if weight else F.lit(0)).alias("_w"))
+    earlier = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = firsts.select(F.col("_pid").alias("_opid"), F.col(key).alias("_okey"), "_first",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+                            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
+                            F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_woff"))
     # null-safe on the key: rows whose key is NULL form a group of their own
     on = (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_okey"))
-    return (ranged.join(offsets, on)
-            .withColumn(name, (F.col("_off") + F.col("_local") - F.col("_first")).cast("bigint"))
-            .drop("_pid", "_local", "_first", "_off", "_opid", "_okey"))
+    out = ranged.join(offsets, on).withColumn(
+        name, (F.col("_off") + F.col("_local") - F.col("_first")).cast("bigint"))
+    if weight:
+        out = out.withColumn(before, (F.col("_woff") + F.col("_own")).cast("bigint")).drop("_own")
+    return out.drop("_pid", "_local", "_first", "_off", "_woff", "_opid", "_okey")
 
 
 def ntile_of(index: str, n: int, k: int) -> F.Column:
@@ -99,15 +111,15 @@ def split_ids(ids: DataFrame, k: int, id_col: str = "id") -> DataFrame:
     """PART-1: every distinct id in exactly one of k groups of sizes that
     differ by at most one, in id order.
 
-    Raises like the original: an empty list, or more groups than ids.
+    Raises like the original: an empty list, or more groups than ids.  The ids
+    are made distinct once; count and numbering read the checkpointed result.
     """
-    distinct = ids.select(id_col).distinct()
-    n = distinct.count()
+    indexed = row_index(ids.select(id_col).distinct(), id_col, "_i")
+    n = indexed.count()
     if n == 0:
         raise ValueError("expecting a non-empty list of ids")
     if k > n:
         raise ValueError(f"cannot make {k} groups from {n} ids")
-    indexed = row_index(distinct, id_col, "_i")
     return indexed.select(id_col, ntile_of("_i", n, k).alias("part"))
 
 

@@ -24,6 +24,9 @@ from . import jobs
 
 # Fixed query parameters.
 URL_TEMPLATE = "https://graph.example/teams/<team_id>/channels/<channel_id>/posts"
+USERS_URL = "https://graph.example/teams/<team_id>/users"
+CHANNELS_URL = "https://graph.example/teams/<team_id>/channels"
+TEAM_URL = "https://graph.example/teams/<team_id>"
 ROUTE_MIN_MEMBERS = 60
 WINDOW_SIZE = "1 hour"
 WINDOW_SLIDE = "15 minutes"
@@ -36,6 +39,21 @@ CHUNK = payloads.DEFAULT_CHUNK
 SLICE = 50
 
 
+def _stored(spark, payload_frame, deliver, name):
+    """Deliver payloads, store the receipts in the shared folder and read them back."""
+    from ..session import scratch_path
+    from ..sinks import delivery
+    path = scratch_path(spark, name)
+    delivery.write_batch(delivery.deliver_payloads(payload_frame, deliver), path, 0)
+    return delivery.read_batch(spark, path, 0, delivery.RECEIPTS)
+
+
+def _posts(spark, sf_dir, size=None):
+    return payloads.post_payloads(sieve.sieve(_messages(spark, sf_dir)), URL_TEMPLATE,
+                                  channel_teams=T.load_channels(spark, sf_dir),
+                                  chunk_size=size or CHUNK)
+
+
 def _messages(spark, sf_dir) -> DataFrame:
     return T.load_messages(spark, sf_dir)
 
@@ -125,7 +143,7 @@ def q_post_payload_slices(spark, sf_dir):
     into payloads of SLICE messages (distributed rank within channel)."""
     notable = sieve.sieve(_messages(spark, sf_dir))
     p = payloads.post_payloads(notable, URL_TEMPLATE, channel_teams=T.load_channels(spark, sf_dir),
-                               chunk_size=SLICE, chunk_by="rank")
+                               chunk_size=SLICE)
     return p.select("channel", "chunk", "n_items", "first_seq", "last_seq", "key")
 
 
@@ -148,8 +166,8 @@ def q_route_windows(spark, sf_dir):
     """WIN-1: messages and distinct channels per sliding window and channel
     route."""
     routes = _routes(spark, sf_dir).select(F.col("id").alias("channel"), "route")
-    m = _messages(spark, sf_dir).select("channel", "event_time").join(routes, "channel")
-    w = routing.routed_windows(m, "event_time", WINDOW_SIZE, WINDOW_SLIDE)
+    m = _messages(spark, sf_dir).select("channel", "event_time")
+    w = routing.routed_pane_windows(m, routes, "event_time", WINDOW_SIZE, WINDOW_SLIDE)
     return w.select(F.unix_seconds(F.col("window.start")).alias("window_start"),
                     F.unix_seconds(F.col("window.end")).alias("window_end"),
                     "route", "n", F.col("n_items").alias("n_channels"))
@@ -159,8 +177,8 @@ def q_route_window_channels(spark, sf_dir):
     """AGG-1 + WIN-1: the channels of each sliding window and route, one row
     per member."""
     routes = _routes(spark, sf_dir).select(F.col("id").alias("channel"), "route")
-    m = _messages(spark, sf_dir).select("channel", "event_time").join(routes, "channel")
-    w = routing.window_members(m, "event_time", WINDOW_SIZE, WINDOW_SLIDE)
+    m = _messages(spark, sf_dir).select("channel", "event_time")
+    w = routing.pane_window_members(m, routes, "event_time", WINDOW_SIZE, WINDOW_SLIDE)
     return w.select(F.unix_seconds(F.col("window.start")).alias("window_start"),
                     "route", "channel")
 
@@ -218,22 +236,52 @@ def q_dedup_posts(spark, sf_dir):
             .agg(F.count("*").alias("n_messages")))
 
 
+def _users(spark, sf_dir):
+    return jobs.seed_users(T.load_users(spark, sf_dir), USER_BATCH, USERS_URL)
+
+
+def _channel_batches(spark, sf_dir):
+    return jobs.seed_channels(T.load_channels(spark, sf_dir), CHANNEL_BATCH, CHANNELS_URL)
+
+
+def _teams(spark, sf_dir):
+    return jobs.team_payload(T.load_teams(spark, sf_dir), T.load_emojis(spark, sf_dir), TEAM_BATCH,
+                             TEAM_URL)
+
+
 def q_seed_users(spark, sf_dir):
-    """JOB-1: user listing payloads in batches of USER_BATCH."""
-    return jobs.seed_users(T.load_users(spark, sf_dir), USER_BATCH).select(
-        "batch", "n_records", "first_id", "last_id", "key")
+    """JOB-1: user listing payloads of each team, at most USER_BATCH records."""
+    return _users(spark, sf_dir).select("team_id", "chunk", "url", "n_items", "first_id", "last_id",
+                                        "key")
 
 
 def q_seed_channels(spark, sf_dir):
-    """JOB-2: channel listing payloads in batches of CHANNEL_BATCH."""
-    return jobs.seed_channels(T.load_channels(spark, sf_dir), CHANNEL_BATCH).select(
-        "batch", "n_records", "first_id", "last_id", "key")
+    """JOB-2: channel listing payloads of each team, at most CHANNEL_BATCH records."""
+    return _channel_batches(spark, sf_dir).select("team_id", "chunk", "url", "n_items", "first_id",
+                                                  "last_id", "key")
+
+
+def _delivered(build, name):
+    def q(spark, sf_dir):
+        from ..sinks.delivery import selective_service
+        return _stored(spark, build(spark, sf_dir), selective_service, name).select(
+            "team_id", "chunk", "url", "n_items", "key", "status")
+    return q
+
+
+q_deliver_users = _delivered(_users, "user-receipts")
+q_deliver_users.__doc__ = "SNK-2 + R-1: receipts of the user payloads from a service that refuses some."
+q_deliver_channels = _delivered(_channel_batches, "channel-receipts")
+q_deliver_channels.__doc__ = "SNK-3 + R-1: receipts of the channel payloads."
+q_deliver_team = _delivered(_teams, "team-receipts")
+q_deliver_team.__doc__ = "SNK-4 + R-1: receipts of the team payloads."
 
 
 def q_seed_posts(spark, sf_dir):
-    """JOB-3: blacklist, classify, sieve and payloads; one row per channel."""
+    """JOB-3: listed channels, blacklist, classify, sieve and payloads of at most
+    SLICE messages; one row per channel."""
     p = jobs.seed_posts(_messages(spark, sf_dir), URL_TEMPLATE, BLACKLIST,
-                        channel_teams=T.load_channels(spark, sf_dir), chunk_size=CHUNK)
+                        channel_teams=T.load_channels(spark, sf_dir), chunk_size=SLICE)
     return p.groupBy("channel").agg(F.count("*").alias("n_payloads"),
                                     F.sum("n_items").cast("bigint").alias("n_items"))
 
@@ -244,14 +292,15 @@ def q_team_info(spark, sf_dir):
 
 
 def q_run_metrics(spark, sf_dir):
-    """AGG-4: the six counters (mapper channels and posts; sink posts,
-    channels, users and teams) plus the number of payloads."""
-    m = _messages(spark, sf_dir)
-    p = payloads.post_payloads(sieve.sieve(m), URL_TEMPLATE,
-                               channel_teams=T.load_channels(spark, sf_dir), chunk_size=CHUNK)
-    users = jobs.seed_users(T.load_users(spark, sf_dir), USER_BATCH)
-    teams = jobs.team_payload(T.load_teams(spark, sf_dir))
-    return counts.run_metrics(m, p, users, teams)
+    """AGG-4: the six counters of a run whose four sinks meet a service that
+    refuses some payloads, and the payloads refused."""
+    from ..sinks.delivery import selective_service
+    build = [_posts(spark, sf_dir, SLICE), _users(spark, sf_dir), _channel_batches(spark, sf_dir),
+             _teams(spark, sf_dir)]
+    receipts = [_stored(spark, p, selective_service, "run-receipts") for p in build]
+    every = receipts[0].unionByName(receipts[1]).unionByName(receipts[2]).unionByName(receipts[3])
+    return counts.run_metrics(T.load_channels(spark, sf_dir), sieve.sieve(_messages(spark, sf_dir)),
+                              every)
 
 
 def q_listing_totals(spark, sf_dir):
@@ -296,7 +345,8 @@ def q_stream_posts(spark, sf_dir):
     out = streams.stream_posts(spark, pages_path, URL_TEMPLATE,
                                channel_teams=T.load_channels(spark, sf_dir), blacklist=BLACKLIST,
                                deliver=accepting_service)
-    receipts = spark.read.parquet(out + "/receipts")
+    from ..sinks.delivery import RECEIPTS, read_batches
+    receipts = read_batches(spark, out + "/receipts", RECEIPTS)
     return (receipts.filter(F.col("status") == "OK").groupBy("channel")
             .agg(F.sum("n_items").cast("bigint").alias("n_items")))
 
@@ -306,28 +356,17 @@ def q_deliver_posts(spark, sf_dir):
     tasks, receipts stored, responses classified, and the run failed on any
     non-OK response (checked on the stored receipts, so nothing is
     delivered twice)."""
-    from ..session import scratch_path
     from ..sinks import delivery
-    notable = sieve.sieve(_messages(spark, sf_dir))
-    p = payloads.post_payloads(notable, URL_TEMPLATE,
-                               channel_teams=T.load_channels(spark, sf_dir), chunk_size=CHUNK)
-    path = scratch_path(spark, "deliveries")
-    delivery.write_batch(delivery.deliver_payloads(p, delivery.accepting_service), path, 0)
-    receipts = spark.read.parquet(path)
+    receipts = _stored(spark, _posts(spark, sf_dir), delivery.accepting_service, "deliveries")
     delivery.check_receipts(receipts)
     return receipts.select("channel", "chunk", "key", "n_items", "status")
 
 
 def q_delivered_metrics(spark, sf_dir):
     """AGG-4 after delivery (D7): sink counters from OK receipts only."""
-    from ..session import scratch_path
     from ..sinks import delivery
-    notable = sieve.sieve(_messages(spark, sf_dir))
-    p = payloads.post_payloads(notable, URL_TEMPLATE,
-                               channel_teams=T.load_channels(spark, sf_dir), chunk_size=CHUNK)
-    path = scratch_path(spark, "receipts")
-    delivery.write_batch(delivery.deliver_payloads(p, delivery.accepting_service), path, 0)
-    return counts.delivered_metrics(spark.read.parquet(path))
+    return counts.delivered_metrics(
+        _stored(spark, _posts(spark, sf_dir, SLICE), delivery.selective_service, "receipts"))
 
 
 def q_history_pages(spark, sf_dir):
@@ -366,19 +405,101 @@ def q_listing_pages(spark, sf_dir):
 
 
 def q_rejects(spark, sf_dir):
-    """LOG-1: rows set aside with a reason (unparsable raw messages,
-    blacklisted subtypes, unresolved emoji aliases)."""
+    """LOG-1: rows set aside with a reason (unreadable raw messages,
+    blacklisted subtypes, unresolved emoji aliases, refused deliveries)."""
+    from ..sinks import delivery
     m = _messages(spark, sf_dir)
+    receipts = _stored(spark, _posts(spark, sf_dir, SLICE), delivery.selective_service, "receipts")
     return (sieve.unparsable_rejects(m)
             .unionByName(C.blacklisted_rejects(m, BLACKLIST))
-            .unionByName(emoji.alias_rejects(emoji.resolve_aliases(T.load_emojis(spark, sf_dir)))))
+            .unionByName(emoji.alias_rejects(emoji.resolve_aliases(T.load_emojis(spark, sf_dir))))
+            .unionByName(delivery.receipt_rejects(receipts)))
 
 
 def q_team_payload(spark, sf_dir):
     """SNK-4 / E-7: team records with their emojis, TEAM_BATCH emojis per
     payload."""
-    p = jobs.team_payload(T.load_teams(spark, sf_dir), T.load_emojis(spark, sf_dir), TEAM_BATCH)
-    return p.select("team_id", "chunk", "n_emojis", "key")
+    return _teams(spark, sf_dir).select("team_id", "chunk", "url", "n_items", "key")
+
+
+def q_union_categories(spark, sf_dir):
+    """UN-1: the five per-category frames stacked in the fixed order."""
+    m = _messages(spark, sf_dir).select("category", "seq")
+    stacked = payloads.union_categories(*[m.filter(F.col("category") == c) for c in C.ORDER_B])
+    return stacked.groupBy("category", "category_ord").agg(
+        F.count("*").alias("n"), F.sum("seq").cast("bigint").alias("seqs"))
+
+
+def q_dedup_versions(spark, sf_dir):
+    """ST-2 + F-6: every message lands twice, without and with its reactions
+    (odd ones in that order, even ones the other way round); sieved first, then
+    the latest notable version stays."""
+    m = _messages(spark, sf_dir)
+    later = F.lit(1 << 40)
+    plain = m.withColumn("reactions", F.expr("filter(reactions, x -> false)")).withColumn(
+        "seq", F.when(F.col("seq") % 2 == 0, F.col("seq") + later).otherwise(F.col("seq")))
+    full = m.withColumn("seq", F.when(F.col("seq") % 2 == 0, F.col("seq")).otherwise(
+        F.col("seq") + later))
+    kept = dedup.dedup_messages(sieve.sieve(plain.unionByName(full)))
+    return kept.groupBy("channel", "category").agg(
+        F.count("*").alias("n_kept"), F.count_if(F.size("reactions") > 0).alias("n_reacted"))
+
+
+def q_unnumbered_pages(spark, sf_dir):
+    """SRC-5 + X-3 + AGG-2 on pages without numbers, as the API sends them: a
+    channel of n notable messages has ceil(n / SLICE) payloads."""
+    from ..session import scratch_path
+    from ..sources import landing, pages
+    path = scratch_path(spark, "plain-pages")
+    landing.land_history_pages(_messages(spark, sf_dir), path, numbered=False)
+    m, _ = pages.read_conversations(spark, path)
+    p = payloads.post_payloads(sieve.sieve(m), URL_TEMPLATE, team_id="T0", chunk_size=SLICE)
+    return p.select("channel", "chunk", "n_items", "first_seq", "last_seq")
+
+
+def q_page_rejects(spark, sf_dir):
+    """SRC-9 + LOG-1: error pages (one per region) among the history pages, and
+    messages that are not JSON objects, as rejects."""
+    from ..session import scratch_path
+    from ..sources import landing, pages
+    path = scratch_path(spark, "faulty-pages")
+    landing.land_history_pages(_messages(spark, sf_dir), path + "/history")
+    (T.read_table(spark, sf_dir, "region")
+     .select(F.to_json(F.struct(F.lit(False).alias("ok"), F.concat(
+         F.lit("no_access_"), F.lower("r_name")).alias("error"))).alias("value"))
+     .write.text(path + "/errors"))
+    _, rejects = pages.read_conversations(spark, [path + "/history", path + "/errors"])
+    return rejects.groupBy("source", "reason").agg(F.count("*").alias("n"))
+
+
+def _event_files(spark, sf_dir):
+    """The events as eight files that follow each other in time and overlap by
+    less than a day."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "event-files")
+    events = T.read_table(spark, sf_dir, "events")
+    us = F.expr(f"{T.micros_since_epoch_sql('ts')} + pmod(event_id, 8) * 10000000000")
+    low, high = events.agg(F.min(us), F.max(us)).first()
+    part = F.least(F.floor((us - F.lit(low)) / F.lit(max(1, (high - low) / 8))), F.lit(7))
+    for i in range(8):
+        events.filter(part == i).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def q_stream_sieve_files(spark, sf_dir):
+    """SRC-10 + ST-2 + F-6 as a stream, one file a batch, over overlapping files."""
+    from ..streaming import streams
+    return streams.stream_sieve_counts(spark, path=_event_files(spark, sf_dir), max_files=1)
+
+
+def q_stream_windows_files(spark, sf_dir):
+    """SRC-10 + WM-1 + WIN-1 as a stream, one file a batch, over overlapping
+    files; the watermark waits a day."""
+    from ..streaming import streams
+    w = streams.stream_windows(spark, size=WINDOW_SIZE, slide=WINDOW_SLIDE, watermark="1 day",
+                               path=_event_files(spark, sf_dir), max_files=1)
+    return w.select(F.unix_seconds(F.col("window.start")).alias("window_start"),
+                    F.unix_seconds(F.col("window.end")).alias("window_end"), "category", "n")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -423,4 +544,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listing_pages": q_listing_pages,
     "rejects": q_rejects,
     "team_payload": q_team_payload,
+    "deliver_users": q_deliver_users,
+    "deliver_channels": q_deliver_channels,
+    "deliver_team": q_deliver_team,
+    "union_categories": q_union_categories,
+    "dedup_versions": q_dedup_versions,
+    "unnumbered_pages": q_unnumbered_pages,
+    "page_rejects": q_page_rejects,
+    "stream_sieve_files": q_stream_sieve_files,
+    "stream_windows_files": q_stream_windows_files,
 }

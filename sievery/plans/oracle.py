@@ -8,6 +8,7 @@ value-hash match checks the encoders byte for byte.
 
 from __future__ import annotations
 
+from ..operators.payloads import DEFAULT_BYTES as MAX_BYTES
 from . import catalog as Q
 
 
@@ -30,7 +31,7 @@ ev AS (
 ),
 shaped AS (
   SELECT event_id, user_id, event_type, k, us,
-    'C' || {_s('user_id % 25')} AS channel,
+    'C' || {_s('user_id % 27')} AS channel,
     event_id AS seq,
     {_s('us // 1000000')} || '.' || lpad({_s('us % 1000000')}, 6, '0') AS ts,
     us // 1000000 AS secs,
@@ -148,6 +149,10 @@ channels AS (
          CAST(coalesce(num_members, 0) AS BIGINT) AS num_members,
          'T' || CAST(n_regionkey AS VARCHAR) AS team_id, n_nationkey
   FROM nation LEFT JOIN chan_counts ON n_nationkey = c_nationkey
+  UNION ALL
+  SELECT 'Q' || CAST(r_regionkey AS VARCHAR), 'quiet ' || lower(r_name), 0,
+         'T' || CAST(r_regionkey AS VARCHAR), -1
+  FROM region
 )"""
 
 _CHANNEL_JSON = """'{"id":"' || id || '","name":"' || name || '","is_channel":true,"created":0,"creator":"U0",'
@@ -189,22 +194,69 @@ resolved AS (
 )"""
 
 
+_WIRE_NOTABLE = "(notable OR (category = 'whitelisted' AND json_valid(raw) AND has_mention))"
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip("\n") for c in ctes) + "\n"
 
 
 def _payloads(order_col: str, chunk: int) -> str:
+    """Slices of each channel's order: at most ``chunk`` items, cut by bytes as well."""
     return f"""
-items AS (SELECT channel, seq, {order_col} AS ord, seq // {chunk} AS chunk, {_MSG_JSON} AS json
-          FROM messages WHERE notable),
+items AS (SELECT channel, seq, {order_col} AS ord, {_MSG_JSON} AS json FROM messages WHERE notable),
+ranked AS (
+  SELECT *, (row_number() OVER w - 1) // {chunk}
+            + CAST(coalesce(sum(strlen(json) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                   AS BIGINT) // {MAX_BYTES} AS chunk
+  FROM items WINDOW w AS (PARTITION BY channel ORDER BY ord, seq)),
 grouped AS (
   SELECT channel, chunk, count(*) AS n_items,
          first(seq ORDER BY ord, seq) AS first_seq, last(seq ORDER BY ord, seq) AS last_seq,
          '[' || string_agg(json, ',' ORDER BY ord, seq) || ']' AS body
-  FROM items GROUP BY channel, chunk
+  FROM ranked GROUP BY channel, chunk
 )"""
 
 
+def _listing(table: str, json: str, size: int, template: str) -> str:
+    """Payloads of a listing, per team."""
+    return f"""
+{table}_recs AS (
+  SELECT team_id, id, {json} AS json,
+         (row_number() OVER (PARTITION BY team_id ORDER BY id) - 1) // {size} AS chunk FROM {table}),
+{table}_payloads AS (
+  SELECT team_id, chunk, replace('{template}', '<team_id>', coalesce(team_id, '')) AS url,
+         count(*) AS n_items, first(id ORDER BY id) AS first_id, last(id ORDER BY id) AS last_id,
+         sha256(replace('{template}', '<team_id>', coalesce(team_id, '')) || chr(10)
+                || '[' || string_agg(json, ',' ORDER BY id) || ']') AS key
+  FROM {table}_recs GROUP BY team_id, chunk)"""
+
+
+# the reply of sinks.delivery.selective_service
+_STATUS = "CASE WHEN key < '4' THEN 'NOK' WHEN key < '6' THEN 'UNKNOWN' ELSE 'OK' END"
+
+_TEAM_PAYLOADS = f"""
+e AS (
+  SELECT team_id, name,
+         '{{"name":"' || name || '","url":"' || coalesce(url, 'alias:' || alias_of) || '"}}' AS json,
+         (row_number() OVER (PARTITION BY team_id ORDER BY name) - 1) // {Q.TEAM_BATCH} AS chunk
+  FROM emojis),
+eg AS (SELECT team_id, chunk, count(*) AS n_items, string_agg(json, ',' ORDER BY name) AS items
+       FROM e GROUP BY team_id, chunk),
+t AS (
+  SELECT 'T' || CAST(r_regionkey AS VARCHAR) AS team_id,
+         '{{"id":"T' || CAST(r_regionkey AS VARCHAR) || '","name":"' || r_name || '","domain":"'
+         || replace(lower(r_name), ' ', '-') || '","email_domain":"' || replace(lower(r_name), ' ', '-')
+         || '.example","image_132":"https://img.example/' || replace(lower(r_name), ' ', '-') || '_132.png"' AS head
+  FROM region),
+team_payloads AS (
+  SELECT t.team_id, coalesce(eg.chunk, 0) AS chunk,
+         replace('{Q.TEAM_URL}', '<team_id>', t.team_id) AS url, coalesce(eg.n_items, 0) AS n_items,
+         sha256(replace('{Q.TEAM_URL}', '<team_id>', t.team_id) || chr(10)
+                || t.head || ',"emojis":[' || coalesce(eg.items, '') || ']}}') AS key
+  FROM t LEFT JOIN eg ON t.team_id = eg.team_id)"""
+
+
 def _sql() -> dict[str, str]:
     msg = _with(_MESSAGES)
     url = (f"replace(replace('{Q.URL_TEMPLATE}', '<team_id>', coalesce(c.team_id, '')), "
@@ -240,9 +292,11 @@ FROM messages WHERE notable GROUP BY channel""",
 
         "conversation_posts": """
 WITH c AS (
-  SELECT a.conv_id, a.turn, a.role, a.text, b.turn AS next_turn,
+  SELECT a.conv_id, a.turn, a.role, a.text, CASE WHEN a.conv_id % 7 <> 0 THEN b.turn END AS next_turn,
          regexp_extract_all(a.text, '<@([UW][A-Z0-9]+)(?:\\|[^>]*)?>', 1) AS ids
-  FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND a.turn + 1 = b.turn)
+  FROM (SELECT conv_id, turn, role, CASE WHEN conv_id % 3 = 0 AND turn = 1
+                                         THEN coalesce(text, '') || ' <@U' || CAST(conv_id AS VARCHAR) || '>'
+                                         ELSE text END AS text FROM conversations) a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND a.turn + 1 = b.turn)
 SELECT 'V' || CAST(conv_id AS VARCHAR) AS channel, count(*) AS n_messages,
        count(*) FILTER (WHERE (role = 'assistant' AND len(ids) > 0)
                               OR (role <> 'assistant' AND (len(ids) > 0 OR next_turn IS NOT NULL))) AS n_notable,
@@ -275,16 +329,7 @@ SELECT c.team_id, g.channel, g.chunk, {url} AS url, g.n_items, g.first_seq, g.la
        sha256({url} || chr(10) || g.body) AS key
 FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
 
-        "post_payload_slices": _with(_MESSAGES, _CHANNELS) + f"""
-, items AS (
-  SELECT channel, seq, category_ord AS ord, {_MSG_JSON} AS json,
-         (row_number() OVER (PARTITION BY channel ORDER BY category_ord, seq) - 1) // {Q.SLICE} AS chunk
-  FROM messages WHERE notable),
-grouped AS (
-  SELECT channel, chunk, count(*) AS n_items,
-         first(seq ORDER BY ord, seq) AS first_seq, last(seq ORDER BY ord, seq) AS last_seq,
-         '[' || string_agg(json, ',' ORDER BY ord, seq) || ']' AS body
-  FROM items GROUP BY channel, chunk)
+        "post_payload_slices": _with(_MESSAGES, _CHANNELS, _payloads("category_ord", Q.SLICE)) + f"""
 SELECT g.channel, g.chunk, g.n_items, g.first_seq, g.last_seq,
        sha256({url} || chr(10) || g.body) AS key
 FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
@@ -349,21 +394,25 @@ FROM r""",
         "dedup_posts": msg + """
 SELECT channel, count(*) AS n_messages FROM (SELECT DISTINCT channel, ts FROM messages) GROUP BY channel""",
 
-        "seed_users": _with(_USERS) + f"""
-SELECT batch, count(*) AS n_records, first(id ORDER BY id) AS first_id, last(id ORDER BY id) AS last_id,
-       sha256('[' || string_agg(json, ',' ORDER BY id) || ']') AS key
-FROM (SELECT id, {_USER_JSON} AS json, (row_number() OVER (ORDER BY id) - 1) // {Q.USER_BATCH} AS batch FROM users)
-GROUP BY batch""",
+        "seed_users": _with(_USERS, _listing("users", _USER_JSON, Q.USER_BATCH, Q.USERS_URL)) + """
+SELECT team_id, chunk, url, n_items, first_id, last_id, key FROM users_payloads""",
+
+        "deliver_users": _with(_USERS, _listing("users", _USER_JSON, Q.USER_BATCH, Q.USERS_URL)) + f"""
+SELECT team_id, chunk, url, n_items, key, {_STATUS} AS status FROM users_payloads""",
+
+        "deliver_channels": _with(_CHANNELS, _listing("channels", _CHANNEL_JSON, Q.CHANNEL_BATCH, Q.CHANNELS_URL)) + f"""
+SELECT team_id, chunk, url, n_items, key, {_STATUS} AS status FROM channels_payloads""",
 
-        "seed_channels": _with(_CHANNELS) + f"""
-SELECT batch, count(*) AS n_records, first(id ORDER BY id) AS first_id, last(id ORDER BY id) AS last_id,
-       sha256('[' || string_agg(json, ',' ORDER BY id) || ']') AS key
-FROM (SELECT id, {_CHANNEL_JSON} AS json, (row_number() OVER (ORDER BY id) - 1) // {Q.CHANNEL_BATCH} AS batch FROM channels)
-GROUP BY batch""",
+        "deliver_team": _with(_EMOJIS, _TEAM_PAYLOADS) + f"""
+SELECT team_id, chunk, url, n_items, key, {_STATUS} AS status FROM team_payloads""",
 
-        "seed_posts": msg + f"""
-SELECT channel, count(DISTINCT seq // {Q.CHUNK}) AS n_payloads, CAST(count(*) AS BIGINT) AS n_items
-FROM messages WHERE notable AND (subtype IS NULL OR subtype NOT IN ({bl})) GROUP BY channel""",
+        "seed_channels": _with(_CHANNELS, _listing("channels", _CHANNEL_JSON, Q.CHANNEL_BATCH, Q.CHANNELS_URL)) + """
+SELECT team_id, chunk, url, n_items, first_id, last_id, key FROM channels_payloads""",
+
+        "seed_posts": _with(_MESSAGES, _CHANNELS) + f"""
+SELECT channel, CAST(ceil(count(*) / {Q.SLICE}) AS BIGINT) AS n_payloads, CAST(count(*) AS BIGINT) AS n_items
+FROM messages WHERE notable AND (subtype IS NULL OR subtype NOT IN ({bl}))
+  AND channel IN (SELECT id FROM channels) GROUP BY channel""",
 
         "team_info": _with(_EMOJIS) + """
 SELECT 'T' || CAST(r_regionkey AS VARCHAR) AS team_id, r_name AS name,
@@ -376,14 +425,24 @@ FROM region LEFT JOIN (
          count(*) FILTER (WHERE status IN ('unresolved_chain', 'missing_target')) AS n_unresolved
   FROM resolved GROUP BY team_id) s ON 'T' || CAST(r_regionkey AS VARCHAR) = s.team_id""",
 
-        "run_metrics": msg + f"""
-SELECT 'mapper_channels' AS metric, count(DISTINCT channel) AS value FROM messages
-UNION ALL SELECT 'mapper_posts', count(*) FILTER (WHERE notable) FROM messages
-UNION ALL SELECT 'sink_posts', count(*) FILTER (WHERE notable) FROM messages
-UNION ALL SELECT 'sink_channels', count(DISTINCT channel) FILTER (WHERE notable) FROM messages
-UNION ALL SELECT 'sink_payloads', count(DISTINCT (channel, seq // {Q.CHUNK})) FILTER (WHERE notable) FROM messages
-UNION ALL SELECT 'sink_users', count(*) FROM customer
-UNION ALL SELECT 'sink_teams', count(*) FROM region""",
+        "run_metrics": _with(_MESSAGES, _CHANNELS, _payloads("category_ord", Q.SLICE), _USERS, _EMOJIS,
+                             _listing("users", _USER_JSON, Q.USER_BATCH, Q.USERS_URL),
+                             _listing("channels", _CHANNEL_JSON, Q.CHANNEL_BATCH, Q.CHANNELS_URL),
+                             _TEAM_PAYLOADS) + f"""
+, r AS (
+  SELECT 'posts' AS kind, c.team_id, g.n_items, sha256({url} || chr(10) || g.body) AS key
+  FROM grouped g LEFT JOIN channels c ON g.channel = c.id
+  UNION ALL SELECT 'users', team_id, n_items, key FROM users_payloads
+  UNION ALL SELECT 'channels', team_id, n_items, key FROM channels_payloads
+  UNION ALL SELECT 'team', team_id, n_items, key FROM team_payloads),
+s AS (SELECT *, {_STATUS} AS status FROM r)
+SELECT 'mapper_channels' AS metric, count(*) AS value FROM channels
+UNION ALL SELECT 'mapper_posts', count(*) FROM messages WHERE notable
+UNION ALL SELECT 'sink_posts', CAST(coalesce(sum(n_items), 0) AS BIGINT) FROM s WHERE status = 'OK' AND kind = 'posts'
+UNION ALL SELECT 'sink_channels', CAST(coalesce(sum(n_items), 0) AS BIGINT) FROM s WHERE status = 'OK' AND kind = 'channels'
+UNION ALL SELECT 'sink_users', CAST(coalesce(sum(n_items), 0) AS BIGINT) FROM s WHERE status = 'OK' AND kind = 'users'
+UNION ALL SELECT 'sink_teams', count(DISTINCT team_id) FROM s WHERE status = 'OK' AND kind = 'team'
+UNION ALL SELECT 'refused_payloads', count(*) FROM s WHERE status <> 'OK'""",
 
         "stream_windows": msg + """
 SELECT * FROM (
@@ -396,21 +455,67 @@ WHERE window_end * 1000000 <= (SELECT max(us) - 600000000 FROM messages)""",
         "stream_sieve": msg + """
 SELECT channel, category, count(*) AS n_kept FROM messages WHERE notable GROUP BY channel, category""",
 
+        "stream_sieve_files": msg + """
+SELECT channel, category, count(*) AS n_kept FROM messages WHERE notable GROUP BY channel, category""",
+
+        # the files overlap by less than a day, which is the watermark's delay
+        "stream_windows_files": msg + """
+SELECT * FROM (
+  SELECT (us // 900000000 - g.i) * 900 AS window_start, (us // 900000000 - g.i) * 900 + 3600 AS window_end,
+         category, count(*) AS n
+  FROM messages, range(0, 4) g(i)
+  GROUP BY 1, 2, 3)
+WHERE window_end * 1000000 <= (SELECT max(us) - 86400000000 FROM messages)""",
+
+        "unnumbered_pages": msg + f"""
+, wire AS (SELECT channel, category_ord, us FROM messages WHERE {_WIRE_NOTABLE}),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY channel ORDER BY category_ord, us) - 1) // {Q.SLICE} AS chunk
+           FROM wire)
+SELECT channel, chunk, count(*) AS n_items, first(us ORDER BY category_ord, us) AS first_seq,
+       last(us ORDER BY category_ord, us) AS last_seq
+FROM ranked GROUP BY channel, chunk""",
+
+        # odd messages land plain, then with their reactions; even ones the other way round
+        "dedup_versions": msg + """
+, v AS (SELECT *, category = 'whitelisted' AND notable
+               OR category IN ('bot', 'user_attachment', 'file_comment') AND has_mention
+               OR category = 'file_share' AND (has_mention OR has_comment) AS plain FROM messages)
+SELECT channel, category, count(*) AS n_kept,
+       CAST(count(*) FILTER (WHERE has_reaction AND (seq % 2 = 1 OR NOT plain)) AS BIGINT) AS n_reacted
+FROM v WHERE notable GROUP BY channel, category""",
+
+        "union_categories": msg + """
+SELECT category, category_ord, count(*) AS n, CAST(sum(seq) AS BIGINT) AS seqs
+FROM messages GROUP BY category, category_ord""",
+
+        "page_rejects": msg + """
+SELECT 'messages' AS source, 'message is not a JSON object with a ts' AS reason, count(*) AS n
+FROM messages WHERE category = 'whitelisted' AND NOT json_valid(raw) HAVING count(*) > 0
+UNION ALL
+SELECT 'history', 'no_access_' || lower(r_name), count(*) FROM region GROUP BY r_name""",
+
         "stream_posts": msg + f"""
 SELECT channel, CAST(count(*) AS BIGINT) AS n_items FROM messages
-WHERE notable AND (subtype IS NULL OR subtype NOT IN ({bl})) GROUP BY channel""",
+WHERE {_WIRE_NOTABLE} AND (subtype IS NULL OR subtype NOT IN ({bl})) GROUP BY channel""",
 
         "deliver_posts": _with(_MESSAGES, _CHANNELS, _payloads("category_ord", Q.CHUNK)) + f"""
 SELECT g.channel, g.chunk, sha256({url} || chr(10) || g.body) AS key, g.n_items, 'OK' AS status
 FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
 
-        "delivered_metrics": msg + """
-SELECT 'sink_posts' AS metric, count(*) FILTER (WHERE notable) AS value FROM messages
-UNION ALL SELECT 'sink_channels', count(DISTINCT channel) FILTER (WHERE notable) FROM messages
-UNION ALL SELECT 'refused_payloads', 0""",
-
-        "history_pages": msg + """
-SELECT channel, category, count(*) AS n_kept FROM messages WHERE notable GROUP BY channel, category""",
+        "delivered_metrics": _with(_MESSAGES, _CHANNELS, _payloads("category_ord", Q.SLICE)) + f"""
+, r AS (SELECT g.n_items, sha256({url} || chr(10) || g.body) AS key
+        FROM grouped g LEFT JOIN channels c ON g.channel = c.id),
+s AS (SELECT *, {_STATUS} AS status FROM r)
+SELECT 'sink_posts' AS metric, CAST(coalesce(sum(n_items) FILTER (WHERE status = 'OK'), 0) AS BIGINT) AS value FROM s
+UNION ALL SELECT 'sink_channels', 0
+UNION ALL SELECT 'sink_users', 0
+UNION ALL SELECT 'sink_teams', 0
+UNION ALL SELECT 'refused_payloads', count(*) FILTER (WHERE status <> 'OK') FROM s""",
+
+        # pages carry no mentions: the reader adds those of the text, also to plain
+        # posts whose lists are nested
+        "history_pages": msg + f"""
+SELECT channel, category, count(*) AS n_kept FROM messages WHERE {_WIRE_NOTABLE} GROUP BY channel, category""",
 
         "listing_pages": _with(_USERS, _CHANNELS, _EMOJIS) + f"""
 SELECT 'users' AS listing, id, {_USER_JSON} AS json FROM users
@@ -423,41 +528,32 @@ SELECT 'team', 'T' || CAST(r_regionkey AS VARCHAR),
        || '.example","image_132":"https://img.example/' || replace(lower(r_name), ' ', '-') || '_132.png"}}'
 FROM region
 UNION ALL
+SELECT 'team', '', '{{"id":"","name":"unnamed","domain":"unnamed","email_domain":"unnamed.example","image_132":"https://img.example/unnamed_132.png"}}'
+UNION ALL
 SELECT 'emoji', team_id || '/' || name,
        '{{"url":' || {_jq('url')} || ',"alias_of":' || {_jq('alias_of')} || '}}'
 FROM emojis""",
 
-        "rejects": _with(_MESSAGES, _EMOJIS) + f"""
-SELECT 'whitelisted' AS source, channel || '/' || ts AS key, 'raw message is not JSON' AS reason
+        "rejects": _with(_MESSAGES, _CHANNELS, _EMOJIS, _payloads("category_ord", Q.SLICE)) + f"""
+, r AS (SELECT sha256({url} || chr(10) || g.body) AS key FROM grouped g LEFT JOIN channels c ON g.channel = c.id)
+SELECT 'whitelisted' AS source, channel || '/' || ts AS key, 'raw message is not readable JSON' AS reason
 FROM messages WHERE category = 'whitelisted' AND NOT json_valid(raw)
 UNION ALL
 SELECT 'blacklist', channel || '/' || ts, 'blacklisted subtype ' || subtype
 FROM messages WHERE subtype IN ({bl})
 UNION ALL
 SELECT 'emoji', team_id || '/' || name, status || ': ' || alias_of
-FROM resolved WHERE status IN ('unresolved_chain', 'missing_target')""",
+FROM resolved WHERE status IN ('unresolved_chain', 'missing_target')
+UNION ALL
+SELECT 'delivery', key, CASE WHEN key < '4' THEN 'NOK: {{"message":[{{"error":"refused"}}]}}'
+                             ELSE 'UNKNOWN: upstream timeout' END FROM r WHERE key < '6'""",
 
-        "team_payload": _with(_EMOJIS) + f"""
-, e AS (
-  SELECT team_id, name,
-         '{{"name":"' || name || '","url":"' || coalesce(url, 'alias:' || alias_of) || '"}}' AS json,
-         (row_number() OVER (ORDER BY team_id, name) - 1) // {Q.TEAM_BATCH} AS chunk
-  FROM emojis),
-g AS (SELECT team_id, chunk, count(*) AS n_emojis, string_agg(json, ',' ORDER BY name) AS items
-      FROM e GROUP BY team_id, chunk),
-t AS (
-  SELECT 'T' || CAST(r_regionkey AS VARCHAR) AS team_id,
-         '{{"id":"T' || CAST(r_regionkey AS VARCHAR) || '","name":"' || r_name || '","domain":"'
-         || replace(lower(r_name), ' ', '-') || '","email_domain":"' || replace(lower(r_name), ' ', '-')
-         || '.example","image_132":"https://img.example/' || replace(lower(r_name), ' ', '-') || '_132.png"' AS head
-  FROM region)
-SELECT t.team_id, coalesce(g.chunk, 0) AS chunk, coalesce(g.n_emojis, 0) AS n_emojis,
-       sha256(t.head || ',"emojis":[' || coalesce(g.items, '') || ']}}') AS key
-FROM t LEFT JOIN g ON t.team_id = g.team_id""",
+        "team_payload": _with(_EMOJIS, _TEAM_PAYLOADS) + """
+SELECT team_id, chunk, url, n_items, key FROM team_payloads""",
 
         "listing_totals": """
 SELECT 'users' AS listing, count(*) AS value FROM customer
-UNION ALL SELECT 'channels', count(*) FROM nation
+UNION ALL SELECT 'channels', (SELECT count(*) FROM nation) + (SELECT count(*) FROM region)
 UNION ALL SELECT 'teams', count(*) FROM region""",
     }
 

@@ -78,7 +78,8 @@ TEAM_PAGE = _struct(
                      ("icon", ICON), ("enterprise_id", S), ("enterprise_name", S))),
 )
 
-EMOJI_PAGE = _struct(("ok", B), ("error", S), ("emoji", T.MapType(S, S)))
+# ``team_id`` is added by the landing step, as ``channel`` below.
+EMOJI_PAGE = _struct(("ok", B), ("error", S), ("team_id", S), ("emoji", T.MapType(S, S)))
 
 REACTION = _struct(("name", S), ("users", T.ArrayType(S)), ("count", L))
 REPLY = _struct(("ts", S), ("user", S))
@@ -106,16 +107,16 @@ WIRE_MESSAGE = _struct(
     ("mentions", T.ArrayType(S)),
 )
 
-# ``page`` is added by the landing step (the position of the page in the
-# channel's history); the API itself does not send it.
+# ``channel`` and ``page`` are added by the landing step (the page's channel and
+# its position in the channel's history); the API itself does not send them.
 HISTORY_PAGE = _struct(
     ("ok", B), ("error", S), ("channel", S), ("page", L), ("has_more", B), ("pin_count", L),
     ("messages", T.ArrayType(S)), ("response_metadata", RESPONSE_METADATA),
 )
 
-# Messages per numbered page are counted below this span, so that
-# ``page * PAGE_SPAN + position`` is unique within a channel.
-PAGE_SPAN = 1_000_000
+# ``page * PAGE_SPAN + position`` is unique within a channel: a position in a
+# page's array is below 2**31.
+PAGE_SPAN = 1 << 32
 
 # Canonical tall table of messages: one row per message, every category.
 MESSAGE_COLUMNS = [

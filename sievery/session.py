@@ -9,6 +9,7 @@ the shared checkpoint folder is resolved.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -23,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # of a repeated key in a raw message the last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
     # checkpoints written by the row index are removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -81,8 +84,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and replay-safe outputs.
 
     A cluster names it in ``spark.checkpoint.dir``; that value always wins.
-    Only when it is unset (local runs and tests) is a scratch folder created
-    and registered, so later calls in the same session agree on it.
+    Only when it is unset, and the master is local (tests), is a scratch
+    folder created and registered, so later calls in the same session agree on
+    it; on a cluster an unset folder is an error, since each executor would
+    write to its own disk.
     """
     try:
         sc = spark.sparkContext
@@ -91,13 +96,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     if sc is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="sievery-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", configured)
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return configured
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = sc.getCheckpointDir()
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="sievery-ckpt-")
         sc.setCheckpointDir(configured)
     elif sc.getCheckpointDir() is None:

@@ -4,9 +4,9 @@ R-1, R-2, LOG-1).
 The original posted each payload over HTTP from inside a task and restarted
 the job on any failure.  Here:
 
-* the default sink writes the payload DataFrame as Parquet under a batch id,
-  overwriting only that batch's partition, so a replayed batch replaces its
-  own output instead of adding rows;
+* the default sink writes the payload DataFrame as Parquet into the folder of
+  its batch id, which it replaces: a replayed batch adds no rows, and one that
+  yields none clears the folder;
 * an optional ``deliver(url, body, key) -> response body`` callable is
   applied to every payload row inside the tasks (``mapInPandas``, one Arrow
   batch at a time), the responses are classified in the JVM (R-1), and any
@@ -20,14 +20,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.responses import OK, response_status
 
 Deliver = Callable[[str, str, str], str]
 
-RECEIPT_SCHEMA = "channel string, chunk bigint, key string, url string, n_items bigint, response string"
+# Columns of every payload, whatever its kind (posts, users, channels, team).
+PAYLOAD = ["kind", "team_id", "channel", "chunk", "url", "n_items", "body", "key"]
+RECEIPT_SCHEMA = ("kind string, team_id string, channel string, chunk bigint, key string, url string, "
+                  "n_items bigint, response string")
+RECEIPTS = T.StructType(
+    [T.StructField(n, T.LongType() if n in ("chunk", "n_items") else T.StringType())
+     for n in ("kind", "team_id", "channel", "chunk", "key", "url", "n_items", "response", "status")])
 
 
 class DeliveryError(RuntimeError):
@@ -43,18 +51,19 @@ def _deliver_partitions(deliver: Deliver):
                     responses.append(deliver(url, body, key))
                 except Exception as exc:  # noqa: BLE001 - any failure is a reject
                     responses.append(f"delivery failed: {type(exc).__name__}: {exc}")
-            yield pd.DataFrame({
-                "channel": pdf["channel"], "chunk": pdf["chunk"], "key": pdf["key"],
-                "url": pdf["url"], "n_items": pdf["n_items"], "response": responses})
+            yield pdf.drop(columns="body").assign(response=responses)
     return run
 
 
 def deliver_payloads(payloads: DataFrame, deliver: Deliver) -> DataFrame:
-    """SNK-1..SNK-4: call ``deliver`` once per payload row, in the tasks.
+    """SNK-1..SNK-4: call ``deliver`` once per payload row, in the tasks, a few
+    rows at a time (a row holds a whole body).
 
-    Returns receipts: channel, chunk, key, url, n_items, response, status.
+    Returns receipts: kind, team_id, channel, chunk, key, url, n_items, response,
+    status (``RECEIPTS``).
     """
-    cols = payloads.select("channel", "chunk", "key", "url", "n_items", "body")
+    payloads.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    cols = payloads.select("kind", "team_id", "channel", "chunk", "key", "url", "n_items", "body")
     receipts = cols.mapInPandas(_deliver_partitions(deliver), RECEIPT_SCHEMA)
     return receipts.withColumn("status", response_status(F.col("response")))
 
@@ -63,8 +72,7 @@ def receipt_rejects(receipts: DataFrame) -> DataFrame:
     """LOG-1: receipts that are not OK, in the rejects shape."""
     return (receipts.filter(F.col("status") != OK)
             .select(F.lit("delivery").alias("source"), F.col("key"),
-                    F.concat(F.col("status"), F.lit(": "),
-                             F.substr(F.col("response"), F.lit(1), F.lit(200))).alias("reason")))
+                    F.concat(F.col("status"), F.lit(": "), F.col("response")).alias("reason")))
 
 
 def check_receipts(receipts: DataFrame, sample: int = 10) -> int:
@@ -83,19 +91,38 @@ def check_receipts(receipts: DataFrame, sample: int = 10) -> int:
     return counts.get(True, 0)
 
 
+def _folder(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/batch_id={int(batch_id)}"
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Idempotent batch write: the rows of ``batch_id`` replace that batch's
-    partition only (dynamic partition overwrite)."""
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").parquet(path))
+    folder, also when there are none."""
+    df.write.mode("overwrite").parquet(_folder(path, batch_id))
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """The rows of one batch, from its folder alone."""
+    return spark.read.schema(schema).parquet(_folder(path, batch_id))
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of all batches with ``batch_id``; none if no batch was written."""
+    own = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    try:
+        return spark.read.schema(own).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], own)
 
 
 def batch_sink(path: str, build: Callable[[DataFrame], DataFrame] | None = None,
                deliver: Deliver | None = None, receipts_path: str | None = None):
     """A ``foreachBatch`` function: build payloads from the micro-batch,
     write them under the batch id, optionally deliver them, store the
-    receipts (default ``<path>-receipts``) and check them (R-2)."""
+    receipts (default ``<path>-receipts``) and check them (R-2).  A batch
+    without payloads (F-7, F-9) writes and checks nothing but empty folders."""
     receipts_at = receipts_path or path.rstrip("/") + "-receipts"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -103,17 +130,19 @@ def batch_sink(path: str, build: Callable[[DataFrame], DataFrame] | None = None,
         write_batch(out, path, batch_id)
         if deliver is not None:
             spark = out.sparkSession
-            written = spark.read.parquet(path).filter(F.col("batch_id") == batch_id)
+            written = read_batch(spark, path, batch_id, out.schema)
             # Receipts are stored before they are checked: the check reads
             # them back, so no payload is delivered twice by the check itself.
             write_batch(deliver_payloads(written, deliver), receipts_at, batch_id)
-            check_receipts(spark.read.parquet(receipts_at).filter(F.col("batch_id") == batch_id))
+            check_receipts(read_batch(spark, receipts_at, batch_id, RECEIPTS))
     return sink
 
 
-def print_sink(df: DataFrame, n: int = 20) -> None:
-    """SNK-5: print rows (a debugging sink; only ``n`` rows reach the driver)."""
-    df.show(n, truncate=False)
+def print_sink(df: DataFrame) -> None:
+    """SNK-5: print every row (a debugging sink; one partition at a time is on
+    the driver)."""
+    for row in df.toLocalIterator():
+        print(row)
 
 
 def accepting_service(url: str, body: str, key: str) -> str:
@@ -121,3 +150,11 @@ def accepting_service(url: str, body: str, key: str) -> str:
     answers with the number of items received (for local runs and tests)."""
     import json
     return json.dumps({"received": len(json.loads(body))})
+
+
+def selective_service(url: str, body: str, key: str) -> str:
+    """A stand-in that refuses payloads by their key (for local runs and tests):
+    keys that start with 0 to 3 are not accepted, with 4 or 5 time out."""
+    if key < "4":
+        return '{"message":[{"error":"refused"}]}'
+    return "upstream timeout" if key < "6" else accepting_service(url, body, key)

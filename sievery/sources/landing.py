@@ -27,14 +27,18 @@ def _pages(records: DataFrame, order: list[str], page_size: int, keys: list[str]
             .agg(F.array_sort(F.collect_list(F.struct("_rn", "_json"))).alias("_items")))
 
 
-def _write(pages: DataFrame, body, path: str, partition: str | None = None) -> None:
-    cols = [body.alias("value")] + ([F.col(partition)] if partition else [])
-    w = pages.select(*cols).write.mode("overwrite")
-    (w.partitionBy(partition) if partition else w).text(path)
+def _write(pages: DataFrame, body, path: str) -> None:
+    pages.select(body.alias("value")).write.mode("overwrite").text(path)
 
 
-def _items(prefix: str, suffix: str):
-    return F.concat(F.lit(prefix), F.array_join(F.transform("_items", lambda x: x["_json"]), ","),
+def _json_string(col: str):
+    """JSON text of one string column (with quotes and escapes)."""
+    listed = F.to_json(F.array(col))
+    return listed.substr(F.lit(2), F.length(listed) - 2)
+
+
+def _items(prefix, suffix: str):
+    return F.concat(prefix if not isinstance(prefix, str) else F.lit(prefix), F.array_join(F.transform("_items", lambda x: x["_json"]), ","),
                     F.lit(suffix))
 
 
@@ -68,27 +72,30 @@ def land_team_pages(teams: DataFrame, path: str) -> None:
 
 
 def land_emoji_pages(emojis: DataFrame, path: str, page_size: int = 500) -> None:
-    """Emoji pages (name -> URL or ``alias:<name>``), in ``team_id=`` folders."""
+    """Emoji pages (name -> URL or ``alias:<name>``); the team id is in the page."""
     value = F.coalesce(F.col("url"), F.concat(F.lit(schemas.EMOJI_ALIAS_PREFIX), F.col("alias_of")))
     rec = emojis.select("team_id", "name",
                         F.to_json(F.struct(value.alias("v"))).alias("_v"))
     # "name":"value" pairs of a JSON object, assembled from to_json pieces.
-    pair = F.concat(F.to_json(F.array("name")).substr(F.lit(2), F.length(F.to_json(F.array("name"))) - 2),
-                    F.lit(":"), F.expr("substr(_v, 6, length(_v) - 6)"))
+    pair = F.concat(_json_string("name"), F.lit(":"), F.expr("substr(_v, 6, length(_v) - 6)"))
     rec = rec.select("team_id", "name", pair.alias("_json"))
     _write(_pages(rec, ["name"], page_size, keys=["team_id"]),
-           _items('{"ok":true,"emoji":{', "}}"), path, partition="team_id")
+           _items(F.concat(F.lit('{"ok":true,"team_id":'), _json_string("team_id"), F.lit(',"emoji":{')),
+                  "}}"), path)
 
 
-def land_history_pages(messages: DataFrame, path: str, page_size: int = 1000) -> None:
+def land_history_pages(messages: DataFrame, path: str, page_size: int = 1000,
+                       numbered: bool = True) -> None:
     """Write messages as conversation-history pages, the landing format read
-    by ``read_conversations`` (one JSON page per line, one folder per
-    channel, at most ``page_size`` messages per page).
+    by ``read_conversations`` (one JSON page per line with its channel, at most
+    ``page_size`` messages per page).  A channel has no folder of its own, so
+    the number of files follows the data.  ``numbered=False`` leaves the page
+    number out, as the API does.
 
     A message is written as its wire object: whitelisted messages as their
-    raw text (text that is not JSON is kept as a JSON string, which the
-    reader then rejects), others from their typed fields; mentions are not
-    written (the reader derives them from the text).
+    raw text without top-level mentions (text that is not JSON is kept as a
+    JSON string, which the reader then rejects), others from their typed
+    fields; the API sends no mentions, the reader finds them in the text.
     """
     comment = F.when(F.col("category") == C.FILE_COMMENT, F.struct(
         F.concat(F.lit("Fc"), F.col("seq").cast("string")).alias("id"), F.col("user").alias("user"),
@@ -100,17 +107,19 @@ def land_history_pages(messages: DataFrame, path: str, page_size: int = 1000) ->
         F.when(F.size("comments") > 0, F.col("comments")).alias("comments"),
         F.when(F.size("reactions") > 0, F.col("reactions")).alias("reactions"),
         F.when(F.size("replies") > 0, F.col("replies")).alias("replies")))
-    raw_ok = F.try_parse_json("raw").isNotNull()
+    # top-level fields of the raw object but its mentions
+    plain = F.expr("to_json(map_filter(try_variant_get(try_parse_json(raw), '$', 'map<string,variant>'), "
+                   "(k, v) -> k <> 'mentions'))")
     element = (F.when(F.col("category") != C.WHITELISTED, typed)
-                .when(raw_ok, F.col("raw"))
-                .otherwise(F.to_json(F.array("raw")).substr(F.lit(2), F.length(F.to_json(F.array("raw"))) - 2)))
+                .otherwise(F.coalesce(plain, _json_string("raw"))))
     items = messages.select("channel", F.expr(f"seq div {int(page_size)}").alias("page"),
                             "seq", element.alias("element"))
+    number = (F.concat(F.lit(',"page":'), F.col("page").cast("string")) if numbered else F.lit(""))
     pages = (items.groupBy("channel", "page")
              .agg(F.array_sort(F.collect_list(F.struct("seq", "element"))).alias("_m"))
-             .select("channel", F.concat(
-                 F.lit('{"ok":true,"has_more":false,"page":'), F.col("page").cast("string"),
+             .select(F.concat(
+                 F.lit('{"ok":true,"has_more":false,"channel":'), _json_string("channel"), number,
                  F.lit(',"messages":['),
                  F.array_join(F.transform("_m", lambda x: x["element"]), ","),
                  F.lit("]}")).alias("value")))
-    pages.write.mode("overwrite").partitionBy("channel").text(path)
+    pages.write.mode("overwrite").text(path)

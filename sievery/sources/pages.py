@@ -6,8 +6,8 @@ document; these readers turn a whole folder of pages into DataFrames in one
 distributed scan.  Every reader returns ``(data, rejects)``: an error page
 (``{"ok": false, "error": ...}``) yields no rows and one reject, never a
 crash.  Pages may be written as JSON lines (default) or one document per
-file (``multiline=True``).  Folder names such as ``channel=C1`` or
-``team_id=T1`` become columns through Spark's partition discovery.
+file (``multiline=True``).  The landing step puts a page's channel or team into
+the page (``channel``, ``team_id``), so pages need no folder of their own.
 """
 
 from __future__ import annotations
@@ -90,13 +90,11 @@ def nonempty_ids(df: DataFrame) -> DataFrame:
 def read_emojis(spark: SparkSession, path, multiline: bool = False):
     """Emoji pages as rows (team_id, name, url, alias_of).
 
-    The page itself carries no team id; it comes from the landing folder
-    (``team_id=...``).  A value ``alias:<name>`` is an alias, anything else
+    The API's page carries no team id; the landing step adds it (``team_id``).
+    A value ``alias:<name>`` is an alias, anything else
     a URL.
     """
     pages = _read(spark, path, schemas.EMOJI_PAGE, multiline)
-    if "team_id" not in pages.columns:
-        pages = pages.withColumn("team_id", F.lit(None).cast("string"))
     rows = _ok(pages).select(F.col("team_id").cast("string").alias("team_id"),
                              F.explode("emoji").alias("name", "value"))
     prefix = schemas.EMOJI_ALIAS_PREFIX
@@ -128,10 +126,6 @@ def ts_micros(ts):
 def wire_messages(pages: DataFrame) -> DataFrame:
     """History pages (batch or stream) to one row per wire message:
     ``channel``, ``raw`` text and the parsed ``m``."""
-    if "channel" not in pages.columns:
-        pages = pages.withColumn("channel", F.lit(None).cast("string"))
-    if "page" not in pages.columns:
-        pages = pages.withColumn("page", F.lit(None).cast("bigint"))
     raw = _ok(pages).select(F.col("channel").cast("string").alias("channel"), "page",
                             F.posexplode("messages").alias("_pos", "raw"))
     return raw.withColumn("m", F.from_json("raw", schemas.WIRE_MESSAGE))
@@ -147,6 +141,16 @@ def valid_canonical(wire: DataFrame) -> DataFrame:
     return to_canonical(wire.filter(F.col("m").isNotNull() & F.col("m")["ts"].isNotNull()))
 
 
+def with_mentions(raw, wire_mentions, found):
+    """The message text with the mentions found in its text (X-3) as a last
+    top-level ``mentions`` array, where the wire sent none: the sieve judges
+    plain posts on this text, and it is what is delivered."""
+    body = F.rtrim(raw)
+    added = F.concat(F.expr("substr(rtrim(raw), 1, length(rtrim(raw)) - 1)"), F.lit(',"mentions":'),
+                     F.to_json(found), F.lit("}"))
+    return F.when(wire_mentions.isNull() & (F.size(found) > 0) & body.endswith("}"), added).otherwise(raw)
+
+
 def to_canonical(wire: DataFrame) -> DataFrame:
     """Wire messages (``channel``, ``page``, ``_pos``, ``raw``, parsed ``m``)
     to the canonical ``messages`` shape, unclassified."""
@@ -174,7 +178,7 @@ def to_canonical(wire: DataFrame) -> DataFrame:
         F.coalesce(m["replies"], F.array().cast("array<struct<ts:string,user:string>>")).alias("replies"),
         F.when(F.size(wire_mentions) > 0, wire_mentions)
          .otherwise(F.coalesce(extract_mentions(m["text"]), F.array().cast("array<string>"))).alias("mentions"),
-        "raw",
+        with_mentions(F.col("raw"), wire_mentions, extract_mentions(m["text"])).alias("raw"),
     )
 
 

@@ -24,37 +24,14 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import classify as C
-from ..session import default_parallelism, table_path
+from ..session import table_path
 
 # Fixed values of the adapters (shared with the SQL twins).
-N_CHANNELS = 25
-
-# Tables whose adapters do heavy per-row work (JSON, string building, regex
-# over whole texts); only these are spread when their scan is a single split.
-PER_ROW_HEAVY = {"events", "documents", "conversations"}
+N_CHANNELS = 27              # two more than the listing has
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread_small(df) if name in PER_ROW_HEAVY else df
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than there are cores.
-
-    A large input is read as many splits (``spark.sql.files.maxPartitionBytes``)
-    and is returned unchanged: no shuffle is added at scale.  A file with a
-    single row group is read by one task whatever its row count, and the
-    adapters do per-row work (JSON, string building), so such a scan is
-    redistributed round-robin over the cores first.  The split count is
-    known when the plan is made; no job runs for it.
-    """
-    cores = default_parallelism(df.sparkSession)
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
-        return df
-    return df if splits >= cores else df.repartition(cores)
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def micros_since_epoch_sql(ts_ntz: str) -> str:
@@ -167,8 +144,13 @@ def messages_from_conversations(conversations: DataFrame) -> DataFrame:
     kept as raw JSON (system turns with the ``channel_join`` subtype).  A
     turn's ``replies`` holds the next turn of its conversation, found with
     an equi-join on (conversation, turn) so that a long conversation is not
-    gathered into one task.  Mentions are X-3 over the whole text.
+    gathered into one task.  Every seventh conversation keeps no replies, and in
+    every third one the second turn mentions its user.  Mentions are X-3 over the
+    whole text.
     """
+    conversations = conversations.withColumn("text", F.expr(
+        "CASE WHEN conv_id % 3 = 0 AND turn = 1 THEN concat(coalesce(text, ''), ' <@U', "
+        "cast(conv_id AS string), '>') ELSE text END"))
     def ts_of(turn: str) -> str:
         return f"concat(cast({CONVERSATION_EPOCH} + conv_id * 1000 + {turn} AS string), '.000000')"
 
@@ -193,7 +175,7 @@ def messages_from_conversations(conversations: DataFrame) -> DataFrame:
         "thumb_360:string>) AS file",
         "cast(array() AS array<struct<id:string,timestamp:bigint,user:string>>) AS comments",
         "cast(array() AS array<struct<name:string,users:array<string>,count:bigint>>) AS reactions",
-        f"""CASE WHEN _turn IS NOT NULL THEN array(named_struct('ts', {ts_of('_turn')},
+        f"""CASE WHEN _turn IS NOT NULL AND conv_id % 7 <> 0 THEN array(named_struct('ts', {ts_of('_turn')},
                  'user', CASE WHEN _role = 'assistant' THEN concat('B', cast(conv_id AS string))
                               ELSE concat('U', cast(conv_id AS string)) END))
             ELSE cast(array() AS array<struct<ts:string,user:string>>) END AS replies""",
@@ -214,8 +196,9 @@ def channel_members_from_tables(customer: DataFrame) -> DataFrame:
                                "concat('U', cast(c_custkey AS string)) AS user")
 
 
-def channels_from_tables(nation: DataFrame, customer: DataFrame) -> DataFrame:
-    """Canonical ``channels`` from ``nation`` + ``customer``.
+def channels_from_tables(nation: DataFrame, customer: DataFrame, region: DataFrame) -> DataFrame:
+    """Canonical ``channels`` from ``nation`` + ``customer``, and one channel
+    without members or messages per region (``Q<regionkey>``).
 
     ``num_members`` is counted with a partial (map-side) aggregation, so a
     nation holding a third of all customers costs one counter per task.  The
@@ -225,14 +208,20 @@ def channels_from_tables(nation: DataFrame, customer: DataFrame) -> DataFrame:
     is an attribute and is never derived from a member list.
     """
     counts = customer.groupBy("c_nationkey").agg(F.count("*").alias("num_members"))
-    joined = nation.join(counts, F.col("n_nationkey") == F.col("c_nationkey"), "left")
-    topic = ("named_struct('value', concat('all about ', lower(n_name)), 'creator', 'U0', "
+    joined = nation.join(counts, F.col("n_nationkey") == F.col("c_nationkey"), "left").selectExpr(
+        "concat('C', cast(n_nationkey AS string)) AS id", "lower(n_name) AS n_name",
+        "n_nationkey = 0 AS is_general", "n_regionkey", "num_members")
+    quiet = region.selectExpr(
+        "concat('Q', cast(r_regionkey AS string)) AS id", "concat('quiet ', lower(r_name)) AS n_name",
+        "false AS is_general", "r_regionkey AS n_regionkey", "cast(0 AS bigint) AS num_members")
+    joined = joined.unionByName(quiet)
+    topic = ("named_struct('value', concat('all about ', n_name), 'creator', 'U0', "
              "'last_set', cast(0 AS bigint))")
     return joined.selectExpr(
-        "concat('C', cast(n_nationkey AS string)) AS id", "lower(n_name) AS name",
+        "id", "n_name AS name",
         "true AS is_channel", "cast(0 AS bigint) AS created", "'U0' AS creator",
-        "false AS is_archived", "n_nationkey = 0 AS is_general",
-        "lower(n_name) AS name_normalized", "false AS is_shared", "false AS is_org_shared",
+        "false AS is_archived", "is_general",
+        "n_name AS name_normalized", "false AS is_shared", "false AS is_org_shared",
         "true AS is_member", "false AS is_private", "false AS is_mpim",
         "cast(array() AS array<string>) AS members", f"{topic} AS topic", f"{topic} AS purpose",
         "cast(array() AS array<string>) AS previous_names",
@@ -261,9 +250,12 @@ def users_from_tables(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def teams_from_region(region: DataFrame) -> DataFrame:
+    """One team per region, and one that came without an id (F-8 drops it)."""
     dom = "regexp_replace(lower(r_name), ' ', '-')"
-    return region.selectExpr(
-        "concat('T', cast(r_regionkey AS string)) AS id", "r_name AS name", f"{dom} AS domain",
+    unnamed = region.filter("r_regionkey = 0").selectExpr("cast(NULL AS int) AS r_regionkey",
+                                                          "'unnamed' AS r_name")
+    return region.select("r_regionkey", "r_name").unionByName(unnamed).selectExpr(
+        "coalesce(concat('T', cast(r_regionkey AS string)), '') AS id", "r_name AS name", f"{dom} AS domain",
         f"concat({dom}, '.example') AS email_domain",
         f"concat('https://img.example/', {dom}, '_132.png') AS image_132")
 
@@ -313,7 +305,8 @@ def load_conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return channels_from_tables(read_table(spark, sf_dir, "nation"),
-                                read_table(spark, sf_dir, "customer"))
+                                read_table(spark, sf_dir, "customer"),
+                                read_table(spark, sf_dir, "region"))
 
 
 def load_channel_members(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,35 +13,75 @@ not emitted in append mode.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as TY
 
 from .. import schemas
 from ..functions import classify as Cl
 from ..operators import dedup, sieve
 from ..operators import payloads as P
+from ..operators import routing as R
 from ..session import scratch_path, table_path
-from ..sinks.delivery import batch_sink
+from ..sinks.delivery import batch_sink, read_batches
 from ..sources import pages as PG
 from ..sources import tables as T
 
 WATERMARK = "10 minutes"
+MAX_FILES = 1000              # files of a micro-batch; size it to the cluster
+PAYLOAD_COUNTS = TY.StructType([TY.StructField("n_items", TY.LongType())])
 
 
-def read_event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """SRC-10: the ``events`` table as a file stream (schema from the files)."""
-    path = table_path(sf_dir, "events")
+def read_event_stream(spark: SparkSession, sf_dir: str | None = None, max_files: int = MAX_FILES,
+                      path: str | None = None) -> DataFrame:
+    """SRC-10: the ``events`` table (or the files in ``path``) as a file stream
+    (schema from the files), at most ``max_files`` files a batch, oldest first."""
+    path = path or table_path(sf_dir, "events")
     schema = spark.read.parquet(path).schema
-    # A file source watches a folder or a glob; the table is a single file
-    # here, so it is named through a one-file glob.
+    # A file source watches a folder or a glob; the table may be a single file,
+    # so it is named through a one-name glob.
     pattern = path[:-1] + "[" + path[-1] + "]"
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .parquet(pattern))
 
 
-def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def message_stream(spark: SparkSession, sf_dir: str | None = None, max_files: int = MAX_FILES,
+                   path: str | None = None) -> DataFrame:
     """Canonical messages as a stream (the adapter is row-wise)."""
-    return T.messages_from_events(read_event_stream(spark, sf_dir))
+    return T.messages_from_events(read_event_stream(spark, sf_dir, max_files, path))
+
+
+def _file_order(spark: SparkSession, path: str) -> DataFrame:
+    """Event files with the time span of their rows and the latest time in any
+    file that the stream reads before them (one row per file)."""
+    us = T.micros_since_epoch("ts")
+    meta = F.col("_metadata")
+    files = (spark.read.parquet(path)
+             .select(meta["file_path"].alias("file"),
+                     meta["file_modification_time"].alias("landed"), us.alias("us"))
+             .groupBy("file", "landed").agg(F.min("us").alias("low"), F.max("us").alias("high")))
+    earlier = Window.orderBy("landed", "file").rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("seen", F.max("high").over(earlier))
+
+
+def lateness(spark: SparkSession, path: str) -> int:
+    """Microseconds by which the files in ``path`` overlap in time: the longest
+    that a row lies behind the latest row of an earlier file."""
+    return int(_file_order(spark, path).agg(
+        F.max(F.greatest(F.lit(0), F.col("seen") - F.col("low")))).first()[0] or 0)
+
+
+def late_rejects(spark: SparkSession, path: str, watermark: str) -> DataFrame:
+    """LOG-1: the rows that a stream of one file a batch would drop as late at
+    this watermark, as rejects."""
+    behind = _file_order(spark, path).filter("seen IS NOT NULL").select(
+        "file", (F.col("seen") - R.micros(watermark)).alias("mark"))
+    rows = spark.read.parquet(path).select(
+        "event_id", T.micros_since_epoch("ts").alias("us"), F.col("_metadata.file_path").alias("file"))
+    return rows.join(behind, "file").filter("us < mark").select(
+        F.lit("late").alias("source"), F.col("event_id").cast("string").alias("key"),
+        F.concat(F.lit("older than the watermark by "), (F.col("mark") - F.col("us")).cast("string"),
+                 F.lit(" microseconds")).alias("reason"))
 
 
 def windowed_counts(messages: DataFrame, size: str = "1 hour", slide: str = "15 minutes",
@@ -63,38 +103,50 @@ def run_available(stream_df: DataFrame, out_path: str, checkpoint: str,
     q.awaitTermination()
 
 
-def stream_windows(spark: SparkSession, sf_dir: str, size: str = "1 hour",
-                   slide: str = "15 minutes", watermark: str = WATERMARK) -> DataFrame:
-    """Closed windows emitted by the stream, read back from its sink."""
+def stream_windows(spark: SparkSession, sf_dir: str | None = None, size: str = "1 hour",
+                   slide: str = "15 minutes", watermark: str = WATERMARK,
+                   path: str | None = None, max_files: int = MAX_FILES) -> DataFrame:
+    """Closed windows emitted by the stream, read back from its sink.
+
+    Files land in any order of event time, so the watermark waits at least as
+    long as they overlap: no row is late, whatever the number of files.
+    """
     out = scratch_path(spark, "stream-windows")
-    w = windowed_counts(message_stream(spark, sf_dir), size, slide, watermark)
+    behind = lateness(spark, path or table_path(sf_dir, "events"))
+    if behind > R.micros(watermark):
+        watermark = f"{behind} microseconds"
+    w = windowed_counts(message_stream(spark, sf_dir, max_files, path), size, slide, watermark)
     run_available(w, out + "/data", out + "/checkpoint")
-    return spark.read.parquet(out + "/data")
+    return spark.read.schema(w.schema).parquet(out + "/data")
 
 
-def stream_sieve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sieved messages de-duplicated within the watermark (ST-2) and written
-    per micro-batch by an idempotent ``foreachBatch`` sink; the sink's
-    output, read back."""
+def stream_sieve(spark: SparkSession, sf_dir: str | None = None, path: str | None = None,
+                 max_files: int = MAX_FILES) -> DataFrame:
+    """Sieved messages, each once within the watermark of its arrival (ST-2),
+    written per micro-batch by an idempotent ``foreachBatch`` sink; the sink's
+    output, read back.  The clock is arrival, not event time, since the order in
+    which files land says nothing about the age of their rows."""
     out = scratch_path(spark, "stream-sieve")
-    notable = sieve.sieve(dedup.dedup_stream(message_stream(spark, sf_dir)))
-    rows = notable.select("channel", "category", "seq", "ts")
+    notable = sieve.sieve(message_stream(spark, sf_dir, max_files, path)).withColumn(
+        "_arrival", F.current_timestamp())
+    rows = dedup.dedup_stream(notable, event_time="_arrival").select("channel", "category", "seq", "ts")
     q = (rows.writeStream.foreachBatch(batch_sink(out + "/data"))
          .option("checkpointLocation", out + "/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out + "/data")
+    return read_batches(spark, out + "/data", rows.schema)
 
 
-def stream_sieve_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_sieve_counts(spark: SparkSession, sf_dir: str | None = None, path: str | None = None,
+                        max_files: int = MAX_FILES) -> DataFrame:
     """Counts of the stream's notable output per channel and category."""
-    kept = stream_sieve(spark, sf_dir)
+    kept = stream_sieve(spark, sf_dir, path, max_files)
     return kept.groupBy("channel", "category").agg(F.count("*").alias("n_kept"))
 
 
-def read_page_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+def read_page_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
     """SRC-10 on landed history pages: the folder is watched and new page
-    files are read as they land (``channel=`` folders become a column)."""
+    files are read as they land."""
     return (spark.readStream.schema(schemas.HISTORY_PAGE)
             .option("maxFilesPerTrigger", max_files).json(path))
 
@@ -103,34 +155,29 @@ def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
                  channel_teams: DataFrame | None = None, team_id: str | None = None,
                  blacklist=(), deliver=None, chunk_size: int = 10_000,
                  watermark: str = WATERMARK, out: str | None = None,
-                 chunk_by: str = "seq") -> str:
-    """JOB-3 as a stream: pages -> classified messages (X-1, X-2) -> each
-    message once within the watermark of arrival (ST-2) -> sieve (F-6) -> per batch:
-    payloads (AGG-2) written per batch id; with ``deliver``, each payload is
-    delivered and the responses checked (SNK-1, R-1, R-2).
-
-    ``seq`` of messages from numbered pages is their position in the
-    channel, so a payload holds at most ``chunk_size`` messages; for pages
-    without a number it is the ts in microseconds and ``chunk_size`` is a
-    time span, unless ``chunk_by="rank"`` (exact positions within each
-    micro-batch).  Payloads and receipts
-    are written per batch id; a replayed batch replaces its own output.
+                 chunk_by: str = "rank", max_files: int = MAX_FILES) -> str:
+    """JOB-3 as a stream: pages -> classified messages (X-1, X-2) -> sieve (F-6)
+    -> each notable message once within the watermark of arrival (ST-2) -> per
+    batch: payloads (AGG-2) written per batch id; with ``deliver``, each payload
+    is delivered and the responses checked (SNK-1, R-1, R-2).
+
+    The sieve comes first: a message that lands plain and later with reactions
+    is kept when it becomes notable, and the state holds notable keys only.
+    Payloads hold at most ``chunk_size`` messages of a micro-batch.  Payloads and
+    receipts are written per batch id; a replayed batch replaces its own output,
+    and a batch with nothing notable writes empty ones.
     Returns the output folder (``payloads/``, ``receipts/`` and the
     ``checkpoint/`` a restarted run resumes from; pass ``out`` to resume).
     """
     out = out or scratch_path(spark, "stream-posts")
-    msgs = Cl.with_category(Cl.drop_blacklisted(
-        PG.valid_canonical(PG.wire_messages(read_page_stream(spark, pages_path))), blacklist))
+    msgs = Cl.with_category(Cl.drop_blacklisted(PG.valid_canonical(
+        PG.wire_messages(read_page_stream(spark, pages_path, max_files))), blacklist))
     # History pages land channel by channel, so event time is out of order
     # across files and an event-time watermark would drop whole channels as
     # late.  Repeats come from re-landed pages, close in arrival time: the
     # de-duplication clock is the arrival time of the micro-batch.
-    arrived = msgs.withColumn("_arrival", F.current_timestamp())
-    notable = sieve.sieve(dedup.dedup_stream(arrived, event_time="_arrival",
-                                             watermark=watermark)).drop("_arrival")
-    # AGG-4 in a stream: counters observed on each micro-batch, read from the
-    # query progress (no extra pass over the data).
-    notable = notable.observe("posts", F.count(F.lit(1)).alias("mapper_posts"))
+    arrived = sieve.sieve(msgs).withColumn("_arrival", F.current_timestamp())
+    notable = dedup.dedup_stream(arrived, event_time="_arrival", watermark=watermark).drop("_arrival")
 
     # The channel -> team lookup is a dimension derived from other tables;
     # it is written once per run to the shared folder and read by every
@@ -151,23 +198,12 @@ def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
          .option("checkpointLocation", out + "/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    _append_metrics(spark, out + "/metrics", q.recentProgress)
     return out
 
 
-def _append_metrics(spark: SparkSession, path: str, progress: list) -> None:
-    """Store the observed counters of each finished micro-batch next to the
-    outputs (a few rows of counters, not data) in the shared folder.  The
-    query keeps its last ``spark.sql.streaming.numRecentProgressUpdates``
-    progress reports, enough for an ``availableNow`` run of that many
-    batches."""
-    rows = [(p.batchId, int(p.observedMetrics["posts"]["mapper_posts"]))
-            for p in progress if "posts" in (p.observedMetrics or {})]
-    if rows:
-        (spark.createDataFrame(rows, "batch_id bigint, mapper_posts bigint")
-         .write.mode("append").json(path))
-
-
 def stream_metrics(spark: SparkSession, out: str) -> DataFrame:
-    """Observed counters of every micro-batch of a ``stream_posts`` run."""
-    return spark.read.schema("batch_id bigint, mapper_posts bigint").json(out + "/metrics")
+    """AGG-4 of a ``stream_posts`` run, per micro-batch: notable posts and
+    payloads, from the stored payloads (also those of a run that failed later)."""
+    stored = read_batches(spark, out + "/payloads", PAYLOAD_COUNTS)
+    return stored.groupBy("batch_id").agg(F.sum("n_items").alias("mapper_posts"),
+                                          F.count("*").alias("payloads"))
