@@ -24,8 +24,9 @@ with a register left empty is drawn again with twice the limit.
 3. Where a bucket still holds several components, its documents are compared
    across components, block by block, on their signatures; pairs whose estimate
    is not hopelessly low (``DOUBT``, six standard errors under 0.8) are verified
-   as well.  So no link among band partners is lost, and no group's pairs are
-   ever listed as a whole.
+   there on their texts, until their components are joined.  So no link between
+   components is lost, and what leaves a block is at most one link for each
+   component it joins, never its pairs.
 4. Connected components by minimum labels with pointer jumping.
 
 At a similarity of 0.8 two documents share no band with a probability of 3e-6.
@@ -52,6 +53,7 @@ REGISTERS = BANDS * ROWS
 LEAST = (4, 5)                # similarity 4/5
 DOUBT = 0.8 - 6 * (0.8 * 0.2 / REGISTERS) ** 0.5
 BLOCK = 512                   # documents of a bucket that are compared at once
+BLOCK_BYTES = 16 << 20        # and their text at most, beside one document
 BROADCAST_IDS = 2_000_000     # 16 MB of ids: the size bound of the broadcast
 
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -191,12 +193,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                pa.binary()),
             "bands": pa.array([r.view(np.int64) if k else None for r, k in zip(bands, some, strict=True)],
                               pa.list_(pa.int64())),
-            "sig": pa.array([r.tobytes() for r in small], pa.binary())})
+            "sig": pa.array([r.tobytes() for r in small], pa.binary()),
+            "size": b.column(2)})
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, bands, sig) of rows (doc_id, t); digest and bands are null without words."""
-    return docs.mapInArrow(_sketch, "doc_id long, digest binary, bands array<long>, sig binary")
+    """(doc_id, digest, bands, sig, size) of rows (doc_id, t); digest and bands are null without
+    words, size is the text's bytes."""
+    return docs.select("doc_id", "t", F.octet_length("t").cast("long")).mapInArrow(_sketch, "doc_id long, digest binary, bands array<long>, sig binary, size long")
 
 
 # ------------------------------------------------------------------ verification
@@ -228,11 +232,15 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([left.filter(mask), right.filter(mask)], ["a", "b"])
 
 
+def checked_ids(ids: DataFrame) -> DataFrame:
+    """Distinct ids for a semi-join, marked for broadcast if they are few (checked)."""
+    own = materialize(ids.distinct(), "ids")
+    return F.broadcast(own) if own.count() <= BROADCAST_IDS else own
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of ids whose whole texts reach the similarity; ``texts``: (doc_id, t)."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    if ids.count() <= BROADCAST_IDS:                  # checked: at most 16 MB of ids
-        ids = F.broadcast(ids)
+    ids = checked_ids(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     own = texts.join(ids, "doc_id", "left_semi")
     first, second = (own.select(F.col("doc_id").alias(k), F.col("t").alias(f"t{k}")) for k in "ab")
     return (pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
@@ -266,40 +274,76 @@ def components(edges: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ candidates
 
 def _across(key, rows):
-    """Pairs of one bucket's blocks that are in different components and may be similar."""
+    """Links of one bucket's blocks between documents of different components.
+
+    A pair is looked at in the first band that it shares, and only while its ends
+    are not connected by links found here; the likeliest partners come first.
+    """
     import pandas as pd
 
-    _, i, j, _ = key
+    bucket, i, j, _ = key
     sig = np.stack([np.frombuffer(x, np.uint8) for x in rows["sig"]])
+    bands = np.stack(rows["bands"].tolist())
     ids, labels, side = (rows[c].to_numpy() for c in ("doc", "label", "block"))
     left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+    parent: dict[int, int] = {}
+    bags_: dict[int, tuple] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    def own(k: int) -> tuple:
+        if k not in bags_:
+            bags_[k] = bag(rows["t"].iat[k].encode())
+        return bags_[k]
+
     found = []
-    for x in left:
+    for x in left.tolist():
         other = right[(labels[right] != labels[x]) & ((ids[right] > ids[x]) | (i != j))]
-        if len(other):
-            close = other[(sig[other] == sig[x]).mean(axis=1) >= DOUBT]
-            found += [(min(ids[x], y), max(ids[x], y)) for y in ids[close]]
+        if not len(other):
+            continue
+        first = (bands[other] == bands[x]).argmax(axis=1)
+        alike = (sig[other] == sig[x]).mean(axis=1)
+        here = (bands[x][first] == bucket) & (alike >= DOUBT)
+        for y in other[here][np.argsort(-alike[here], kind="stable")].tolist():
+            a, b = root(int(labels[x])), root(int(labels[y]))
+            if a != b:
+                both, all_ = overlap(own(x), own(y))
+                if both * LEAST[1] >= all_ * LEAST[0]:
+                    parent[max(a, b)] = min(a, b)
+                    found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
     return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
 
-def cross_component_pairs(rows: DataFrame, labels: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs (a < b) of band partners that are still in different components.
+def cross_component_links(rows: DataFrame, labels: DataFrame, sketched: DataFrame,
+                          texts: DataFrame) -> DataFrame:
+    """Links (a < b) between band partners that are still in different components.
 
-    ``rows``: (key, doc, pivot) of buckets.  A bucket whose documents beside the
-    pivot are all in one component is settled: each was compared with the pivot.
+    ``rows``: (key, doc, pivot, size) of buckets.  A bucket whose documents beside
+    the pivot are all in one component is settled: each was compared with the
+    pivot.  The others are compared in blocks of bounded rows and bytes; only
+    links that join components leave a block.
     """
     named = rows.join(labels, rows.doc == labels.id, "left").select(
-        "key", "doc", F.coalesce("label", "doc").alias("label"), "pivot")
+        "key", "doc", F.coalesce("label", "doc").alias("label"), "pivot", "size")
     beside = F.when(F.col("doc") != F.col("pivot"), F.col("label"))
-    some = named.groupBy("key").agg(F.min(beside).alias("x"), F.max(beside).alias("y"),
-                                    F.count(F.lit(1)).alias("n")).filter("x < y").select(
-        "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    held = (named.filter("doc <> pivot").join(some, "key")
-            .join(sigs, F.col("doc") == F.col("rep"))
-            .withColumn("block", F.expr("cast(pmod(xxhash64(doc), blocks) as int)")))
-    paired = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    some = named.groupBy("key").agg(
+        F.min(beside).alias("x"), F.max(beside).alias("y"), F.count(F.lit(1)).alias("n"),
+        F.sum("size").alias("bytes")).filter("x < y").select("key", F.greatest(
+            F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    held = materialize(named.filter("doc <> pivot").join(some, "key").select(
+        "key", "doc", "label", "blocks",
+        F.expr("cast(pmod(xxhash64(doc), blocks) as int)").alias("block")), "open-buckets")
+    ids = checked_ids(held.select(F.col("doc").alias("doc_id")))
+    about = (sketched.filter("digest IS NOT NULL").select("doc_id", "bands", "sig")
+             .join(ids, "doc_id", "left_semi")
+             .join(texts.join(ids, "doc_id", "left_semi"), "doc_id"))
+    paired = held.join(about, F.col("doc") == F.col("doc_id")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "blocks", "doc", "label", "block", "sig")
+        "blocks", "doc", "label", "block", "bands", "sig", "t")
     return paired.groupBy("key", "i", "j", "blocks").applyInPandas(_across, "a long, b long").distinct()
 
 
@@ -314,23 +358,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     reps = materialize(sketched.filter("digest IS NOT NULL").groupBy("digest").agg(
         F.min("doc_id").alias("rep")), "reps")
     ids = reps.select("rep").distinct()
-    banded = (sketched.select("doc_id", F.explode("bands").alias("key"))
+    banded = (sketched.select("doc_id", "size", F.explode("bands").alias("key"))
               .join(ids, F.col("doc_id") == F.col("rep"), "left_semi")
-              .select("key", F.col("doc_id").alias("doc")))
+              .select("key", F.col("doc_id").alias("doc"), "size"))
     buckets = banded.groupBy("key").agg(F.min("doc").alias("pivot"), F.max("doc").alias("last")).filter(
         "pivot < last").select("key", "pivot")
-    rows = materialize(banded.join(buckets, "key").select("key", "doc", "pivot"), "buckets")
+    rows = materialize(banded.join(buckets, "key").select("key", "doc", "pivot", "size"), "buckets")
     star = materialize(rows.filter("doc <> pivot").select(
         F.col("doc").alias("a"), F.col("pivot").alias("b")).distinct(), "star")
     links = materialize(verified(star, known), "links")
     labels = components(links)
 
-    sigs = sketched.filter("digest IS NOT NULL").groupBy(F.col("doc_id").alias("rep")).agg(
-        F.min("sig").alias("sig"))
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialize(cross_component_pairs(rows, labels, sigs).join(tried, ["a", "b"], "left_anti"),
-                       "rest")
-    more = materialize(verified(rest, known), "links")
+    more = materialize(cross_component_links(rows, labels, sketched, known), "links")
     if more.limit(1).count():
         labels = components(links.union(more))
 
