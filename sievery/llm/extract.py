@@ -10,7 +10,8 @@
    share are boilerplate, and overlapping ones join to longer runs.
 3. A page with a marked article gives its main blocks, whole: an article's own
    words stay even where other pages repeat them.  A page without one gives its
-   open blocks less the covered tokens: the unique runs.
+   open blocks less the covered tokens: the unique runs (a block is cut only where
+   at least ``RUN`` of its tokens in a row are covered, or goes as a whole).
 
 A host with many pages is dealt into parts by page, each of at most about
 ``PART_BYTES``.  A part's suffix array settles its own pages; for pages without a
@@ -238,14 +239,31 @@ def repeated(streams: list[list[str]], pages: list[int]) -> list[np.ndarray]:
 
 
 def unique_runs(texts: list[str], covered: list[bool]) -> str:
-    """Blocks without their covered tokens, empty ones left out."""
+    """Blocks without their covered tokens, empty ones left out.
+
+    A run of covered tokens that ends inside a block and has fewer than ``RUN`` of
+    its tokens belongs to a neighbouring block's repetition, and stays.
+    """
     out, at = [], 0
     for text in texts:
         tokens = text.split(" ")
-        left = [t for t, c in zip(tokens, covered[at:at + len(tokens)], strict=True) if not c]
+        own = covered[at:at + len(tokens)]
         at += len(tokens)
-        if left:
-            out.append(" ".join(left))
+        if all(own):
+            continue
+        left: list[str] = []
+        run: list[str] = []
+        for t, c in zip(tokens, own, strict=True):
+            if c:
+                run.append(t)
+                continue
+            if len(run) < RUN:
+                left += run
+            run = []
+            left.append(t)
+        if len(run) < RUN:
+            left += run
+        out.append(" ".join(left))
     return "\n".join(out)
 
 
