@@ -265,3 +265,23 @@ def test_rank_within_keeps_null_keys(spark):
     got = sorted(((r["k"] or ""), r["v"], r["rank"])
                  for r in splitting.rank_within(df, "k", ["v"], "rank", 2).collect())
     assert got == [("", 1, 0), ("", 2, 1), ("a", 5, 0)]
+
+
+def test_the_latest_version_of_a_message_stays(spark):
+    rows = [("C1", "1.0", 5, "old"), ("C1", "1.0", 9, "new"), ("C1", "1.0", 9, "near"), ("C2", "1.0", 1, "x")]
+    df = spark.createDataFrame(rows, "channel string, ts string, seq bigint, text string")
+    for frame in (df, df.orderBy("text"), df.repartition(3)):
+        got = dedup.dedup_messages(frame)
+        assert got.columns == df.columns
+        assert sorted(map(tuple, got.collect())) == [("C1", "1.0", 9, "new"), ("C2", "1.0", 1, "x")]
+
+
+def test_rank_within_sums_a_weight(spark):
+    df = spark.createDataFrame([("a", i, i + 1) for i in range(20)] + [("b", 1, 7)], "k string, v int, w bigint")
+    got = splitting.rank_within(df, "k", ["v"], "rank", 4, weight="w", before="b4").collect()
+    assert {(r["k"], r["v"]): (r["rank"], r["b4"]) for r in got} == {
+        **{("a", i): (i, i * (i + 1) // 2) for i in range(20)}, ("b", 1): (0, 0)}
+
+
+def test_durations():
+    assert routing.micros("100 milliseconds") == 100_000 and routing.micros("1 hour") == 3_600_000_000

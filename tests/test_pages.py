@@ -3,8 +3,11 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
+from sievery import schemas
 from sievery.functions import classify as C
-from sievery.operators import sieve
+from sievery.operators import payloads, sieve
 from sievery.sources import pages
 
 
@@ -126,8 +129,41 @@ def test_land_and_read_pages_roundtrip(spark):
     assert back.count() + broken == m.count()
     assert rej.count() == broken                        # not-JSON messages are rejected
     a = sorted((r["channel"], r["category"]) for r in sieve.sieve(back).collect())
-    b = sorted((r["channel"], r["category"]) for r in sieve.sieve(m).collect())
+    # the pages carry no mentions; the reader adds those of the text, also where
+    # the raw text nests its lists
+    wire = m.filter(sieve.is_notable() | (F.expr(
+        "category = 'whitelisted' AND try_parse_json(raw) IS NOT NULL AND size(mentions) > 0")))
+    b = sorted((r["channel"], r["category"]) for r in wire.collect())
     assert a == b
+    landed = pages.wire_messages(spark.read.schema(schemas.HISTORY_PAGE).json(path))
+    assert landed.filter("m.mentions IS NOT NULL").count() == 0
+
+
+def test_plain_posts_with_a_mention_are_kept(spark, tmpdir_path):
+    posts = [{"type": "message", "user": "U1", "text": f"hi <@U2> {i}", "ts": f"{1500000000 + i}.000000"}
+             for i in range(1000)]
+    _write(tmpdir_path, "h.json", [{"ok": True, "channel": "C1", "messages": posts}])
+    msgs, _ = pages.read_conversations(spark, tmpdir_path)
+    kept = sieve.sieve(msgs)
+    assert kept.count() == 1000
+    raw = json.loads(kept.first()["raw"])
+    assert raw["mentions"] == ["U2"] and raw["user"] == "U1"
+    # unnumbered pages: payloads by count, whatever the time between the messages
+    p = payloads.post_payloads(kept, "u", team_id="T", chunk_size=300)
+    assert sorted(r["n_items"] for r in p.collect()) == [100, 300, 300, 300]
+    by_bytes = payloads.post_payloads(kept, "u", team_id="T", max_bytes=10_000)
+    assert by_bytes.agg(F.max(F.length("body"))).first()[0] < 10_500 and by_bytes.count() > 5
+    assert by_bytes.agg(F.sum("n_items")).first()[0] == 1000
+    assert by_bytes.select("chunk").distinct().count() == by_bytes.count()
+
+
+def test_wire_mentions_win_over_the_text(spark, tmpdir_path):
+    posts = [{"type": "message", "user": "U1", "text": "hi <@U2>", "ts": "1.000000", "mentions": []},
+             {"type": "message", "user": "U1", "text": "hi <@U2>", "ts": "2.000000", "mentions": ["U3"]}]
+    _write(tmpdir_path, "h.json", [{"ok": True, "channel": "C1", "messages": posts}])
+    msgs, _ = pages.read_conversations(spark, tmpdir_path)
+    assert {r["ts"]: json.loads(r["raw"])["mentions"] for r in msgs.collect()} == {
+        "1.000000": [], "2.000000": ["U3"]}
 
 
 def test_numbered_pages_give_dense_positions(spark, tmpdir_path):
@@ -137,7 +173,7 @@ def test_numbered_pages_give_dense_positions(spark, tmpdir_path):
                               {"ok": True, "page": 1, "messages": msgs[4:]}])
     back, _ = pages.read_history(spark, tmpdir_path)
     seqs = sorted(r["seq"] for r in back.collect())
-    assert seqs == [0, 1, 2, 3, 1_000_000, 1_000_001, 1_000_002]
+    assert seqs == [0, 1, 2, 3, 1 << 32, (1 << 32) + 1, (1 << 32) + 2]
 
 
 def test_malformed_page_is_a_reject(spark, tmpdir_path):

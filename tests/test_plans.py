@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as E
+from sievery.plans.catalog import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
-BATCH_KEYS = sorted(k for k in E.queries()
+BATCH_KEYS = sorted(k for k in QUERIES
                     if not k.startswith("stream") and k not in ("history_pages", "listing_pages"))
 
 
@@ -35,6 +36,8 @@ def test_payloads_collect_partially_and_join_after_grouping(spark):
 def test_window_counts_aggregate_partially(spark):
     plan = _plan(E.queries()["route_windows"](spark, SMALL))
     assert "partial_count" in plan and "collect_set" not in plan
+    # top-down: windows are made of routed pane counts, which are counted before
+    assert plan.index("Generate explode") < plan.index("Join") < plan.index("partial_count")
 
 
 def test_scan_reads_only_needed_columns(spark):
