@@ -90,8 +90,10 @@ def chrome_element(tag: str, attributes: str, inside_main: bool) -> bool:
             return True
         if name == "role" and value.strip().lower() in CHROME_ROLES:
             return True
-        if name in ("class", "id") and tag not in MAIN and CHROME_NAME.search(value):
-            return True
+        if name in ("class", "id") and (inside_main or tag not in MAIN):
+            found = CHROME_NAME.search(value)
+            if found and not (inside_main and "header" in found[0].lower()):
+                return True
     return False
 
 
@@ -356,7 +358,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url",
             html: str = "html") -> DataFrame:
     """page_id, url and text (empty if none) of every row."""
     spark = spark_of(pages)
-    bounded_batches(spark, 16 << 20, 1000)
+    bounded_batches(spark)
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"),
                         text_or_empty(html).alias("html"))
     parse = F.arrow_udf(_parse(), PARSED)

@@ -31,6 +31,13 @@ def test_blocks_of_a_marked_article(spark):
     assert got[1] == "Head & line\nOne two three four\nCafé AB &unknown; 1 < 2\na\nb\nc1\nc2\ntail text"
 
 
+def test_an_articles_own_header_stays_and_nested_comments_go():
+    page = ("<div class='site-header'>Site</div><article id='post-1'><div class='entry-header'><h1>Title</h1></div>"
+            "<p>Body</p><article class='comment'><p>Reader</p></article><div class='share-bar'>Share</div></article>")
+    assert [t for k, t in X.blocks(page) if k == "main"] == ["Title", "Body"]
+    assert [t for k, t in X.blocks(page) if k == "chrome"] == ["Site", "Reader", "Share"]
+
+
 def test_odd_pages(spark):
     rows = [(1, "http://h.org/1", None), (2, None, ""), (3, "odd", "plain text"), (4, "http://h.org/4", "<p>a"),
             (5, "http://h.org/5", "<article>cut off &am"), (6, "http://h.org/6", "<p"), (7, "http://h.org/7", "<!-- x"),
