@@ -11,6 +11,7 @@ documents hold loses all its lines except those in the smallest doc_id.
    broadcast.
 2. Only lines that the filter suspects are shuffled, with their whole keys: a
    partial aggregate per key confirms repeats exactly and picks the smallest id.
+   Very frequent keys (at most 1000) get it by broadcast, the others by a join.
 3. Each document gets the list of its own keys to drop.
 
 Beyond ``MAX_BITS / MIN_BITS_PER_LINE`` lines the filter would pass nearly all,
@@ -31,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievery.llm.common import bounded_batches, free_name, materialize, spark_of, text_or_empty
+from sievery.llm.common import (bounded_batches, free_name, join_unique, materialize, spark_of,
+                                text_or_empty)
 
 MIN_CHARS = 10
 BITS_PER_LINE = 16
@@ -180,9 +182,11 @@ def dropped_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     suspects = materialize(rows.filter("doc_id IS NOT NULL")
                            .mapInArrow(_suspects(filtered), "doc_id long, key binary"),
                            "suspected-lines")
-    first = (suspects.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-             .filter("first < last").select("key", "first"))
-    return (suspects.join(first, "key").filter("doc_id <> first")
+    first = materialize(
+        suspects.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
+                                    F.count(F.lit(1)).alias("holders"))
+        .filter("first < last").select("key", "first", "holders"), "repeated-lines")
+    return (join_unique(suspects, first, "key", "holders", suspects.count()).filter("doc_id <> first")
             .groupBy("doc_id").agg(F.collect_set("key").alias("keys")))
 
 
