@@ -217,7 +217,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
            vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id and score (Euclidean distance) of the ``k`` nearest
     candidates found for every row that ``is_query`` (over the columns of ``vectors``)."""
-    bounded_batches(spark_of(vectors), 16 << 20, 4096)
+    bounded_batches(spark_of(vectors))
     some = vectors.filter(F.col(vec_id).isNotNull() & usable(F.col(vector)))
     rows = some.select(F.col(vec_id).cast("long").alias("id"),
                        F.col(vector).cast("array<double>").alias("v"), is_query.alias("is_query"))

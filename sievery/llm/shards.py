@@ -42,36 +42,44 @@ PAIRS = 4096                  # new symbols of a round at most
 LEAST_COUNT = 16              # of a pair that is replaced
 MAGIC, VERSION = 0x52505347, 1
 HEAD = struct.Struct("<4I3Q")
-TABLE_BITS = 20
+TABLE_BITS = 18
+BROADCAST_SHARDS = 1_000_000  # of starts: at most about 30 MB
 
 SHARDS = "part int, shard int, n_docs long, n_ids long, data binary"
 
 
 # ------------------------------------------------------------------ grammar
 
-def frequent_pairs(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, key) of the pairs that may be frequent, and the key of each frequent pair by
-    falling count.  A table of hashed counts drops most places before the exact count."""
+def slots(key: np.ndarray) -> np.ndarray:
+    return (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+
+def frequent_pairs(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place, key, slot) of the pairs that may be frequent, and the key of each frequent pair
+    by falling count.  A table of hashed counts drops most places before the exact count."""
     key = s[:-1].astype(np.uint64) << np.uint64(32) | s[1:]
-    slot = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-    place = np.flatnonzero(np.bincount(slot, minlength=1 << TABLE_BITS)[slot] >= LEAST_COUNT)
+    slot = slots(key)
+    table = np.bincount(slot, minlength=1 << TABLE_BITS)
+    # the least count that at most 2 * PAIRS slots reach
+    reach = np.cumsum(np.bincount(np.minimum(table, 1 << 16))[::-1])[::-1]
+    least = max(LEAST_COUNT, int(np.searchsorted(-reach, -2 * PAIRS)))
+    place = np.flatnonzero(table[slot] >= least)
     key = key[place]
     values, n = np.unique(key, return_counts=True)
     some = n >= LEAST_COUNT
     values, n = values[some], n[some]
-    return place, key, values[np.lexsort((values, -n))]
+    return place, key, slot[place], values[np.lexsort((values, -n))]
 
 
 def chosen_pairs(values: np.ndarray) -> list[int]:
-    """Pairs that can be replaced in one round without meeting each other."""
-    left, right, out = set(), set(), []
-    for key in values[:4 * PAIRS].tolist():
+    """Pairs that can be replaced in one round without meeting each other, one for a slot."""
+    left, right, taken, out = set(), set(), set(), []
+    some = values[:4 * PAIRS]
+    for key, slot in zip(some.tolist(), slots(some).tolist(), strict=True):
         a, b = key >> 32, key & 0xFFFFFFFF
-        if a == b:
-            if a in left or a in right:
-                continue
-        elif a in right or b in left:
+        if slot in taken or a in right or b in left or a == b and a in left:
             continue
+        taken.add(slot)
         left.add(a)
         right.add(b)
         out.append(key)
@@ -86,12 +94,13 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(ROUNDS):
         if len(s) < 2:
             break
-        place, key, values = frequent_pairs(s)
-        pairs = np.array(sorted(chosen_pairs(values)), np.uint64)
+        place, key, slot, values = frequent_pairs(s)
+        pairs = np.array(chosen_pairs(values), np.uint64)
         if not len(pairs):
             break
-        rule = np.searchsorted(pairs, key)
-        rule[rule == len(pairs)] = 0
+        rule_of = np.zeros(1 << TABLE_BITS, np.int64)
+        rule_of[slots(pairs)] = np.arange(len(pairs))
+        rule = rule_of[slot]
         hit = pairs[rule] == key
         place, rule = place[hit], rule[hit]
         # only places of a pair of equal symbols can touch: every second one of a run counts
@@ -213,7 +222,7 @@ def write(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer
           name: str = tokens.WORD_BPE, end_id: int = END_ID, path: str | None = None) -> DataFrame:
     """Write the shards and return their table as it is read back."""
     spark = spark_of(docs)
-    bounded_batches(spark, 8 << 20, 1000)
+    bounded_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("t"))
     table = (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "t")
              .mapInArrow(_write(tokenizer, name, end_id), SHARDS))
@@ -250,7 +259,7 @@ def read(shards: DataFrame) -> DataFrame:
     The shards' starts are sums over (part, shard): first within a part, then over
     the parts, so the one-task window has a row per part only.
     """
-    bounded_batches(spark_of(shards), 16 << 20, 4)
+    bounded_batches(spark_of(shards))
     sizes = shards.select("part", "shard", "n_ids")
     within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     across = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -259,5 +268,7 @@ def read(shards: DataFrame) -> DataFrame:
     starts = sizes.select("part", "shard", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("own")
                           ).join(parts, "part").select("part", "shard",
                                                        (F.col("own") + F.col("before")).alias("first"))
+    if sizes.count() <= BROADCAST_SHARDS:             # checked; else the shards are shuffled
+        starts = F.broadcast(starts)
     return shards.select("part", "shard", "data").join(starts, ["part", "shard"]).select(
         "first", "data").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids binary")
