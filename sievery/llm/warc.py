@@ -35,6 +35,7 @@ from sievery.session import scratch_path
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
 LEAST_BYTES = 1000
+BROADCAST_PIECES = 200_000    # rows of a small side: at most about 50 MB
 
 
 # ------------------------------------------------------------------ writing
@@ -58,6 +59,9 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     kept = (rows.filter("same IS NOT NULL").groupBy("same")
             .agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("copies"))
             .filter("copies > 1").select("same", "refers_to"))
+    kept = materialize(kept, "warc-copies")
+    if kept.count() <= BROADCAST_PIECES:              # checked; else the pages are shuffled
+        kept = F.broadcast(kept)
     rows = rows.join(kept, "same", "left")
     revisit = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\n"), _header(
@@ -221,7 +225,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     # records whose payload holds magic lines: put the cuts together again
     broken = heads.filter("size < wanted").select("file", "owner")
-    parts = member.join(broken, ["file", "owner"]).join(cuts(spark, path), ["file", "block", "at"])
+    pieces = materialize(member.join(broken, ["file", "owner"]), "warc-pieces")
+    if pieces.count() <= BROADCAST_PIECES:            # checked; else the text is shuffled to them
+        pieces = F.broadcast(pieces)
+    parts = cuts(spark, path).join(pieces, ["file", "block", "at"])
     joined = parts.groupBy("file", "owner").agg(F.array_join(F.transform(F.sort_array(
         F.collect_list(F.struct("offset", "value"))), lambda p: p["value"]), MAGIC).alias("value"))
     again = parsed(joined).filter("size >= wanted").select("file", "owner", *names)
