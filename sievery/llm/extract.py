@@ -293,13 +293,12 @@ def _parse():
     return parse
 
 
-STATE = ("page_id long, url string, host string, text string, open array<string>, "
-         "covered array<boolean>")
+STATE = "page_id long, url string, host string, open array<string>, covered array<boolean>"
 
 
 def _cover(key, table):
-    """A part of a host: final text of marked pages; open blocks and covers of the others."""
-    rows = table.select(["page_id", "url", "host", "main", "marked", "open", "chrome"]).to_pylist()
+    """A part of a host: open blocks and covers of its pages without a marked article."""
+    rows = table.select(["page_id", "url", "host", "marked", "open", "chrome"]).to_pylist()
     streams, pages = [], []
     for i, r in enumerate(rows):
         page = i if r["page_id"] is None else r["page_id"]
@@ -307,14 +306,10 @@ def _cover(key, table):
         streams += [own, [t for b in r["chrome"] for t in b.split(" ")]]
         pages += [page, page]
     covers = repeated(streams, _numbered(pages))
-    out = []
-    for i, r in enumerate(rows):
-        done = r["marked"]
-        out.append({"page_id": r["page_id"], "url": r["url"], "host": r["host"],
-                    "text": r["main"] if done else None, "open": None if done else r["open"],
-                    "covered": None if done else covers[2 * i].tolist()})
+    out = [{"page_id": r["page_id"], "url": r["url"], "host": r["host"], "open": r["open"],
+            "covered": covers[2 * i].tolist()} for i, r in enumerate(rows) if not r["marked"]]
     return pa.Table.from_pylist(out, pa.schema([
-        ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("text", pa.string()),
+        ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()),
         ("open", pa.list_(pa.string())), ("covered", pa.list_(pa.bool_()))]))
 
 
@@ -374,12 +369,11 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                                    ).cast("int").alias("parts")).filter("parts > 1"), "hosts")
     if large.count() <= BROADCAST_HOSTS:              # checked
         large = F.broadcast(large)
-    dealt = parsed.join(large, "host", "left").withColumn("part", F.expr(
+    # an article's own words go straight to the result; the host's parts get the rest of a page
+    marked = parsed.filter("marked").select("page_id", "url", F.col("main").alias("text"))
+    dealt = parsed.drop("main").join(large, "host", "left").withColumn("part", F.expr(
         "cast(pmod(xxhash64(page_id, url), coalesce(parts, 1)) as int)"))
-    state = materialize(dealt.drop("parts").groupBy("host", "part").applyInArrow(_cover, STATE), "pages")
-
-    marked = state.filter("open IS NULL").select("page_id", "url", "text")
-    rest = state.filter("open IS NOT NULL")
+    rest = materialize(dealt.drop("parts").groupBy("host", "part").applyInArrow(_cover, STATE), "pages")
     # windows that are unique in their part but occur in another part of the host
     row = F.xxhash64("host", "page_id", "url", F.array_join("open", "\n"))
     loose = (rest.join(large, "host", "left_semi")
