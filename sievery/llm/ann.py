@@ -7,9 +7,12 @@ the squared distances from the query to the crossed bucket walls, summed, give
 the order.  The candidates of a table's buckets are ranked by exact distance, and
 the best of all tables and parts are merged.
 
-The bucket width is a multiple of the median distance to the ``K``-th neighbour in
-a bounded sample of ``SAMPLE`` vectors; every vector is indexed.  Buckets are
-dealt out by region (the first hashes of the code, as many as the row count asks
+The bucket widths come from the distances to the ``K``-th neighbour within a bounded
+sample of ``SAMPLE`` distinct vectors, drawn by hash over all rows: distances within
+a factor of two make one scale, and each scale has tables of its own, with a multiple
+of its median distance as width, so a group of near copies does not set the width of
+the others.  Every vector is indexed in the tables of every scale.  Buckets are dealt
+out by region (the first hashes of the code, as many as the row count asks
 for); a region with more than ``PART`` vectors is split by vector id, and a probe
 goes to all parts of its regions, so a frequent vector cannot fill one task.  Only
 the ``k`` best of each part leave it.
@@ -24,6 +27,7 @@ empty table gives an empty one.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -38,8 +42,9 @@ from sievery.llm.common import bounded_batches, spark_of
 
 K = 10
 TABLES, HASHES, PROBES = 6, 6, 150
-WIDTH = 1.45                  # bucket width over the sample's K-th neighbour distance
+WIDTH = 1.45                  # bucket width over a scale's K-th neighbour distance
 SAMPLE = 2000
+SCALES, SCALE_SHARE = 4, 0.02  # tables at most; share of the sample that makes a scale
 PART = 8192                   # vectors of a region that are searched at once
 SEED = 20240501
 
@@ -198,35 +203,52 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                pa.binary())})
 
 
-def bucket_width(sample: list[bytes], k: int = K) -> float:
-    """``WIDTH`` times the median distance to the k-th neighbour within the sample."""
-    dims = [len(v) for v in sample]
-    own = [v for v in sample if len(v) == max(set(dims), key=dims.count)] if sample else []
-    if len(own) < 2:
-        return 1.0
-    x = as_matrix(own)
-    square = (x ** 2).sum(axis=1)
-    far = np.sqrt(np.maximum(square[:, None] + square - 2 * x @ x.T, 0))
-    far.sort(axis=1)
-    positive = far[:, min(k, len(own) - 1)]
-    positive = positive[positive > 0]
-    return WIDTH * float(np.median(positive)) if len(positive) else 1.0
+def neighbour_distances(sample: list[bytes], k: int = K) -> np.ndarray:
+    """Distance of every sampled vector to its k-th neighbour in the sample."""
+    dims, out = np.array([len(v) for v in sample]), [np.zeros(0)]
+    for dim in np.unique(dims).tolist():
+        x = as_matrix([v for v in sample if len(v) == dim])
+        if len(x) > 1:
+            square, last = (x ** 2).sum(axis=1), min(k, len(x) - 1)
+            for at in range(0, len(x), 100):          # rough distances choose, exact ones count
+                part = x[at:at + 100]
+                near = np.argpartition(square - 2 * part @ x.T, last, axis=1)[:, :last + 1]
+                out.append(np.sqrt(((x[near] - part[:, None]) ** 2).sum(axis=2)).max(axis=1))
+    return np.concatenate(out)
+
+
+def bucket_widths(far: np.ndarray) -> list[float]:
+    """``WIDTH`` times the median of each scale of the neighbour distances, ascending.
+
+    A scale with few of them joins the next larger one, whose wider buckets miss no more.
+    """
+    scales: list[list[float]] = []
+    for v in np.sort(far[far > 0]).tolist():
+        if scales and v < 2 * scales[-1][0]:
+            scales[-1].append(v)
+        else:
+            scales.append([v])
+    most = max(map(len, scales), default=0)
+    scales = [s for s in scales if len(s) >= min(most, SCALE_SHARE * len(far))]
+    while len(scales) > SCALES:
+        del scales[int(np.argmin([len(s) for s in scales[:-1]]))]
+    return [WIDTH * float(np.median(s)) for s in scales] or [1.0]
+
+
+def _sample(base: DataFrame, n: int) -> list[bytes]:
+    """At most ``SAMPLE`` distinct vectors, the first by hash; copies count as one."""
+    hashed = base.select("vec", F.xxhash64("vec").alias("h"))
+    share = max(1, n // (4 * SAMPLE))
+    for m in dict.fromkeys((share, 1)):               # all rows, if copies leave too few
+        got = (hashed.filter(F.pmod("h", F.lit(m)) == 0).dropDuplicates(["h"])
+               .orderBy(F.xxhash64("h"), "h").limit(SAMPLE).collect())
+        if len(got) >= SAMPLE // 4:
+            break
+    return [bytes(r["vec"]) for r in got]
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id",
-           vector: str = "embedding") -> DataFrame:
-    """query_id, rank (from 1), vec_id and score (Euclidean distance) of the ``k`` nearest
-    candidates found for every row that ``is_query`` (over the columns of ``vectors``)."""
-    bounded_batches(spark_of(vectors))
-    some = vectors.filter(F.col(vec_id).isNotNull() & usable(F.col(vector)))
-    rows = some.select(F.col(vec_id).cast("long").alias("id"),
-                       F.col(vector).cast("array<double>").alias("v"), is_query.alias("is_query"))
-    packed = "id long, vec binary"
-    base = rows.select("id", "v").mapInArrow(_packed, packed)
-    asked = rows.filter("is_query").select("id", "v").mapInArrow(_packed, packed)
-    width = bucket_width([bytes(r["vec"]) for r in base.limit(SAMPLE).collect()], k)
-    n = rows.count()
-    depth = min(HASHES, max(1, math.ceil(math.log(max(n / PART, 1), 3))))
+def _found(base: DataFrame, asked: DataFrame, width: float, depth: int, k: int) -> DataFrame:
+    """query_id, vec_id and score of what the tables of one width give; k best of each part."""
     keys = ["dim", "tab", "region"]
     index = base.mapInArrow(_index(width, depth),
                             "dim int, tab int, region long, id long, code long, vec binary")
@@ -240,9 +262,30 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
     sent = probes.join(parts, keys).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     keys = [*keys, "part"]
-    best = (held.groupBy(*keys).cogroup(sent.groupBy(*keys))
-            .applyInPandas(_rank(k), "query_id long, vec_id long, score double")
-            .groupBy("query_id", "vec_id").agg(F.min("score").alias("score")))
+    return (held.groupBy(*keys).cogroup(sent.groupBy(*keys))
+            .applyInPandas(_rank(k), "query_id long, vec_id long, score double"))
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id",
+           vector: str = "embedding") -> DataFrame:
+    """query_id, rank (from 1), vec_id and score (Euclidean distance) of the ``k`` nearest
+    candidates found for every row that ``is_query`` (over the columns of ``vectors``)."""
+    bounded_batches(spark_of(vectors))
+    some = vectors.filter(F.col(vec_id).isNotNull() & usable(F.col(vector)))
+    rows = some.select(F.col(vec_id).cast("long").alias("id"),
+                       F.col(vector).cast("array<double>").alias("v"), is_query.alias("is_query"))
+    packed = "id long, vec binary"
+    base = rows.select("id", "v").mapInArrow(_packed, packed)
+    asked = rows.filter("is_query").select("id", "v").mapInArrow(_packed, packed)
+    n = rows.count()
+    depth = min(HASHES, max(1, math.ceil(math.log(max(n / PART, 1), 3))))
+    widths = bucket_widths(neighbour_distances(_sample(base, n), k))
+    best = functools.reduce(DataFrame.unionByName, [_found(base, asked, w, depth, k) for w in widths])
+    return _ranked(best, k)

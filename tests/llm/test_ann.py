@@ -92,3 +92,34 @@ def test_probes_come_in_order_of_success():
     assert visited[0].tolist() == [0, 0, 0, 0, 0, 0]
     assert visited[1].tolist() == [0, 0, 1, 0, 0, 0] and visited[2].tolist() == [-1, 0, 0, 0, 0, 0]
     assert len({tuple(v) for v in visited.tolist()}) == min(ann.PROBES, 3 ** ann.HASHES)
+
+
+def recall(got, expected, queries):
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    return sum(len(found.get(q, set()) & {i for _, i in expected[q]}) for q in queries) / sum(
+        len(expected[q]) for q in queries)
+
+
+def near_copies_first(seed=5, n=6000, dim=32):
+    """Unit vectors, of which those stored first, a third, are near copies of one."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[:n // 3] = x[0] + rng.standard_normal((n // 3, dim)) * 0.001
+    return x
+
+
+def in_order(spark, x):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                                 "vec_id long, embedding array<double>")
+
+
+def test_near_copies_stored_first_do_not_set_the_width_for_all(spark):
+    x = near_copies_first()
+    got = ann.search(in_order(spark, x), F.col("vec_id") % 100 == 0).collect()
+    expected = brute([(i, v.tolist()) for i, v in enumerate(x)])
+    inside, outside = recall(got, expected, range(0, 2000, 100)), recall(got, expected, range(2000, 6000, 100))
+    print("recall inside", inside, "outside", outside)
+    assert inside >= 0.9 and outside >= 0.9
