@@ -11,7 +11,16 @@ The bucket widths come from the distances to the ``K``-th neighbour within a bou
 sample of ``SAMPLE`` distinct vectors, drawn by hash over all rows: distances within
 a factor of two make one scale, and each scale has tables of its own, with a multiple
 of its median distance as width, so a group of near copies does not set the width of
-the others.  Every vector is indexed in the tables of every scale.  Buckets are dealt
+the others.  Every vector is indexed in the tables of every scale.
+
+A query is done when it has ``k`` results and its probes would have met a vector as
+far as the last of them with probability ``SURE`` at least (known from its places and
+the normal law of the projections).  Queries start in the tables of the smallest
+scale; those not done go on to the next, and after the last one they are compared
+with all rows, in blocks of at most ``BLOCK_BYTES``.  So sparse queries and outliers
+get all their neighbours, and queries with fewer than ``k`` candidates all of those.
+
+Buckets are dealt
 out by region (the first hashes of the code, as many as the row count asks
 for); a region with more than ``PART`` vectors is split by vector id, and a probe
 goes to all parts of its regions, so a frequent vector cannot fill one task.  Only
@@ -38,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievery.llm.common import bounded_batches, spark_of
+from sievery.llm.common import bounded_batches, materialize, spark_of
 
 K = 10
 TABLES, HASHES, PROBES = 6, 6, 150
@@ -46,6 +55,8 @@ WIDTH = 1.45                  # bucket width over a scale's K-th neighbour dista
 SAMPLE = 2000
 SCALES, SCALE_SHARE = 4, 0.02  # tables at most; share of the sample that makes a scale
 PART = 8192                   # vectors of a region that are searched at once
+SURE = 0.9                    # chance to meet the k-th neighbour at which a query is done
+BLOCK_BYTES = 4 << 20         # of queries that are compared with all rows at once
 SEED = 20240501
 
 
@@ -77,13 +88,37 @@ STEPS = np.array(list(itertools.product((0, -1, 1), repeat=HASHES)), np.int8)
 
 def probed(place: np.ndarray) -> np.ndarray:
     """Bucket indexes that each query visits, in estimated order of success."""
+    return np.floor(place)[:, None, :].astype(np.int64) + STEPS[chosen(place)]
+
+
+def chosen(place: np.ndarray) -> np.ndarray:
+    """Which of ``STEPS`` each query visits, in estimated order of success."""
     base = np.floor(place)
     low = (place - base) ** 2                         # to the wall below, in widths
     high = (1 - (place - base)) ** 2
     score = low @ (STEPS == -1).T + high @ (STEPS == 1).T
     n = min(PROBES, len(STEPS))
-    best = np.argsort(score, axis=1, kind="stable")[:, :n]
-    return base[:, None, :].astype(np.int64) + STEPS[best]
+    return np.argsort(score, axis=1, kind="stable")[:, :n]
+
+
+NORMAL = np.vectorize(lambda z: 0.5 * (1 + math.erf(z / math.sqrt(2))), otypes=[float])
+
+
+def chance(x: np.ndarray, far: np.ndarray, width: float) -> np.ndarray:
+    """Probability that the probes of each query meet a vector at its distance ``far``:
+    a projection of their difference is normal with that deviation."""
+    missed = np.ones(len(x))
+    spread = np.maximum(far / width, 1e-12)[:, None, None]
+    for t in range(TABLES):
+        place = places(x, t, width)
+        walls = np.arange(-1, 3) - (place - np.floor(place))[:, :, None]
+        inside = np.diff(NORMAL(walls / spread), axis=2)          # per hash: one below, own, above
+        steps = STEPS[chosen(place)].astype(np.int64) + 1
+        met = np.ones(steps.shape[:2])
+        for i in range(HASHES):
+            met *= np.take_along_axis(inside[:, i], steps[:, :, i], axis=1)
+        missed *= 1 - np.minimum(met.sum(axis=1), 1)
+    return 1 - missed
 
 
 def as_matrix(vectors: list[bytes]) -> np.ndarray:
@@ -182,6 +217,58 @@ def _rank(k: int):
     return run
 
 
+def _open(width: float, k: int):
+    """Of queries with their results' count and largest distance: those that are not done."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, far = b.column(2).to_numpy(), b.column(3).to_numpy()
+            vectors = b.column(1).to_pylist()
+            rest = n < k
+            dims = np.array([len(v) for v in vectors])
+            for dim in np.unique(dims[~rest]).tolist():
+                own = np.flatnonzero(~rest & (dims == dim))
+                rest[own] = chance(as_matrix([vectors[i] for i in own]), far[own], width) < SURE
+            yield pa.RecordBatch.from_pydict({
+                "id": b.column(0).filter(pa.array(rest)), "vec": b.column(1).filter(pa.array(rest))})
+    return run
+
+
+def _scan(queries: list[tuple[int, bytes]], k: int):
+    """The k nearest rows of each query among the rows of a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = {}
+        for dim in {len(v) // 8 for _, v in queries}:
+            own = [(i, v) for i, v in queries if len(v) == 8 * dim]
+            asked[dim] = [i for i, _ in own], as_matrix([v for _, v in own])
+        best: dict[tuple[int, int], list[tuple[float, int]]] = {}
+        for b in batches:
+            for dim, ids, x, _ in _by_dim(b):
+                if dim not in asked:
+                    continue
+                owns, q = asked[dim]
+                square = (x ** 2).sum(axis=1)
+                for at in range(0, len(q), 512):
+                    part = q[at:at + 512]
+                    size = (part ** 2).sum(axis=1)
+                    rough = square - 2 * (part @ x.T) + size[:, None]
+                    slack = 1e-9 * (1 + size + square.max())
+                    for i, least in enumerate(rough.min(axis=1).tolist()):
+                        now = best.get((dim, at + i), [])
+                        if len(now) == k and least > now[-1][0] ** 2 + slack[i]:
+                            continue
+                        merged: dict[int, float] = {v: s for s, v in now}
+                        for v, s in nearest(part[i], owns[at + i], x, ids, rough[i], k):
+                            merged[v] = min(s, merged.get(v, s))
+                        best[dim, at + i] = sorted((s, v) for v, s in merged.items())[:k]
+        rows = [(asked[dim][0][i], v, s) for (dim, i), found in best.items() for s, v in found]
+        for at in range(0, len(rows), 10_000):
+            own, found, score = zip(*rows[at:at + 10_000], strict=True)
+            yield pa.RecordBatch.from_pydict({
+                "query_id": pa.array(own, pa.int64()), "vec_id": pa.array(found, pa.int64()),
+                "score": pa.array(score, pa.float64())})
+    return run
+
+
 # ------------------------------------------------------------------ operator
 
 def usable(vector: Column) -> Column:
@@ -287,5 +374,24 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
     n = rows.count()
     depth = min(HASHES, max(1, math.ceil(math.log(max(n / PART, 1), 3))))
     widths = bucket_widths(neighbour_distances(_sample(base, n), k))
-    best = functools.reduce(DataFrame.unionByName, [_found(base, asked, w, depth, k) for w in widths])
-    return _ranked(best, k)
+    parts, left = [], asked
+    for width in widths:
+        parts.append(materialize(_ranked(_found(base, left, width, depth, k), k), "nearest"))
+        reached = functools.reduce(DataFrame.unionByName, parts)
+        last = _ranked(reached, k).groupBy("query_id").agg(
+            F.count(F.lit(1)).alias("n"), F.max("score").alias("far"))
+        left = materialize(
+            left.join(last, left["id"] == last["query_id"], "left")
+            .select("id", "vec", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("far", F.lit(0.0)).alias("far"))
+            .mapInArrow(_open(width, k), packed), "open")
+    block: list[tuple[int, bytes]] = []
+    size = 0
+    for r in itertools.chain(left.dropDuplicates().toLocalIterator(), [None]):
+        if block and (r is None or size + len(r["vec"]) > BLOCK_BYTES):
+            found = base.mapInArrow(_scan(block, k), "query_id long, vec_id long, score double")
+            parts.append(materialize(_ranked(found, k), "nearest"))
+            block, size = [], 0
+        if r is not None:
+            block.append((r["id"], bytes(r["vec"])))
+            size += len(r["vec"])
+    return _ranked(functools.reduce(DataFrame.unionByName, parts), k)

@@ -123,3 +123,14 @@ def test_near_copies_stored_first_do_not_set_the_width_for_all(spark):
     inside, outside = recall(got, expected, range(0, 2000, 100)), recall(got, expected, range(2000, 6000, 100))
     print("recall inside", inside, "outside", outside)
     assert inside >= 0.9 and outside >= 0.9
+
+
+def test_far_queries_get_all_their_neighbours(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((4000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[::100] *= 4                                      # every query lies far from all others
+    got = ann.search(in_order(spark, x), F.col("vec_id") % 100 == 0).collect()
+    expected = brute([(i, v.tolist()) for i, v in enumerate(x)])
+    print("recall of far queries", recall(got, expected, expected), "rows", len(got), "of", 10 * len(expected))
+    assert len(got) == 10 * len(expected) and recall(got, expected, expected) >= 0.9
