@@ -14,9 +14,10 @@
    at least ``RUN`` of its tokens in a row are covered, or goes as a whole).
 
 A host with many pages is dealt into parts by page, each of at most about
-``PART_BYTES``.  A part's suffix array settles its own pages; for pages without a
-marked article, substrings that repeat only across parts are found by a shuffle
-of the hashes of the windows that are still unique.
+``PART_BYTES``.  A part's suffix array settles its own pages, and gives every distinct
+window of its streams once, as a hash with the smallest and the largest page that
+hold it.  A shuffle of these finds the windows of distinct pages of the whole host,
+which are then covered on the pages without a marked article, as in one part.
 
 Character references are decoded, white space inside a block becomes one space,
 empty blocks vanish, blocks are joined by one line feed.
@@ -206,10 +207,17 @@ def ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
 def repeated(streams: list[list[str]], pages: list[int]) -> list[np.ndarray]:
     """For every stream, which tokens lie in a substring of ``RUN`` tokens that two distinct
     pages share.  Streams of equal page numbers are one page."""
+    return covers_and_windows(streams, pages)[0]
+
+
+def covers_and_windows(streams: list[list[str]], pages: list[int]) -> tuple[
+        list[np.ndarray], list[str], np.ndarray, np.ndarray]:
+    """The covered tokens as of ``repeated``; the distinct windows of ``RUN`` tokens, and the
+    smallest and the largest page that hold each."""
     sizes = [len(s) for s in streams]
     out = [np.zeros(n, bool) for n in sizes]
     if not any(n >= RUN for n in sizes):
-        return out
+        return out, [], np.zeros(0, np.int64), np.zeros(0, np.int64)
     words: dict[str, int] = {}
     flat, owner = [], []
     for s, page in zip(streams, pages, strict=True):
@@ -225,7 +233,7 @@ def repeated(streams: list[list[str]], pages: list[int]) -> list[np.ndarray]:
     first[1:] = r[1:] != r[:-1]
     group = np.cumsum(first) - 1
     low = np.full(group[-1] + 1, np.iinfo(np.int64).max)
-    high = np.full(group[-1] + 1, -1)
+    high = np.full(group[-1] + 1, np.iinfo(np.int64).min)
     np.minimum.at(low, group, o)
     np.maximum.at(high, group, o)
     hit = np.zeros(len(token) + RUN, np.int64)
@@ -237,7 +245,11 @@ def repeated(streams: list[list[str]], pages: list[int]) -> list[np.ndarray]:
     for i, n in enumerate(sizes):
         out[i] = covered[at:at + n]
         at += n + 1
-    return out
+    one = order[first]                                        # a place of every distinct window
+    whole = np.flatnonzero(ends[np.searchsorted(ends, one)] - one >= RUN)
+    texts = list(words)
+    windows = [" ".join([texts[w - 1] for w in token[i:i + RUN].tolist()]) for i in one[whole].tolist()]
+    return out, windows, low[whole], high[whole]
 
 
 def unique_runs(texts: list[str], covered: list[bool]) -> str:
@@ -293,39 +305,46 @@ def _parse():
     return parse
 
 
-STATE = "page_id long, url string, host string, open array<string>, covered array<boolean>"
+STATE = ("page_id long, url string, host string, open array<string>, covered array<boolean>, "
+         "windows array<struct<h: long, a: long, b: long>>")
+
+
+def _hash(text: str) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
 def _cover(key, table):
-    """A part of a host: open blocks and covers of its pages without a marked article."""
-    rows = table.select(["page_id", "url", "host", "marked", "open", "chrome"]).to_pylist()
+    """A part of a host: open blocks and covers of its pages without a marked article; of a
+    host with several parts also the distinct windows of all its pages, in rows without blocks."""
+    rows = table.select(["page_id", "url", "host", "marked", "open", "chrome", "parts"]).to_pylist()
     streams, pages = [], []
     for i, r in enumerate(rows):
-        page = i if r["page_id"] is None else r["page_id"]
+        page = _hash(f"row {key[1].as_py()} {i}" if r["page_id"] is None else f"id {r['page_id']}")
         own = [t for b in r["open"] for t in b.split(" ")]
         streams += [own, [t for b in r["chrome"] for t in b.split(" ")]]
         pages += [page, page]
-    covers = repeated(streams, _numbered(pages))
+    covers, windows, low, high = covers_and_windows(streams, pages)
     out = [{"page_id": r["page_id"], "url": r["url"], "host": r["host"], "open": r["open"],
             "covered": covers[2 * i].tolist()} for i, r in enumerate(rows) if not r["marked"]]
+    if rows[0]["parts"]:
+        found = [{"h": _hash(w), "a": a, "b": b} for w, a, b in zip(
+            windows, low.tolist(), high.tolist(), strict=True)]
+        out += [{"host": rows[0]["host"], "windows": found[at:at + 10_000]}
+                for at in range(0, len(found), 10_000)]
     return pa.Table.from_pylist(out, pa.schema([
         ("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()),
-        ("open", pa.list_(pa.string())), ("covered", pa.list_(pa.bool_()))]))
-
-
-def _numbered(pages: list) -> list[int]:
-    seen: dict = {}
-    return [seen.setdefault(p, len(seen)) for p in pages]
+        ("open", pa.list_(pa.string())), ("covered", pa.list_(pa.bool_())),
+        ("windows", pa.list_(pa.struct([("h", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])))]))
 
 
 def _windows():
     def windows(texts: pa.Array, covered: pa.Array) -> pa.Array:
-        import xxhash
-
         out = []
         for blocks_, cover in zip(texts.to_pylist(), covered.to_pylist(), strict=True):
             tokens = [t for b in blocks_ for t in b.split(" ")]
-            out.append([xxhash.xxh3_64_intdigest(" ".join(tokens[i:i + RUN])) - (1 << 63)
+            out.append([_hash(" ".join(tokens[i:i + RUN]))
                         for i in range(len(tokens) - RUN + 1) if not all(cover[i:i + RUN])])
         return pa.array(out, pa.list_(pa.int64()))
     return windows
@@ -333,8 +352,6 @@ def _windows():
 
 def _finish():
     def finish(texts: pa.Array, covered: pa.Array, shared: pa.Array) -> pa.Array:
-        import xxhash
-
         out = []
         for blocks_, cover, more in zip(texts.to_pylist(), covered.to_pylist(), shared.to_pylist(),
                                         strict=True):
@@ -342,7 +359,7 @@ def _finish():
                 more, cover = set(more), list(cover)
                 tokens = [t for b in blocks_ for t in b.split(" ")]
                 for i in range(len(tokens) - RUN + 1):
-                    if xxhash.xxh3_64_intdigest(" ".join(tokens[i:i + RUN])) - (1 << 63) in more:
+                    if _hash(" ".join(tokens[i:i + RUN])) in more:
                         cover[i:i + RUN] = [True] * RUN
             out.append(unique_runs(blocks_, cover))
         return pa.array(out, pa.string())
@@ -373,15 +390,17 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     marked = parsed.filter("marked").select("page_id", "url", F.col("main").alias("text"))
     dealt = parsed.drop("main").join(large, "host", "left").withColumn("part", F.expr(
         "cast(pmod(xxhash64(page_id, url), coalesce(parts, 1)) as int)"))
-    rest = materialize(dealt.drop("parts").groupBy("host", "part").applyInArrow(_cover, STATE), "pages")
-    # windows that are unique in their part but occur in another part of the host
+    covered = materialize(dealt.groupBy("host", "part").applyInArrow(_cover, STATE), "pages")
+    rest = covered.filter("open is not null").drop("windows")
+    # windows that are unique in their part but occur in another part of the host, on any page
     row = F.xxhash64("host", "page_id", "url", F.array_join("open", "\n"))
     loose = (rest.join(large, "host", "left_semi")
              .select("host", "page_id", row.alias("row"),
                      F.explode(F.arrow_udf(_windows(), "array<long>")("open", "covered")).alias("h"))
              .distinct())
-    page = F.coalesce(F.xxhash64("page_id"), "row")
-    shared = loose.groupBy("host", "h").agg(F.min(page).alias("a"), F.max(page).alias("b")).filter(
+    seen = (covered.filter("open is null").join(loose.select("host").distinct(), "host", "left_semi")
+            .select("host", F.inline("windows")))
+    shared = seen.groupBy("host", "h").agg(F.min("a").alias("a"), F.max("b").alias("b")).filter(
         "a < b").select("host", "h")
     more = loose.join(shared, ["host", "h"]).groupBy("row").agg(F.collect_set("h").alias("more"))
     finished = (rest.withColumn("row", row).join(more, "row", "left")

@@ -96,3 +96,20 @@ def test_repeated_equals_brute_force():
             if len(holders[tuple(s[i:i + X.RUN])]) > 1:
                 hit |= set(range(i, i + X.RUN))
         assert set(np.flatnonzero(flags).tolist()) == hit
+
+
+def test_what_other_parts_hold_is_found_on_any_of_their_pages(spark, monkeypatch):
+    passage = "A passage that two pages of a part and one of another part have"
+    notice = "This notice is in the menu of one page and in plain text of another"
+    tail = "This tail is plain text beside a marked article and on a page without one"
+    rows = [(i, f"http://big.org/{i}", f"<p>own{i} words{i}</p><div>{passage}</div>") for i in range(3)]
+    rows += [(3, "http://big.org/3", f"<nav>{notice}</nav><p>third page</p>"),
+             (4, "http://big.org/4", f"<p>fourth page</p><div>{notice}</div>"),
+             (5, "http://big.org/5", f"<article>{'fifth ' * 20}</article><div>{tail}</div>"),
+             (6, "http://big.org/6", f"<p>sixth page</p><div>{tail}</div>")]
+    whole = texts(spark, rows)
+    assert [whole[i] for i in (0, 1, 2, 4, 6)] == ["own0 words0", "own1 words1", "own2 words2", "fourth page",
+                                                   "sixth page"]
+    for pages in (3, 2, 1):                                # among them cuts of 2 + 1 and 1 + 1 pages
+        monkeypatch.setattr(X, "PART_PAGES", pages)
+        assert texts(spark, rows) == whole
