@@ -3,7 +3,9 @@
 1. A page is parsed into blocks.  Scripts, styles and the like have no text;
    blocks inside menus, headers, footers, sidebars, notices, adverts, forms and
    reader comments (by tag, role, class or id) are *chrome*; blocks of a marked
-   article (``article``, ``main``) are *main*; all others are *open*.
+   article (``article``, ``main``) are *main*; all others are *open*.  An article that
+   is named a comment, an advert, a teaser or the like is chrome; a page whose main
+   blocks have less text than its open ones has no marked article, and both are open.
 2. A host's chrome and open blocks are concatenated page by page as token
    streams.  A suffix array, sorted by prefix doubling down to ``RUN`` tokens,
    brings equal substrings of that length together; those that distinct pages
@@ -69,6 +71,12 @@ CHROME_NAME = re.compile(
     r"widget\w*|footer\w*|header\w*|masthead|comments?|commentlist|disqus\w*|respond|replies|reply|"
     r"share|sharing|social\w*|related|recommend\w*|newsletter\w*|subscribe|signup|login|toolbar|"
     r"pagination|pager|skip-link)(?:$|[\s_-])", re.IGNORECASE)
+# An article or main element of one of these classes is no main text; "has-sidebar" and the like say nothing.
+CHROME_ARTICLE = re.compile(
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|notice|popup|modal|sidebar|widget|"
+    r"comments?|reply|replies|related|recommend\w*|newsletter|teaser)"
+    r"(?:[_-]+(?:ads?|articles?|body|box|cards?|content|entry|items?|list|posts?|stor(?:y|ies)|teasers?|unit|\d+))*",
+    re.IGNORECASE)
 ARTICLE_HEAD = frozenset(("header",))     # a header inside an article belongs to it
 
 TAG = re.compile(r"<(?:!--.*?(?:--!?>|$)|!\[CDATA\[.*?(?:\]\]>|$)|[!?][^>]*(?:>|$)|"
@@ -91,7 +99,10 @@ def chrome_element(tag: str, attributes: str, inside_main: bool) -> bool:
             return True
         if name == "role" and value.strip().lower() in CHROME_ROLES:
             return True
-        if name in ("class", "id") and (inside_main or tag not in MAIN):
+        if name in ("class", "id") and tag in MAIN and not inside_main:
+            if any(CHROME_ARTICLE.fullmatch(v) for v in value.split()):
+                return True
+        elif name in ("class", "id"):
             found = CHROME_NAME.search(value)
             if found and not (inside_main and "header" in found[0].lower()):
                 return True
@@ -292,10 +303,12 @@ def _parse():
         for u, h in zip(url.to_pylist(), html.to_pylist(), strict=True):
             found = blocks(h)
             main = [t for k, t in found if k == "main"]
+            own = [t for k, t in found if k == "open"]
+            body = bool(main) and sum(map(len, main)) >= sum(map(len, own))
             hosts.append(host_of(u))
-            mains.append("\n".join(main))
-            marked.append(bool(main))
-            opens.append([t for k, t in found if k == "open"])
+            mains.append("\n".join(main) if body else "")
+            marked.append(body)
+            opens.append(own if body else [t for k, t in found if k != "chrome"])
             chromes.append([t for k, t in found if k == "chrome"])
         strings = pa.list_(pa.string())
         return pa.StructArray.from_arrays(

@@ -113,3 +113,13 @@ def test_what_other_parts_hold_is_found_on_any_of_their_pages(spark, monkeypatch
     for pages in (3, 2, 1):                                # among them cuts of 2 + 1 and 1 + 1 pages
         monkeypatch.setattr(X, "PART_PAGES", pages)
         assert texts(spark, rows) == whole
+
+
+def test_a_marked_comment_advert_or_teaser_is_not_the_article(spark):
+    text = "The real body is in plain elements and is longer than the marked part"
+    rows = [(1, "http://a.org/", f"<div><p>{text}</p></div><article class='comment even' id='comment-7'>Nice read</article>"),
+            (2, "http://b.org/", f"<article class='ad'>{'Buy now ' * 20}</article><p>{text}</p>"),
+            (3, "http://c.org/", f"<p>{text}</p><article class='card'>Next story</article>"),
+            (4, "http://d.org/", f"<main class='has-sidebar no-comments'><p>{text}</p></main><p>plain</p>"),
+            (5, "http://e.org/", f"<main id='content'><article class='related-card'>Other</article><p>{text}</p></main>")]
+    assert texts(spark, rows) == {1: text, 2: text, 3: f"{text}\nNext story", 4: text, 5: text}
