@@ -63,8 +63,64 @@ SELECT page_id, n AS payload_bytes, sha1(p.h) AS payload_digest,
 FROM p LEFT JOIN k ON p.h = k.h
 """
 
+# CRC-32 of a text, byte by byte with the table of its polynomial: ``tab`` holds the table.
+CRC_TABLE = """
+tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i)))"""
+
+
+def crc32(text: str) -> str:
+    return ("xor(list_reduce(list_concat([4294967295::BIGINT], list_transform("
+            f"regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)), "
+            "lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)")
+
+
+# The order of a bucket after Fisher-Yates: row i comes at place j; it stays until the next row
+# that draws its place sends it to the end, which is that row's number.
+SHARDS = f"""
+WITH RECURSIVE {CRC_TABLE},
+d AS (
+  SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 1 AS size, {crc32("coalesce(text, '')")} AS crc
+  FROM documents, tab),
+h AS (
+  SELECT *, ('0x' || substr(md5(concat_ws(':', 20241, coalesce(doc_id::VARCHAR, 'null'), size, crc)),
+                            1, 15))::BIGINT AS h
+  FROM d),
+m AS (
+  SELECT greatest(1, ceil(count(*) / 1024), ceil(sum(size) / 4194304))::BIGINT AS buckets,
+         count(*) AS rows FROM h),
+b AS (
+  SELECT doc_id, size, crc, h % buckets AS bucket,
+         row_number() OVER (PARTITION BY h % buckets ORDER BY doc_id NULLS FIRST, size, crc) - 1 AS i
+  FROM h, m),
+e AS (
+  SELECT *, ('0x' || substr(md5(concat_ws(':', 20241, bucket, i)), 1, 15))::BIGINT % (i + 1) AS j FROM b),
+o AS (
+  SELECT *, lead(i) OVER (PARTITION BY bucket, j ORDER BY i) AS moved FROM e),
+nx AS (
+  SELECT bucket, j AS place, min(i) AS next FROM e WHERE i > j GROUP BY bucket, j),
+walk AS (
+  SELECT bucket, i, moved AS place FROM o WHERE moved IS NOT NULL
+  UNION ALL
+  SELECT w.bucket, w.i, nx.next FROM walk w JOIN nx ON nx.bucket = w.bucket AND nx.place = w.place),
+ends AS (
+  SELECT bucket, i, max(place) AS place FROM walk GROUP BY bucket, i),
+f AS (
+  SELECT bucket, sum(count(*)) OVER (ORDER BY bucket) - count(*) AS before FROM e GROUP BY bucket),
+p AS (
+  SELECT o.*, (f.before + coalesce(ends.place, o.j))::BIGINT AS p
+  FROM o JOIN f USING (bucket) LEFT JOIN ends ON ends.bucket = o.bucket AND ends.i = o.i)
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, (p * 16 // rows)::INTEGER AS shard,
+       (p - (p * 16 // rows * rows + 15) // 16)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM p, m
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op2_line_dedup": LINES,
     "op6_warc": ARCHIVES,
+    "op11_sharding": SHARDS,
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievery.llm import ann, extract, linededup, neardup, packing, pieces, quality, secretscan, shards, warc
+from sievery.llm import (
+    ann, extract, linededup, neardup, packing, pieces, quality, secretscan, sharding, shards, warc,
+)
 from sievery.llm.common import read_table
 from sievery.llm.oracle import ORACLE
 
@@ -79,6 +81,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max("ends"), F.lit(0)).cast("long").alias("span_bytes"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", sharding.text_size("text").alias("size"),
+                      sharding.checksum("text").alias("text_crc32"), F.lit(sharding.LAW).alias("law"),
+                      "place.shard", "place.slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -90,4 +99,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scans": op8_secret_scans,
     "op9_token_shards": op9_token_shards,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_sharding": op11_sharding,
 }
