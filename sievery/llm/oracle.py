@@ -118,9 +118,90 @@ SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, (p * 16 // rows)::INTEGER
 FROM p, m
 """
 
+def codes(rounds: int = 6, entries: int = 16, parts: int = 8) -> str:
+    """Rounds of assignment and floored means, one after the other; a part's nearest entry is the
+    least of 16 * distance + entry."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+d{r} AS MATERIALIZED (
+  SELECT x.id, x.p, min(d * {entries} + e)::BIGINT AS m FROM (
+    SELECT x.id, x.p, c.e, sum((x.v - c.v) * (x.v - c.v))::BIGINT AS d
+    FROM x JOIN c{r} c ON x.p = c.p AND x.k = c.k GROUP BY x.id, x.p, c.e) x GROUP BY x.id, x.p)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (
+  SELECT x.p, (m % {entries})::INTEGER AS e, x.k, sum(v)::BIGINT AS s, count(*) AS n
+  FROM x JOIN d{r} d ON d.id = x.id AND d.p = x.p GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, c.k, coalesce((s - ((s % n) + n) % n) // n, c.v)::BIGINT AS v
+  FROM c{r} c LEFT JOIN s{r} s ON s.p = c.p AND s.e = c.e AND s.k = c.k)""")
+    return f"""
+WITH w AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS id,
+         list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (
+  SELECT id, (k // (n // {parts}))::INTEGER AS p, (k % (n // {parts}))::INTEGER AS k, v FROM (
+    SELECT id, len(v) AS n, unnest(v) AS v, unnest(range(len(v))) AS k FROM w)),
+c0 AS (SELECT p, id::INTEGER AS e, k, v FROM x WHERE id < {entries}),{",".join(steps)},
+f AS (
+  SELECT id, string_agg(format('{{:02x}}', m % {entries}), '' ORDER BY p) AS code,
+         sum(m // {entries})::BIGINT AS error FROM d{rounds} GROUP BY id),
+b AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY p, e, k)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM w JOIN f USING (id), b
+"""
+
+
+# Near words are equal without the letter at one place, or one is the other without a letter.
+SPELLING = f"""
+WITH RECURSIVE {CRC_TABLE},
+r AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+g AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 6 GROUP BY ALL),
+h AS (
+  SELECT run, n, {crc32("concat(coalesce(doc_id::VARCHAR, ''), ':', run)")} AS h FROM g, tab),
+w AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0
+           THEN concat(substr(run, 1, (h % length(run))::BIGINT), substr(run, (h % length(run))::BIGINT + 2))
+           ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+k AS MATERIALIZED (
+  SELECT word, n, i, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS key
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+  UNION ALL SELECT word, n, 0, word FROM w),
+p AS MATERIALIZED (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n
+  FROM k a JOIN k b ON a.key = b.key AND a.word <> b.word AND (a.i = b.i OR a.i = 0 OR b.i = 0)),
+b AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS best_n FROM p GROUP BY word),
+o AS (
+  SELECT b.word, n_near, best_n, min(other) AS best
+  FROM b JOIN p ON p.word = b.word AND p.other_n = b.best_n GROUP BY ALL),
+v AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form,
+         CASE WHEN best_n >= 5 * w.n THEN best_n END::BIGINT AS form_n
+  FROM w LEFT JOIN o USING (word)),
+f AS (
+  SELECT word, form AS last FROM v WHERE form IS NOT NULL
+  UNION ALL
+  SELECT f.word, v.form FROM f JOIN v ON v.word = f.last WHERE v.form IS NOT NULL),
+l AS (
+  SELECT f.word, f.last FROM f JOIN v ON v.word = f.last WHERE v.form IS NULL)
+SELECT v.word, form, coalesce(last, v.word) AS root, n, n_near, form_n FROM v LEFT JOIN l ON l.word = v.word
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op2_line_dedup": LINES,
     "op6_warc": ARCHIVES,
     "op11_sharding": SHARDS,
+    "op12_vector_codes": codes(),
+    "op13_spelling_variants": SPELLING,
 }

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievery.llm import (
-    ann, extract, linededup, neardup, packing, pieces, quality, secretscan, sharding, shards, warc,
+    ann, extract, linededup, neardup, packing, pieces, quality, secretscan, sharding, shards,
+    spelling, vectorcodes, warc,
 )
 from sievery.llm.common import read_table
 from sievery.llm.oracle import ORACLE
@@ -88,6 +89,14 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "place.shard", "place.slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
@@ -100,4 +109,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_shards": op9_token_shards,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_sharding": op11_sharding,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_spelling_variants": op13_spelling_variants,
 }
