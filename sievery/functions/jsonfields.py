@@ -23,6 +23,16 @@ def parse(raw: Column) -> Column:
     return F.try_parse_json(raw)
 
 
+def whole_json_sql(raw: str = "raw") -> str:
+    """SQL: the whole text is one JSON value.  ``try_parse_json`` stops behind the
+    first value, so the text is read as one member of an object between two names
+    that it cannot hold, as they come from its own hash; text behind the value
+    breaks the object or adds members."""
+    name = f"md5({raw})"
+    return (f"coalesce(size(try_variant_get(try_parse_json(concat('{{\"a', {name}, '\":', {raw}, "
+            f"',\"b', {name}, '\":0}}')), '$', 'map<string,variant>')) = 2, false)")
+
+
 def array_field(parsed: Column, name: str) -> Column:
     """The top-level field ``name`` if it is an array, else NULL."""
     return F.try_variant_get(parsed, f"$.{name}", "array<variant>")

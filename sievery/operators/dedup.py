@@ -9,12 +9,15 @@ that is not notable never hides one that is.
 In batch the latest version stays: the greatest ``seq`` (position of the
 landing page), then the greatest raw text and reactions, so the result does not depend
 on the order of the rows.  It is one aggregate per key with partial maxima
-before the shuffle.  In a stream the first notable version of a key within the
+before the shuffle.  A message that lacks a part of its key has no identity: it is
+a repeat only of a message with the same content.  In a stream the first notable version of a key within the
 watermark stays (it has been delivered); its state holds notable keys only.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +30,9 @@ def dedup_messages(messages: DataFrame, key: list[str] = KEY,
     """The latest version of every message (greatest ``latest`` columns)."""
     rest = [c for c in messages.columns if c not in key]
     order = F.struct(*[F.col(c) for c in latest if c in messages.columns])
-    best = messages.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_m"))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    best = messages.groupBy(*key, F.when(~whole, F.xxhash64(*messages.columns)).alias("_odd")).agg(
+        F.max_by(F.struct(*rest), order).alias("_m"))
     return best.select(*key, "_m.*").select(*messages.columns)
 
 

@@ -5,8 +5,10 @@ five-list concatenation (UN-1) and the sieved / channel-posts records
 A payload groups the notable messages of one channel.  A channel may hold a
 third of all messages, so a payload is never the whole channel: the group
 key is ``(channel, chunk)``.  By default the chunk comes from the message's
-exact position in its channel's delivery order (a distributed rank over the
-narrow columns; the JSON text joins it afterwards): a payload has at most
+exact position in its channel's delivery order: the messages are encoded and
+written once with a number of their own, the narrow columns are ranked, and the
+ranks meet the JSON text again on that number, which no two rows share (rows that
+repeat, or that lack a ``seq``, stay as many as they are).  A payload has at most
 ``chunk_size`` items and about ``max_bytes`` bytes, and a channel of n items
 has ``ceil(n / chunk_size)`` payloads, whatever ``seq`` is.  With
 ``chunk_by="seq"`` the chunk is ``seq div chunk_size``, which saves the rank
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as C
 from ..functions import encode as E
+from ..session import stored
 from .splitting import rank_within
 
 DEFAULT_CHUNK = 10_000
@@ -58,21 +61,25 @@ def _chunked(notable: DataFrame, chunk_size: int, order: list[str],
     items = E.with_message_json(notable).select(
         "channel", "seq", "json", C.category_rank("category", order).alias("_ord"))
     if chunk_by == "rank":
+        # The written rows fix the numbers for both uses.  Equal places in the
+        # order are told apart by the text's hash, then by the number.
+        items = stored(items.select(
+            "*", (F.octet_length("json") + 1).alias("_size"), F.xxhash64("json").alias("_tie"),
+            F.monotonically_increasing_id().alias("_id")), "encoded-posts")
         # Both quotients only grow along a channel's order, so their sum changes
         # exactly where one of them does and numbers the payloads.
-        narrow = items.select("channel", "seq", "_ord", (F.octet_length("json") + 1).alias("_size"))
-        placed = rank_within(narrow, "channel", ["_ord", "seq"], "_rank", weight="_size",
-                             before="_before").select(
-            F.col("channel").alias("_c"), F.col("seq").alias("_s"),
+        placed = rank_within(items.drop("json"), "channel", ["_ord", "seq", "_tie", "_id"], "_rank",
+                             weight="_size", before="_before").select(
+            "_id", "_rank",
             F.expr(f"_rank div {int(chunk_size)} + _before div {int(max_bytes)}").alias("chunk"))
-        items = items.join(placed, F.col("channel").eqNullSafe(F.col("_c"))
-                           & (F.col("seq") == F.col("_s"))).drop("_c", "_s")
+        items = items.drop("_size", "_tie").join(placed, "_id")
     elif chunk_by == "seq":
-        items = items.withColumn("chunk", F.expr(f"seq div {int(chunk_size)}"))
+        items = items.select("*", F.lit(0).cast("bigint").alias("_rank"),
+                             F.expr(f"seq div {int(chunk_size)}").alias("chunk"))
     else:
         raise ValueError(f"chunk_by must be 'seq' or 'rank', not {chunk_by!r}")
     return (items.groupBy("channel", "chunk")
-            .agg(F.array_sort(F.collect_list(F.struct("_ord", "seq", "json"))).alias("_items"),
+            .agg(F.array_sort(F.collect_list(F.struct("_rank", "_ord", "seq", "json"))).alias("_items"),
                  F.count("*").alias("n_items"))
             .select("channel", "chunk", "n_items",
                     F.col("_items")[0]["seq"].alias("first_seq"),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify as C
+from ..functions.jsonfields import whole_json_sql
 
 
 def _has(col: str) -> str:
@@ -35,11 +36,14 @@ def keep_whitelisted_sql(raw: str = "raw") -> str:
     text that is not a JSON object keeps nothing.  Of a repeated key the last
     value counts where the session sets
     ``spark.sql.variant.allowDuplicateKeys`` (``build_session`` does); else
-    such a text keeps nothing and is logged as a reject."""
-    return ("coalesce(size(map_filter("
+    such a text keeps nothing and is logged as a reject.  A text with more behind
+    its object is not JSON as a whole and would spoil the array it is delivered
+    in: it keeps nothing either."""
+    return ("(coalesce(size(map_filter("
             f"try_variant_get(try_parse_json({raw}), '$', 'map<string,variant>'), "
             "(k, v) -> k IN ('reactions', 'mentions', 'replies') AND "
-            "coalesce(size(try_variant_get(v, '$', 'array<variant>')) > 0, false))) > 0, false)")
+            "coalesce(size(try_variant_get(v, '$', 'array<variant>')) > 0, false))) > 0, false)"
+            f" AND {whole_json_sql(raw)})")
 
 
 NOTABLE = (f"CASE WHEN category IN ('{C.BOT}', '{C.USER_ATTACHMENT}', '{C.FILE_COMMENT}') "
@@ -93,9 +97,9 @@ def with_notable(messages: DataFrame, name: str = "notable") -> DataFrame:
 
 def unparsable_rejects(messages: DataFrame) -> DataFrame:
     """Whitelisted messages whose raw text cannot be read as JSON (dropped by
-    F-4): broken text, or a repeated key where the session does not allow it."""
-    return (messages.filter((F.col("category") == C.WHITELISTED)
-                            & F.try_parse_json("raw").isNull())
+    F-4): broken text, text behind the object, or a repeated key where the session
+    does not allow it."""
+    return (messages.filter((F.col("category") == C.WHITELISTED) & ~F.expr(whole_json_sql()))
             .select(F.lit("whitelisted").alias("source"),
                     F.concat_ws("/", "channel", "ts").alias("key"),
                     F.lit("raw message is not readable JSON").alias("reason")))

@@ -123,6 +123,18 @@ def split_ids(ids: DataFrame, k: int, id_col: str = "id") -> DataFrame:
     return indexed.select(id_col, ntile_of("_i", n, k).alias("part"))
 
 
+def place_groups(df: DataFrame, groups: DataFrame, k: int, id_col: str = "id",
+                 part: str = "part") -> DataFrame:
+    """PART-1 as work placement: ``df`` with its group number (from ``split_ids``), and
+    group g of k in task g - 1, so no two groups share a task and none is cut.
+
+    Rows whose id is in no group are dropped, as they have no place.  Groups are as
+    large as the split makes them; for work that may be cut anywhere use ``place_by_key``
+    or none of the two."""
+    placed = df.join(groups.select(F.col(id_col), F.col(part)), id_col)
+    return placed.repartitionById(k, F.col(part) - 1)
+
+
 def place_by_key(df: DataFrame, k: int, key: str = "channel") -> DataFrame:
-    """PART-1 as work placement: k tasks, all rows of a key in one of them."""
+    """k tasks, all rows of a key in one of them; keys may share a task."""
     return df.repartition(k, key)

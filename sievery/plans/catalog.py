@@ -472,6 +472,56 @@ def q_page_rejects(spark, sf_dir):
     return rejects.groupBy("source", "reason").agg(F.count("*").alias("n"))
 
 
+def q_landed_twice(spark, sf_dir):
+    """ST-2 + JOB-3: the same history landed in two folders gives the payloads of one."""
+    from ..session import scratch_path
+    from ..sources import landing, pages
+    path = scratch_path(spark, "landed-twice")
+    for folder in ("/first", "/again"):
+        landing.land_history_pages(_messages(spark, sf_dir), path + folder)
+    m, _ = pages.read_conversations(spark, [path + "/first", path + "/again"])
+    p = jobs.seed_posts(m, URL_TEMPLATE, BLACKLIST, channel_teams=T.load_channels(spark, sf_dir),
+                        chunk_size=SLICE)
+    return p.groupBy("channel").agg(F.count("*").alias("n_payloads"),
+                                    F.sum("n_items").cast("bigint").alias("n_items"))
+
+
+def _faulty_lines(spark, sf_dir):
+    """Lines that a landing may leave: cut-short pages (one per supplier), error pages (one
+    per region), and pages with messages without a readable time (one per nation)."""
+    cut = T.read_table(spark, sf_dir, "supplier").selectExpr(
+        """concat('{"ok":true,"channel":"S', cast(s_suppkey AS string), '","messages":[{"ts":"17')  AS value""")
+    error = T.read_table(spark, sf_dir, "region").selectExpr(
+        """concat('{"ok":false,"error":"no_access_', lower(r_name), '"}') AS value""")
+    untimed = T.read_table(spark, sf_dir, "nation").selectExpr(
+        """concat('{"ok":true,"channel":"N', cast(n_nationkey AS string), '","messages":[{"ts":"soon","text":"',
+                  n_name, '"},{"text":"no time"},{"ts":"1700000000.00000', cast(n_nationkey % 10 AS string),
+                  '","text":"fine"}]}') AS value""")
+    return cut.unionByName(error).unionByName(untimed)
+
+
+def q_corrupt_pages(spark, sf_dir):
+    """SRC-9 + LOG-1 in a stream: the texts of faulty pages and messages among the
+    history pages, with what is wrong with them."""
+    from ..session import scratch_path
+    from ..sources import landing
+    from ..streaming import streams
+    path = scratch_path(spark, "corrupt-pages")
+    landing.land_history_pages(_messages(spark, sf_dir), path)
+    _faulty_lines(spark, sf_dir).write.mode("append").text(path)
+    return streams.stream_rejected_texts(spark, path).groupBy("source", "key", "reason", "text").agg(
+        F.count("*").alias("n"))
+
+
+def q_place_groups(spark, sf_dir):
+    """PART-1 as placement: SPLIT_K groups of user ids, each in a task of its own."""
+    users = T.load_users(spark, sf_dir).select("id", "name")
+    placed = splitting.place_groups(users, splitting.split_ids(users, SPLIT_K), SPLIT_K)
+    return placed.withColumn("task", F.spark_partition_id()).groupBy("part").agg(
+        F.count("*").alias("n_users"), F.count_distinct("task").alias("n_tasks"),
+        F.min("task").alias("task"))
+
+
 def _event_files(spark, sf_dir):
     """The events as eight files that follow each other in time and overlap by
     less than a day."""
@@ -551,6 +601,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_versions": q_dedup_versions,
     "unnumbered_pages": q_unnumbered_pages,
     "page_rejects": q_page_rejects,
+    "landed_twice": q_landed_twice,
+    "corrupt_pages": q_corrupt_pages,
+    "place_groups": q_place_groups,
     "stream_sieve_files": q_stream_sieve_files,
     "stream_windows_files": q_stream_windows_files,
 }

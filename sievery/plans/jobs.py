@@ -18,7 +18,7 @@ from .. import schemas
 
 from ..functions import classify as C
 from ..functions import encode as E
-from ..operators import emoji, payloads, routing, sieve
+from ..operators import dedup, emoji, payloads, routing, sieve
 from ..operators.splitting import rank_within
 
 
@@ -73,12 +73,16 @@ def listed_only(messages: DataFrame, channels: DataFrame, id_col: str = "id") ->
 
 def seed_posts(messages: DataFrame, url_template: str, blacklist: Iterable[str] = (),
                team_id: str | None = None, channel_teams: DataFrame | None = None,
-               chunk_size: int = payloads.DEFAULT_CHUNK, chunk_by: str = "rank") -> DataFrame:
+               chunk_size: int = payloads.DEFAULT_CHUNK, chunk_by: str = "rank",
+               once: bool = True) -> DataFrame:
     """JOB-3: messages of the listed channels (ST-1, when ``channel_teams``
-    is the listing), blacklist (X-2), sieve (F-6), encode and group (AGG-2)."""
+    is the listing), blacklist (X-2), sieve (F-6), each message once (ST-2; not
+    with ``once=False``, where the caller knows it), encode and group (AGG-2)."""
     if channel_teams is not None:
         messages = listed_only(messages, channel_teams)
     kept = sieve.sieve(C.drop_blacklisted(messages, blacklist))
+    if once:
+        kept = dedup.dedup_messages(kept)
     return payloads.post_payloads(kept, url_template, team_id=team_id,
                                   channel_teams=channel_teams, chunk_size=chunk_size,
                                   chunk_by=chunk_by)

@@ -494,6 +494,33 @@ FROM messages WHERE category = 'whitelisted' AND NOT json_valid(raw) HAVING coun
 UNION ALL
 SELECT 'history', 'no_access_' || lower(r_name), count(*) FROM region GROUP BY r_name""",
 
+        "landed_twice": _with(_MESSAGES, _CHANNELS) + f"""
+SELECT channel, CAST(ceil(count(DISTINCT ts) / {Q.SLICE}) AS BIGINT) AS n_payloads,
+       CAST(count(DISTINCT ts) AS BIGINT) AS n_items
+FROM messages WHERE {_WIRE_NOTABLE} AND (subtype IS NULL OR subtype NOT IN ({bl}))
+  AND channel IN (SELECT id FROM channels) GROUP BY channel""",
+
+        "corrupt_pages": msg + """
+SELECT 'messages' AS source, channel AS key, 'message is not a JSON object with a ts' AS reason,
+       raw AS text, count(*) AS n
+FROM messages WHERE category = 'whitelisted' AND NOT json_valid(raw) GROUP BY ALL
+UNION ALL
+SELECT 'messages', 'N' || CAST(n_nationkey AS VARCHAR), 'message is not a JSON object with a ts',
+       '{"text":"no time"}', count(*) FROM nation GROUP BY n_nationkey
+UNION ALL
+SELECT 'messages', 'N' || CAST(n_nationkey AS VARCHAR), 'message has an unreadable ts',
+       '{"ts":"soon","text":"' || n_name || '"}', count(*) FROM nation GROUP BY ALL
+UNION ALL
+SELECT 'history', NULL, 'no_access_' || lower(r_name), NULL, count(*) FROM region GROUP BY r_name
+UNION ALL
+SELECT 'history', NULL, 'malformed page',
+       '{"ok":true,"channel":"S' || CAST(s_suppkey AS VARCHAR) || '","messages":[{"ts":"17', count(*)
+FROM supplier GROUP BY s_suppkey""",
+
+        "place_groups": _with(_USERS) + f"""
+SELECT part, count(*) AS n_users, CAST(1 AS BIGINT) AS n_tasks, CAST(part - 1 AS INTEGER) AS task
+FROM (SELECT CAST(ntile({Q.SPLIT_K}) OVER (ORDER BY id) AS INTEGER) AS part FROM users) GROUP BY part""",
+
         "stream_posts": msg + f"""
 SELECT channel, CAST(count(*) AS BIGINT) AS n_items FROM messages
 WHERE {_WIRE_NOTABLE} AND (subtype IS NULL OR subtype NOT IN ({bl})) GROUP BY channel""",

@@ -35,11 +35,15 @@ CHANNEL = _struct(
     ("purpose", TOPIC), ("previous_names", T.ArrayType(S)), ("num_members", L),
 )
 
+# A line that does not parse as a page comes with all other columns null and its
+# text here (the name that Spark's JSON reader fills by default).
+CORRUPT = "_corrupt_record"
+
 RESPONSE_METADATA = _struct(("next_cursor", S))
 
 CHANNEL_PAGE = _struct(
     ("ok", B), ("error", S), ("channels", T.ArrayType(CHANNEL)),
-    ("response_metadata", RESPONSE_METADATA),
+    ("response_metadata", RESPONSE_METADATA), (CORRUPT, S),
 )
 
 # Profile fields sit under ``profile`` on the wire and are lifted to the top
@@ -58,7 +62,7 @@ USER_WIRE = _struct(
 
 USER_PAGE = _struct(
     ("ok", B), ("error", S), ("offset", S), ("members", T.ArrayType(USER_WIRE)),
-    ("response_metadata", RESPONSE_METADATA),
+    ("response_metadata", RESPONSE_METADATA), (CORRUPT, S),
 )
 
 # Column order of the flat ``users`` table.
@@ -76,10 +80,12 @@ TEAM_PAGE = _struct(
     ("ok", B), ("error", S),
     ("team", _struct(("id", S), ("name", S), ("domain", S), ("email_domain", S),
                      ("icon", ICON), ("enterprise_id", S), ("enterprise_name", S))),
+    (CORRUPT, S),
 )
 
 # ``team_id`` is added by the landing step, as ``channel`` below.
-EMOJI_PAGE = _struct(("ok", B), ("error", S), ("team_id", S), ("emoji", T.MapType(S, S)))
+EMOJI_PAGE = _struct(("ok", B), ("error", S), ("team_id", S), ("emoji", T.MapType(S, S)),
+                     (CORRUPT, S))
 
 REACTION = _struct(("name", S), ("users", T.ArrayType(S)), ("count", L))
 REPLY = _struct(("ts", S), ("user", S))
@@ -111,7 +117,7 @@ WIRE_MESSAGE = _struct(
 # its position in the channel's history); the API itself does not send them.
 HISTORY_PAGE = _struct(
     ("ok", B), ("error", S), ("channel", S), ("page", L), ("has_more", B), ("pin_count", L),
-    ("messages", T.ArrayType(S)), ("response_metadata", RESPONSE_METADATA),
+    ("messages", T.ArrayType(S)), ("response_metadata", RESPONSE_METADATA), (CORRUPT, S),
 )
 
 # ``page * PAGE_SPAN + position`` is unique within a channel: a position in a
@@ -141,3 +147,7 @@ MESSAGES = T.StructType([
 ])
 
 REJECTS = _struct(("source", S), ("key", S), ("reason", S))
+
+# Rejects with the place and the text of what was set aside: ``position`` is the
+# start of the file block that a page's line is in, or a message's place in its page.
+REJECTED_TEXTS = _struct(("source", S), ("key", S), ("reason", S), ("file", S), ("position", L), ("text", S))

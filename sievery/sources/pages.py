@@ -25,7 +25,8 @@ from ..functions.jsonfields import extract_mentions
 def _read(spark: SparkSession, path: str | list[str], schema, multiline: bool) -> DataFrame:
     return (spark.read.schema(schema).option("multiLine", multiline)
             .option("mode", "PERMISSIVE").json(path)
-            .withColumn("_page", F.input_file_name()))
+            .withColumns({"_page": F.input_file_name(),
+                          "_block": F.col("_metadata.file_block_start")}))
 
 
 def _rejects(pages: DataFrame, source: str) -> DataFrame:
@@ -35,6 +36,16 @@ def _rejects(pages: DataFrame, source: str) -> DataFrame:
                     F.coalesce(F.col("error"), F.lit("malformed page")).alias("reason")))
 
 
+def page_texts(pages: DataFrame, source: str) -> DataFrame:
+    """SRC-9: as ``_rejects`` with the file, the start of the line's block in it and,
+    for a line that is no page, its text (batch or stream)."""
+    return (pages.filter(~F.coalesce(F.col("ok"), F.lit(False)))
+            .select(F.lit(source).alias("source"), F.col("channel").alias("key"),
+                    F.coalesce(F.col("error"), F.lit("malformed page")).alias("reason"),
+                    F.col("_page").alias("file"), F.col("_block").alias("position"),
+                    F.col(schemas.CORRUPT).alias("text")))
+
+
 def _ok(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("ok"))
 
@@ -119,14 +130,16 @@ def read_team_info(spark: SparkSession, team_path, emoji_path, multiline: bool =
 
 
 def ts_micros(ts):
-    """``"<seconds>.<6 digits>"`` to epoch microseconds, exact (via decimal)."""
-    return (ts.cast("decimal(20,6)") * F.lit(1000000)).cast("bigint")
+    """``"<seconds>.<6 digits>"`` to epoch microseconds, exact (via decimal); null
+    where the text is no such number."""
+    return (ts.try_cast("decimal(20,6)") * F.lit(1000000)).try_cast("bigint")
 
 
 def wire_messages(pages: DataFrame) -> DataFrame:
     """History pages (batch or stream) to one row per wire message:
     ``channel``, ``raw`` text and the parsed ``m``."""
-    raw = _ok(pages).select(F.col("channel").cast("string").alias("channel"), "page",
+    file = F.col("_page") if "_page" in pages.columns else F.lit(None).cast("string")
+    raw = _ok(pages).select(F.col("channel").cast("string").alias("channel"), "page", file.alias("_page"),
                             F.posexplode("messages").alias("_pos", "raw"))
     return raw.withColumn("m", F.from_json("raw", schemas.WIRE_MESSAGE))
 
@@ -137,8 +150,31 @@ def _wire_messages(spark: SparkSession, path, multiline: bool):
 
 
 def valid_canonical(wire: DataFrame) -> DataFrame:
-    """Canonical messages from the wire rows that parse and carry a ts."""
-    return to_canonical(wire.filter(F.col("m").isNotNull() & F.col("m")["ts"].isNotNull()))
+    """Canonical messages from the wire rows that parse and carry a readable ts."""
+    return to_canonical(wire.filter(F.col("m").isNotNull() & ts_micros(F.col("m")["ts"]).isNotNull()))
+
+
+def wire_rejects(wire: DataFrame) -> DataFrame:
+    """LOG-1: the wire rows that ``valid_canonical`` leaves out, with their text."""
+    ts = F.col("m")["ts"]
+    lacking = F.col("m").isNull() | ts.isNull()
+    return (wire.filter(lacking | ts_micros(ts).isNull())
+            .select(F.lit("messages").alias("source"), F.col("channel").alias("key"),
+                    F.when(lacking, F.lit("message is not a JSON object with a ts"))
+                     .otherwise(F.lit("message has an unreadable ts")).alias("reason"),
+                    F.col("_page").alias("file"), F.col("_pos").cast("bigint").alias("position"),
+                    F.col("raw").alias("text")))
+
+
+def rejected_texts(pages: DataFrame) -> DataFrame:
+    """LOG-1 with texts: the pages and the messages of history pages that are set
+    aside (``REJECTED_TEXTS``); one pass over the pages each."""
+    return page_texts(pages, "history").unionByName(wire_rejects(wire_messages(pages)))
+
+
+def history_pages(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
+    """Landed history pages as they are, with their file and block."""
+    return _read(spark, path, schemas.HISTORY_PAGE, multiline)
 
 
 def with_mentions(raw, wire_mentions, found):
@@ -185,9 +221,7 @@ def to_canonical(wire: DataFrame) -> DataFrame:
 def read_history(spark: SparkSession, path, multiline: bool = False):
     """SRC-6: every message of every history page, flat and unclassified."""
     pages, wire = _wire_messages(spark, path, multiline)
-    bad = (wire.filter(F.col("m").isNull() | F.col("m")["ts"].isNull())
-           .select(F.lit("messages").alias("source"), F.col("channel").alias("key"),
-                   F.lit("message is not a JSON object with a ts").alias("reason")))
+    bad = wire_rejects(wire).select("source", "key", "reason")
     return valid_canonical(wire), _rejects(pages, "history").unionByName(bad)
 
 

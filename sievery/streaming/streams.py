@@ -148,7 +148,21 @@ def read_page_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES)
     """SRC-10 on landed history pages: the folder is watched and new page
     files are read as they land."""
     return (spark.readStream.schema(schemas.HISTORY_PAGE)
-            .option("maxFilesPerTrigger", max_files).json(path))
+            .option("maxFilesPerTrigger", max_files).json(path)
+            .withColumns({"_page": F.col("_metadata.file_path"),
+                          "_block": F.col("_metadata.file_block_start")}))
+
+
+def stream_rejected_texts(spark: SparkSession, pages_path: str, out: str | None = None,
+                          max_files: int = MAX_FILES) -> DataFrame:
+    """LOG-1 of a page stream: what it sets aside, with the texts, written per batch id
+    below ``out`` (pass it to resume) and read back."""
+    out = out or scratch_path(spark, "stream-rejects")
+    sink = batch_sink(out + "/rejects", build=PG.rejected_texts)
+    q = (read_page_stream(spark, pages_path, max_files).writeStream.foreachBatch(sink)
+         .option("checkpointLocation", out + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return read_batches(spark, out + "/rejects", schemas.REJECTED_TEXTS)
 
 
 def stream_posts(spark: SparkSession, pages_path: str, url_template: str,
