@@ -345,8 +345,8 @@ def q_stream_posts(spark, sf_dir):
     out = streams.stream_posts(spark, pages_path, URL_TEMPLATE,
                                channel_teams=T.load_channels(spark, sf_dir), blacklist=BLACKLIST,
                                deliver=accepting_service)
-    from ..sinks.delivery import RECEIPTS, read_batches
-    receipts = read_batches(spark, out + "/receipts", RECEIPTS)
+    from ..sinks.ledger import Ledger
+    receipts = Ledger(spark, out + "/receipts").state()
     return (receipts.filter(F.col("status") == "OK").groupBy("channel")
             .agg(F.sum("n_items").cast("bigint").alias("n_items")))
 
@@ -362,6 +362,29 @@ def q_deliver_posts(spark, sf_dir):
     return receipts.select("channel", "chunk", "key", "n_items", "status")
 
 
+def q_redelivery(spark, sf_dir):
+    """SNK-1 + R-2: payloads delivered to a service that refuses a third at first; only
+    what was refused is delivered again, so every key is accepted once."""
+    from ..session import scratch_path, stored
+    from ..sinks import ledger
+    payloads_ = stored(_posts(spark, sf_dir, SLICE), "redelivered-posts")
+    book = ledger.Ledger(spark, scratch_path(spark, "ledger"))
+    book.deliver(payloads_, ledger.recovering_service)
+    return book.state().select("channel", "chunk", "key", "n_items", "attempts", "accepted", "status")
+
+
+def q_deliver_posts_writer(spark, sf_dir):
+    """SNK-1 + R-1 + R-2 through ``df.write.format``: payloads delivered by the data
+    source's writer, its published receipts read back."""
+    from ..session import scratch_path
+    from ..sinks import datasource
+    datasource.register(spark)
+    path = scratch_path(spark, "written-posts")
+    (_posts(spark, sf_dir).write.format(datasource.FORMAT).mode("append").option("path", path)
+     .option("service", "sievery.sinks.delivery:accepting_service").save())
+    return datasource.read_receipts(spark, path).select("channel", "chunk", "key", "n_items", "status")
+
+
 def q_delivered_metrics(spark, sf_dir):
     """AGG-4 after delivery (D7): sink counters from OK receipts only."""
     from ..sinks import delivery
@@ -589,6 +612,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sieve": q_stream_sieve,
     "stream_posts": q_stream_posts,
     "deliver_posts": q_deliver_posts,
+    "redelivery": q_redelivery,
+    "deliver_posts_writer": q_deliver_posts_writer,
     "delivered_metrics": q_delivered_metrics,
     "history_pages": q_history_pages,
     "listing_pages": q_listing_pages,

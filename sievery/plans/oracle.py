@@ -529,6 +529,20 @@ WHERE {_WIRE_NOTABLE} AND (subtype IS NULL OR subtype NOT IN ({bl})) GROUP BY ch
 SELECT g.channel, g.chunk, sha256({url} || chr(10) || g.body) AS key, g.n_items, 'OK' AS status
 FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
 
+        "deliver_posts_writer": _with(_MESSAGES, _CHANNELS, _payloads("category_ord", Q.CHUNK)) + f"""
+SELECT g.channel, g.chunk, sha256({url} || chr(10) || g.body) AS key, g.n_items, 'OK' AS status
+FROM grouped g LEFT JOIN channels c ON g.channel = c.id""",
+
+        # refused at the first attempt if three divides the key's first 32 bits, at the second if nine does
+        "redelivery": _with(_MESSAGES, _CHANNELS, _payloads("category_ord", Q.SLICE)) + f"""
+, r AS (SELECT g.channel, g.chunk, g.n_items, sha256({url} || chr(10) || g.body) AS key
+        FROM grouped g LEFT JOIN channels c ON g.channel = c.id)
+SELECT channel, chunk, key, n_items,
+       CAST(CASE WHEN ('0x' || substr(key, 1, 8))::BIGINT % 9 = 0 THEN 3
+                 WHEN ('0x' || substr(key, 1, 8))::BIGINT % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+       CAST(1 AS BIGINT) AS accepted, 'OK' AS status
+FROM r""",
+
         "delivered_metrics": _with(_MESSAGES, _CHANNELS, _payloads("category_ord", Q.SLICE)) + f"""
 , r AS (SELECT g.n_items, sha256({url} || chr(10) || g.body) AS key
         FROM grouped g LEFT JOIN channels c ON g.channel = c.id),

@@ -121,8 +121,12 @@ def batch_sink(path: str, build: Callable[[DataFrame], DataFrame] | None = None,
                deliver: Deliver | None = None, receipts_path: str | None = None):
     """A ``foreachBatch`` function: build payloads from the micro-batch,
     write them under the batch id, optionally deliver them, store the
-    receipts (default ``<path>-receipts``) and check them (R-2).  A batch
-    without payloads (F-7, F-9) writes and checks nothing but empty folders."""
+    receipts (default ``<path>-receipts``) and check them (R-2).  The receipts
+    are a ledger: a replayed batch delivers only what it has no OK receipt for.
+    A batch without payloads (F-7, F-9) writes and checks nothing but empty
+    folders."""
+    from .ledger import Ledger
+
     receipts_at = receipts_path or path.rstrip("/") + "-receipts"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -133,8 +137,9 @@ def batch_sink(path: str, build: Callable[[DataFrame], DataFrame] | None = None,
             written = read_batch(spark, path, batch_id, out.schema)
             # Receipts are stored before they are checked: the check reads
             # them back, so no payload is delivered twice by the check itself.
-            write_batch(deliver_payloads(written, deliver), receipts_at, batch_id)
-            check_receipts(read_batch(spark, receipts_at, batch_id, RECEIPTS))
+            ledger = Ledger(spark, receipts_at)
+            ledger.attempt(written, deliver, batch_id)
+            ledger.check(batch_id)
     return sink
 
 

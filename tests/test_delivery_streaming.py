@@ -181,12 +181,12 @@ def test_late_event_is_dropped_by_the_watermark(spark):
     assert streamed != batch(events.unionByName(extra))    # it would have counted
 
 
-def test_trailing_text_after_json_is_accepted(spark):
+def test_trailing_text_after_json_is_refused(spark):
     from sievery.operators import sieve as S
     df = spark.createDataFrame([('{"mentions":["U1"]} trailing',)], "raw string")
-    # documented behaviour: Spark's parser stops after the first complete
-    # value, where a strict parser would refuse the text
-    assert df.select(S.keep_whitelisted().alias("k")).first()["k"] is True
+    # Spark's parser stops after the first complete value; such a text would
+    # spoil the array it is delivered in, and a strict parser refuses it
+    assert df.select(S.keep_whitelisted().alias("k")).first()["k"] is False
 
 
 def test_stream_posts_rank_chunks(spark):
