@@ -193,6 +193,15 @@ def q_route_report(spark, sf_dir):
                           "route", "n", F.col("n_items").alias("n_channels"))
 
 
+def q_display_channels(spark, sf_dir):
+    """JOB-5 + SNK-5: the members of every channel, printed per route."""
+    from ..session import scratch_path
+    from ..sinks.delivery import print_sink
+    path = scratch_path(spark, "printed-channels")
+    print_sink(_routes(spark, sf_dir).select("route", "num_members"), path)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
 def q_classify(spark, sf_dir):
     """X-1: category of every message."""
     return _messages(spark, sf_dir).select("seq", "channel", "category", "category_ord")
@@ -545,17 +554,22 @@ def q_place_groups(spark, sf_dir):
         F.min("task").alias("task"))
 
 
-def _event_files(spark, sf_dir):
-    """The events as eight files that follow each other in time and overlap by
-    less than a day."""
+def _event_files(spark, sf_dir, slices=8):
+    """The events in files of ``slices`` slices that follow each other in time and overlap by
+    less than a day, written in one pass, and stamped in that order, which is the order
+    in which a stream reads them."""
     from ..session import scratch_path
     path = scratch_path(spark, "event-files")
     events = T.read_table(spark, sf_dir, "events")
     us = F.expr(f"{T.micros_since_epoch_sql('ts')} + pmod(event_id, 8) * 10000000000")
     low, high = events.agg(F.min(us), F.max(us)).first()
-    part = F.least(F.floor((us - F.lit(low)) / F.lit(max(1, (high - low) / 8))), F.lit(7))
-    for i in range(8):
-        events.filter(part == i).coalesce(1).write.mode("append").parquet(path)
+    part = F.least(F.floor((us - F.lit(low)) / F.lit(max(1, (high - low) / slices))), F.lit(slices - 1))
+    events.repartitionById(slices, part.cast("int")).write.parquet(path)         # task k writes slice k
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for k in range(slices):
+        for file in system.globStatus(hadoop.Path(f"{path}/part-{k:05}-*")):
+            system.setTimes(file.getPath(), 1700000000000 + 60000 * k, -1)
     return path
 
 
@@ -575,6 +589,95 @@ def q_stream_windows_files(spark, sf_dir):
                     F.unix_seconds(F.col("window.end")).alias("window_end"), "category", "n")
 
 
+def _route_stream(spark, sf_dir, out=None):
+    from ..streaming import streams
+    routes = _routes(spark, sf_dir).select(F.col("id").alias("channel"), "route")
+    return streams.stream_route_windows(spark, routes, sf_dir, WINDOW_SIZE, WINDOW_SLIDE, out=out)
+
+
+def q_stream_route_windows(spark, sf_dir):
+    """JOB-5 + WIN-1 + WM-1 + RT-1 as a stream: messages and channels of each closed window
+    and route, exact."""
+    return _route_stream(spark, sf_dir).select(
+        F.unix_seconds(F.col("window.start")).alias("window_start"),
+        F.unix_seconds(F.col("window.end")).alias("window_end"), "route", "n",
+        F.col("n_items").alias("n_channels"))
+
+
+def q_stream_state_summary(spark, sf_dir):
+    """ST-3: the state that the route windows' stream left in its checkpoint, looked at
+    before a restart: stateful operators and the keys of windows still open."""
+    from ..session import scratch_path
+    from ..streaming import state
+    out = scratch_path(spark, "route-windows-state")
+    _route_stream(spark, sf_dir, out)
+    partitions = state.state_operators(spark, out + "/checkpoint").first()["partitions"]
+    state.check_state(spark, out + "/checkpoint", {"stateStoreSave": 2}, partitions)
+    return state.state_summary(spark, out + "/checkpoint").groupBy("name").agg(
+        F.count_distinct("operator").alias("n_operators"), F.sum("keys").alias("n_keys"))
+
+
+def q_stream_channel_progress(spark, sf_dir):
+    """ST-1 with state: last time, messages, restarts seen and silence of every listed or
+    seen channel, from a stream that is stopped after the earlier half of the time and
+    started again for the later one."""
+    from ..session import scratch_path
+    from ..streaming import progress, streams
+    path, out = scratch_path(spark, "progress-events"), progress.progress_path(spark)
+    events = T.read_table(spark, sf_dir, "events")
+    us = T.micros_since_epoch("ts")
+    low, high = events.agg(F.min(us), F.max(us)).first()
+    middle = low + (high - low) // 2
+    for run, half in enumerate((us < middle, us >= middle)):
+        events.filter(half).write.mode("append").parquet(path)
+        progress.run_progress(spark, streams.message_stream(spark, path=path), out, run,
+                              listing=T.load_channels(spark, sf_dir), silence="1 hour")
+    return progress.latest_progress(spark, out)
+
+
+def q_stream_counters(spark, sf_dir):
+    """AGG-4 of a stream of eight files, one a batch: the counters that its batches observed,
+    and the rows that came later than the watermark."""
+    from ..session import scratch_path
+    from ..streaming import counters as SC
+    from ..streaming import streams
+    out, listener = scratch_path(spark, "counted"), SC.StreamCounters()
+    m = SC.message_counters(streams.message_stream(spark, path=_event_files(spark, sf_dir), max_files=1),
+                            sieve.is_notable())
+    w = streams.windowed_counts(m, WINDOW_SIZE, WINDOW_SLIDE, "1 day")
+    SC.run_counted(spark, w.writeStream.format("parquet").option("path", out + "/data")
+                   .option("checkpointLocation", out + "/checkpoint"), listener)
+    return listener.frame(spark)
+
+
+# when the responses of q_stream_team_info came: a team's ten minutes apart, its emojis so many
+# seconds later; T2's come after the limit, T3's never
+RESPONSES_FROM = 1700000000
+EMOJIS_AFTER = {"T0": 10, "T1": 30, "T2": 180, "T4": 120}
+
+
+def q_stream_team_info(spark, sf_dir):
+    """SRC-3 + JOB-4 as a stream: team and emoji responses merged as they come, within two
+    minutes; a team whose emojis come late or never has none."""
+    from ..session import scratch_path
+    from ..sources import landing
+    from ..streaming import streams
+    path = scratch_path(spark, "team-responses")
+    close = (RESPONSES_FROM + 86400) * 1000000
+    team_at = f"({RESPONSES_FROM} + 600 * cast(substr(id, 2) AS bigint)) * 1000000"
+    landing.land_team_pages(T.load_teams(spark, sf_dir), path + "/team",
+                            F.expr(f"CASE WHEN id = '' THEN {close} ELSE {team_at} END"))
+    after = " ".join(f"WHEN '{t}' THEN {s}" for t, s in EMOJIS_AFTER.items())
+    emojis = T.load_emojis(spark, sf_dir).filter(F.col("team_id").isin(*EMOJIS_AFTER))
+    last = T.load_emojis(spark, sf_dir).filter("team_id = 'T3'").withColumn("team_id", F.lit("closing"))
+    landing.land_emoji_pages(
+        emojis.unionByName(last), path + "/emoji",
+        landed=F.expr(f"CASE WHEN team_id = 'closing' THEN {close} ELSE {team_at.replace('id,', 'team_id,')}"
+                      f" + CASE team_id {after} END * 1000000 END"))
+    return streams.stream_team_info(spark, path + "/team", path + "/emoji").select(
+        "team_id", "name", "domain", F.unix_seconds("landed").alias("landed"), "n_emojis", "n_aliases")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sieve_counts": q_sieve_counts,
     "skipped_channels": q_skipped_channels,
@@ -595,6 +698,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_windows": q_route_windows,
     "route_window_channels": q_route_window_channels,
     "route_report": q_route_report,
+    "display_channels": q_display_channels,
     "classify": q_classify,
     "mentions": q_mentions,
     "emoji_alias": q_emoji_alias,
@@ -631,4 +735,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "place_groups": q_place_groups,
     "stream_sieve_files": q_stream_sieve_files,
     "stream_windows_files": q_stream_windows_files,
+    "stream_route_windows": q_stream_route_windows,
+    "stream_state_summary": q_stream_state_summary,
+    "stream_channel_progress": q_stream_channel_progress,
+    "stream_counters": q_stream_counters,
+    "stream_team_info": q_stream_team_info,
 }

@@ -341,6 +341,10 @@ FROM grouped""",
 
         "route_channels": _with(_CHANNELS, routes) + "SELECT channel, num_members, route FROM routes",
 
+        "display_channels": _with(_CHANNELS, routes) + """
+SELECT '{"route":"' || route || '","num_members":' || CAST(num_members AS VARCHAR) || '}' AS line, count(*) AS n
+FROM routes GROUP BY ALL""",
+
         "route_windows": _with(_MESSAGES, _CHANNELS, routes) + """
 SELECT (m.us // 900000000 - g.i) * 900 AS window_start, (m.us // 900000000 - g.i) * 900 + 3600 AS window_end,
        r.route, count(*) AS n, count(DISTINCT m.channel) AS n_channels
@@ -452,6 +456,45 @@ SELECT * FROM (
   GROUP BY 1, 2, 3)
 WHERE window_end * 1000000 <= (SELECT max(us) - 600000000 FROM messages)""",
 
+        "stream_route_windows": _with(_MESSAGES, _CHANNELS, routes) + """
+SELECT * FROM (
+  SELECT (m.us // 900000000 - g.i) * 900 AS window_start, (m.us // 900000000 - g.i) * 900 + 3600 AS window_end,
+         r.route, count(*) AS n, count(DISTINCT m.channel) AS n_channels
+  FROM messages m JOIN routes r ON m.channel = r.channel, range(0, 4) g(i)
+  GROUP BY 1, 2, 3)
+WHERE window_end * 1000000 <= (SELECT max(us) - 600000000 FROM messages)""",
+
+        # the windows still open, per channel; windows per route come and go with their close
+        "stream_state_summary": msg + """
+SELECT 'stateStoreSave' AS name, CAST(2 AS BIGINT) AS n_operators, count(*) AS n_keys FROM (
+  SELECT DISTINCT us // 900000000 - g.i AS w, channel FROM messages, range(0, 4) g(i))
+WHERE (w * 900 + 3600) * 1000000 > (SELECT max(us) - 600000000 FROM messages)""",
+
+        "stream_channel_progress": _with(_MESSAGES, _CHANNELS) + """
+, t AS (SELECT min(us) + (max(us) - min(us)) // 2 AS middle, max(us) AS high FROM messages),
+p AS (
+  SELECT channel, max(us) AS last_us, count(*) AS messages,
+         CAST(count(DISTINCT us >= middle) - 1 AS INTEGER) AS restarts
+  FROM messages, t GROUP BY channel)
+SELECT coalesce(p.channel, c.id) AS channel, last_us, CAST(coalesce(messages, 0) AS BIGINT) AS messages,
+       coalesce(restarts, 0) AS restarts,
+       coalesce(last_us // 1000 + 3600000 <= (high - 600000000) // 1000, true) AS silent
+FROM p FULL JOIN channels c ON p.channel = c.id, t""",
+
+        "stream_counters": msg + """
+SELECT 'seen_posts' AS metric, count(*) AS value FROM messages
+UNION ALL SELECT 'mapper_posts', count(*) FROM messages WHERE notable
+UNION ALL SELECT 'late_rows', 0
+UNION ALL SELECT 'seen_' || category, count(*) FROM messages GROUP BY category""",
+
+        "stream_team_info": f"""
+SELECT 'T' || CAST(r_regionkey AS VARCHAR) AS team_id, r_name AS name, replace(lower(r_name), ' ', '-') AS domain,
+       CAST({Q.RESPONSES_FROM} + 600 * r_regionkey AS BIGINT) AS landed,
+       CAST(count(p_partkey) AS BIGINT) AS n_emojis,
+       CAST(count(*) FILTER (WHERE p_size > 40) AS BIGINT) AS n_aliases
+FROM region LEFT JOIN part ON p_partkey % 5 = r_regionkey AND r_regionkey IN (0, 1, 4)
+GROUP BY r_regionkey, r_name""",
+
         "stream_sieve": msg + """
 SELECT channel, category, count(*) AS n_kept FROM messages WHERE notable GROUP BY channel, category""",
 

@@ -80,12 +80,13 @@ TEAM_PAGE = _struct(
     ("ok", B), ("error", S),
     ("team", _struct(("id", S), ("name", S), ("domain", S), ("email_domain", S),
                      ("icon", ICON), ("enterprise_id", S), ("enterprise_name", S))),
-    (CORRUPT, S),
+    ("landed", L), (CORRUPT, S),
 )
 
-# ``team_id`` is added by the landing step, as ``channel`` below.
+# ``team_id`` and ``landed`` (when the response came, microseconds since the epoch)
+# are added by the landing step, as ``channel`` below.
 EMOJI_PAGE = _struct(("ok", B), ("error", S), ("team_id", S), ("emoji", T.MapType(S, S)),
-                     (CORRUPT, S))
+                     ("landed", L), (CORRUPT, S))
 
 REACTION = _struct(("name", S), ("users", T.ArrayType(S)), ("count", L))
 REPLY = _struct(("ts", S), ("user", S))

@@ -143,10 +143,14 @@ def batch_sink(path: str, build: Callable[[DataFrame], DataFrame] | None = None,
     return sink
 
 
-def print_sink(df: DataFrame) -> None:
-    """SNK-5: print every row (a debugging sink; one partition at a time is on
-    the driver)."""
-    for row in df.toLocalIterator():
+def print_sink(df: DataFrame, path: str | None = None, preview: int = 1000) -> None:
+    """SNK-5: print rows.  With ``path`` every row is printed by its task, as a line of
+    JSON in a text file there; without, the first ``preview`` rows are shown on the
+    driver's console, for a look."""
+    if path is not None:
+        df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).write.mode("overwrite").text(path)
+        return
+    for row in df.limit(preview).collect():
         print(row)
 
 

@@ -63,24 +63,28 @@ def land_user_pages(users: DataFrame, path: str, page_size: int = 200) -> None:
     _write(_pages(rec, ["id"], page_size), _items('{"ok":true,"members":[', "]}"), path)
 
 
-def land_team_pages(teams: DataFrame, path: str) -> None:
-    """Team info pages (SRC-4 format), one per team."""
+def land_team_pages(teams: DataFrame, path: str, landed=None) -> None:
+    """Team info pages (SRC-4 format), one per team; ``landed`` (a column of ``teams``, microseconds)
+    is written where it is given."""
     team = F.struct("id", "name", "domain", "email_domain",
                     F.struct(F.col("image_132").alias("image_132")).alias("icon"))
-    teams.select(F.to_json(F.struct(F.lit(True).alias("ok"), team.alias("team"))).alias("value")) \
+    at = [] if landed is None else [landed.alias("landed")]
+    teams.select(F.to_json(F.struct(F.lit(True).alias("ok"), team.alias("team"), *at)).alias("value")) \
         .write.mode("overwrite").text(path)
 
 
-def land_emoji_pages(emojis: DataFrame, path: str, page_size: int = 500) -> None:
-    """Emoji pages (name -> URL or ``alias:<name>``); the team id is in the page."""
+def land_emoji_pages(emojis: DataFrame, path: str, page_size: int = 500, landed=None) -> None:
+    """Emoji pages (name -> URL or ``alias:<name>``); the team id is in the page, and ``landed``
+    (an expression of ``team_id`` and ``_page``, microseconds) where it is given."""
     value = F.coalesce(F.col("url"), F.concat(F.lit(schemas.EMOJI_ALIAS_PREFIX), F.col("alias_of")))
     rec = emojis.select("team_id", "name",
                         F.to_json(F.struct(value.alias("v"))).alias("_v"))
     # "name":"value" pairs of a JSON object, assembled from to_json pieces.
     pair = F.concat(_json_string("name"), F.lit(":"), F.expr("substr(_v, 6, length(_v) - 6)"))
     rec = rec.select("team_id", "name", pair.alias("_json"))
+    at = [] if landed is None else [F.lit(',"landed":'), landed.cast("string")]
     _write(_pages(rec, ["name"], page_size, keys=["team_id"]),
-           _items(F.concat(F.lit('{"ok":true,"team_id":'), _json_string("team_id"), F.lit(',"emoji":{')),
+           _items(F.concat(F.lit('{"ok":true,"team_id":'), _json_string("team_id"), *at, F.lit(',"emoji":{')),
                   "}}"), path)
 
 

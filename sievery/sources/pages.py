@@ -117,6 +117,23 @@ def read_emojis(spark: SparkSession, path, multiline: bool = False):
     return emojis, _rejects(pages, "emoji")
 
 
+def team_responses(pages: DataFrame) -> DataFrame:
+    """SRC-4 with the time: id, name, domain, landed of the team pages, in batch or stream."""
+    t = F.col("team")
+    return _ok(pages).select(
+        t["id"].alias("id"), t["name"].alias("name"), t["domain"].alias("domain"),
+        F.timestamp_micros("landed").alias("landed"))
+
+
+def emoji_responses(pages: DataFrame) -> DataFrame:
+    """Per emoji page its team, number of emojis and of aliases among them, and time."""
+    values = F.map_values("emoji")
+    return _ok(pages).select(
+        F.col("team_id").cast("string").alias("team_id"), F.size("emoji").cast("bigint").alias("n_emojis"),
+        F.size(F.filter(values, lambda v: v.startswith(schemas.EMOJI_ALIAS_PREFIX))).cast("bigint").alias("n_aliases"),
+        F.timestamp_micros("landed").alias("landed"))
+
+
 def read_team_info(spark: SparkSession, team_path, emoji_path, multiline: bool = False):
     """SRC-3: team records merged with their emojis (one row per team with
     an emoji count; the emoji rows stay a separate, joinable table)."""

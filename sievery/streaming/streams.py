@@ -94,6 +94,86 @@ def windowed_counts(messages: DataFrame, size: str = "1 hour", slide: str = "15
             .agg(F.count("*").alias("n")))
 
 
+def routed_window_counts(messages: DataFrame, routes: DataFrame, size: str = "1 hour",
+                         slide: str = "15 minutes", watermark: str = WATERMARK) -> DataFrame:
+    """WM-1 + WIN-1 + RT-1: messages and channels per sliding window and route, exact.
+
+    Two stateful aggregates in a row: per window and channel, then, behind a join
+    with the static ``routes`` (channel, route; channels without one are dropped),
+    per window and route.  The first one's state has a row per channel of an open
+    window, so the number of channels is counted and not estimated, and the second
+    one sees every channel of a window when the watermark closes it."""
+    per = (messages.withWatermark("event_time", watermark)
+           .groupBy(F.window("event_time", size, slide).alias("window"), "channel")
+           .agg(F.count("*").alias("n")))
+    return (per.join(routes.select("channel", "route"), "channel").groupBy("window", "route")
+            .agg(F.sum("n").alias("n"), F.count("*").alias("n_items")))
+
+
+def stream_route_windows(spark: SparkSession, routes: DataFrame, sf_dir: str | None = None,
+                         size: str = "1 hour", slide: str = "15 minutes", watermark: str = WATERMARK,
+                         path: str | None = None, max_files: int = MAX_FILES,
+                         out: str | None = None) -> DataFrame:
+    """JOB-5 as a stream: the closed windows per route, read back from its sink (pass
+    ``out`` to resume).  The routes are written once, every batch reads them."""
+    from ..sinks.delivery import write_batch
+    out = out or scratch_path(spark, "stream-route-windows")
+    routes.select("channel", "route").write.mode("overwrite").parquet(out + "/routes")
+    w = routed_window_counts(message_stream(spark, sf_dir, max_files, path),
+                             spark.read.parquet(out + "/routes"), size, slide, watermark)
+    q = (w.writeStream.foreachBatch(lambda df, batch: write_batch(df, out + "/data", batch)).outputMode("append")
+         .option("checkpointLocation", out + "/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return read_batches(spark, out + "/data", w.schema)
+
+
+def merge_team_info(teams: DataFrame, emojis: DataFrame, limit: str = "2 minutes",
+                    watermark: str = WATERMARK) -> DataFrame:
+    """SRC-3 on responses as they come: each team response (id, ..., landed) with the
+    emoji responses (team_id, n_emojis, n_aliases, landed) that came within ``limit``
+    after it, or none.
+
+    ``landed`` is the time at which a response came.  In a stream both sides have a
+    watermark and the join a range of time, so a team waits for its emojis no longer
+    than the limit and then comes out without any, and the state is bounded by what
+    comes within limit and watermark.  The same function works in batch."""
+    if teams.isStreaming:
+        teams, emojis = teams.withWatermark("landed", watermark), emojis.withWatermark("landed", watermark)
+    e = emojis.select("team_id", "n_emojis", "n_aliases", F.col("landed").alias("emoji_landed"))
+    # F-8 behind the watermark, which a team without an id moves on like any other response: a
+    # condition on the time is not pushed below it
+    teams = teams.filter("CASE WHEN landed IS NULL THEN false ELSE id <> '' END")
+    within = F.expr(f"team_id = id AND emoji_landed >= landed AND emoji_landed <= landed + INTERVAL {limit}")
+    return teams.join(e, within, "left").select(
+        F.col("id").alias("team_id"), "name", "domain", "landed", "emoji_landed", "n_emojis", "n_aliases")
+
+
+def stream_team_info(spark: SparkSession, team_path: str, emoji_path: str, limit: str = "2 minutes",
+                     watermark: str = WATERMARK, max_files: int = MAX_FILES,
+                     out: str | None = None) -> DataFrame:
+    """JOB-4 as a stream over landed team and emoji pages: per team response its emojis and
+    aliases, summed over the emoji pages that came in time (0 where none did)."""
+    from ..sinks.delivery import write_batch
+    out = out or scratch_path(spark, "stream-team-info")
+
+    def pages(schema, path):
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(path)
+    merged = merge_team_info(PG.team_responses(pages(schemas.TEAM_PAGE, team_path)),
+                             PG.emoji_responses(pages(schemas.EMOJI_PAGE, emoji_path)), limit, watermark)
+    q = (merged.writeStream.foreachBatch(lambda df, batch: write_batch(df, out + "/data", batch))
+         .outputMode("append").option("checkpointLocation", out + "/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return team_totals(read_batches(spark, out + "/data", merged.schema))
+
+
+def team_totals(merged: DataFrame) -> DataFrame:
+    """One row per team response from the rows of ``merge_team_info``."""
+    return merged.groupBy("team_id", "name", "domain", "landed").agg(
+        F.coalesce(F.sum("n_emojis"), F.lit(0)).cast("bigint").alias("n_emojis"),
+        F.coalesce(F.sum("n_aliases"), F.lit(0)).cast("bigint").alias("n_aliases"))
+
+
 def run_available(stream_df: DataFrame, out_path: str, checkpoint: str,
                   output_mode: str = "append") -> None:
     """Process everything available now into Parquet, then stop."""
@@ -108,13 +188,11 @@ def stream_windows(spark: SparkSession, sf_dir: str | None = None, size: str = "
                    path: str | None = None, max_files: int = MAX_FILES) -> DataFrame:
     """Closed windows emitted by the stream, read back from its sink.
 
-    Files land in any order of event time, so the watermark waits at least as
-    long as they overlap: no row is late, whatever the number of files.
+    ``watermark`` is how long a window waits for rows that come out of order; rows
+    later than that are dropped (``late_rejects`` tells of them, ``lateness`` measures
+    the overlap of files that are all there already).
     """
     out = scratch_path(spark, "stream-windows")
-    behind = lateness(spark, path or table_path(sf_dir, "events"))
-    if behind > R.micros(watermark):
-        watermark = f"{behind} microseconds"
     w = windowed_counts(message_stream(spark, sf_dir, max_files, path), size, slide, watermark)
     run_available(w, out + "/data", out + "/checkpoint")
     return spark.read.schema(w.schema).parquet(out + "/data")
