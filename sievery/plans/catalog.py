@@ -414,6 +414,22 @@ def q_history_pages(spark, sf_dir):
             .agg(F.count("*").alias("n_kept")))
 
 
+def q_channel_pages(spark, sf_dir):
+    """SRC-8 + PART-1: pages in two landings, read by a source that is split by channel ids;
+    notable messages per channel and category, and the input splits that a channel is in."""
+    from ..session import scratch_path
+    from ..sources import channelpages, landing, pages
+    path = scratch_path(spark, "channel-pages")
+    m = _messages(spark, sf_dir)
+    for n, half in enumerate((F.col("seq") % 2 == 0, F.col("seq") % 2 == 1)):
+        channelpages.land_channel_folders(landing.history_page_lines(m.filter(half)), path, n)
+    read = channelpages.read_channel_pages(spark, path, SPLIT_K)
+    found = C.with_category(pages.valid_canonical(pages.wire_messages(read))).withColumn(
+        "split", F.spark_partition_id())
+    return (sieve.sieve(found).groupBy("channel", "category")
+            .agg(F.count("*").alias("n_kept"), F.count_distinct("split").alias("n_splits")))
+
+
 def q_listing_pages(spark, sf_dir):
     """SRC-1..SRC-4 + E-7: users, channels, team and emoji listings landed
     as API pages, read back with the page readers and encoded again."""
@@ -720,6 +736,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "deliver_posts_writer": q_deliver_posts_writer,
     "delivered_metrics": q_delivered_metrics,
     "history_pages": q_history_pages,
+    "channel_pages": q_channel_pages,
     "listing_pages": q_listing_pages,
     "rejects": q_rejects,
     "team_payload": q_team_payload,

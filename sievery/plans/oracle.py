@@ -601,6 +601,10 @@ UNION ALL SELECT 'refused_payloads', count(*) FILTER (WHERE status <> 'OK') FROM
         "history_pages": msg + f"""
 SELECT channel, category, count(*) AS n_kept FROM messages WHERE {_WIRE_NOTABLE} GROUP BY channel, category""",
 
+        "channel_pages": msg + f"""
+SELECT channel, category, count(*) AS n_kept, CAST(1 AS BIGINT) AS n_splits
+FROM messages WHERE {_WIRE_NOTABLE} GROUP BY channel, category""",
+
         "listing_pages": _with(_USERS, _CHANNELS, _EMOJIS) + f"""
 SELECT 'users' AS listing, id, {_USER_JSON} AS json FROM users
 UNION ALL

@@ -90,10 +90,15 @@ def land_emoji_pages(emojis: DataFrame, path: str, page_size: int = 500, landed=
 
 def land_history_pages(messages: DataFrame, path: str, page_size: int = 1000,
                        numbered: bool = True) -> None:
-    """Write messages as conversation-history pages, the landing format read
-    by ``read_conversations`` (one JSON page per line with its channel, at most
-    ``page_size`` messages per page).  A channel has no folder of its own, so
-    the number of files follows the data.  ``numbered=False`` leaves the page
+    """Write messages as conversation-history pages (``history_page_lines``), the
+    landing format read by ``read_conversations``.  A channel has no folder of its
+    own, so the number of files follows the data."""
+    history_page_lines(messages, page_size, numbered).select("value").write.mode("overwrite").text(path)
+
+
+def history_page_lines(messages: DataFrame, page_size: int = 1000, numbered: bool = True) -> DataFrame:
+    """Messages as pages: channel and value, one JSON page per line with its
+    channel and at most ``page_size`` messages.  ``numbered=False`` leaves the page
     number out, as the API does.
 
     A message is written as its wire object: whitelisted messages as their
@@ -119,11 +124,10 @@ def land_history_pages(messages: DataFrame, path: str, page_size: int = 1000,
     items = messages.select("channel", F.expr(f"seq div {int(page_size)}").alias("page"),
                             "seq", element.alias("element"))
     number = (F.concat(F.lit(',"page":'), F.col("page").cast("string")) if numbered else F.lit(""))
-    pages = (items.groupBy("channel", "page")
+    return (items.groupBy("channel", "page")
              .agg(F.array_sort(F.collect_list(F.struct("seq", "element"))).alias("_m"))
-             .select(F.concat(
+             .select("channel", F.concat(
                  F.lit('{"ok":true,"has_more":false,"channel":'), _json_string("channel"), number,
                  F.lit(',"messages":['),
                  F.array_join(F.transform("_m", lambda x: x["element"]), ","),
                  F.lit("]}")).alias("value")))
-    pages.write.mode("overwrite").text(path)
