@@ -1,8 +1,9 @@
 """Packing of documents into training sequences (operator 4).
 
 A document is its token ids and an end id.  It is cut into pieces of at most
-``LENGTH`` ids.  Pieces are dealt into random groups by a hash of document and
-start, of a size set by the bytes and rows of the whole input; every group is
+``LENGTH`` ids.  Pieces are dealt into random groups by a hash of document, start
+and a number of their own (so rows that share an id, or lack one, spread like
+others), of a size set by the bytes and rows of the whole input; every group is
 packed on its own by first-fit decreasing: the pieces in falling order of length
 (ties by document and start) each go to the first sequence with room, found in a
 tournament tree of the sequences' remaining capacities.  A long document's
@@ -121,5 +122,6 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer:
     n, size = input_bytes(docs, text)
     groups = max(1, -(-n // GROUP_ROWS), -(-size // GROUP_BYTES))
     cut = pieces(docs, doc_id, text, tokenizer, name, end_id, length)
-    return (cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    own = F.xxhash64("doc_id", "start", F.monotonically_increasing_id())
+    return (cut.withColumn("grp", F.pmod(own, F.lit(groups)))
             .groupBy("grp").applyInArrow(_pack(length), PACKED))

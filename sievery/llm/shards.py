@@ -2,8 +2,8 @@
 
 Documents are dealt by ranges of their id, encoded, and written in ascending id
 order in shards of about ``SHARD_IDS`` ids.  In every shard frequent pairs of
-neighbouring symbols are replaced by new symbols, again and again; a round
-replaces many pairs at once, chosen by falling count so that no symbol is the
+neighbouring symbols are replaced by new symbols, again and again, until no pair occurs
+``LEAST_COUNT`` times; a round replaces many pairs at once, chosen by falling count so that no symbol is the
 right half of one and the left half of another, which keeps their occurrences
 apart.  The shard stores the rules, the length that each rule expands to, and the
 remaining sequence, so a range of ids is decoded from the symbols that cover it.
@@ -17,8 +17,8 @@ at ``path``) is the file format::
     document ids (int64), null flags (uint8), ids of each (uint64)
 
 Defined results: a null or empty text is the end id alone; rows without an id
-come first; rows that share an id follow each other by text; other columns are
-never read; an empty table gives an empty one.
+come first; rows that share an id follow each other by the start of their text, then by
+its hash, and may lie in several shards; other columns are never read; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -37,12 +37,12 @@ from sievery.llm.common import bounded_batches, materialize, spark_of, text_or_e
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-ROUNDS = 6
 PAIRS = 4096                  # new symbols of a round at most
 LEAST_COUNT = 16              # of a pair that is replaced
 MAGIC, VERSION = 0x52505347, 1
 HEAD = struct.Struct("<4I3Q")
 TABLE_BITS = 18
+HEAD_LETTERS = 32
 BROADCAST_SHARDS = 1_000_000  # of starts: at most about 30 MB
 
 SHARDS = "part int, shard int, n_docs long, n_ids long, data binary"
@@ -54,21 +54,23 @@ def slots(key: np.ndarray) -> np.ndarray:
     return (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
-def frequent_pairs(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(place, key, slot) of the pairs that may be frequent, and the key of each frequent pair
-    by falling count.  A table of hashed counts drops most places before the exact count."""
+def frequent_pairs(s: np.ndarray, bar: int | None = None
+                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool]:
+    """(place, key, slot) of the pairs that may be among the most frequent, the key of each
+    frequent one by falling count, and whether other pairs may be frequent.  A table of hashed
+    counts drops the places below the bar (the least count that at most 2 * PAIRS slots reach)
+    before the exact count."""
     key = s[:-1].astype(np.uint64) << np.uint64(32) | s[1:]
     slot = slots(key)
     table = np.bincount(slot, minlength=1 << TABLE_BITS)
-    # the least count that at most 2 * PAIRS slots reach
     reach = np.cumsum(np.bincount(np.minimum(table, 1 << 16))[::-1])[::-1]
-    least = max(LEAST_COUNT, int(np.searchsorted(-reach, -2 * PAIRS)))
+    least = bar or max(LEAST_COUNT, int(np.searchsorted(-reach, -2 * PAIRS)))
     place = np.flatnonzero(table[slot] >= least)
     key = key[place]
     values, n = np.unique(key, return_counts=True)
     some = n >= LEAST_COUNT
     values, n = values[some], n[some]
-    return place, key, slot[place], values[np.lexsort((values, -n))]
+    return place, key, slot[place], values[np.lexsort((values, -n))], least > LEAST_COUNT
 
 
 def chosen_pairs(values: np.ndarray) -> list[int]:
@@ -91,10 +93,10 @@ def chosen_pairs(values: np.ndarray) -> list[int]:
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     """(rules as rows left, right; symbols): symbol base + i stands for rule i."""
     s, rules = ids.astype(np.uint32), []
-    for _ in range(ROUNDS):
-        if len(s) < 2:
-            break
-        place, key, slot, values = frequent_pairs(s)
+    while len(s) > 1:
+        place, key, slot, values, some = frequent_pairs(s)
+        if not len(values) and some:                  # only pairs below the bar may be frequent
+            place, key, slot, values, some = frequent_pairs(s, LEAST_COUNT)
         pairs = np.array(chosen_pairs(values), np.uint64)
         if not len(pairs):
             break
@@ -223,8 +225,13 @@ def write(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer
     """Write the shards and return their table as it is read back."""
     spark = spark_of(docs)
     bounded_batches(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("t"))
-    table = (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "t")
+    t = text_or_empty(text)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), t.alias("t"),
+                       F.substring(t, 1, HEAD_LETTERS).alias("head"), F.xxhash64(t).alias("h"),
+                       F.monotonically_increasing_id().alias("n"))
+    # rows that share an id, or lack one, are told apart, so they are cut like any others
+    order = ["doc_id", "head", "h", "n"]
+    table = (rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "t")
              .mapInArrow(_write(tokenizer, name, end_id), SHARDS))
     if path is None:
         return materialize(table, "token-shards")

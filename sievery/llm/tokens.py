@@ -10,12 +10,13 @@ are kept in a bounded per-process cache:
 * sentence pieces: spaces with the run that follows them, or a line feed (only
   where no piece of the vocabulary reaches across such a border).
 
-Missing units of a batch are encoded together, joined by a separator whose id
-occurs in none of them: printable ASCII and Latin letters by a second merge
-engine built from the tokenizer file's own vocabulary and merges
-(``MergeEngine``; same ids, several times as fast), others by the library.  Where a tokenizer is of another kind
-or a text holds characters that Python and the library class differently, the
-whole text goes through the library.
+Texts of printable ASCII, Latin letters and plain white space, which every Unicode
+version classes and composes alike, need no units: the whole text goes through a
+second merge engine built from the tokenizer file's own vocabulary and merges
+(``MergeEngine``; same ids, several times as fast).  Of other texts the missing units of a
+batch are encoded together, such units by that engine and others by the library.
+Where a tokenizer is of another kind or a text holds characters that Python and the
+library class differently, the whole text goes through the library.
 """
 
 from __future__ import annotations
@@ -44,6 +45,10 @@ _SIMPLE = re.compile(f"[ -~{_LETTERS}]+")
 # The two kinds' splitting patterns within such text.
 _SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
 _BYTE_SPLIT = re.compile(f"{_SHORT}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+")
+# the same for a whole text: as it is, and where no white space follows white space or ends it
+_BYTE_TEXT = f"{_SHORT}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\\S)|\\s+"
+_BYTE_PLAIN = f"{_SHORT}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s"
+_PLAIN_TEXT = re.compile(f"[\t\n\r -~{_LETTERS}]*")
 _WORD_SPLIT = re.compile(f"{_SHORT}|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
 
 
@@ -88,13 +93,23 @@ def by_key(keys: list[str], units: Callable[[list[str]], dict[str, bytes]], line
 
 
 class Units:
-    """Ids of texts (little-endian unsigned 32-bit) by way of cached units."""
+    """Ids of texts (little-endian unsigned 32-bit): by ``fast`` where it takes a text, else by
+    way of cached units."""
 
     def __init__(self, split: Callable[[str], list], whole: Callable[[str], list[int]],
-                 many: Callable[[list], dict], odd: re.Pattern | None = None) -> None:
+                 many: Callable[[list], dict], odd: re.Pattern | None = None,
+                 fast: Callable[[str], bytes | None] | None = None) -> None:
         self.split, self.whole, self.many, self.odd, self.known = split, whole, many, odd, {}
+        self.fast = fast
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if self.fast is None:
+            return self.by_units(texts)
+        found = [self.fast(t) for t in texts]
+        rest = iter(self.by_units([t for t, ids in zip(texts, found, strict=True) if ids is None]))
+        return [next(rest) if ids is None else ids for ids in found]
+
+    def by_units(self, texts: list[str]) -> list[bytes]:
         units = [None if self.odd and self.odd.search(t) else self.split(t) for t in texts]
         wanted = set().union(*[u for u in units if u is not None])
         missing = {u for u in wanted if u not in self.known}
@@ -169,9 +184,12 @@ class MergeEngine:
         self.ends = np.zeros(len(ids), bool)
         self.ends[[r for data, r in ranks.items() if data.endswith(self.END)
                    and (len(data) > 1) == self.suffix]] = True
-        self.engine = tiktoken.Encoding(
-            "merges", pat_str="[^\\x00]+\\x00" if suffix else "[^\\x00]+|\\x00", mergeable_ranks=ranks,
-            special_tokens={})
+        def splitting(pattern: str) -> tiktoken.Encoding:
+            return tiktoken.Encoding("merges", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.engine = splitting("[^\\x00]+\\x00" if suffix else "[^\\x00]+|\\x00")
+        self.small = self.ids.astype("<u4")
+        if not suffix:
+            self.rough, self.plain = splitting(_BYTE_TEXT), splitting(_BYTE_PLAIN)
 
     def encode(self, words: list[str]) -> dict[str, bytes]:
         """Ids of each word, merged on its own."""
@@ -184,6 +202,26 @@ class MergeEngine:
             words, starts, (stops - (not self.suffix)).tolist(), strict=True)}
 
 
+    def byte_text(self, text: str) -> bytes | None:
+        """Ids of a whole text for byte-level merges; None where it is not plain."""
+        if not _PLAIN_TEXT.fullmatch(text):
+            return None
+        rough = ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\t" in text
+                 or "\r" in text or text[-1:] in (" ", "\n"))
+        ranks = (self.rough if rough else self.plain).encode_ordinary(text)
+        return self.small[np.array(ranks, np.int64)].tobytes()
+
+    def word_text(self, text: str) -> bytes | None:
+        """Ids of a whole text for merges of lower-cased words; None where it is not plain."""
+        if not _PLAIN_TEXT.fullmatch(text):
+            return None
+        end, split = self.END.decode(), _WORD_SPLIT.findall
+        words = [w if w.isalpha() else end.join(split(w)) for w in text.lower().split()]
+        if not words:
+            return b""
+        return self.small[np.array(self.engine.encode_ordinary(end.join(words) + end), np.int64)].tobytes()
+
+
 def _json_tokenizer(path: str) -> Units:
     env_single_thread()
     from tokenizers import Tokenizer
@@ -229,14 +267,14 @@ def _json_tokenizer(path: str) -> Units:
     if byte:
         cutter, line = re.compile(r" ?\S+|\s+(?!\S)|\s").findall, packed(whole("\n"))
         return Units(lambda t: as_keys(cutter(t)) if _ROUGH.search(t) else spaced_keys(t), whole,
-                     lambda keys: by_key(keys, many, line), _ODD_SPACE)
+                     lambda keys: by_key(keys, many, line), _ODD_SPACE, engine and engine.byte_text)
 
     def dropped(words: list[bytes]) -> dict[bytes, bytes]:
         text = {w: w.decode() for w in words}
         ids = many(list(text.values()))
         return {w: ids[u] for w, u in text.items()}
 
-    return Units(lambda t: t.encode().split(), whole, dropped)
+    return Units(lambda t: t.encode().split(), whole, dropped, None, engine and engine.word_text)
 
 
 @functools.lru_cache(2)

@@ -57,3 +57,12 @@ def test_little_padding(spark):
     fill = packing.pack(docs).groupBy("sequence_id").agg(F.sum("length").alias("n"))
     used, sequences = fill.agg(F.sum("n"), F.count("*")).first()
     assert used / (sequences * 2048) > 0.99
+
+
+def test_rows_that_lack_an_id_are_spread_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 100)
+    docs = documents(spark, [(None, "the same text")] * 500 + [(5, "another text")] * 500)
+    groups = {}
+    for r in packing.pack(docs).collect():
+        groups[r.sequence_id >> 32] = groups.get(r.sequence_id >> 32, 0) + 1
+    assert len(groups) == 10 and max(groups.values()) < 200

@@ -52,3 +52,34 @@ def test_random_access(spark):
     assert (shard.ids() == flat).all() and len(shard.rules)
     for a, b in ((0, 0), (0, 1), (17, 18), (100, 2000), (3800, len(flat)), (0, len(flat))):
         assert (shard.range(a, b) == flat[a:b]).all()
+
+
+def test_rounds_go_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(2)
+    text = rng.integers(0, 3000, 400)
+    copies = np.concatenate([text] * 500).astype(np.uint32)
+    rules, symbols = S.compress(copies, 3000)
+    assert len(symbols) < 60 and (S.expand(symbols, rules, 3000) == copies).all()
+    assert int(S.expansion_lengths(rules, 3000).max()) > 64 * 16
+    prose = rng.zipf(1.3, 60000).clip(0, 9999).astype(np.uint32)
+    rules, symbols = S.compress(prose, 10000)
+    pairs = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+    values, n = np.unique(pairs, return_counts=True)
+    same = (values >> np.uint64(32)) == (values & np.uint64(0xFFFFFFFF))
+    assert (n[~same] < S.LEAST_COUNT).all() and (S.expand(symbols, rules, 10000) == prose).all()
+
+
+def test_rows_that_lack_an_id_are_spread_over_parts(spark):
+    docs = documents(spark, [(None, "the same text") for _ in range(600)] + [(i, f"text {i}") for i in range(600)])
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")
+    try:
+        table = S.write(docs)
+        parts = [r.n_docs for r in table.collect()]
+        got = S.read(table).collect()
+    finally:
+        spark.conf.set(merged, "true")
+    assert sum(parts) == 1200 and max(parts) < 400
+    starts = sorted((r.start, r.n_tokens) for r in got)
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+    assert all(r.doc_id is None for r in got if r.start < starts[599][0])

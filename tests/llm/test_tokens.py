@@ -46,3 +46,24 @@ def test_cut_needs_every_separator():
     assert tokens.cut(np.array([1, 9, 2, 2, 9]), 9, ["a", "b"]) == {
         "a": tokens.packed([1]), "b": tokens.packed([2, 2])}
     assert tokens.cut(np.array([1, 9, 9, 2, 9]), 9, ["a", "b"]) is None
+
+
+PLAIN = ["a", "The", " ", "  ", "\n", "\n\n", " \n", "\t", "é", "ß", "'s", "don't", "DON'T", "123", "!", "...", "Ÿ",
+         "<|endoftext|>", "word", "Word,", "x_y", "|", " | ", "\r\n", "http://a.b/c?d=1", "ĳ", "Å", "''ll", "9a"]
+
+
+@pytest.mark.parametrize("name", [tokens.BYTE_BPE, tokens.WORD_BPE])
+def test_whole_plain_texts_have_the_librarys_ids(name):
+    """By the second engine, without units."""
+    tok = Tokenizer.from_file(P.path(name))
+    tok.encode_special_tokens = True
+    encode, rng = tokens.encoder(P.path(name)), random.Random(7)
+    own = ["".join(rng.choices(PLAIN, k=rng.randint(0, 20))) for _ in range(4000)]
+    own += ["x" * 3000, " " * 500, "\n" * 300, "ab " * 2000, ""]
+    for sep in ("\n", " "):
+        own += [sep.join(own[k:k + 20]) for k in range(0, 400, 20)]
+    for t in own:
+        got = encode.fast(t)
+        assert got == tokens.packed(tok.encode(t, add_special_tokens=False).ids), repr(t)
+    for t in ("日本", "a\xa0b", "x\x00", "İ", "e\u0301", "a\x0bb", "½"):
+        assert encode.fast(t) is None and encode([t])[0] == tokens.packed(tok.encode(t, add_special_tokens=False).ids)
