@@ -138,14 +138,15 @@ RULES: tuple[Rule, ...] = (
 
 def estimate(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
              sample_rows: int = SAMPLE_ROWS) -> list[tuple[int, list[float]]]:
-    """(mask of failing rules, cost of each rule) of at most ``sample_rows`` documents.
-
-    ``limit`` before the collect reads only as many partitions as it needs.
+    """(mask of failing rules, cost of each rule) of about ``sample_rows`` documents, twice
+    as many at most, drawn by a hash over all rows.
     """
     t = text_or_empty(text)
     mask = sum((F.when(r.fails(F.col("t"), F.col("w")), 1 << i).otherwise(0)
                 for i, r in enumerate(rules)), F.lit(0))
-    rows = (docs.select(t.alias("t")).limit(sample_rows)
+    every = max(1, docs.count() // sample_rows)
+    drawn = F.pmod(F.xxhash64("t", F.monotonically_increasing_id()), F.lit(every)) == 0
+    rows = (docs.select(t.alias("t")).filter(drawn).limit(2 * sample_rows)
             .select("t", words(F.col("t")).alias("w"))
             .select(mask.alias("m"), F.array(*[r.cost(F.col("t"), F.col("w")).cast("double")
                                                for r in rules]).alias("c")).collect())
