@@ -42,10 +42,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievery.llm.common import bounded_batches, free_name, materialize, spark_of, text_or_empty
+from sievery.llm.common import (
+    bounded_batches, free_name, join_unique, materialize, spark_of, text_or_empty,
+)
 
 SHINGLE = 5
 BANDS, ROWS = 32, 5
@@ -281,7 +283,7 @@ def _across(key, rows):
     """
     import pandas as pd
 
-    bucket, i, j, _ = key
+    bucket, i, j = key
     sig = np.stack([np.frombuffer(x, np.uint8) for x in rows["sig"]])
     bands = np.stack(rows["bands"].tolist())
     ids, labels, side = (rows[c].to_numpy() for c in ("doc", "label", "block"))
@@ -317,34 +319,60 @@ def _across(key, rows):
     return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
 
+def _blocks(n: str, size: str) -> Column:
+    """Blocks that so many rows and bytes need."""
+    return F.greatest(F.ceil(F.col(n) / BLOCK), F.ceil(F.col(size) / BLOCK_BYTES)).cast("int")
+
+
+def open_buckets(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, doc, label, size, parts, own): the documents beside the pivot of buckets that hold
+    several components.  ``own``: the component fills blocks of its own, ``parts`` of them; else
+    ``parts`` is the number of blocks that the bucket's small components share."""
+    named = rows.filter("doc <> pivot").join(labels, rows.doc == labels.id, "left").select(
+        "key", "doc", F.coalesce("label", "doc").alias("label"), "size")
+    per = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    own = (F.col("n") >= BLOCK / 2) | (F.col("bytes") >= BLOCK_BYTES / 2)
+    per = per.withColumn("own", own)
+    small = [F.sum(F.when(~F.col("own"), F.col(c))).alias(c) for c in ("n", "bytes")]
+    some = per.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), *small).filter(
+        "x < y").select("key", _blocks("n", "bytes").alias("shared"))
+    sized = per.join(some, "key").select("key", "label", "own", F.when(
+        F.col("own"), _blocks("n", "bytes")).otherwise(F.col("shared")).alias("parts"))
+    return named.join(sized, ["key", "label"])
+
+
+def block_pairs(held: DataFrame) -> DataFrame:
+    """(key, i, j, doc, label, block): every document of ``open_buckets`` in each pair of blocks
+    that may hold documents of two components: all pairs but those within one component.  So a
+    bucket of one large component and a few others has as many rows as documents."""
+    kind = F.when(F.col("own"), F.col("label").cast("string")).otherwise("shared")
+    named = held.select("key", "doc", "label", "own", "parts", kind.alias("kind"), F.concat_ws(
+        ":", kind, F.pmod(F.xxhash64("doc"), "parts").cast("string")).alias("block"))
+    kinds = named.select("key", F.col("kind").alias("with"), F.col("parts").alias("others")).distinct()
+    met = named.join(kinds, "key").filter("NOT own OR kind <> with").select(
+        "key", "doc", "label", "block", "with", F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("k"))
+    other = F.concat_ws(":", "with", F.col("k").cast("string"))
+    return met.select("key", F.least("block", other).alias("i"), F.greatest("block", other).alias("j"),
+                      "doc", "label", "block")
+
+
 def cross_component_links(rows: DataFrame, labels: DataFrame, sketched: DataFrame,
                           texts: DataFrame) -> DataFrame:
     """Links (a < b) between band partners that are still in different components.
 
     ``rows``: (key, doc, pivot, size) of buckets.  A bucket whose documents beside
     the pivot are all in one component is settled: each was compared with the
-    pivot.  The others are compared in blocks of bounded rows and bytes; only
-    links that join components leave a block.
+    pivot.  The others are compared in blocks of bounded rows and bytes, dealt by
+    component; only links that join components leave a block.
     """
-    named = rows.join(labels, rows.doc == labels.id, "left").select(
-        "key", "doc", F.coalesce("label", "doc").alias("label"), "pivot", "size")
-    beside = F.when(F.col("doc") != F.col("pivot"), F.col("label"))
-    some = named.groupBy("key").agg(
-        F.min(beside).alias("x"), F.max(beside).alias("y"), F.count(F.lit(1)).alias("n"),
-        F.sum("size").alias("bytes")).filter("x < y").select("key", F.greatest(
-            F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
-    held = materialize(named.filter("doc <> pivot").join(some, "key").select(
-        "key", "doc", "label", "blocks",
-        F.expr("cast(pmod(xxhash64(doc), blocks) as int)").alias("block")), "open-buckets")
+    held = materialize(open_buckets(rows, labels), "open-buckets")
     ids = checked_ids(held.select(F.col("doc").alias("doc_id")))
     about = (sketched.filter("digest IS NOT NULL").select("doc_id", "bands", "sig")
              .join(ids, "doc_id", "left_semi")
              .join(texts.join(ids, "doc_id", "left_semi"), "doc_id"))
-    paired = held.join(about, F.col("doc") == F.col("doc_id")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "blocks", "doc", "label", "block", "bands", "sig", "t")
-    return paired.groupBy("key", "i", "j", "blocks").applyInPandas(_across, "a long, b long").distinct()
+    paired = block_pairs(held).join(about, F.col("doc") == F.col("doc_id")).select(
+        "key", "i", "j", "doc", "label", "block", "bands", "sig", "t")
+    return paired.groupBy("key", "i", "j").applyInPandas(_across, "a long, b long").distinct()
 
 
 # ------------------------------------------------------------------ operator
@@ -356,7 +384,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     known = texts.filter("doc_id IS NOT NULL")
     sketched = materialize(sketch(known), "sketch")
     reps = materialize(sketched.filter("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("rep")), "reps")
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "reps")
     ids = reps.select("rep").distinct()
     banded = (sketched.select("doc_id", "size", F.explode("bands").alias("key"))
               .join(ids, F.col("doc_id") == F.col("rep"), "left_semi")
@@ -373,12 +401,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     if more.limit(1).count():
         labels = components(links.union(more))
 
-    named = (reps.join(labels, reps.rep == labels.id, "left")
-             .groupBy("digest").agg(F.min(F.coalesce("label", "rep")).alias("class")))
+    named = reps.join(labels, reps.rep == labels.id, "left").select(
+        "digest", "n", F.coalesce("label", "rep").alias("class"))
+    # a digest with many copies is broadcast; documents without words need no class
+    worded = join_unique(sketched.filter("digest IS NOT NULL").select("doc_id", "digest"), named, "digest",
+                         "n", sketched.count())
+    wordless = sketched.filter("digest IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))
     alone = texts.filter("doc_id IS NULL").select(
         "doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(True).alias("kept"))
-    return (sketched.select("doc_id", "digest").join(named, "digest", "left")
-            .select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
+    return (worded.select("doc_id", F.col("class").alias("class_id")).unionByName(wordless)
             .select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
             .union(alone))
 

@@ -83,3 +83,42 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.id: r.label for r in N.components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_a_large_bucket_with_an_outlier_meets_its_blocks_once(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 10)
+    rows = [(7, d, 0, 5) for d in range(1, 1001)] + [(8, d, 0, 5) for d in range(1, 40)]
+    labels = [(d, 1) for d in range(1, 1000)] + [(1000, 1000)] + [(d, d) for d in ()]
+    held = N.open_buckets(spark.createDataFrame(rows, "key long, doc long, pivot long, size long"),
+                          spark.createDataFrame(labels, "id long, label long"))
+    assert {r.key for r in held.select("key").distinct().collect()} == {7}       # the other one is settled
+    met = N.block_pairs(held).collect()
+    assert len(met) <= 2 * 1000 + 200 and {r.doc for r in met} == set(range(1, 1001))
+    together = {}
+    for r in met:
+        together.setdefault((r.i, r.j), []).append(r.label)
+    assert all(len(set(x)) == 2 for x in together.values() if len(x) > 1)
+
+
+def test_every_two_components_of_an_open_bucket_meet(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 10)
+    label = {d: (1 if d <= 40 else 2 if d <= 70 else d // 3) for d in range(1, 140)}
+    held = N.open_buckets(spark.createDataFrame([(7, d, 0, 5) for d in label], "key long, doc long, pivot long, size long"),
+                          spark.createDataFrame(list(label.items()), "id long, label long"))
+    blocks = {}
+    for r in N.block_pairs(held).collect():
+        blocks.setdefault((r.i, r.j), {}).setdefault(r.block, []).append(r.doc)
+    met = set()
+    for (i, j), sides in blocks.items():
+        for a in sides.get(i, ()):
+            for b in sides.get(j, ()):
+                if label[a] != label[b]:
+                    met.add((min(a, b), max(a, b)))
+    assert met == {(a, b) for a in label for b in label if a < b and label[a] != label[b]}
+    assert max(len(x) for sides in blocks.values() for x in sides.values()) <= 30
+
+
+def test_documents_without_words_and_many_copies(spark, monkeypatch):
+    texts = [(i, "") for i in range(50)] + [(100 + i, prose(3, 60)) for i in range(400)] + [(900, prose(4, 60))]
+    got = {r.doc_id: r.class_id for r in N.near_duplicates(documents(spark, texts)).collect()}
+    assert got == {**{i: i for i in range(50)}, **{100 + i: 100 for i in range(400)}, 900: 900}
