@@ -24,9 +24,11 @@ which are then covered on the pages without a marked article, as in one part.
 Character references are decoded, white space inside a block becomes one space,
 empty blocks vanish, blocks are joined by one line feed.
 
+Pages of a host with equal open text, and rows that share an id, count as one page
+in step 2, so that copies of an article keep it.
+
 Defined results: null or empty html gives the empty text; a null or odd url makes
-the host the empty string; rows without an id are extracted, and rows that share
-an id count as one page in step 2; other columns are never read; an empty table
+the host the empty string; rows without an id are extracted like others; other columns are never read; an empty table
 gives an empty one.
 """
 
@@ -77,6 +79,20 @@ CHROME_ARTICLE = re.compile(
     r"comments?|reply|replies|related|recommend\w*|newsletter|teaser)"
     r"(?:[_-]+(?:ads?|articles?|body|box|cards?|content|entry|items?|list|posts?|stor(?:y|ies)|teasers?|unit|\d+))*",
     re.IGNORECASE)
+# Inside an article whole class names count, so that a section on "share-price" or "related-work" is text:
+# a name of chrome, alone or with names of places and of parts of a page around it.
+_PLACE = (r"article|bottom|entry|float\w*|fixed|global|inline|left|main|mobile|page|post|primary|right|secondary|"
+          r"site|sticky|top")
+_NAME = (r"ads?|advert\w*|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|notices?|notifications?|popup|modal|menu|"
+         r"navbar|nav|navigation|breadcrumbs?|sidebar|side-bar|widgets?|footer|masthead|comments?|commentlist|disqus|"
+         r"respond|replies|reply|share|sharing|socials?|related|recommend\w*|newsletter|subscribe|subscription|signup|"
+         r"login|toolbar|pagination|pager|skip-link")
+_PART = (r"area|articles?|bar|block|body|box|buttons?|btns?|cards?|container|content|count|form|icons?|inner|items?|"
+         r"link|links|list|module|overlay|panel|posts?|row|section|slot|stor(?:y|ies)|teasers?|text|title|thread|unit|"
+         r"wrap|wrapper|\d+")
+CHROME_INSIDE = re.compile(
+    rf"(?:(?:{_PLACE})[_-]+)*(?:{_NAME})(?:[_-]+(?:{_PART}|{_NAME}))*", re.IGNORECASE)
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 ARTICLE_HEAD = frozenset(("header",))     # a header inside an article belongs to it
 
 TAG = re.compile(r"<(?:!--.*?(?:--!?>|$)|!\[CDATA\[.*?(?:\]\]>|$)|[!?][^>]*(?:>|$)|"
@@ -102,25 +118,29 @@ def chrome_element(tag: str, attributes: str, inside_main: bool) -> bool:
         if name in ("class", "id") and tag in MAIN and not inside_main:
             if any(CHROME_ARTICLE.fullmatch(v) for v in value.split()):
                 return True
-        elif name in ("class", "id"):
-            found = CHROME_NAME.search(value)
-            if found and not (inside_main and "header" in found[0].lower()):
+        elif inside_main:                     # an id there is an anchor of the text
+            if name == "class" and tag not in HEADINGS and any(CHROME_INSIDE.fullmatch(v) for v in value.split()):
                 return True
+        elif name in ("class", "id") and CHROME_NAME.search(value):
+            return True
     return False
 
 
 def blocks(html: str) -> list[tuple[str, str]]:
-    """(kind, text) of the page's blocks in order; kind: main, open or chrome."""
+    """(kind, text) of the page's blocks in order; kind: main, open or chrome.
+
+    Chrome in an inline element (a button, a menu's link) leaves its block whole."""
     out: list[tuple[str, str]] = []
-    parts: list[str] = []
+    parts: list[tuple[str, str]] = []         # kind and text since the last border of blocks
     stack: list[tuple[str, str]] = []         # open elements: tag, what they make of their text
     kind = "open"
 
     def flush() -> None:
-        text = SPACE.sub(" ", unescape("".join(parts))).strip()
+        for own in dict.fromkeys(k for k, _ in parts):
+            text = SPACE.sub(" ", unescape("".join(t for k, t in parts if k == own))).strip()
+            if text:
+                out.append((own, text))
         parts.clear()
-        if text:
-            out.append((kind, text))
 
     def close(depth: int) -> None:
         nonlocal kind
@@ -132,14 +152,14 @@ def blocks(html: str) -> list[tuple[str, str]]:
         if m.start() < at:
             continue
         if kind != "none":
-            parts.append(html[at:m.start()])
+            parts.append((kind, html[at:m.start()]))
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
             continue
         if tag in VOID:
             if tag == "br" or tag == "hr":
-                parts.append(" ")
+                parts.append((kind, " "))
             continue
         if m[1]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
@@ -148,7 +168,7 @@ def blocks(html: str) -> list[tuple[str, str]]:
             if depth is not None:
                 if any(t in BLOCKS for t, _ in stack[depth:]) and tag not in BLOCKS:
                     continue                  # an inline end tag does not close a block
-                if stack[-1][1] != stack[depth][1] or stack[depth][1] == "none":
+                if any(t in BLOCKS for t, _ in stack[depth:]):
                     flush()
                 close(depth)
             continue
@@ -172,8 +192,6 @@ def blocks(html: str) -> list[tuple[str, str]]:
             new = "chrome"
         else:
             new = "main" if tag in MAIN else kind
-        if new != kind:
-            flush()
         stack.append((tag, new))
         kind = new
         if tag in RAW:
@@ -182,10 +200,9 @@ def blocks(html: str) -> list[tuple[str, str]]:
                 at = end.end() if end else len(html)
             else:
                 at = len(html)
-            parts.clear()
             close(len(stack) - 1)
     if kind != "none":
-        parts.append(html[at:])
+        parts.append((kind, html[at:]))
     flush()
     return out
 
@@ -332,10 +349,14 @@ def _cover(key, table):
     """A part of a host: open blocks and covers of its pages without a marked article; of a
     host with several parts also the distinct windows of all its pages, in rows without blocks."""
     rows = table.select(["page_id", "url", "host", "marked", "open", "chrome", "parts"]).to_pylist()
-    streams, pages = [], []
+    streams, pages, numbers = [], [], {}
     for i, r in enumerate(rows):
-        page = _hash(f"row {key[1].as_py()} {i}" if r["page_id"] is None else f"id {r['page_id']}")
         own = [t for b in r["open"] for t in b.split(" ")]
+        # copies of one text are one page, which repeats nothing
+        page = _hash("text " + " ".join(own).lower() if own else
+                     f"row {key[1].as_py()} {i}" if r["page_id"] is None else f"id {r['page_id']}")
+        if r["page_id"] is not None:
+            page = numbers.setdefault(r["page_id"], page)
         streams += [own, [t for b in r["chrome"] for t in b.split(" ")]]
         pages += [page, page]
     covers, windows, low, high = covers_and_windows(streams, pages)

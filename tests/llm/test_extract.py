@@ -1,3 +1,6 @@
+import random
+from html.parser import HTMLParser
+
 import numpy as np
 from pyspark.sql import types as T
 
@@ -123,3 +126,91 @@ def test_a_marked_comment_advert_or_teaser_is_not_the_article(spark):
             (4, "http://d.org/", f"<main class='has-sidebar no-comments'><p>{text}</p></main><p>plain</p>"),
             (5, "http://e.org/", f"<main id='content'><article class='related-card'>Other</article><p>{text}</p></main>")]
     assert texts(spark, rows) == {1: text, 2: text, 3: f"{text}\nNext story", 4: text, 5: text}
+
+
+def test_an_articles_sections_are_no_chrome_by_parts_of_their_names():
+    page = ("<article><h2 id='related-work'>Related work</h2><p>One</p><h2 id='notice-period' class='banner'>Notice</h2>"
+            "<p class='share-price'>Two</p><section id='social-policy'><p>Three</p></section><p class='menu-engineering'>"
+            "Four</p><div class='post-share-buttons'>Tweet</div><div class='entry-comments-list'>Hi</div>"
+            "<div class='ad-slot-2'>Buy</div><ul class='related-posts'><li>More</ul><p class='lead'>Five</p></article>")
+    got = X.blocks(page)
+    assert [t for k, t in got if k == "main"] == ["Related work", "One", "Notice", "Two", "Three", "Four", "Five"]
+    assert [t for k, t in got if k == "chrome"] == ["Tweet", "Hi", "Buy", "More"]
+
+
+def test_chrome_in_inline_elements_leaves_its_block_whole():
+    page = ("<article><p>Read <b>the</b> <button>More</button>text <a class='menu-item'>Home</a>to the "
+            "<script>var x = '<p>';</script>end.</p><p>Next<span hidden>gone</span> one</p></article>"
+            "<p>Open <button>Go</button>text</p>")
+    assert X.blocks(page) == [("main", "Read the text to the end."), ("chrome", "MoreHome"),
+                              ("main", "Next one"), ("chrome", "gone"), ("open", "Open text"), ("chrome", "Go")]
+
+
+def test_copies_of_an_unmarked_article_keep_it(spark, monkeypatch):
+    story = "<h1>A story</h1><p>" + " ".join(f"word{i}" for i in range(60)) + "</p>"
+    rows = [(1, "http://h.org/a", f"<nav>Menu</nav>{story}"), (2, "http://h.org/b", f"<nav>Other</nav>{story}")]
+    want = "A story\n" + " ".join(f"word{i}" for i in range(60))
+    assert texts(spark, rows) == {1: want, 2: want}
+    monkeypatch.setattr(X, "PART_PAGES", 1)
+    assert texts(spark, rows) == {1: want, 2: want}
+    more = [unmarked(i, "h.org") for i in range(10, 16)] + [unmarked(10, "h.org")]
+    got = texts(spark, rows + more)
+    assert got[1] == got[2] == want and all(got[i] == body(i) for i in range(10, 16))
+
+
+class Independent(HTMLParser):
+    """Main text by the standard parser: blocks of well-formed pages, judged by tags only."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.text, self.stack = [], "", []
+
+    def flush(self):
+        text = " ".join(self.text.split())
+        if text:
+            self.out.append(text)
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.text += " "
+            return
+        if tag in X.BLOCKS:
+            self.flush()
+        self.stack.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag in X.BLOCKS:
+            self.flush()
+        self.stack.pop()
+
+    def handle_data(self, data):
+        inside = "article" in self.stack
+        if inside and not set(self.stack) & (X.NO_TEXT | X.CHROME):
+            self.text += data
+
+
+def test_invented_pages_against_the_standard_parser():
+    rng = random.Random(5)
+    words = ["plain", "words", "&amp;", "caf&eacute;", "&#x41;", "x&lt;y", "\n", "  ", "\u00a0", "tail"]
+
+    def text():
+        return " ".join(rng.choices(words, k=rng.randint(0, 6)))
+
+    def element(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return text()
+        tag = rng.choice(["div", "section", "ul", "b", "i", "span", "a", "aside", "form", "nav", "button", "script",
+                          "blockquote", "table", "br"])
+        if tag == "br":
+            return "<br>"
+        if tag == "script":
+            return "<script>var a = 1;</script>"
+        return f"<{tag}>" + "".join(element(depth - 1) for _ in range(rng.randint(0, 4))) + f"</{tag}>"
+    for _ in range(400):
+        page = f"<body><nav>{text()}</nav><article>" + "".join(element(4) for _ in range(5)) + "</article></body>"
+        p = Independent()
+        p.feed(page)
+        p.close()
+        p.flush()
+        assert [t for k, t in X.blocks(page) if k == "main"] == p.out, page
