@@ -25,6 +25,8 @@ percent-encoded; other columns are never read; an empty table writes and reads n
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,6 +40,10 @@ LEAST_BYTES = 1000
 BROADCAST_PIECES = 200_000    # rows of a small side: at most about 50 MB
 
 
+class ArchiveError(RuntimeError):
+    """Raised when records that the chain reaches cannot be read."""
+
+
 # ------------------------------------------------------------------ writing
 
 def _header(*fields: tuple[str, Column | str]) -> Column:
@@ -195,6 +201,46 @@ def _owners(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(owner=out)[["file", "block", "at", "offset", "owner"]]
 
 
+@contextmanager
+def fixed_splits(spark: SparkSession):
+    """Within it, files are cut into the same splits whatever executors come or go."""
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(before or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+
+
+def rejoined(spark: SparkSession, path: str, pieces: DataFrame, names: list[str]) -> DataFrame:
+    """The records whose payload holds magic lines, put together from a second scan; ``pieces``:
+    (file, offset, owner) of their cuts.  The place in the file tells cuts apart, as the splits
+    may differ from the first scan's; a record that does not come out whole raises."""
+    few = pieces.count()
+    if not few:
+        return spark.createDataFrame([], "file string, owner long, wanted long, kind string, id string, refers string, "
+                                     "stated string, http_length long, payload_bytes long, digest string")
+    if few <= BROADCAST_PIECES:                       # checked; else the text is shuffled to them
+        pieces = F.broadcast(pieces)
+    with fixed_splits(spark):
+        sizes = cuts(spark, path).select("file", "block", "at", F.octet_length("value").cast("long").alias("size"),
+                                         F.lit(None).cast("long").alias("wanted"))
+        found = materialize(located(sizes).select("file", "block", "at", "offset").join(
+            pieces, ["file", "offset"]), "warc-places")
+        if few <= BROADCAST_PIECES:
+            found = F.broadcast(found)
+        parts = cuts(spark, path).join(found, ["file", "block", "at"])
+        joined = parts.groupBy("file", "owner").agg(F.array_join(F.transform(F.sort_array(
+            F.collect_list(F.struct("offset", "value"))), lambda p: p["value"]), MAGIC).alias("value"))
+        out = materialize(parsed(joined).filter("size >= wanted").select("file", "owner", *names), "warc-rejoined")
+    expected = pieces.select("file", "owner").distinct().count()
+    if out.count() != expected:
+        raise ArchiveError(f"{expected - out.count()} of {expected} records of {path} could not be put together")
+    return out
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """page_id, record_type, payload_bytes, payload_digest, refers_to, intact of every record.
 
@@ -221,17 +267,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         "file", "block", "at", "offset", owner.alias("owner"))
     heads = member.filter("offset = owner").join(
         cut.select("file", "block", "at", "size", *names), ["file", "block", "at"])
-    whole = heads.filter("size = wanted").select("file", "owner", *names)
-
-    # records whose payload holds magic lines: put the cuts together again
+    # a last record may be followed by what is no record
+    whole = heads.filter("size >= wanted").select("file", "owner", *names)
     broken = heads.filter("size < wanted").select("file", "owner")
-    pieces = materialize(member.join(broken, ["file", "owner"]), "warc-pieces")
-    if pieces.count() <= BROADCAST_PIECES:            # checked; else the text is shuffled to them
-        pieces = F.broadcast(pieces)
-    parts = cuts(spark, path).join(pieces, ["file", "block", "at"])
-    joined = parts.groupBy("file", "owner").agg(F.array_join(F.transform(F.sort_array(
-        F.collect_list(F.struct("offset", "value"))), lambda p: p["value"]), MAGIC).alias("value"))
-    again = parsed(joined).filter("size >= wanted").select("file", "owner", *names)
+    pieces = materialize(member.join(broken, ["file", "owner"]).select("file", "offset", "owner"),
+                         "warc-pieces")
+    again = rejoined(spark, path, pieces, names)
 
     response = F.col("kind") == "response"
     return whole.union(again).select(

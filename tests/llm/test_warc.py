@@ -1,5 +1,7 @@
 import hashlib
+import os
 
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import types as T
 
@@ -72,3 +74,52 @@ def test_file_is_plain_warc(spark):
 
 def test_empty_table(spark):
     assert warc.read(spark, warc.write(pages(spark).limit(0))).count() == 0
+
+
+def test_split_sizes_that_change_between_the_scans(spark, monkeypatch):
+    path, key = warc.write(pages(spark)), "spark.sql.files.maxPartitionBytes"
+    before, cuts, sizes = spark.conf.get(key), warc.cuts, iter(["100000", "300", "300"])
+
+    def changing(*args):
+        spark.conf.set(key, next(sizes))
+        return cuts(*args)
+    monkeypatch.setattr(warc, "cuts", changing)
+    try:
+        assert result(warc.read(spark, path)) == expected()
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_lost_record_raises(spark, monkeypatch):
+    path, key = warc.write(pages(spark)), "spark.sql.files.maxPartitionBytes"
+    before, cuts, sizes = spark.conf.get(key), warc.cuts, iter(["100000", "300", "100000"])
+
+    def changing(*args):
+        spark.conf.set(key, next(sizes))
+        return cuts(*args)
+    monkeypatch.setattr(warc, "cuts", changing)
+    try:
+        with pytest.raises(warc.ArchiveError, match="could not be put together"):
+            warc.read(spark, path)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_splits_are_fixed_for_the_scan_only(spark):
+    key = "spark.sql.files.minPartitionNum"
+    assert spark.conf.get(key, None) is None
+    with warc.fixed_splits(spark):
+        assert int(spark.conf.get(key)) >= 1
+    assert spark.conf.get(key, None) is None
+
+
+def test_a_last_record_before_other_text_is_read(spark, tmpdir_path):
+    path = warc.write(pages(spark, [(1, "http://a.org/", "hello"), (2, "http://b.org/", "you")]).coalesce(1),
+                      tmpdir_path + "/w")
+    import glob
+    for f in glob.glob(path + "/part-*"):
+        with open(f, "ab") as out:
+            out.write(b"trailing bytes")
+    for f in glob.glob(path + "/.*.crc"):
+        os.remove(f)
+    assert sorted(r.page_id for r in warc.read(spark, path).collect()) == [1, 2]
