@@ -54,23 +54,21 @@ def slots(key: np.ndarray) -> np.ndarray:
     return (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
-def frequent_pairs(s: np.ndarray, bar: int | None = None
-                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool]:
-    """(place, key, slot) of the pairs that may be among the most frequent, the key of each
-    frequent one by falling count, and whether other pairs may be frequent.  A table of hashed
-    counts drops the places below the bar (the least count that at most 2 * PAIRS slots reach)
-    before the exact count."""
-    key = s[:-1].astype(np.uint64) << np.uint64(32) | s[1:]
-    slot = slots(key)
-    table = np.bincount(slot, minlength=1 << TABLE_BITS)
-    reach = np.cumsum(np.bincount(np.minimum(table, 1 << 16))[::-1])[::-1]
-    least = bar or max(LEAST_COUNT, int(np.searchsorted(-reach, -2 * PAIRS)))
-    place = np.flatnonzero(table[slot] >= least)
-    key = key[place]
-    values, n = np.unique(key, return_counts=True)
+def by_count(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The pairs that occur ``LEAST_COUNT`` times or more, by falling count."""
     some = n >= LEAST_COUNT
     values, n = values[some], n[some]
-    return place, key, slot[place], values[np.lexsort((values, -n))], least > LEAST_COUNT
+    return values[np.lexsort((values, -n))]
+
+
+def frequent_pairs(key: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """Frequent pairs by falling count, one of each slot of a hash table at most: the last pair of a
+    slot is counted.  Another frequent one of the slot comes up once that one is replaced, at the
+    latest when no such pair is frequent and all are counted."""
+    held = np.zeros(1 << TABLE_BITS, np.uint64)
+    held[slot] = key
+    found = by_count(held, np.bincount(slot[held[slot] == key], minlength=1 << TABLE_BITS))
+    return found if len(found) else by_count(*np.unique(key, return_counts=True))
 
 
 def chosen_pairs(values: np.ndarray) -> list[int]:
@@ -93,18 +91,21 @@ def chosen_pairs(values: np.ndarray) -> list[int]:
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     """(rules as rows left, right; symbols): symbol base + i stands for rule i."""
     s, rules = ids.astype(np.uint32), []
-    while len(s) > 1:
-        place, key, slot, values, some = frequent_pairs(s)
-        if not len(values) and some:                  # only pairs below the bar may be frequent
-            place, key, slot, values, some = frequent_pairs(s, LEAST_COUNT)
-        pairs = np.array(chosen_pairs(values), np.uint64)
+    live = np.arange(max(len(s) - 1, 0))              # places whose pair may be frequent
+    while True:
+        key = s[live].astype(np.uint64) << np.uint64(32) | s[live + 1]
+        slot = slots(key)
+        some = np.bincount(slot, minlength=1 << TABLE_BITS)[slot] >= LEAST_COUNT
+        live, key, slot = live[some], key[some], slot[some]
+        pairs = np.array(chosen_pairs(frequent_pairs(key, slot)), np.uint64)
         if not len(pairs):
             break
-        rule_of = np.zeros(1 << TABLE_BITS, np.int64)
+        rule_of = np.full(1 << TABLE_BITS, -1, np.int64)
         rule_of[slots(pairs)] = np.arange(len(pairs))
         rule = rule_of[slot]
-        hit = pairs[rule] == key
-        place, rule = place[hit], rule[hit]
+        hit = np.flatnonzero(rule >= 0)
+        hit = hit[pairs[rule[hit]] == key[hit]]
+        place, rule = live[hit], rule[hit]
         # only places of a pair of equal symbols can touch: every second one of a run counts
         first = np.ones(len(place), bool)
         first[1:] = place[1:] != place[:-1] + 1
@@ -113,9 +114,12 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
         place, rule = place[even], rule[even]
         s = s.copy()
         s[place] = base + len(rules) + rule
-        keep = np.ones(len(s), bool)
-        keep[place + 1] = False
-        s = s[keep]
+        keep, alive = np.ones(len(s), bool), np.zeros(len(s), bool)
+        keep[place + 1], alive[live] = False, True
+        s, alive, at = s[keep], alive[keep], place - np.arange(len(place))
+        # of other pairs only the counts have fallen; those with a new symbol are new
+        alive[at] = alive[np.maximum(at - 1, 0)] = True
+        live = np.flatnonzero(alive[:-1])
         rules += [(k >> 32, k & 0xFFFFFFFF) for k in pairs.tolist()]
     return np.array(rules, np.uint32).reshape(-1, 2), s
 
@@ -127,20 +131,29 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return np.array(out, np.uint32)
 
 
+def pieces_of(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Places of runs that begin at ``starts``, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for: each pass opens the rules on the top level."""
-    s = symbols
-    while len(s):
-        rule = s >= base
-        if not rule.any():
-            break
-        at = np.cumsum(1 + rule) - 1 - rule
-        out = np.empty(len(s) + int(rule.sum()), np.uint32)
-        out[at] = s
-        own = rules[s[rule] - base]
-        out[at[rule]], out[at[rule] + 1] = own[:, 0], own[:, 1]
-        s = out
-    return s
+    """The ids that symbols stand for.  The rules are opened level by level, each once, behind one
+    another in a table of ids, from which the symbols' runs are then taken."""
+    lengths = np.ones(base + len(rules), np.int64)
+    lengths[base:] = expansion_lengths(rules, base)
+    starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+    table = np.empty(int(lengths.sum()), np.uint32)
+    table[:base] = np.arange(base)
+    level = np.zeros(base + len(rules), np.int64)
+    for i, (a, b) in enumerate(rules.tolist()):
+        level[base + i] = 1 + max(level[a], level[b])
+    for k in range(1, int(level.max(initial=0)) + 1):
+        own = np.flatnonzero(level == k)
+        for side, shift in ((0, np.zeros(len(own), np.int64)), (1, lengths[rules[own - base, 0]])):
+            part = rules[own - base, side]
+            table[pieces_of(lengths[part], starts[own] + shift)] = table[pieces_of(lengths[part], starts[part])]
+    return table[pieces_of(lengths[symbols], starts[symbols])]
 
 
 # ------------------------------------------------------------------ format
