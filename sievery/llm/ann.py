@@ -22,9 +22,10 @@ get all their neighbours, and queries with fewer than ``k`` candidates all of th
 
 Buckets are dealt
 out by region (the first hashes of the code, as many as the row count asks
-for); a region with more than ``PART`` vectors is split by vector id, and a probe
-goes to all parts of its regions, so a frequent vector cannot fill one task.  Only
-the ``k`` best of each part leave it.
+for); a region with more than ``PART`` vectors is split by vector id and one with more
+than ``QUERY_PART`` probing queries by query id, and every part of the one meets every
+part of the other, so neither a frequent vector nor a frequent region can fill one
+task.  Only the ``k`` best of each part leave it; regions without queries are not sent.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part, neither do rows without an id; vectors of another
@@ -48,13 +49,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievery.llm.common import bounded_batches, materialize, spark_of
+from sievery.session import scratch_path
 
 K = 10
 TABLES, HASHES, PROBES = 6, 6, 150
 WIDTH = 1.45                  # bucket width over a scale's K-th neighbour distance
 SAMPLE = 2000
 SCALES, SCALE_SHARE = 4, 0.02  # tables at most; share of the sample that makes a scale
-PART = 8192                   # vectors of a region that are searched at once
+PART, QUERY_PART = 8192, 4096  # vectors, and queries, of a region that meet at once
 SURE = 0.9                    # chance to meet the k-th neighbour at which a query is done
 BLOCK_BYTES = 4 << 20         # of queries that are compared with all rows at once
 SEED = 20240501
@@ -339,16 +341,19 @@ def _found(base: DataFrame, asked: DataFrame, width: float, depth: int, k: int)
     keys = ["dim", "tab", "region"]
     index = base.mapInArrow(_index(width, depth),
                             "dim int, tab int, region long, id long, code long, vec binary")
-    probes = asked.mapInArrow(_probe(width, depth),
-                              "dim int, tab int, region long, id long, codes array<long>, vec binary")
-    # two-step count: partial counts per task meet per region
-    parts = index.groupBy(*keys).count().select(
-        *keys, F.ceil(F.col("count") / PART).cast("int").alias("parts"))
+    probes = materialize(asked.mapInArrow(
+        _probe(width, depth), "dim int, tab int, region long, id long, codes array<long>, vec binary"), "probes")
+    # two-step counts: partial counts per task meet per region; regions without queries go no further
+    rows, queries = (df.groupBy(*keys).count().select(*keys, F.ceil(F.col("count") / most).cast("int").alias(name))
+                     for df, most, name in ((index, PART, "parts"), (probes, QUERY_PART, "query_parts")))
+    parts = materialize(rows.join(queries, keys), "regions")
     held = index.join(parts, keys).withColumn(
-        "part", F.expr("cast(pmod(xxhash64(id), parts) as int)")).drop("parts")
+        "part", F.expr("cast(pmod(xxhash64(id), parts) as int)")).withColumn(
+        "query_part", F.explode(F.sequence(F.lit(0), F.col("query_parts") - 1))).drop("parts", "query_parts")
     sent = probes.join(parts, keys).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    keys = [*keys, "part"]
+        "query_part", F.expr("cast(pmod(xxhash64(id), query_parts) as int)")).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "query_parts")
+    keys = [*keys, "part", "query_part"]
     return (held.groupBy(*keys).cogroup(sent.groupBy(*keys))
             .applyInPandas(_rank(k), "query_id long, vec_id long, score double"))
 
@@ -385,13 +390,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
             .select("id", "vec", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("far", F.lit(0.0)).alias("far"))
             .mapInArrow(_open(width, k), packed), "open")
     block: list[tuple[int, bytes]] = []
-    size = 0
+    size, scanned = 0, None
     for r in itertools.chain(left.dropDuplicates().toLocalIterator(), [None]):
         if block and (r is None or size + len(r["vec"]) > BLOCK_BYTES):
-            found = base.mapInArrow(_scan(block, k), "query_id long, vec_id long, score double")
-            parts.append(materialize(_ranked(found, k), "nearest"))
+            found = _ranked(base.mapInArrow(_scan(block, k), "query_id long, vec_id long, score double"), k)
+            scanned = scanned or scratch_path(spark_of(vectors), "scanned")
+            found.write.mode("append").parquet(scanned)
             block, size = [], 0
         if r is not None:
             block.append((r["id"], bytes(r["vec"])))
             size += len(r["vec"])
+    if scanned:
+        parts.append(spark_of(vectors).read.schema(parts[0].schema).parquet(scanned))
     return _ranked(functools.reduce(DataFrame.unionByName, parts), k)

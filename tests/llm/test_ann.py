@@ -58,6 +58,33 @@ def test_clusters_are_found_exactly(spark, monkeypatch):
         assert [v for _, v in sorted(got[q])] == [i for _, i in best]
 
 
+def test_queries_of_a_region_are_dealt_into_parts(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(4).tolist()) for i in range(1200)]
+    whole = sorted(map(tuple, ann.search(frame(spark, rows), F.col("vec_id") % 3 == 0).collect()))
+    monkeypatch.setattr(ann, "QUERY_PART", 30)
+    monkeypatch.setattr(ann, "PART", 200)
+    parts = sorted(map(tuple, ann.search(frame(spark, rows), F.col("vec_id") % 3 == 0).collect()))
+    found = {}
+    for q, _, v, _ in parts:
+        found.setdefault(q, set()).add(v)
+    assert len(parts) == len(whole) == 4000
+    hit = sum(len({v for q2, _, v, _ in whole if q2 == q} & found[q]) for q in list(found)[:40])
+    assert hit >= 0.9 * 400
+
+
+def test_queries_that_no_probe_settles_are_finished_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.standard_normal(6) * (1 + 50 * (i % 7 == 0))).tolist()) for i in range(700)]
+    monkeypatch.setattr(ann, "SURE", 1.1)                 # none is ever sure
+    monkeypatch.setattr(ann, "BLOCK_BYTES", 100)          # two queries a block
+    got = {}
+    for r in ann.search(frame(spark, rows), F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    want = brute([(i, np.float32(v).tolist()) for i, v in rows])
+    assert {q: [v for _, v in sorted(x)] for q, x in got.items()} == {q: [i for _, i in b] for q, b in want.items()}
+
+
 def test_odd_vectors_ties_and_repeated_rows(spark):
     one = [1.0, 0.0, 0.0]
     rows = [(0, one), (100, one), (5, one), (5, one), (3, one), (7, [0.0, 0.0, 0.0]), (8, None), (9, []),
