@@ -48,7 +48,7 @@ def test_run_reads_the_table_and_is_registered(spark):
     assert E.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in E.oracle_sql()
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     ops = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in ops) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in ops) == list(range(1, 14))
 
 
 def test_stages_take_empty_tables(spark):
