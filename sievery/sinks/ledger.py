@@ -59,9 +59,14 @@ class Ledger:
                 .select("key", "_r.*", "attempts", "accepted"))
 
     def pending(self, payloads: DataFrame, batch_id: int | None = None) -> DataFrame:
-        """The payloads that no receipt shows as accepted, each key once."""
+        """The payloads that no receipt shows as accepted, each key once.
+
+        Keys are looked at first: bodies are shuffled only where a key repeats, or to a set of
+        accepted keys that is too large to broadcast."""
         accepted = self.log(batch_id).filter(F.col("status") == OK).select("key").distinct()
-        return payloads.dropDuplicates(["key"]).join(accepted, "key", "left_anti").select(*payloads.columns)
+        repeats = payloads.groupBy("key").count().filter("count > 1").limit(1).count()
+        once = payloads.dropDuplicates(["key"]) if repeats else payloads
+        return once.join(accepted, "key", "left_anti").select(*payloads.columns)
 
     def attempt(self, payloads: DataFrame, deliver: D.Deliver, batch_id: int = 0,
                 everywhere: bool = False) -> int:
