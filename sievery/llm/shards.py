@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from sievery.llm import tokens
 from sievery.llm.common import bounded_batches, materialize, spark_of, text_or_empty
+from sievery.llm.tokens import pieces_of
 
 END_ID = 2
 SHARD_IDS = 1 << 20
@@ -43,6 +44,7 @@ MAGIC, VERSION = 0x52505347, 1
 HEAD = struct.Struct("<4I3Q")
 TABLE_BITS = 18
 HEAD_LETTERS = 32
+WRITE_ROWS = 4000             # texts that are encoded together, of at most 16 MB
 BROADCAST_SHARDS = 1_000_000  # of starts: at most about 30 MB
 
 SHARDS = "part int, shard int, n_docs long, n_ids long, data binary"
@@ -131,12 +133,6 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return np.array(out, np.uint32)
 
 
-def pieces_of(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Places of runs that begin at ``starts``, one run after the other."""
-    ends = np.cumsum(lengths)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
-
-
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     """The ids that symbols stand for.  The rules are opened level by level, each once, behind one
     another in a table of ids, from which the symbols' runs are then taken."""
@@ -237,7 +233,7 @@ def write(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer
           name: str = tokens.WORD_BPE, end_id: int = END_ID, path: str | None = None) -> DataFrame:
     """Write the shards and return their table as it is read back."""
     spark = spark_of(docs)
-    bounded_batches(spark)
+    bounded_batches(spark, rows=WRITE_ROWS)
     t = text_or_empty(text)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), t.alias("t"),
                        F.substring(t, 1, HEAD_LETTERS).alias("head"), F.xxhash64(t).alias("h"),

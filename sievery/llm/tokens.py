@@ -13,7 +13,8 @@ are kept in a bounded per-process cache:
 Texts of printable ASCII, Latin letters and plain white space, which every Unicode
 version classes and composes alike, need no units: the whole text goes through a
 second merge engine built from the tokenizer file's own vocabulary and merges
-(``MergeEngine``; same ids, several times as fast).  Of other texts the missing units of a
+(``MergeEngine``; same ids, several times as fast).  Where words are merged on their own
+(word BPE), the plain texts of a batch are cut together and a word that repeats is merged once.  Of other texts the missing units of a
 batch are encoded together, such units by that engine and others by the library.
 Where a tokenizer is of another kind or a text holds characters that Python and the
 library class differently, the whole text goes through the library.
@@ -27,6 +28,7 @@ import re
 from collections.abc import Callable, Iterable
 
 import numpy as np
+import pyarrow as pa
 
 from sievery.llm.common import env_single_thread
 
@@ -50,6 +52,13 @@ _BYTE_TEXT = f"{_SHORT}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s+(?!\
 _BYTE_PLAIN = f"{_SHORT}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+|\\s"
 _PLAIN_TEXT = re.compile(f"[\t\n\r -~{_LETTERS}]*")
 _WORD_SPLIT = re.compile(f"{_SHORT}|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
+# Classes of the UTF-8 bytes of such text, as _WORD_SPLIT tells them apart, and of the mark between texts.
+SPACE, LETTER, OTHER, DIGIT, BETWEEN = range(5)     # from DIGIT on each byte is a word
+TEXT_END = 0x0B               # white space, so never in a word, and not in plain text
+CLASS = np.full(256, OTHER, np.uint8)
+CLASS[0x80:] = CLASS[0x41:0x5B] = CLASS[0x61:0x7B] = LETTER
+CLASS[0x30:0x3A] = DIGIT
+CLASS[list(b"\t\n\r ")], CLASS[TEXT_END] = SPACE, BETWEEN
 
 
 def tokenizer_path(path: str | None, name: str) -> str:
@@ -93,19 +102,20 @@ def by_key(keys: list[str], units: Callable[[list[str]], dict[str, bytes]], line
 
 
 class Units:
-    """Ids of texts (little-endian unsigned 32-bit): by ``fast`` where it takes a text, else by
-    way of cached units."""
+    """Ids of texts (little-endian unsigned 32-bit): by ``fast`` where it takes a text (by
+    ``together`` for many at once, where there is one), else by way of cached units."""
 
     def __init__(self, split: Callable[[str], list], whole: Callable[[str], list[int]],
                  many: Callable[[list], dict], odd: re.Pattern | None = None,
-                 fast: Callable[[str], bytes | None] | None = None) -> None:
+                 fast: Callable[[str], bytes | None] | None = None,
+                 together: Callable[[list[str]], list[bytes | None]] | None = None) -> None:
         self.split, self.whole, self.many, self.odd, self.known = split, whole, many, odd, {}
-        self.fast = fast
+        self.fast, self.together = fast, together
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if self.fast is None:
             return self.by_units(texts)
-        found = [self.fast(t) for t in texts]
+        found = self.together(texts) if self.together else [self.fast(t) for t in texts]
         rest = iter(self.by_units([t for t, ids in zip(texts, found, strict=True) if ids is None]))
         return [next(rest) if ids is None else ids for ids in found]
 
@@ -187,7 +197,7 @@ class MergeEngine:
         def splitting(pattern: str) -> tiktoken.Encoding:
             return tiktoken.Encoding("merges", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.engine = splitting("[^\\x00]+\\x00" if suffix else "[^\\x00]+|\\x00")
-        self.small = self.ids.astype("<u4")
+        self.small, self.mark = self.ids.astype("<u4"), ranks.get(bytes([TEXT_END]) + self.END)
         if not suffix:
             self.rough, self.plain = splitting(_BYTE_TEXT), splitting(_BYTE_PLAIN)
 
@@ -212,14 +222,65 @@ class MergeEngine:
         return self.small[np.array(ranks, np.int64)].tobytes()
 
     def word_text(self, text: str) -> bytes | None:
-        """Ids of a whole text for merges of lower-cased words; None where it is not plain."""
-        if not _PLAIN_TEXT.fullmatch(text):
-            return None
-        end, split = self.END.decode(), _WORD_SPLIT.findall
-        words = [w if w.isalpha() else end.join(split(w)) for w in text.lower().split()]
-        if not words:
-            return b""
-        return self.small[np.array(self.engine.encode_ordinary(end.join(words) + end), np.int64)].tobytes()
+        """As ``word_texts``, of one text."""
+        return self.word_texts([text])[0]
+
+    def word_texts(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of whole texts for merges of lower-cased words; None where one is not plain.
+
+        The texts are cut as one, with a mark of its own word behind each; each distinct word is
+        merged once."""
+        plain = [_PLAIN_TEXT.fullmatch(t) is not None for t in texts]
+        marked = "".join([t + chr(TEXT_END) for t, p in zip(texts, plain, strict=True) if p])
+        if not marked:
+            return [None] * len(texts)
+        raw = cut_words(marked.lower().encode())
+        stops = np.concatenate([[0], np.flatnonzero(raw == 0) + 1])
+        words = pa.Array.from_buffers(pa.large_binary(), len(stops) - 1,
+                                      [None, pa.py_buffer(stops), pa.py_buffer(raw)]).dictionary_encode()
+        _, at, data = words.dictionary.buffers()
+        size = int(np.frombuffer(at, np.int64)[len(words.dictionary)])
+        ranks = self.engine.encode_to_numpy(data[:size].to_pybytes().decode())
+        ends = np.flatnonzero(self.ends[ranks]) + 1
+        starts = np.concatenate([[0], ends[:-1]])
+        own = words.indices.to_numpy()
+        found = ranks[pieces_of((ends - starts)[own], starts[own])]
+        ids, ends = self.small[found].tobytes(), np.flatnonzero(found == self.mark).tolist()
+        one = iter([ids[4 * a + 4:4 * z] for a, z in zip([-1, *ends[:-1]], ends, strict=True)])
+        return [next(one) if p else None for p in plain]
+
+
+def pieces_of(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Places of runs that begin at ``starts``, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def cut_words(text: bytes) -> np.ndarray:
+    """The bytes of the words that _WORD_SPLIT finds in lower-cased plain text, with a 0 behind each."""
+    raw = np.frombuffer(text, np.uint8)
+    kind = CLASS[raw]
+    here, after = kind[:-1], kind[1:]
+    cut = (here != after) | (here >= DIGIT)           # between this byte and the next
+    cut &= (here != SPACE) & (after != SPACE)
+    if b"'" in text:
+        first = np.flatnonzero((raw[1:] == 0x27) & (here != OTHER)) + 1
+        if raw[0] == 0x27:
+            first = np.concatenate([[0], first])
+        for short in (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d"):
+            at = first[first + len(short) < len(raw)]
+            for k, c in enumerate(short, 1):
+                at = at[raw[at + k] == c]
+            last = at + len(short)
+            cut[at] = False
+            last = last[last < len(cut)]
+            cut[last] = after[last] != SPACE
+    out, cut, blank = raw.copy(), np.flatnonzero(cut) + 1, kind == SPACE
+    out[blank] = 0                                    # the 0 of the word before it
+    spare = np.flatnonzero(blank & np.concatenate([[True], blank[:-1]]))
+    if len(spare):
+        cut, out = cut - np.searchsorted(spare, cut), np.delete(out, spare)
+    return np.insert(out, np.append(cut, len(out)) if len(out) and out[-1] else cut, 0)
 
 
 def _json_tokenizer(path: str) -> Units:
@@ -274,7 +335,8 @@ def _json_tokenizer(path: str) -> Units:
         ids = many(list(text.values()))
         return {w: ids[u] for w, u in text.items()}
 
-    return Units(lambda t: t.encode().split(), whole, dropped, None, engine and engine.word_text)
+    fast, together = (engine.word_text, engine.word_texts) if engine and engine.suffix else (None, None)
+    return Units(lambda t: t.encode().split(), whole, dropped, None, fast, together)
 
 
 @functools.lru_cache(2)

@@ -67,3 +67,26 @@ def test_whole_plain_texts_have_the_librarys_ids(name):
         assert got == tokens.packed(tok.encode(t, add_special_tokens=False).ids), repr(t)
     for t in ("日本", "a\xa0b", "x\x00", "İ", "e\u0301", "a\x0bb", "½"):
         assert encode.fast(t) is None and encode([t])[0] == tokens.packed(tok.encode(t, add_special_tokens=False).ids)
+
+
+def test_plain_texts_are_encoded_together(monkeypatch):
+    """Many texts at once have the ids of each, and a word is merged once however often it comes."""
+    path = P.path(tokens.WORD_BPE)
+    tok, encode, rng = Tokenizer.from_file(path), tokens.encoder(path), random.Random(3)
+    tok.encode_special_tokens = True
+    own = ["".join(rng.choices([*PLAIN, "'", "'re", "'Ve", "\r", "日", "\x0b"], k=rng.randint(0, 9))) for _ in range(3000)]
+    own = [*own, "", " ", " \n", "", "'", "'s", "''s", "a's's", "'llama", "12's", "'", *["Mostly harmless, mostly."] * 900]
+    got = encode.together(own)
+    assert sum(g is None for g in got) > 100 and encode.together([]) == [] and encode.together(["日"]) == [None]
+    for t, g, whole in zip(own, got, encode(own), strict=True):
+        ids = tokens.packed(tok.encode(t, add_special_tokens=False).ids)
+        assert whole == ids and g in (ids, None), repr(t)
+    engine, merged = encode.together.__self__.engine, []
+
+    class Noting:
+        def encode_to_numpy(self, text):
+            merged.append(text)
+            return engine.encode_to_numpy(text)
+    monkeypatch.setattr(encode.together.__self__, "engine", Noting())
+    assert encode(["Mostly harmless, mostly."] * 900) == got[-900:]
+    assert sorted(merged[0].strip("\0").split("\0")) == ["\x0b", ",", ".", "harmless", "mostly"]
