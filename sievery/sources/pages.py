@@ -154,11 +154,14 @@ def ts_micros(ts):
 
 def wire_messages(pages: DataFrame) -> DataFrame:
     """History pages (batch or stream) to one row per wire message:
-    ``channel``, ``raw`` text and the parsed ``m``."""
+    ``channel``, ``raw`` text and the parsed ``m``.
+
+    ``m`` comes out of a generator, which no filter on it is pushed through, so every
+    text is parsed once, however many conditions look at its fields."""
     file = F.col("_page") if "_page" in pages.columns else F.lit(None).cast("string")
     raw = _ok(pages).select(F.col("channel").cast("string").alias("channel"), "page", file.alias("_page"),
                             F.posexplode("messages").alias("_pos", "raw"))
-    return raw.withColumn("m", F.from_json("raw", schemas.WIRE_MESSAGE))
+    return raw.select("*", F.explode(F.array(F.from_json("raw", schemas.WIRE_MESSAGE))).alias("m"))
 
 
 def _wire_messages(spark: SparkSession, path, multiline: bool):

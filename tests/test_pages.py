@@ -196,3 +196,22 @@ def test_team_id_and_empty_listing_flow(spark, tmpdir_path):
     assert jobs.seed_users(empty_users, 10).count() == 0
     empty_msgs, _ = pages.read_conversations(spark, tmpdir_path)
     assert jobs.seed_posts(empty_msgs, "u/<team_id>/<channel_id>", team_id="T").count() == 0
+
+
+def test_a_wire_message_is_parsed_once(spark, tmpdir_path, capsys):
+    """However many conditions on its fields the sieve and the blacklist push down."""
+    path = tmpdir_path + "/pages"
+    texts = ['{"type":"message","ts":"1.000000","text":"a <@U1>","user":"U2"}', '{"ts":"x"}', "no", '{"type":"message"}',
+             '{"type":"message","subtype":"channel_join","ts":"2.000000","mentions":["U3"]}']
+    rows = [("C1", texts), ("C2", []), ("C3", [None, texts[0]])]
+    page = spark.createDataFrame(rows, "channel string, messages array<string>").selectExpr(
+        "true AS ok", "channel", "0L AS page", "messages")
+    wire = pages.wire_messages(page)
+    assert [(r.channel, r._pos, r.m and r.m.ts) for r in wire.orderBy("channel", "_pos").collect()] == [
+        ("C1", 0, "1.000000"), ("C1", 1, "x"), ("C1", 2, None), ("C1", 3, None), ("C1", 4, "2.000000"),
+        ("C3", 0, None), ("C3", 1, "1.000000")]
+    kept = sieve.sieve(C.with_category(C.drop_blacklisted(pages.valid_canonical(wire), ["channel_join"])))
+    assert sorted(r.channel for r in kept.collect()) == ["C1", "C3"]
+    capsys.readouterr()
+    kept.explain()
+    assert capsys.readouterr().out.count("from_json") == 1
