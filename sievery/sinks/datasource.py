@@ -5,7 +5,7 @@ Register it once per session (``register``).  Options: ``path`` (a folder of sha
 storage for the receipts), ``service`` (``package.module:function``, called in the
 tasks as ``(url, body, key) -> response``), ``failOnRefusal`` (default true, R-2).
 
-A task delivers its rows one after the other and writes their receipts as a file of
+A task delivers its rows one after the other, in Arrow batches of few bodies, and writes their receipts as a file of
 its own below ``path/staged``; its commit message holds the file's name and two
 counts only.  ``commit`` publishes the names of the files of the successful tasks in
 one small file below ``path/published`` and then, if any payload was refused, fails
@@ -35,7 +35,7 @@ from pyspark.sql.datasource import (
 )
 
 from ..functions.responses import response_status
-from .delivery import RECEIPTS, DeliveryError
+from .delivery import RECEIPTS, DeliveryError, bounded_batches
 
 FORMAT = "payload_delivery"
 COLUMNS = ["kind", "team_id", "channel", "chunk", "key", "url", "n_items"]
@@ -89,10 +89,11 @@ class _Delivery:
         with system.open_output_stream(f"{root}/staged/{name}") as out, pq.ParquetWriter(out, STAGED) as file:
             for batch in iterator:
                 held = []
-                for row in zip(*(batch.column(c).to_pylist() for c in [*COLUMNS, "body"]), strict=True):
-                    *known, body = row
+                bodies = batch.column("body")
+                rest = zip(*(batch.column(c).to_pylist() for c in COLUMNS), strict=True)
+                for body, known in zip(bodies, rest, strict=True):      # one body at a time as a text
                     try:
-                        response = deliver(known[5], body, known[4])
+                        response = deliver(known[5], body.as_py(), known[4])
                     except Exception as exc:  # noqa: BLE001 - any failure is a reject
                         response = f"delivery failed: {type(exc).__name__}: {exc}"
                     rows, refused = rows + 1, refused + (not _accepted(response))
@@ -161,6 +162,8 @@ class PayloadDelivery(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """The source's name, and small batches of payloads for its tasks."""
+    bounded_batches(spark)
     spark.dataSource.register(PayloadDelivery)
 
 

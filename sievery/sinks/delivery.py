@@ -38,6 +38,19 @@ RECEIPTS = T.StructType(
      for n in ("kind", "team_id", "channel", "chunk", "key", "url", "n_items", "response", "status")])
 
 
+# Bytes of an Arrow batch of payloads, beside its last row: a batch that holds a body of the
+# default size holds few others, so a task's memory does not follow its number of payloads.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the batches of payloads that go to Python tasks; a smaller bound of the session's stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("bB")
+    if not (now.isdigit() and 0 < int(now) <= BATCH_BYTES):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 class DeliveryError(RuntimeError):
     """Raised when a batch has responses other than OK (R-2)."""
 
@@ -62,7 +75,7 @@ def deliver_payloads(payloads: DataFrame, deliver: Deliver) -> DataFrame:
     Returns receipts: kind, team_id, channel, chunk, key, url, n_items, response,
     status (``RECEIPTS``).
     """
-    payloads.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    bounded_batches(payloads.sparkSession)
     cols = payloads.select("kind", "team_id", "channel", "chunk", "key", "url", "n_items", "body")
     receipts = cols.mapInPandas(_deliver_partitions(deliver), RECEIPT_SCHEMA)
     return receipts.withColumn("status", response_status(F.col("response")))

@@ -181,3 +181,33 @@ def test_options_are_needed_and_overwriting_is_refused(spark, tmpdir_path):
     with pytest.raises(Exception, match="mode append"):
         payloads(spark, 1).write.format(datasource.FORMAT).mode("overwrite").option(
             "path", tmpdir_path).option("service", OK).save()
+
+
+def test_a_task_holds_one_body_as_a_text(spark, tmpdir_path):
+    """However many bodies a batch has; and batches of payloads are small."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rows = {c: ["x"] * 32 for c in ("kind", "team_id", "channel", "key", "url")}
+    batch = pa.RecordBatch.from_pydict({**rows, "chunk": [0] * 32, "n_items": [1] * 32, "body": ["[" + "1" * (1 << 20) + "]"] * 32})
+    writer = datasource.BatchWriter({"path": tmpdir_path, "service": "tests.test_ledger_writer:received"})
+    tracemalloc.start()
+    try:
+        assert writer.write(iter([batch])).rows == 32
+        assert tracemalloc.get_traced_memory()[1] < 6 << 20
+    finally:
+        tracemalloc.stop()
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for now, then in ((str(64 << 20), delivery.BATCH_BYTES), ("67108864b", delivery.BATCH_BYTES), ("1000", 1000)):
+            spark.conf.set(key, now)
+            datasource.register(spark)
+            assert int(spark.conf.get(key)) == then
+    finally:
+        spark.conf.set(key, before)
+
+
+def received(url, body, key):
+    return '{"received": 1}'
